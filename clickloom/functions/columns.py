@@ -16,10 +16,15 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
-def is_target(action: Column, targets: Sequence[str]) -> Column:
+def target_filter(action: Column, targets: Sequence[str]) -> Column:
+    """Condition for target hits, in the form a parquet scan can use."""
     if not targets:
         raise ValueError("the list of target actions is empty")
-    return flag(action.isin(*targets))
+    return action.isin(*targets)
+
+
+def is_target(action: Column, targets: Sequence[str]) -> Column:
+    return flag(target_filter(action, targets))
 
 
 def extracted(text: Column, pattern: str) -> Column:
@@ -50,7 +55,9 @@ def screen_area(resolution: Column) -> Column:
     parts = F.split(resolution, "x")
 
     def number(i: int) -> Column:
-        return F.get(parts, F.lit(i)).try_cast("double")
+        part = F.get(parts, F.lit(i))
+        # the cast alone would also take Java suffixes such as "12f"
+        return F.when(~part.rlike(r"[dDfF]\s*$"), part.try_cast("double"))
 
     return number(0) * number(1)
 

@@ -105,8 +105,7 @@ def dirty_mart(
     hits: DataFrame, sessions: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS)
 ) -> DataFrame:
     """All session columns plus a flag: did any target hit happen in the session."""
-    hit_target = X.is_target(F.col("event_action"), targets) == 1
-    converted = hits.filter(hit_target).select("session_id").distinct().withColumn("hit", F.lit(1))
+    converted = hits.filter(X.target_filter(F.col("event_action"), targets)).select("session_id").distinct().withColumn("hit", F.lit(1))
     joined = latest_sessions(sessions).join(converted, "session_id", "left")
     return joined.withColumn(C.TARGET_COLUMN, X.flag(F.col("hit").isNotNull())).drop("hit")
 
@@ -139,7 +138,7 @@ def hits_before_target(
     task receives a whole large session.
     """
     number = F.coalesce("hit_number", F.lit(_LAST)).alias("number")
-    target = X.is_target(F.col("event_action"), targets) == 1
+    target = X.target_filter(F.col("event_action"), targets)
     firsts = (
         hits.filter(target).select("session_id", number).groupBy("session_id").agg(F.min("number").alias("first"))
     )
