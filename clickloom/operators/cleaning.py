@@ -104,7 +104,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         counts = self._category_counts(df, texts)
         shares = self._top_shares(df, numbers, texts, basics, counts)
         total = basics["rows"]
-        null_share = {c: 1.0 - basics[f"known:{c}"] / total if total else 0.0 for c in studied}
+        null_share = {c: (total - basics[f"known:{c}"]) / total if total else 0.0 for c in studied}
         sparse = [c for c in studied if null_share[c] > self.value("maxNullShare")]
         constant = [c for c in studied if max(shares[c], null_share[c]) > self.value("maxConstantShare")]
         dropped = sorted(technical | set(sparse) | set(constant))
@@ -128,7 +128,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
             "inputs": df.columns,
             "dropped": dropped,
             "null_share": null_share,
-            "top_share": {c: max(shares[c], null_share[c]) for c in studied},
+            "top_share": {c: max(shares[c], null_share[c]) for c in studied if max(shares[c], null_share[c]) > 0.5},
             "top_categories": {c: [v for v, _ in counts.get(c, [])[:limit]] for c in kept_texts},
             "fills": fills,
             "bounds": self._bounds(kept_numbers, quantiles, basics),
@@ -246,7 +246,11 @@ class SessionCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultP
         return json.loads(self.getOrDefault(self.state))
 
     def report(self, spark: SparkSession) -> DataFrame:
-        """What was learned, one row per column of the training frame."""
+        """What was learned, one row per column of the training frame.
+
+        ``top_share`` is the share of the most frequent value, unknown included,
+        where it is more than a half.
+        """
         learned = self.learned
         rows = []
         for c in learned["inputs"]:

@@ -117,3 +117,184 @@ BLOCKS = {
 
 def sql(blocks: list[str], body: str, *ctes: str) -> str:
     return "WITH " + ",".join([*blocks, *ctes]) + "\n" + body
+
+
+# --- features and cleaning ----------------------------------------------------
+
+TEXTS = [
+    "session_id",
+    "client_id",
+    "visit_time",
+    "utm_source",
+    "utm_medium",
+    "utm_campaign",
+    "utm_adcontent",
+    "device_category",
+    "device_os",
+    "device_brand",
+    "device_screen_resolution",
+    "device_browser",
+    "geo_country",
+    "geo_city",
+]
+_HIDDEN = ", ".join(f"CASE WHEN {c} NOT IN ({quoted(C.PLACEHOLDERS)}) THEN {c} END AS {c}" for c in TEXTS)
+_CITIES = ", ".join(f"('{n}', {m}, {p}, {s}, CAST({c} AS DOUBLE))" for n, m, p, s, c in C.CITY_MARKETS)
+
+FEATURES = f"""
+clean_mart AS (SELECT * REPLACE ({_HIDDEN}) FROM mart),
+cities(city_key, c_metro, c_population, c_salary, c_cars) AS (VALUES {_CITIES}),
+enriched AS (
+  SELECT m.*,
+         coalesce(c_metro, {C.CITY_DEFAULT[0]}) AS has_metro,
+         coalesce(c_population, {C.CITY_DEFAULT[1]}) AS city_population,
+         coalesce(c_salary, {C.CITY_DEFAULT[2]}) AS city_avg_salary,
+         coalesce(c_cars, CAST({C.CITY_DEFAULT[3]} AS DOUBLE)) AS city_cars_per_family
+  FROM clean_mart m LEFT JOIN cities ON lower(trim(geo_city)) = city_key),
+features AS (
+  SELECT *,
+         TRY_CAST(split_part(device_screen_resolution, 'x', 1) AS DOUBLE)
+           * TRY_CAST(split_part(device_screen_resolution, 'x', 2) AS DOUBLE) AS screen_area,
+         CASE WHEN geo_country = '{C.HOME_COUNTRY}' THEN 'russia' WHEN geo_country IN ({quoted(C.CIS_COUNTRIES)}) THEN 'cis'
+              ELSE 'other_countries' END AS geo_zone,
+         CAST(device_category IN ({quoted(C.MOBILE_CATEGORIES)}) AS INT) AS is_mobile_device,
+         isodow(visit_date) - 1 AS day_of_week,
+         CAST(isodow(visit_date) >= 6 AS INT) AS is_weekend,
+         CAST(coalesce(CAST(split_part(visit_time, ':', 1) AS INT), 12) IN (23, 0, 1, 2, 3, 4, 5) AS INT) AS is_night,
+         CAST(NULL AS DOUBLE) AS session_duration_ms,
+         CASE WHEN total_hits_count > 0 THEN CAST(NULL AS DOUBLE) ELSE 0.0 END AS ms_per_hit,
+         coalesce(device_category, 'nan') || '_' || coalesce(device_brand, 'nan') AS dev_category_brand,
+         total_car_views / (city_cars_per_family + 1e-5) AS user_vs_city_car_interest
+  FROM enriched)"""
+
+BLOCKS["features"] = [*BLOCKS["mart"], FEATURES]
+
+NUMBERS = [
+    "visit_number",
+    "total_hits_count",
+    "total_events_count",
+    "unique_event_actions",
+    "unique_cars_viewed",
+    "total_car_views",
+    "car_view_ratio",
+    "screen_area",
+    "is_mobile_device",
+    "day_of_week",
+    "is_weekend",
+    "is_night",
+    "has_metro",
+    "city_population",
+    "city_avg_salary",
+    "city_cars_per_family",
+    "user_vs_city_car_interest",
+]
+CATEGORIES = [
+    "utm_source",
+    "utm_medium",
+    "utm_campaign",
+    "utm_adcontent",
+    "device_category",
+    "device_os",
+    "device_brand",
+    "device_screen_resolution",
+    "device_browser",
+    "geo_country",
+    "geo_city",
+    "geo_zone",
+    "dev_category_brand",
+]
+# columns the data makes useless: no times in the mart, so nothing to derive from them
+USELESS = ["session_duration_ms", "ms_per_hit"]
+
+
+def unpivoted(source: str, columns: list[str], kind: str = "VARCHAR") -> str:
+    """SELECT that turns columns into (column_name, value) rows, unknown values included."""
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS {kind}) AS value FROM {source}" for c in columns]
+    return "\n    UNION ALL ".join(parts)
+
+
+STUDIED = f"""
+long AS ({unpivoted("features", [*CATEGORIES, *NUMBERS, *USELESS])}),
+value_counts AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL),
+column_shares AS (
+  SELECT column_name, coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n) AS null_share, max(n) / sum(n) AS top_share
+  FROM value_counts GROUP BY column_name),
+tops AS (
+  SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place
+  FROM value_counts WHERE value IS NOT NULL AND column_name IN ({quoted(CATEGORIES)})),
+number_long AS ({unpivoted("features", NUMBERS, "DOUBLE")}),
+number_stats AS (
+  SELECT column_name, median(value) AS mid, avg(value) AS mean, stddev_samp(value) AS std,
+         quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+  FROM number_long GROUP BY column_name),
+brand_medians AS (
+  SELECT device_brand, median(screen_area) AS brand_median FROM features
+  WHERE device_brand IS NOT NULL AND screen_area IS NOT NULL GROUP BY device_brand)"""
+
+BLOCKS["studied"] = [*BLOCKS["features"], STUDIED]
+
+
+def _cleaned_category(c: str) -> str:
+    source = {
+        "device_brand": "coalesce(f.device_brand, 'Unknown')",
+        "device_os": """coalesce(f.device_os, CASE WHEN f.device_category = 'desktop' THEN 'Windows'
+             WHEN f.device_category IN ('mobile', 'tablet') AND lower(f.device_brand) = 'apple' THEN 'iOS'
+             WHEN f.device_category IN ('mobile', 'tablet') THEN 'Android' END)""",
+    }.get(c, f"f.{c}")
+    return (
+        f"CASE WHEN {source} IN (SELECT value FROM tops WHERE column_name = '{c}' AND place <= {C.TOP_CATEGORIES}) "
+        f"THEN {source} ELSE 'other_collapsed' END AS {c}"
+    )
+
+
+def _cleaned_number(c: str) -> str:
+    source = "coalesce(f.screen_area, b.brand_median, (SELECT median(screen_area) FROM features))" if c == "screen_area" else f"f.{c}"
+    return f"CAST(coalesce({source}, (SELECT mid FROM number_stats WHERE column_name = '{c}')) AS DOUBLE) AS {c}"
+
+
+PREPROCESSED = (
+    "SELECT f.session_id, f.event_value, "
+    + ", ".join([_cleaned_category(c) for c in CATEGORIES] + [_cleaned_number(c) for c in NUMBERS])
+    + " FROM features f LEFT JOIN brand_medians b USING (device_brand)"
+)
+
+# --- scored rows -----------------------------------------------------------------
+
+SCORED = """
+scored AS (
+  SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(event_type = 'purchase' AS INT) AS actual,
+         ((user_id * 37 + CAST(json_extract_string(props, '$.k') AS INT) * 13) % 100) / 100 AS probability
+  FROM events),
+judged AS (
+  SELECT *, CAST(probability >= 0.5 AS INT) AS predicted, greatest(probability, 1 - probability) AS confidence FROM scored)"""
+
+MART_SCORED = """
+scored AS (
+  SELECT *, ((CAST(client_id AS BIGINT) * 37 + visit_number * 13 + total_hits_count * 7) % 100) / 100 AS probability FROM mart),
+judged AS (
+  SELECT *, CAST(probability >= 0.5 AS INT) AS predicted, event_value AS actual,
+         CAST((probability >= 0.5) <> (event_value = 1) AS INT) AS is_error
+  FROM scored)"""
+
+LINES = """
+lines AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_extendedprice AS actual,
+         l_quantity * 1500 * (1 - l_discount) + l_tax * 1000 AS predicted
+  FROM lineitem),
+residuals AS (SELECT *, predicted - actual AS error, abs(predicted - actual) AS abs_error FROM lines)"""
+
+
+def report(cells: str, labels: str = "VARCHAR") -> str:
+    """CTEs of a class report over (actual, predicted, n) rows."""
+    return f"""
+classes AS (SELECT CAST(actual AS {labels}) AS class FROM {cells} UNION SELECT CAST(predicted AS {labels}) FROM {cells}),
+sums AS (
+  SELECT class,
+         (SELECT coalesce(sum(n), 0) FROM {cells} WHERE CAST(actual AS {labels}) = class) AS support,
+         (SELECT coalesce(sum(n), 0) FROM {cells} WHERE CAST(predicted AS {labels}) = class) AS named,
+         (SELECT coalesce(sum(n), 0) FROM {cells} WHERE CAST(predicted AS {labels}) = class AND actual = predicted) AS hits
+  FROM classes),
+per_class AS (
+  SELECT class, CASE WHEN named > 0 THEN hits / named ELSE 0 END AS "precision",
+         CASE WHEN support > 0 THEN hits / support ELSE 0 END AS recall,
+         CASE WHEN named + support > 0 THEN 2 * hits / (named + support) ELSE 0 END AS f1, support
+  FROM sums)"""

@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
+from clickloom.operators import eda
+from clickloom.operators import errors as R
 from clickloom.operators import mart as M
+from clickloom.operators import metrics as Q
+from clickloom.operators import sampling as S
+from clickloom.operators import tracking as K
+from clickloom.operators.cleaning import SessionCleaner
+from clickloom.operators.encoding import collapse_rare_categories, one_hot, ordinal_encode
+from clickloom.operators.features import SessionFeatures
+from clickloom.operators.filters import drop_sparse_by_count, drop_sparse_rows
+from clickloom.operators.splitting import client_labels, group_split, split_sizes
 from clickloom.plans import oracle as O
+from clickloom.session import stage
 from clickloom.sources import events as E
+from clickloom.sources.schemas import SESSIONS_SCHEMA, check_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +162,836 @@ def calendar_and_traffic(spark, sf_dir):
             "is_social_media",
         )
     )
+
+
+# --- filters, samples, splits --------------------------------------------------
+
+SPARSE_COLUMNS = [
+    "session_id",
+    "utm_source",
+    "utm_keyword",
+    "utm_adcontent",
+    "device_os",
+    "device_brand",
+    "device_model",
+    "device_screen_resolution",
+    "geo_city",
+]
+_KNOWN = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in SPARSE_COLUMNS)
+
+
+def sparse_frame(spark, sf_dir):
+    return E.raw_tables(spark, sf_dir)[1].select(*SPARSE_COLUMNS)
+
+
+@query(
+    "row_null_filter_count",
+    O.sql(O.BLOCKS["sessions"], f"SELECT {', '.join(SPARSE_COLUMNS)} FROM ga_sessions WHERE {_KNOWN} >= 4"),
+)
+def row_null_filter_count(spark, sf_dir):
+    return drop_sparse_by_count(sparse_frame(spark, sf_dir))
+
+
+@query(
+    "row_null_filter_share",
+    O.sql(O.BLOCKS["sessions"], f"SELECT {', '.join(SPARSE_COLUMNS)} FROM ga_sessions WHERE (9 - ({_KNOWN})) / 9 <= 0.5"),
+)
+def row_null_filter_share(spark, sf_dir):
+    return drop_sparse_rows(sparse_frame(spark, sf_dir))
+
+
+@query("client_sample")
+def client_sample(spark, sf_dir):
+    return text_dates(S.client_sample(mart_of(spark, sf_dir)))
+
+
+@query("group_split_counts")
+def group_split_counts(spark, sf_dir):
+    return split_sizes(group_split(drop_sparse_rows(mart_of(spark, sf_dir))))
+
+
+@query(
+    "group_split_labels",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT client_id, CAST(event_value AS VARCHAR) AS label FROM mart
+           QUALIFY row_number() OVER (PARTITION BY client_id
+                     ORDER BY visit_date DESC, visit_time DESC NULLS LAST, session_id DESC) = 1""",
+    ),
+)
+def group_split_labels(spark, sf_dir):
+    return client_labels(mart_of(spark, sf_dir), "client_id", "event_value")
+
+
+@query(
+    "split_leakage",
+    O.sql(O.BLOCKS["latest"], "SELECT client_id, 1 AS n_splits FROM latest GROUP BY client_id"),
+)
+def split_leakage(spark, sf_dir):
+    split = group_split(mart_of(spark, sf_dir))
+    return split.groupBy("client_id").agg(F.count_distinct("split").alias("n_splits"))
+
+
+def marked_events(spark, sf_dir):
+    events = E.read_events(spark, sf_dir)
+    return events.select("event_id", "user_id", X.is_target(F.col("event_type"), TARGETS).alias("target"))
+
+
+@query(
+    "balanced_counts",
+    """SELECT target, CASE WHEN target = 1 THEN n ELSE least(n, 3 * ones) END AS n
+       FROM (SELECT CAST(event_type = 'purchase' AS INT) AS target, count(*) AS n,
+                    (SELECT count(*) FROM events WHERE event_type = 'purchase') AS ones
+             FROM events GROUP BY 1)""",
+)
+def balanced_counts(spark, sf_dir):
+    chosen = S.balanced_set(marked_events(spark, sf_dir), "target", ["event_id"])
+    return chosen.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- profiles -------------------------------------------------------------------
+
+DIMENSIONS = [
+    "geo_city",
+    "geo_country",
+    "device_browser",
+    "device_category",
+    "device_brand",
+    "visit_hour",
+    "day_of_week",
+    "is_weekend",
+    "is_organic_medium",
+    "is_social_media",
+]
+PROFILED = ["utm_source", "utm_medium", "utm_campaign", "device_os", "device_brand", "device_model", "geo_city"]
+_DIMENSION_COLUMNS = f"""
+dims AS (
+  SELECT event_value, geo_city, geo_country, device_browser, device_category, device_brand,
+         CAST(substring(visit_time, 1, 2) AS INT) AS visit_hour, isodow(visit_date) - 1 AS day_of_week,
+         CAST(isodow(visit_date) >= 6 AS INT) AS is_weekend,
+         CAST(utm_medium IN ({O.quoted(C.ORGANIC_MEDIUMS)}) AS INT) AS is_organic_medium,
+         CAST(coalesce(utm_source IN ({O.quoted(C.SOCIAL_SOURCES)}), false) AS INT) AS is_social_media
+  FROM mart),
+long AS ({O.unpivoted("dims", DIMENSIONS).replace("SELECT '", "SELECT event_value, '")})"""
+
+
+def dimension_frame(spark, sf_dir):
+    return M.with_traffic_flags(M.with_calendar(mart_of(spark, sf_dir)))
+
+
+@query(
+    "null_profile",
+    O.sql(
+        O.BLOCKS["sessions"],
+        "SELECT column_name, avg(CAST(value IS NULL AS INT)) AS null_share FROM long GROUP BY column_name HAVING null_share > 0",
+        f"long AS ({O.unpivoted('ga_sessions', SESSIONS_SCHEMA.fieldNames())})",
+    ),
+)
+def null_profile(spark, sf_dir):
+    return eda.null_profile(E.raw_tables(spark, sf_dir)[1])
+
+
+_PROFILE_COUNTS = (
+    f"long AS ({O.unpivoted('ga_sessions', PROFILED)})",
+    "value_counts AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL)",
+)
+
+
+@query(
+    "top_values",
+    O.sql(
+        O.BLOCKS["sessions"],
+        """SELECT column_name, value, n, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place
+           FROM value_counts WHERE value IS NOT NULL QUALIFY place <= 5""",
+        *_PROFILE_COUNTS,
+    ),
+)
+def top_values_query(spark, sf_dir):
+    return eda.top_categories(E.raw_tables(spark, sf_dir)[1], PROFILED, 5)
+
+
+@query(
+    "top_shares",
+    O.sql(
+        O.BLOCKS["sessions"],
+        "SELECT column_name, max(n) / sum(n) AS top_share FROM value_counts GROUP BY column_name",
+        *_PROFILE_COUNTS,
+    ),
+)
+def top_shares(spark, sf_dir):
+    return eda.top_shares(E.raw_tables(spark, sf_dir)[1], PROFILED)
+
+
+@query(
+    "class_balance",
+    O.sql(
+        [*O.BLOCKS["hits"], O.MARKED],
+        """SELECT event_value, count(*) AS n, count(*) / sum(count(*)) OVER () AS share
+           FROM (SELECT session_id, max(CAST(is_target AS INT)) AS event_value FROM marked GROUP BY session_id)
+           GROUP BY event_value""",
+    ),
+)
+def class_balance(spark, sf_dir):
+    return eda.session_class_balance(E.raw_tables(spark, sf_dir)[0], TARGETS)
+
+
+@query(
+    "conversion_by_dim",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT column_name AS dimension, value, count(*) AS n, sum(event_value) AS n_converted,
+                  avg(event_value) AS conversion_rate
+           FROM long GROUP BY column_name, value""",
+        _DIMENSION_COLUMNS,
+    ),
+)
+def conversion_by_dim(spark, sf_dir):
+    return eda.conversion_by(dimension_frame(spark, sf_dir), DIMENSIONS, "event_value")
+
+
+@query(
+    "target_rate_by_value",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT column_name, value, count(*) AS n, sum(event_value) AS n_converted, avg(event_value) AS conversion_rate,
+                  row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS place
+           FROM long WHERE value IS NOT NULL GROUP BY column_name, value QUALIFY place <= 5""",
+        _DIMENSION_COLUMNS,
+    ),
+)
+def target_rate_by_value(spark, sf_dir):
+    return eda.target_rate_by_value(dimension_frame(spark, sf_dir), DIMENSIONS, "event_value", 5)
+
+
+@query(
+    "duplicates",
+    O.sql(O.BLOCKS["sessions"], "SELECT session_id, count(*) AS n FROM ga_sessions GROUP BY session_id HAVING n > 1"),
+)
+def duplicates(spark, sf_dir):
+    return eda.duplicates(E.raw_tables(spark, sf_dir)[1], ["session_id"])
+
+
+@query(
+    "frequent_visitors",
+    O.sql(
+        O.BLOCKS["sessions"],
+        """SELECT client_id, max(visit_number) AS visit_number, count(*) AS n FROM ga_sessions GROUP BY client_id
+           HAVING max(visit_number) > (SELECT quantile_cont(visit_number, 0.95) FROM ga_sessions)""",
+    ),
+)
+def frequent_visitors(spark, sf_dir):
+    return eda.frequent_visitors(E.raw_tables(spark, sf_dir)[1], "client_id", "visit_number", 0.95)
+
+
+_COLLAPSED = ["utm_campaign", "geo_city", "device_brand"]
+
+
+@query(
+    "collapse_rare",
+    O.sql(
+        O.BLOCKS["sessions"],
+        "SELECT session_id, "
+        + ", ".join(
+            f"CASE WHEN {c} IN (SELECT value FROM tops WHERE column_name = '{c}') THEN {c} ELSE 'other' END AS {c}"
+            for c in _COLLAPSED
+        )
+        + " FROM ga_sessions",
+        f"long AS ({O.unpivoted('ga_sessions', _COLLAPSED)})",
+        """tops AS (SELECT column_name, value FROM long WHERE value IS NOT NULL GROUP BY column_name, value
+             QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) <= 4)""",
+    ),
+)
+def collapse_rare(spark, sf_dir):
+    sessions = E.raw_tables(spark, sf_dir)[1].select("session_id", *_COLLAPSED)
+    return collapse_rare_categories(sessions, _COLLAPSED, 4)
+
+
+_COUNTERS = ["visit_number", *M.COUNTERS]
+
+
+@query(
+    "column_profile",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT p.*, t.value AS top_value, t.n AS top_n, round(mean_value, 6) AS mean_value, round(std_value, 6) AS std_value,
+                  min_value, max_value
+           FROM (SELECT column_name, sum(n) AS n_rows, coalesce(sum(n) FILTER (value IS NULL), 0) AS n_null, count(value) AS n_distinct
+                 FROM value_counts GROUP BY column_name) p
+           LEFT JOIN (SELECT * FROM value_counts WHERE value IS NOT NULL
+                      QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) = 1) t USING (column_name)
+           LEFT JOIN (SELECT column_name, avg(value) AS mean_value, stddev_samp(value) AS std_value, min(value) AS min_value,
+                             max(value) AS max_value FROM numbers GROUP BY column_name) USING (column_name)""",
+        f"long AS ({O.unpivoted('mart', [*PROFILED[:5], 'geo_city', *_COUNTERS])})",
+        "value_counts AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL)",
+        f"numbers AS ({O.unpivoted('mart', _COUNTERS, 'DOUBLE')})",
+    ),
+)
+def column_profile(spark, sf_dir):
+    mart = mart_of(spark, sf_dir).select(*PROFILED[:5], "geo_city", *_COUNTERS, "event_value")
+    profile = eda.column_profile(mart, "event_value")
+    return profile.withColumns({c: F.round(c, 6) for c in ("mean_value", "std_value")})
+
+
+_ASSOCIATED = ["device_category", "device_brand", "utm_medium", "geo_city", "visit_number", "total_hits_count"]
+_BINNED = ["visit_number", "total_hits_count"]
+_ASSOCIATION_BLOCK = f"""
+ends AS (
+  SELECT column_name, list_distinct(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS ends
+  FROM ({O.unpivoted("mart", _BINNED, "DOUBLE")}) GROUP BY column_name),
+binned AS (
+  SELECT event_value, device_category, device_brand, utm_medium, geo_city,
+         {", ".join(f"len(list_filter((SELECT ends FROM ends WHERE column_name = '{c}'), lambda e: e <= {c})) AS {c}" for c in _BINNED)}
+  FROM mart),
+long AS ({O.unpivoted("binned", _ASSOCIATED).replace("SELECT '", "SELECT event_value, '")}),
+cells AS (
+  SELECT column_name AS feature, value, sum(event_value) AS ones, sum(1 - event_value) AS zeros, count(*) AS n
+  FROM long GROUP BY column_name, value),
+sides AS (SELECT sum(event_value) AS n1, sum(1 - event_value) AS n0, count(*) AS total FROM mart)"""
+
+
+def associated(spark, sf_dir):
+    return eda.binned(stage(mart_of(spark, sf_dir), "mart"), _BINNED)
+
+
+@query(
+    "mutual_info",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT feature, round(greatest(sum(
+                    CASE WHEN ones > 0 THEN ones / total * ln(ones * total / (n * n1)) ELSE 0 END
+                  + CASE WHEN zeros > 0 THEN zeros / total * ln(zeros * total / (n * n0)) ELSE 0 END), 0), 6) AS mutual_info
+           FROM cells, sides GROUP BY feature""",
+        _ASSOCIATION_BLOCK,
+    ),
+)
+def mutual_info(spark, sf_dir):
+    found = eda.mutual_information(associated(spark, sf_dir), _ASSOCIATED, "event_value")
+    return found.withColumn("mutual_info", F.round("mutual_info", 6))
+
+
+@query(
+    "cramers_v",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT feature, round(sqrt(sum((ones - n * n1 / total) ** 2 / (n * n1 / total)
+                                        + (zeros - n * n0 / total) ** 2 / (n * n0 / total)) / max(total)), 6) AS cramers_v
+           FROM cells, sides GROUP BY feature""",
+        _ASSOCIATION_BLOCK,
+    ),
+)
+def cramers_v(spark, sf_dir):
+    found = eda.cramers_v(associated(spark, sf_dir), _ASSOCIATED, "event_value")
+    return found.withColumn("cramers_v", F.round("cramers_v", 6))
+
+
+@query(
+    "correlations",
+    O.sql(
+        O.BLOCKS["mart"],
+        "\nUNION ALL ".join(
+            f"SELECT '{a}' AS left_column, '{b}' AS right_column, round(corr({a}, {b}), 6) AS correlation FROM mart"
+            for i, a in enumerate(_COUNTERS)
+            for b in _COUNTERS[i + 1 :]
+        ),
+    ),
+)
+def correlations(spark, sf_dir):
+    found = eda.correlations(mart_of(spark, sf_dir), _COUNTERS)
+    return found.withColumn("correlation", F.round("correlation", 6))
+
+
+@query(
+    "correlation_ratio",
+    O.sql(
+        O.BLOCKS["mart"],
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS feature, round(sqrt(sum(n * (m - total_mean) ** 2) / max(spread)), 6) AS correlation_ratio
+                FROM (SELECT count(*) AS n, avg(total_hits_count) AS m FROM mart GROUP BY {c}),
+                     (SELECT avg(total_hits_count) AS total_mean, var_pop(total_hits_count) * count(*) AS spread FROM mart)"""
+            for c in ("device_category", "device_brand", "geo_city")
+        ),
+    ),
+)
+def correlation_ratio(spark, sf_dir):
+    found = eda.correlation_ratio(
+        mart_of(spark, sf_dir), ["device_category", "device_brand", "geo_city"], "total_hits_count"
+    )
+    return found.withColumn("correlation_ratio", F.round("correlation_ratio", 6))
+
+
+# --- features and cleaning ------------------------------------------------------
+
+
+def features_of(spark, sf_dir):
+    return SessionFeatures().transform(mart_of(spark, sf_dir))
+
+
+def staged_features(spark, sf_dir):
+    """Engineered features written once: learning from them takes several jobs."""
+    return stage(features_of(spark, sf_dir), "features")
+
+
+@query(
+    "engineered_features",
+    O.sql(
+        O.BLOCKS["features"],
+        """SELECT * REPLACE (CAST(visit_date AS VARCHAR) AS visit_date,
+                            round(user_vs_city_car_interest, 6) AS user_vs_city_car_interest) FROM features""",
+    ),
+)
+def engineered_features(spark, sf_dir):
+    made = features_of(spark, sf_dir)
+    return text_dates(made.withColumn("user_vs_city_car_interest", F.round("user_vs_city_car_interest", 6)))
+
+
+def learned(spark, sf_dir, **settings):
+    return SessionCleaner(passThrough=["session_id", "event_value"], **settings).fit(staged_features(spark, sf_dir))
+
+
+@query(
+    "preprocess_drop_cols",
+    O.sql(
+        O.BLOCKS["studied"],
+        f"""SELECT column_name, null_share, CASE WHEN top_share > 0.5 THEN top_share END AS top_share,
+                   CAST(null_share > {C.MAX_NULL_SHARE} OR top_share > {C.MAX_CONSTANT_SHARE} AS INT) AS dropped
+            FROM column_shares""",
+    ),
+)
+def preprocess_drop_cols(spark, sf_dir):
+    report = learned(spark, sf_dir).report(spark)
+    return report.filter("null_share IS NOT NULL").select("column_name", "null_share", "top_share", "dropped")
+
+
+@query(
+    "preprocess_fill_values",
+    O.sql(
+        O.BLOCKS["studied"],
+        """SELECT column_name, mid AS fill_number, CAST(NULL AS VARCHAR) AS fill_text FROM number_stats
+           UNION ALL SELECT column_name, NULL, value FROM tops WHERE place = 1""",
+    ),
+)
+def preprocess_fill_values(spark, sf_dir):
+    report = learned(spark, sf_dir).report(spark).filter("dropped = 0 AND null_share IS NOT NULL")
+    return report.select("column_name", "fill_number", "fill_text")
+
+
+@query("preprocess_brand_medians", O.sql(O.BLOCKS["studied"], "SELECT * FROM brand_medians"))
+def preprocess_brand_medians(spark, sf_dir):
+    return learned(spark, sf_dir).brand_report(spark)
+
+
+@query(
+    "preprocess_bounds",
+    O.sql(
+        O.BLOCKS["studied"],
+        """SELECT 'zscore' AS method, column_name, round(mean - 2 * std, 6) AS low, round(mean + 2 * std, 6) AS high
+           FROM number_stats WHERE std > 0
+           UNION ALL SELECT 'iqr', column_name, round(q1 - 1.5 * (q3 - q1), 6), round(q3 + 1.5 * (q3 - q1), 6)
+           FROM number_stats WHERE q3 > q1""",
+    ),
+)
+def preprocess_bounds(spark, sf_dir):
+    features = staged_features(spark, sf_dir)
+
+    def bounds(method: str, width: float) -> DataFrame:
+        cleaner = SessionCleaner(
+            passThrough=["session_id", "event_value"], outlierMethod=method, outlierThreshold=width
+        )
+        found = cleaner.fit(features).report(spark).filter("low IS NOT NULL")
+        return found.select(
+            F.lit(method).alias("method"), "column_name", F.round("low", 6).alias("low"), F.round("high", 6).alias("high")
+        )
+
+    return bounds("zscore", 2.0).unionByName(bounds("iqr", 1.5))
+
+
+@query("preprocessed", O.sql(O.BLOCKS["studied"], O.PREPROCESSED.replace(
+    "AS DOUBLE) AS user_vs_city_car_interest", "AS DOUBLE) AS interest_").replace("SELECT f.session_id", "SELECT * EXCLUDE (interest_), round(interest_, 6) AS user_vs_city_car_interest FROM (SELECT f.session_id") + ")"))
+def preprocessed(spark, sf_dir):
+    features = staged_features(spark, sf_dir)
+    cleaner = SessionCleaner(passThrough=["session_id", "event_value"]).fit(features)
+    cleaned = cleaner.transform(features)
+    return cleaned.withColumn("user_vs_city_car_interest", F.round("user_vs_city_car_interest", 6))
+
+
+_ENCODED = ["device_category", "utm_medium", "device_browser"]
+
+
+@query(
+    "ordinal_encode",
+    O.sql(
+        O.BLOCKS["sessions"],
+        "SELECT session_id, utm_campaign, "
+        + ", ".join(
+            f"coalesce((SELECT place FROM places WHERE column_name = '{c}' AND value = coalesce(s.{c}, 'nan')), -1) AS {c}"
+            for c in _ENCODED
+        )
+        + " FROM ga_sessions s",
+        f"long AS ({O.unpivoted('(SELECT * FROM ga_sessions WHERE device_category <> ' + chr(39) + 'tablet' + chr(39) + ')', _ENCODED)})",
+        """places AS (SELECT column_name, coalesce(value, 'nan') AS value,
+                             CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY coalesce(value, 'nan')) - 1 AS DOUBLE) AS place
+                      FROM (SELECT DISTINCT column_name, value FROM long))""",
+    ),
+)
+def ordinal_encode_query(spark, sf_dir):
+    """Tablets are kept out of the training rows, so that unseen values occur."""
+    sessions = E.raw_tables(spark, sf_dir)[1].select("session_id", "utm_campaign", *_ENCODED)
+    return ordinal_encode(sessions.filter("device_category <> 'tablet'"), sessions, _ENCODED)
+
+
+@query(
+    "one_hot",
+    O.sql(
+        O.BLOCKS["sessions"],
+        """SELECT session_id, utm_campaign, CAST(device_category = 'desktop' AS INT) AS desktop,
+                  CAST(device_category = 'mobile' AS INT) AS mobile FROM ga_sessions""",
+    ),
+)
+def one_hot_query(spark, sf_dir):
+    sessions = E.raw_tables(spark, sf_dir)[1].select("session_id", "utm_campaign", "device_category")
+    model = one_hot(sessions.filter("device_category <> 'tablet'"), ["device_category"])
+    slots = vector_to_array("device_category_hot")
+    return model.transform(sessions).select(
+        "session_id", "utm_campaign", slots[0].cast("int").alias("desktop"), slots[1].cast("int").alias("mobile")
+    )
+
+
+# --- metrics --------------------------------------------------------------------
+
+
+def scored_events(spark, sf_dir):
+    """Events with a score that SQL can repeat: whether it is a purchase, foretold by arithmetic."""
+    events = E.read_events(spark, sf_dir)
+    chance = ((F.col("user_id") * 37 + E.payload_key(events) * 13) % 100) / 100
+    judged = events.select(
+        "event_id",
+        F.to_date("ts").cast("string").alias("day"),
+        (F.col("event_type") == "purchase").cast("int").alias("actual"),
+        chance.alias("probability"),
+    )
+    return judged.withColumns(
+        {
+            "predicted": (F.col("probability") >= 0.5).cast("int"),
+            "confidence": F.greatest(F.col("probability"), 1 - F.col("probability")),
+        }
+    )
+
+
+_CELLS = "cells AS (SELECT actual, predicted, count(*) AS n FROM judged GROUP BY ALL)"
+
+
+@query("confusion", O.sql([O.SCORED, _CELLS], "SELECT * FROM cells"))
+def confusion_query(spark, sf_dir):
+    return Q.confusion(scored_events(spark, sf_dir))
+
+
+@query(
+    "class_report",
+    O.sql(
+        [O.SCORED, _CELLS, O.report("cells")],
+        """SELECT class, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+             SELECT * FROM per_class
+             UNION ALL SELECT 'macro avg', avg("precision"), avg(recall), avg(f1), sum(support) FROM per_class
+             UNION ALL SELECT 'weighted avg', sum("precision" * support) / sum(support), sum(recall * support) / sum(support),
+                              sum(f1 * support) / sum(support), sum(support) FROM per_class)""",
+    ),
+)
+def class_report_query(spark, sf_dir):
+    report = Q.class_report_full(scored_events(spark, sf_dir))
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query(
+    "classification_scores",
+    O.sql(
+        [O.SCORED, _CELLS, O.report("cells")],
+        """SELECT round(sum(recall * support) / sum(support), 4) AS accuracy, round(sum(f1 * support) / sum(support), 4) AS f1_weighted
+           FROM per_class""",
+    ),
+)
+def classification_scores(spark, sf_dir):
+    return Q.classification_scores(scored_events(spark, sf_dir))
+
+
+@query(
+    "auc_exact",
+    O.sql(
+        [O.SCORED],
+        """SELECT round(sum(CASE WHEN actual = 1 THEN place END - (ones + 1) / 2) / max(ones * (total - ones)) , 6) AS auc
+           FROM (SELECT actual, rank() OVER (ORDER BY probability) + (count(*) OVER (PARTITION BY probability) - 1) / 2 AS place,
+                        sum(actual) OVER () AS ones, count(*) OVER () AS total FROM judged)
+           WHERE actual = 1""",
+    ),
+)
+def auc_exact_query(spark, sf_dir):
+    return Q.auc_exact(scored_events(spark, sf_dir)).select(F.round("auc", 6).alias("auc"))
+
+
+_CLASSES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _class_score(i: int, k: str) -> str:
+    return f"((user_id * {7 + i} + {k} * {13 + 2 * i}) % 97) / 97"
+
+
+@query(
+    "auc_ovr",
+    O.sql(
+        [
+            "scored AS ("
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS class, CAST(event_type = '{c}' AS INT) AS hit, "
+                + _class_score(i, "CAST(json_extract_string(props, '$.k') AS INT)")
+                + " AS score FROM events"
+                for i, c in enumerate(_CLASSES)
+            )
+            + ")"
+        ],
+        """SELECT class, round((sum(place) FILTER (hit = 1) - max(ones) * (max(ones) + 1) / 2) / (max(ones) * (max(total) - max(ones))), 6) AS auc,
+                  sum(hit) AS support
+           FROM (SELECT class, hit, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score) - 1) / 2 AS place,
+                        sum(hit) OVER (PARTITION BY class) AS ones, count(*) OVER (PARTITION BY class) AS total FROM scored)
+           GROUP BY class""",
+    ),
+)
+def auc_ovr_query(spark, sf_dir):
+    events = E.read_events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    scored = events.select("event_type", *[F.expr(_class_score(i, "k")).alias(f"s{i}") for i in range(5)])
+    found = Q.auc_ovr(scored, "event_type", {c: f"s{i}" for i, c in enumerate(_CLASSES)})
+    return found.withColumn("auc", F.round("auc", 6))
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def priced_lines(spark, sf_dir):
+    """Order lines with a price foretold by arithmetic."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    guess = F.col("l_quantity") * 1500 * (1 - F.col("l_discount")) + F.col("l_tax") * 1000
+    named = lines.select(
+        *LINE_KEY,
+        "l_returnflag",
+        "l_linestatus",
+        F.col("l_extendedprice").alias("price"),
+        guess.alias("guess"),
+    )
+    return R.error_table(named, "price", "guess", "regression").drop("price", "guess")
+
+
+@query(
+    "regression_metrics",
+    O.sql(
+        [O.LINES],
+        """SELECT round(sqrt(avg(error * error)), 4) AS rmse, round(avg(abs_error), 4) AS mae,
+                  round(1 - avg(error * error) / var_pop(actual), 4) AS r2 FROM residuals""",
+    ),
+)
+def regression_metrics(spark, sf_dir):
+    return Q.regression_metrics(priced_lines(spark, sf_dir))
+
+
+# --- error analysis -------------------------------------------------------------
+
+
+def judged_mart(spark, sf_dir):
+    mart = mart_of(spark, sf_dir)
+    chance = (F.col("client_id").cast("bigint") * 37 + F.col("visit_number") * 13 + F.col("total_hits_count") * 7) % 100
+    scored = mart.withColumn("probability", chance / 100)
+    scored = scored.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
+    return R.error_table(scored, "event_value", "prediction").drop("prediction")
+
+
+_TREND_COLUMNS = ["utm_campaign", "device_brand", "geo_city"]
+_TOPS = (
+    f"long AS ({O.unpivoted('judged', _TREND_COLUMNS).replace('SELECT ' + chr(39), 'SELECT is_error, ' + chr(39))})",
+    """tops AS (SELECT column_name, value FROM long WHERE value IS NOT NULL GROUP BY column_name, value
+         QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) <= 6)""",
+)
+
+
+@query(
+    "error_trends",
+    O.sql(
+        [*O.BLOCKS["mart"], O.MART_SCORED],
+        """SELECT l.column_name, coalesce(t.value, '... OTHER ...') AS category, count(*) AS n, sum(is_error) AS n_errors,
+                  avg(is_error) AS error_share
+           FROM long l LEFT JOIN tops t USING (column_name, value) GROUP BY ALL""",
+        *_TOPS,
+    ),
+)
+def error_trends(spark, sf_dir):
+    errors = stage(judged_mart(spark, sf_dir).select("is_error", *_TREND_COLUMNS), "errors")
+    return R.error_by_category(errors, _TREND_COLUMNS, top_k=6)
+
+
+_BOX = ["l_returnflag", "l_linestatus"]
+
+
+@query(
+    "residual_box",
+    O.sql(
+        [O.LINES],
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, {c} AS category, count(*) AS n, round(min(error), 4) AS low, round(q[1], 4) AS q1,
+                       round(q[2], 4) AS median, round(q[3], 4) AS q3, round(max(error), 4) AS high,
+                       round(q[1] - 1.5 * (q[3] - q[1]), 4) AS low_fence, round(q[3] + 1.5 * (q[3] - q[1]), 4) AS high_fence
+                FROM (SELECT {c}, error, quantile_cont(error, [0.25, 0.5, 0.75]) OVER (PARTITION BY {c}) AS q FROM residuals)
+                GROUP BY {c}, q"""
+            for c in _BOX
+        ),
+    ),
+)
+def residual_box(spark, sf_dir):
+    boxes = R.residual_box(priced_lines(spark, sf_dir), _BOX)
+    rounded = ("low", "q1", "median", "q3", "high", "low_fence", "high_fence")
+    return boxes.withColumns({c: F.round(c, 4) for c in rounded})
+
+
+@query(
+    "worst_preds",
+    O.sql(
+        [*O.BLOCKS["mart"], O.MART_SCORED],
+        """(SELECT session_id, actual, predicted, probability, probability AS confidence_of_mistake, 'FP' AS prediction_type
+            FROM judged WHERE is_error = 1 AND actual = 0 ORDER BY probability DESC, session_id LIMIT 5)
+           UNION ALL
+           (SELECT session_id, actual, predicted, probability, 1 - probability, 'FN'
+            FROM judged WHERE is_error = 1 AND actual = 1 ORDER BY probability, session_id LIMIT 5)""",
+    ),
+)
+def worst_preds(spark, sf_dir):
+    return R.worst_cases(judged_mart(spark, sf_dir), ["session_id"]).select(
+        "session_id", "actual", "predicted", "probability", "confidence_of_mistake", "prediction_type"
+    )
+
+
+@query(
+    "first_errors",
+    O.sql(
+        [*O.BLOCKS["mart"], O.MART_SCORED],
+        "SELECT session_id, actual, predicted FROM judged WHERE is_error = 1 ORDER BY session_id LIMIT 10",
+    ),
+)
+def first_errors(spark, sf_dir):
+    return R.first_errors(judged_mart(spark, sf_dir), ["session_id"]).select("session_id", "actual", "predicted")
+
+
+@query(
+    "worst_residuals",
+    O.sql(
+        [O.LINES],
+        """SELECT l_orderkey, l_linenumber, round(actual, 4) AS actual, round(predicted, 4) AS predicted, round(error, 4) AS error
+           FROM residuals ORDER BY abs_error DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 10""",
+    ),
+)
+def worst_residuals(spark, sf_dir):
+    worst = R.worst_residuals(priced_lines(spark, sf_dir), LINE_KEY)
+    rounded = {c: F.round(c, 4) for c in ("actual", "predicted", "error")}
+    return worst.withColumns(rounded).select("l_orderkey", "l_linenumber", "actual", "predicted", "error")
+
+
+@query(
+    "worst_flagged",
+    O.sql(
+        [O.LINES],
+        """SELECT l_returnflag, count(*) AS n, sum(is_worst) AS n_worst FROM (
+             SELECT *, CAST(row_number() OVER (ORDER BY abs_error DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 10 AS INT) AS is_worst
+             FROM residuals) GROUP BY l_returnflag""",
+    ),
+)
+def worst_flagged(spark, sf_dir):
+    flagged = R.flag_worst(priced_lines(spark, sf_dir), LINE_KEY)
+    return flagged.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("is_worst").alias("n_worst"))
+
+
+_HISTOGRAM_SQL = """
+ends AS (SELECT min({v}) AS low, max({v}) AS high, (max({v}) - min({v})) / {bins} AS width FROM {rows}),
+placed AS (SELECT *, CAST(least(floor(({v} - low) / width), {bins} - 1) AS INT) AS bin FROM {rows}, ends)"""
+
+
+@query(
+    "prob_histogram",
+    O.sql(
+        [*O.BLOCKS["mart"], O.MART_SCORED],
+        """SELECT actual, bin, count(*) AS n, round(max(low) + bin * max(width), 6) AS bin_low, round(max(low) + (bin + 1) * max(width), 6) AS bin_high
+           FROM placed GROUP BY actual, bin""",
+        "wrong AS (SELECT * FROM judged WHERE is_error = 1)",
+        _HISTOGRAM_SQL.format(v="probability", rows="wrong", bins=20),
+    ),
+)
+def prob_histogram(spark, sf_dir):
+    bins = R.probability_histogram(judged_mart(spark, sf_dir))
+    return bins.withColumns({c: F.round(c, 6) for c in ("bin_low", "bin_high")})
+
+
+@query(
+    "residual_histogram",
+    O.sql(
+        [O.LINES],
+        """SELECT bin, count(*) AS n, round(max(low) + bin * max(width), 4) AS bin_low, round(max(low) + (bin + 1) * max(width), 4) AS bin_high
+           FROM placed GROUP BY bin""",
+        _HISTOGRAM_SQL.format(v="error", rows="residuals", bins=50),
+    ),
+)
+def residual_histogram(spark, sf_dir):
+    bins = R.histogram(priced_lines(spark, sf_dir), "error", 50)
+    return bins.withColumns({c: F.round(c, 4) for c in ("bin_low", "bin_high")})
+
+
+# --- monitoring and contracts -----------------------------------------------------
+
+_BUCKETS = ", ".join(
+    f"count(*) FILTER (confidence <= {b}) AS le_{str(b).replace('.', '_')}" for b in C.CONFIDENCE_BUCKETS
+)
+
+
+@query(
+    "prediction_monitor",
+    O.sql(
+        [O.SCORED],
+        f"""SELECT day, predicted, count(*) AS n, round(sum(confidence), 4) AS confidence_sum, {_BUCKETS}, count(confidence) AS le_inf
+            FROM judged GROUP BY day, predicted""",
+    ),
+)
+def prediction_monitor(spark, sf_dir):
+    monitor = K.prediction_monitor(scored_events(spark, sf_dir), "day", "predicted")
+    return monitor.withColumn("confidence_sum", F.round("confidence_sum", 4))
+
+
+_CONTRACT = {"session_id": "string", "client_id": "bigint", "visit_time": "int", "utm_source": "int", "geo_city": "string"}
+
+
+@query(
+    "schema_check",
+    O.sql(
+        O.BLOCKS["sessions"],
+        "\nUNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, '{t}' AS wanted_type, count(*) AS n_rows, count(*) - count({c}) AS n_null,
+                       count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {'VARCHAR' if t == 'string' else t}) IS NULL) AS n_broken
+                FROM ga_sessions"""
+            for c, t in _CONTRACT.items()
+        ),
+    ),
+)
+def schema_check(spark, sf_dir):
+    return check_schema(E.raw_tables(spark, sf_dir)[1], _CONTRACT)
+
+
+@query(
+    "form_and_verdict",
+    O.sql(
+        [O.SCORED],
+        """SELECT event_id, CASE WHEN probability > 0.5 THEN 'hot' ELSE 'low' END AS verdict,
+                  coalesce(TRY_CAST(json_extract_string(props, '$.k') AS INT), 0) AS form_number,
+                  coalesce(TRY_CAST(event_type AS INT), 0) AS form_text
+           FROM judged JOIN events USING (event_id)""",
+    ),
+)
+def form_and_verdict(spark, sf_dir):
+    events = E.read_events(spark, sf_dir)
+    chance = ((F.col("user_id") * 37 + E.payload_key(events) * 13) % 100) / 100
+    return events.select(
+        "event_id",
+        X.verdict(chance).alias("verdict"),
+        X.form_int(F.get_json_object("props", "$.k")).alias("form_number"),
+        X.form_int(F.col("event_type")).alias("form_text"),
+    )
