@@ -25,6 +25,7 @@ from clickloom.session import new_path
 INLINE_BRANDS = 10_000
 
 OTHER = "other_collapsed"
+QUARTILES = [0.25, 0.5, 0.75]
 
 
 class _CleanerParams(Params):
@@ -102,16 +103,17 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
 
         basics = self._basics(df, studied, numbers)
         counts = self._category_counts(df, texts)
-        shares = self._top_shares(df, numbers, texts, basics, counts)
+        details = self._details(df, numbers, basics)
         total = basics["rows"]
         null_share = {c: (total - basics[f"known:{c}"]) / total if total else 0.0 for c in studied}
+        shares = self._top_shares(df, numbers, texts, basics, counts, details)
         sparse = [c for c in studied if null_share[c] > self.value("maxNullShare")]
         constant = [c for c in studied if max(shares[c], null_share[c]) > self.value("maxConstantShare")]
         dropped = sorted(technical | set(sparse) | set(constant))
 
         kept_texts = [c for c in texts if c not in dropped]
         kept_numbers = [c for c in numbers if c not in dropped]
-        quantiles = self._quantiles(df, kept_numbers, basics)
+        quantiles = {c: self._quartiles(df, c, details) for c in kept_numbers}
         skip = set(self.value("skipImputation"))
         fills: dict[str, float | str] = {}
         for c in kept_numbers:
@@ -132,7 +134,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
             "top_categories": {c: [v for v, _ in counts.get(c, [])[:limit]] for c in kept_texts},
             "fills": fills,
             "bounds": self._bounds(kept_numbers, quantiles, basics),
-            **self._screen_medians(df, basics),
+            **self._screen_medians(df, basics, details),
         }
         model = SessionCleanerModel()
         self._copyValues(model)
@@ -161,7 +163,22 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
             found.setdefault(row["column_name"], []).append((row["value"], row["n"]))
         return found
 
-    def _top_shares(self, df, numbers, texts, basics, counts) -> dict[str, float]:
+    def _needs_quartiles(self) -> bool:
+        return self.value("numStrategy") == "median" or self.value("outlierMethod") == "iqr"
+
+    def _details(self, df: DataFrame, numbers: list[str], basics: dict) -> dict:
+        """Second pass: rows equal to the middle value, and quartiles where few distinct values allow it."""
+        wanted = {}
+        ends = F.array(*[F.lit(s) for s in QUARTILES])
+        for c in numbers:
+            if basics[f"middle:{c}"] is not None:
+                wanted[f"equal:{c}"] = F.count(F.when(F.col(c) == F.lit(basics[f"middle:{c}"]), 1))
+            small = basics[f"distinct:{c}"] <= IN_MEMORY_VALUES
+            if small and (self._needs_quartiles() or c == "screen_area"):
+                wanted[f"quartiles:{c}"] = F.percentile(F.col(c).cast("double"), ends)
+        return _lines(df, wanted)
+
+    def _top_shares(self, df, numbers, texts, basics, counts, details) -> dict[str, float]:
         """Share of the most frequent known value per column.
 
         A number that fills more than half of the known rows is their middle
@@ -170,28 +187,18 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         """
         total = basics["rows"] or 1
         shares = {c: (counts[c][0][1] / total if counts.get(c) else 0.0) for c in texts}
-        limit = self.value("maxConstantShare")
-        if limit >= 0.51:
-            middles = {c: basics[f"middle:{c}"] for c in numbers if basics[f"middle:{c}"] is not None}
-            equal = _lines(df, {c: F.count(F.when(F.col(c) == F.lit(m), 1)) for c, m in middles.items()})
-            return {**shares, **{c: equal.get(c, 0) / total for c in numbers}}
+        if self.value("maxConstantShare") >= 0.51:
+            return {**shares, **{c: details.get(f"equal:{c}", 0) / total for c in numbers}}
         best = top_values(value_counts(df, numbers), 1).collect() if numbers else []
         found = {r["column_name"]: r["n"] / total for r in best}
         return {**shares, **{c: found.get(c, 0.0) for c in numbers}}
 
-    def _quantiles(self, df, numbers, basics) -> dict[str, list]:
-        """Exact quartiles per number: together where few distinct values allow it, else one by one."""
-        shares = [0.25, 0.5, 0.75]
-        empty = [None] * 3
-        if self.value("numStrategy") != "median" and self.value("outlierMethod") != "iqr":
-            return {c: empty for c in numbers}
-        small = [c for c in numbers if basics[f"distinct:{c}"] <= IN_MEMORY_VALUES]
-        ends = F.array(*[F.lit(s) for s in shares])
-        found = _lines(df, {c: F.percentile(F.col(c).cast("double"), ends) for c in small})
-        for c in numbers:
-            if c not in small:
-                found[c] = exact_quantiles(df, [], c, shares).first()["quantiles"]
-        return {c: found[c] or empty for c in numbers}
+    def _quartiles(self, df: DataFrame, column: str, details: dict) -> list:
+        if not self._needs_quartiles():
+            return [None] * 3
+        if f"quartiles:{column}" in details:
+            return details[f"quartiles:{column}"] or [None] * 3
+        return exact_quantiles(df, [], column, QUARTILES).first()["quantiles"]
 
     def _bounds(self, numbers, quantiles, basics) -> dict[str, list[float]]:
         method, width = self.value("outlierMethod"), self.value("outlierThreshold")
@@ -207,21 +214,25 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
                     bounds[c] = [low - width * (high - low), high + width * (high - low)]
         return bounds
 
-    def _screen_medians(self, df: DataFrame, basics: dict) -> dict:
+    def _screen_medians(self, df: DataFrame, basics: dict, details: dict) -> dict:
         """Median screen area overall and per brand."""
         if "screen_area" not in df.columns:
             return {"screen_median": 0.0, "brand_medians": {}, "brand_table": None}
-        if "screen_area" in X.numeric_columns(df) and basics.get("distinct:screen_area", 0) <= IN_MEMORY_VALUES:
-            overall = df.agg(F.percentile("screen_area", 0.5)).first()[0]
+        small = "quartiles:screen_area" in details
+        if small:
+            overall = (details["quartiles:screen_area"] or [None] * 3)[1]
         else:
             row = exact_quantiles(df, [], "screen_area", [0.5]).first()
             overall = row["quantiles"][0] if row else None
         if "device_brand" not in df.columns:
             return {"screen_median": overall, "brand_medians": {}, "brand_table": None}
-        branded = df.filter("device_brand IS NOT NULL")
-        medians = exact_quantiles(branded, ["device_brand"], "screen_area", [0.5]).select(
-            "device_brand", F.col("quantiles")[0].alias("brand_median")
-        )
+        branded = df.filter("device_brand IS NOT NULL AND screen_area IS NOT NULL")
+        if small:  # a brand holds no more distinct areas than all rows do
+            medians = branded.groupBy("device_brand").agg(F.percentile("screen_area", 0.5).alias("brand_median"))
+        else:
+            medians = exact_quantiles(branded, ["device_brand"], "screen_area", [0.5]).select(
+                "device_brand", F.col("quantiles")[0].alias("brand_median")
+            )
         rows = medians.limit(INLINE_BRANDS + 1).collect()
         if len(rows) <= INLINE_BRANDS:
             inline = {r["device_brand"]: r["brand_median"] for r in rows}

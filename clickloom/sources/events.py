@@ -18,92 +18,67 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(number: Column, options: list[str | None], rest: str | None = None) -> Column:
-    """options[number], or ``rest`` beyond the list."""
-    chosen = F.when(F.lit(False), F.lit(None).cast("string"))
-    for i, option in enumerate(options):
-        chosen = chosen.when(number == i, F.lit(option).cast("string"))
-    return chosen.otherwise(F.lit(rest).cast("string"))
-
-
-def session_key(events: DataFrame) -> Column:
-    return F.concat_ws("_", F.col("user_id").cast("string"), F.to_date("ts").cast("string"))
-
-
 def payload_key(events: DataFrame) -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
+# Hits: times count from midnight, the start of the session.
+_SECOND_OF_DAY = "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
+_MS_OF_DAY = f"({_SECOND_OF_DAY}) * 1000L + CAST(floor(extract(SECOND FROM ts) * 1000) % 1000 AS BIGINT)"
+_SESSION_ID = "concat_ws('_', CAST(user_id AS STRING), CAST(to_date(ts) AS STRING))"
+_PAGE = """
+  CASE WHEN event_type IN ('view', 'click', 'purchase')
+       THEN concat('/cars/all/b', k % 7, '/c', k,
+                   CASE WHEN k % 2 = 0 THEN concat('?utm_source_initial=s', k % 5, '&utm_medium_initial=cpc') ELSE '' END)
+       WHEN event_type <> 'error' THEN '/home?x=1' END"""
+
+
 def as_hits(events: DataFrame) -> DataFrame:
-    """One hit per event. Times count from midnight, the start of the session."""
-    k, action = payload_key(events), F.col("event_type")
-    second = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
-    milli = F.floor(F.expr("extract(SECOND FROM ts)") * 1000) % 1000
-    in_day = second.cast("bigint") * 1000 + milli.cast("bigint")
-    query = F.when(
-        k % 2 == 0,
-        F.concat(F.lit("?utm_source_initial=s"), (k % 5).cast("string"), F.lit("&utm_medium_initial=cpc")),
-    ).otherwise("")
-    car_page = F.concat(
-        F.lit("/cars/all/b"), (k % 7).cast("string"), F.lit("/c"), k.cast("string"), query
-    )
-    page = F.when(action.isin("view", "click", "purchase"), car_page).when(
-        action != "error", F.lit("/home?x=1")
-    )
-    return events.select(
-        session_key(events).alias("session_id"),
-        F.to_date("ts").alias("hit_date"),
-        F.when(k % 11 != 0, in_day).alias("hit_time"),
-        second.cast("int").alias("hit_number"),
-        F.when(action == "view", "pageview").otherwise("event").alias("hit_type"),
-        F.lit(None).cast("string").alias("hit_referer"),
-        page.alias("hit_page_path"),
-        F.concat(F.lit("cat_"), action).alias("event_category"),
-        action.alias("event_action"),
-        F.lit(None).cast("string").alias("event_label"),
-        F.col("value").alias("event_value"),
+    """One hit per event."""
+    return events.withColumn("k", payload_key(events)).selectExpr(
+        f"{_SESSION_ID} AS session_id",
+        "to_date(ts) AS hit_date",
+        f"CASE WHEN k % 11 <> 0 THEN {_MS_OF_DAY} END AS hit_time",
+        f"CAST({_SECOND_OF_DAY} AS INT) AS hit_number",
+        "CASE WHEN event_type = 'view' THEN 'pageview' ELSE 'event' END AS hit_type",
+        "CAST(NULL AS STRING) AS hit_referer",
+        f"{_PAGE} AS hit_page_path",
+        "concat('cat_', event_type) AS event_category",
+        "event_type AS event_action",
+        "CAST(NULL AS STRING) AS event_label",
+        "value AS event_value",
     )
 
 
 def as_sessions(events: DataFrame) -> DataFrame:
     """One row per user and day, plus a conflicting copy for every tenth user."""
-    u = F.col("u")
-    days = events.groupBy(F.col("user_id").alias("u"), F.to_date("ts").alias("visit_date")).agg(
-        F.min("ts").alias("t0")
-    )
-    copies = F.when(u % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = days.withColumn("dup", F.explode(copies))
-    first_time = F.substring(F.col("t0").cast("string"), 12, 8)
-    visit_time = F.when(F.col("dup") == 0, first_time).when(u % 20 != 0, F.lit("00:00:00"))
-    return rows.select(
-        F.concat_ws("_", u.cast("string"), F.col("visit_date").cast("string")).alias("session_id"),
-        u.cast("string").alias("client_id"),
+    days = events.groupBy(F.col("user_id").alias("u"), F.to_date("ts").alias("visit_date")).agg(F.min("ts").alias("t0"))
+    copied = days.selectExpr("*", "explode(CASE WHEN u % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS dup")
+    return copied.selectExpr(
+        "concat_ws('_', CAST(u AS STRING), CAST(visit_date AS STRING)) AS session_id",
+        "CAST(u AS STRING) AS client_id",
         "visit_date",
-        visit_time.alias("visit_time"),
-        (F.datediff("visit_date", F.lit("2024-01-01").cast("date")) + 1).alias("visit_number"),
-        F.when(u % 9 != 0, F.concat(F.lit("src"), (u % 9).cast("string"))).alias("utm_source"),
-        _pick(u % 6, ["organic", "referral", "(none)", "cpc", "cpm"], "(not set)").alias("utm_medium"),
-        F.when(F.col("dup") == 1, "dup")
-        .otherwise(F.concat(F.lit("camp"), (u % 30).cast("string")))
-        .alias("utm_campaign"),
-        F.when(u % 5 >= 3, F.concat(F.lit("kw"), (u % 4).cast("string"))).alias("utm_keyword"),
-        F.when(u % 5 != 0, F.concat(F.lit("ad"), (u % 3).cast("string"))).alias("utm_adcontent"),
-        F.when(u % 10 < 6, "mobile").when(u % 10 < 9, "desktop").otherwise("tablet").alias("device_category"),
-        F.when((u % 7 >= 4) & (u % 10).between(6, 8), "Windows")
-        .when(u % 7 >= 4, "Android")
-        .alias("device_os"),
-        _pick(u % 8, ["Apple", "Samsung", "Xiaomi", "Huawei", "(not set)", None], "Apple").alias("device_brand"),
-        F.when(u % 100 == 0, "m1").alias("device_model"),
-        _pick(u % 6, ["1920x1080", "414x896", "360x720", "(not set)", None], "0x0").alias(
-            "device_screen_resolution"
-        ),
-        _pick(u % 4, ["Chrome", "Safari", "YaBrowser"], "(Other)").alias("device_browser"),
-        _pick(u % 20, ["Belarus", "Kazakhstan", "Germany", "(not set)"], "Russia").alias("geo_country"),
-        _pick(
-            u % 9,
-            ["Moscow", "Saint Petersburg", " KAZAN ", "Dublin", "(not set)", None, "Smallville", "Sochi"],
-            "Yekaterinburg",
-        ).alias("geo_city"),
+        """CASE WHEN dup = 0 THEN substring(CAST(t0 AS STRING), 12, 8) WHEN u % 20 <> 0 THEN '00:00:00' END AS visit_time""",
+        "datediff(visit_date, DATE'2024-01-01') + 1 AS visit_number",
+        "CASE WHEN u % 9 <> 0 THEN concat('src', u % 9) END AS utm_source",
+        """CASE u % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'referral' WHEN 2 THEN '(none)' WHEN 3 THEN 'cpc'
+           WHEN 4 THEN 'cpm' ELSE '(not set)' END AS utm_medium""",
+        "CASE WHEN dup = 1 THEN 'dup' ELSE concat('camp', u % 30) END AS utm_campaign",
+        "CASE WHEN u % 5 >= 3 THEN concat('kw', u % 4) END AS utm_keyword",
+        "CASE WHEN u % 5 <> 0 THEN concat('ad', u % 3) END AS utm_adcontent",
+        "CASE WHEN u % 10 < 6 THEN 'mobile' WHEN u % 10 < 9 THEN 'desktop' ELSE 'tablet' END AS device_category",
+        """CASE WHEN u % 7 >= 4 AND u % 10 BETWEEN 6 AND 8 THEN 'Windows' WHEN u % 7 >= 4 THEN 'Android' END AS device_os""",
+        """CASE u % 8 WHEN 0 THEN 'Apple' WHEN 1 THEN 'Samsung' WHEN 2 THEN 'Xiaomi' WHEN 3 THEN 'Huawei'
+           WHEN 4 THEN '(not set)' WHEN 5 THEN NULL ELSE 'Apple' END AS device_brand""",
+        "CASE WHEN u % 100 = 0 THEN 'm1' END AS device_model",
+        """CASE u % 6 WHEN 0 THEN '1920x1080' WHEN 1 THEN '414x896' WHEN 2 THEN '360x720' WHEN 3 THEN '(not set)'
+           WHEN 4 THEN NULL ELSE '0x0' END AS device_screen_resolution""",
+        "CASE u % 4 WHEN 0 THEN 'Chrome' WHEN 1 THEN 'Safari' WHEN 2 THEN 'YaBrowser' ELSE '(Other)' END AS device_browser",
+        """CASE u % 20 WHEN 0 THEN 'Belarus' WHEN 1 THEN 'Kazakhstan' WHEN 2 THEN 'Germany' WHEN 3 THEN '(not set)'
+           ELSE 'Russia' END AS geo_country""",
+        """CASE u % 9 WHEN 0 THEN 'Moscow' WHEN 1 THEN 'Saint Petersburg' WHEN 2 THEN ' KAZAN ' WHEN 3 THEN 'Dublin'
+           WHEN 4 THEN '(not set)' WHEN 5 THEN NULL WHEN 6 THEN 'Smallville' WHEN 7 THEN 'Sochi'
+           ELSE 'Yekaterinburg' END AS geo_city""",
     )
 
 
