@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
-from clickloom.operators import eda
+from clickloom.operators import eda, explain, models, tuning
 from clickloom.operators import errors as R
 from clickloom.operators import mart as M
 from clickloom.operators import metrics as Q
@@ -22,9 +22,11 @@ from clickloom.operators.features import SessionFeatures
 from clickloom.operators.filters import drop_sparse_by_count, drop_sparse_rows
 from clickloom.operators.splitting import client_labels, group_split, split_sizes
 from clickloom.plans import oracle as O
-from clickloom.session import stage
+from clickloom.plans import training as T
+from clickloom.session import new_path, stage
 from clickloom.sources import events as E
 from clickloom.sources.schemas import SESSIONS_SCHEMA, check_schema
+from clickloom.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -995,3 +997,183 @@ def form_and_verdict(spark, sf_dir):
         X.form_int(F.get_json_object("props", "$.k")).alias("form_number"),
         X.form_int(F.col("event_type")).alias("form_text"),
     )
+
+
+# --- models ---------------------------------------------------------------------
+
+_KEYS = ["session_id", "client_id"]
+_SMALL_TREES = {"maxIter": 8, "maxDepth": 4, "seed": C.SEED}
+
+
+def training_frames(spark, sf_dir):
+    return T.prepare(mart_of(spark, sf_dir), T.Spec())
+
+
+def fitted(spark, sf_dir, **settings):
+    """A model trained on the train split, and the three splits."""
+    spec = T.Spec(**settings)
+    train, val, test = training_frames(spark, sf_dir)
+    return T.fit_pipeline(train, val, spec), (train, val, test), spec
+
+
+def rounded_scores(scored: DataFrame) -> DataFrame:
+    return scored.withColumns({c: F.round(c, 6) for c in ("probability", "confidence")})
+
+
+@query("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    """Boosted trees with class weight and early stopping, scored on the test split."""
+    model, (_, _, test), _ = fitted(spark, sf_dir, model_params=_SMALL_TREES, positive_weight=2.0)
+    return rounded_scores(models.score(model, test, _KEYS))
+
+
+@query("forest_importance")
+def forest_importance(spark, sf_dir):
+    settings = {"numTrees": 10, "maxDepth": 5, "seed": C.SEED}
+    model, (train, _, _), _ = fitted(spark, sf_dir, model="random_forest", model_params=settings)
+    return models.importance_table(model, train)
+
+
+@query("network_scores")
+def network_scores(spark, sf_dir):
+    settings = {"maxIter": 15, "seed": C.SEED}
+    model, (_, _, test), _ = fitted(spark, sf_dir, model="network", model_params=settings)
+    return rounded_scores(models.score(model, test, _KEYS))
+
+
+@query("model_metrics")
+def model_metrics(spark, sf_dir):
+    """Validation metrics of a linear model, as a table."""
+    model, (_, val, _), spec = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 15})
+    scored = models.score(model, val)
+    errors = R.error_table(scored, spec.label, "prediction")
+    one = Q.classification_scores(errors, "actual", "predicted").withColumn("one", F.lit(1))
+    area = Q.auc_exact(errors, "actual", "probability").withColumn("one", F.lit(1))
+    return one.join(F.broadcast(area), "one").drop("one")  # one row on each side
+
+
+@query("price_regression")
+def price_regression(spark, sf_dir):
+    """Regression task: order line prices by boosted trees."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    numbers = ["l_quantity", "l_discount", "l_tax"]
+    train = lines.select(*LINE_KEY, *numbers, "l_returnflag", "l_extendedprice")
+    params = {"maxIter": 5, "maxDepth": 4, "seed": C.SEED}
+    model = models.fit_model(
+        train, numbers, ["l_returnflag"], "boosted_trees", "regression", "l_extendedprice", **params
+    )
+    return Q.regression_metrics(models.score(model, train), "l_extendedprice", "prediction")
+
+
+@query("event_class_auc")
+def event_class_auc(spark, sf_dir):
+    """Multiclass task: the kind of an event by a forest, one area per class."""
+    events = E.read_events(spark, sf_dir).withColumn("k", E.payload_key(E.read_events(spark, sf_dir)))
+    place = F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), F.col("event_type")) - 1
+    rows = events.select("event_id", F.hour("ts").alias("hour"), "value", "k", place.cast("int").alias("kind"))
+    params = {"numTrees": 5, "maxDepth": 4, "seed": C.SEED}
+    model = models.fit_model(rows, ["hour", "value", "k"], [], "random_forest", "multiclass", "kind", **params)
+    scored = models.class_probabilities(model, rows, 5)
+    return Q.auc_ovr(scored, "kind", {i: f"p{i}" for i in range(5)}).withColumn("auc", F.round("auc", 6))
+
+
+def linear_parts(spark, sf_dir):
+    model, (_, val, _), spec = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 15})
+    parts, names = explain.contributions(model, val, _KEYS)
+    return model, val, parts, names, spec
+
+
+@query("logreg_contributions")
+def logreg_contributions(spark, sf_dir):
+    _, _, parts, names, _ = linear_parts(spark, sf_dir)
+    return explain.mean_contributions(parts, names)
+
+
+@query("worst_fp_contributions")
+def worst_fp_contributions(spark, sf_dir):
+    model, val, parts, names, spec = linear_parts(spark, sf_dir)
+    errors = R.error_table(models.score(model, val), spec.label, "prediction")
+    return explain.explain_worst_false_positives(errors, parts, names, _KEYS)
+
+
+@query("contribution_dependence")
+def contribution_dependence(spark, sf_dir):
+    _, _, parts, names, _ = linear_parts(spark, sf_dir)
+    top = explain.mean_contributions(parts, names).first()["feature"]
+    return explain.dependence(parts, names, top)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    settings = {"numTrees": 5, "maxDepth": 4, "seed": C.SEED}
+    model, (_, val, _), spec = fitted(spark, sf_dir, model="random_forest", model_params=settings)
+    columns = ["total_hits_count", "unique_event_actions", "total_car_views", "utm_medium", "device_category"]
+    return explain.permutation_importance(model, val, columns, spec.label, _KEYS)
+
+
+@query("tune_random")
+def tune_random(spark, sf_dir):
+    """Random search over tree depth and step size."""
+    train, val, _ = training_frames(spark, sf_dir)
+    space = {
+        "maxDepth": {"type": "int", "bounds": [2, 4]},
+        "stepSize": {"type": "float", "bounds": [0.05, 0.3], "log": True},
+        "positive_weight": {"type": "float", "bounds": [1.0, 4.0]},
+    }
+    spec = T.Spec(model_params={"maxIter": 4, "seed": C.SEED})
+    _, history = T.tune_job(train, val, spec, space, trials=3)
+    return tuning.trials_table(spark, history)
+
+
+# --- streams --------------------------------------------------------------------
+
+
+def event_stream(spark, sf_dir):
+    schema = E.read_events(spark, sf_dir).schema
+    return sinks.read_files(spark, sf_dir, schema, "events.parquet")
+
+
+def timed_hits(events: DataFrame) -> DataFrame:
+    """Hits of a stream with their event time and client."""
+    return E.as_hits(events, "CAST(ts AS TIMESTAMP) AS ts", "CAST(user_id AS STRING) AS client_id")
+
+
+@query("stream_dedup", "SELECT count(*) AS n, count(DISTINCT event_id) AS n_distinct FROM events")
+def stream_dedup(spark, sf_dir):
+    """Every event sent twice; the stream keeps one of each."""
+    events = event_stream(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    twice = events.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    kept = sinks.run_available(jobs.deduplicated(twice, ["event_id"], delay="40 days"), "dedup")
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_distinct"))
+
+
+@query("stream_sessions")
+def stream_sessions(spark, sf_dir):
+    """Counters of all activity sessions that closed before the watermark."""
+    hits = timed_hits(event_stream(spark, sf_dir))
+    return text_dates(sinks.run_available(jobs.session_counters(hits, TARGETS), "sessions"))
+
+
+@query("stream_monitor")
+def stream_monitor(spark, sf_dir):
+    """Scores by class and confidence per minute, for all closed minutes."""
+    events = event_stream(spark, sf_dir)
+    chance = ((F.col("user_id") * 37 + E.payload_key(events) * 13) % 100) / 100
+    scored = events.select(
+        F.col("ts").cast("timestamp").alias("ts"),
+        (chance >= 0.5).cast("int").alias("prediction"),
+        F.greatest(chance, 1 - chance).alias("confidence"),
+    )
+    return text_dates(sinks.run_available(jobs.prediction_windows(scored), "monitor"))
+
+
+@query("stream_scores")
+def stream_scores(spark, sf_dir):
+    """Sessions arriving as files, scored by a saved pipeline."""
+    model, (_, _, test), _ = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 10})
+    root = new_path(spark, "stream-scores")
+    models.save_model(model, root, "1")
+    test.write.parquet(f"{root}/incoming")
+    incoming = sinks.read_files(spark, f"{root}/incoming", test.schema)
+    scored = jobs.score_new_files(incoming, models.load_model(root, "1"), _KEYS, f"{root}/scores")
+    return rounded_scores(scored)

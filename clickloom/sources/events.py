@@ -33,8 +33,8 @@ _PAGE = """
        WHEN event_type <> 'error' THEN '/home?x=1' END"""
 
 
-def as_hits(events: DataFrame) -> DataFrame:
-    """One hit per event."""
+def as_hits(events: DataFrame, *more: str) -> DataFrame:
+    """One hit per event; ``more`` adds SQL expressions over the event."""
     return events.withColumn("k", payload_key(events)).selectExpr(
         f"{_SESSION_ID} AS session_id",
         "to_date(ts) AS hit_date",
@@ -47,6 +47,7 @@ def as_hits(events: DataFrame) -> DataFrame:
         "event_type AS event_action",
         "CAST(NULL AS STRING) AS event_label",
         "value AS event_value",
+        *more,
     )
 
 
