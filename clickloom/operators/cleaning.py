@@ -145,10 +145,14 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         wanted = {"rows": F.count(F.lit(1))}
         for c in studied:
             wanted[f"known:{c}"] = F.count(F.col(c))
+        spread = self.value("outlierMethod") == "zscore"
+        means = spread or self.value("numStrategy") == "mean"
         for c in numbers:
             number = F.col(c).cast("double")
-            wanted[f"mean:{c}"] = F.avg(number)
-            wanted[f"std:{c}"] = F.stddev_samp(number)
+            if means:
+                wanted[f"mean:{c}"] = F.avg(number)
+            if spread:
+                wanted[f"std:{c}"] = F.stddev_samp(number)
             wanted[f"middle:{c}"] = F.percentile_approx(c, 0.5)
             wanted[f"distinct:{c}"] = F.approx_count_distinct(c)
         return _lines(df, wanted)

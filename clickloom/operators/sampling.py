@@ -59,5 +59,6 @@ def balanced_set(
     place = X.hash_share(*keys, seed=seed)
     # the quantile halfway between the last wanted place and the next one
     share = (wanted - 0.5) / (sizes["zeros"] - 1)
-    cut = exact_quantiles(zeros.select(place.alias("place")), [], "place", [share]).first()["quantiles"][0]
+    places = zeros.select(place.alias("place"))
+    cut = exact_quantiles(places, [], "place", [share], distinct=sizes["zeros"]).first()["quantiles"][0]
     return ones.unionByName(zeros.filter(place < cut))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom.functions import columns as X
 from clickloom.functions.quantiles import exact_quantiles
+from clickloom.session import stage
 
 log = logging.getLogger(__name__)
 
@@ -26,15 +27,17 @@ def client_labels(df: DataFrame, client: str, target: str | None) -> DataFrame:
     return df.groupBy(client).agg(F.coalesce(last, F.lit("")).alias("label"))
 
 
-def _cut(strata: DataFrame, share: float, place: str) -> Column | None:
-    """Per stratum the place below which a share of its clients lies, as one expression."""
-    if share <= 0:
-        return None
-    found = exact_quantiles(strata, ["label"], place, [share]).collect()  # one row per class
-    cut = F.lit(None).cast("double")
-    for row in found:
-        cut = F.when(F.col("label") == row["label"], F.lit(row["quantiles"][0])).otherwise(cut)
-    return cut
+def _cuts(clients: DataFrame, shares: list[float], largest: int) -> list[Column]:
+    """Per wanted share one expression: the place of a class's clients below which the share lies."""
+    found = exact_quantiles(clients, ["label"], "place", shares, distinct=largest).collect()  # one row per class
+    cuts = []
+    for i, share in enumerate(shares):
+        cut = F.lit(None).cast("double")
+        for row in found:
+            place = row["quantiles"][i] if share > 0 else -1.0
+            cut = F.when(F.col("label") == row["label"], F.lit(place)).otherwise(cut)
+        cuts.append(cut)
+    return cuts
 
 
 def group_split(
@@ -57,22 +60,20 @@ def group_split(
         raise ValueError(f"grouping column {client} is missing")
     stratified = target if target and target in df.columns else None
     known = df.filter(F.col(client).isNotNull())
-    clients = client_labels(known, client, stratified)
-    clients = clients.withColumn("place", X.hash_share(client, seed=seed))
-    if stratified:
-        sizes = clients.groupBy("label").count().orderBy("count").limit(1).collect()
-        if sizes and sizes[0]["count"] < 2:
-            log.warning("a class has fewer than 2 clients: splitting without strata")
-            clients = clients.withColumn("label", F.lit(""))
-    test_cut = _cut(clients, test_size, "place")
-    in_test = F.col("place") <= test_cut if test_cut is not None else F.lit(False)
-    marked = clients.withColumn("in_test", in_test)
-    # the validation share counts from what the test set leaves
-    rest = marked.filter(~F.col("in_test"))
-    val_cut = _cut(rest, val_size / (1.0 - test_size), "place")
-    in_val = F.col("place") <= val_cut if val_cut is not None else F.lit(False)
-    split = F.when(F.col("in_test"), "test").when(in_val, "val").otherwise("train")
-    return known.join(marked.select(client, split.alias("split")), client)
+    clients = client_labels(known, client, stratified).withColumn("place", X.hash_share(client, seed=seed))
+    # one row per client, written once: the cuts and the final join both read it
+    clients = stage(clients, "clients")
+    sizes = clients.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.min("n"), F.sum("n"), F.count("n")).first()
+    if sizes[2] > 1 and sizes[0] < 2:
+        log.warning("a class has fewer than 2 clients: splitting without strata")
+        clients = clients.withColumn("label", F.lit(""))
+    # the validation clients follow the test clients in the same order
+    val_end = test_size + val_size if val_size > 0 else 0.0
+    test_cut, val_cut = _cuts(clients, [test_size, val_end], sizes[1] or 0)
+    split = (
+        F.when(F.col("place") <= test_cut, "test").when(F.col("place") <= val_cut, "val").otherwise("train")
+    )
+    return known.join(clients.select(client, split.alias("split")), client)
 
 
 def three_frames(split: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -43,7 +43,8 @@ class Spec:
 def prepare(mart: DataFrame, spec: Spec, seed: int = C.SEED, **sizes: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drop sparse rows, split by client and write the result once: fitting reads it many times."""
     stratum = None if spec.task == "regression" else spec.label
-    split = group_split(drop_sparse_rows(mart), target=stratum, seed=seed, **sizes)
+    rows = stage(drop_sparse_rows(mart), "mart")
+    split = group_split(rows, target=stratum, seed=seed, **sizes)
     return three_frames(stage(split, "split"))
 
 
