@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickloom.session import stage
+
 # A group with at most this many distinct values fits the built-in aggregate,
 # which keeps one counter per distinct value in memory.
 IN_MEMORY_VALUES = 100_000
@@ -79,8 +81,9 @@ def bracketed_quantiles(
         ]
     )
     ranges = ranges.select(*group, "n", brackets.alias("brackets"))
-    if not keys:
-        ranges = F.broadcast(ranges)  # a single row
+    # written once: small ones are broadcast, and beyond that adaptive execution
+    # can split a huge group, which it only does for sides that come from a scan
+    ranges = stage(ranges, "ranges") if keys else F.broadcast(ranges)  # without keys a single row
     cells = (
         keyed.join(ranges, group)
         .select(*group, "v", "n", F.inline("brackets"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
+from clickloom.session import stage
 
 SESSION_COLUMNS = [
     "session_id",
@@ -111,9 +112,16 @@ def dirty_mart(
 
 
 def hits_with_client(hits: DataFrame, sessions: DataFrame, deduplicate: bool = False) -> DataFrame:
-    """Every hit with its client. Conflicting session rows repeat a hit, as a join does."""
-    owners = latest_sessions(sessions) if deduplicate else sessions
-    return hits.join(owners.select("session_id", "client_id"), "session_id")
+    """Every hit with its client. Conflicting session rows repeat a hit, as a join does.
+
+    Adaptive execution splits the hits of a huge session over many tasks. It
+    does so only where both sides come straight from a scan, so deduplicated
+    sessions are written first.
+    """
+    owners = sessions.select("session_id", "client_id")
+    if deduplicate:
+        owners = stage(latest_sessions(sessions).select("session_id", "client_id"), "owners")
+    return hits.join(owners, "session_id")
 
 
 def parsed_urls(hits: DataFrame) -> DataFrame:
@@ -197,8 +205,12 @@ SPEED_FILLED = [
 
 
 def sessions_with_speed(sessions: DataFrame, speed: DataFrame) -> DataFrame:
-    """Sessions with their speed features; sessions without hits get whole zeros."""
-    joined = sessions.join(speed, "session_id", "left")
+    """Sessions with their speed features; sessions without hits get whole zeros.
+
+    The features are written first, so that adaptive execution can split a
+    session id with very many rows over several tasks.
+    """
+    joined = sessions.join(stage(speed, "speed"), "session_id", "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in SPEED_FILLED})
 
 

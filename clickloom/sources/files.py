@@ -55,7 +55,8 @@ def load_raw_csv(spark: SparkSession, csv_path: str, kind: str, out_path: str) -
     raw = spark.read.schema(schema).option("header", True).csv(csv_path)
     balanced = raw.hint("rebalance", day)
     balanced.write.mode("overwrite").partitionBy(day).parquet(out_path)
-    return spark.read.schema(schema).parquet(out_path)
+    # partition columns come last on disk
+    return spark.read.schema(schema).parquet(out_path).select(*schema.fieldNames())
 
 
 def read_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

@@ -48,6 +48,9 @@ def session_counters(
 
     Distinct counts are approximate here: exact ones would keep every value in
     the state. The sketch has a fixed size however long a session lasts.
+
+    Start and end are aggregates, not parts of the grouping key: Spark would
+    push a filter on the key below the merging of sessions and cut them short.
     """
     other = F.col("target") == 0
     marked = hits.withWatermark(time, delay).withColumns(
@@ -55,13 +58,15 @@ def session_counters(
     )
     grouped = marked.groupBy(F.session_window(time, gap).alias("visit"), client)
     return grouped.agg(
+        F.min(time).alias("start"),
+        (F.max(time) + F.expr(f"INTERVAL {gap}")).alias("end"),
         F.count(F.when(other, 1)).alias("total_hits_count"),
         F.count(F.when(other & (F.col("hit_type") == "event"), 1)).alias("total_events_count"),
         F.approx_count_distinct(F.when(other, F.col("event_action"))).alias("unique_event_actions"),
         F.approx_count_distinct("car").alias("unique_cars_viewed"),
         F.count("car").alias("total_car_views"),
         F.max("target").alias("event_value"),
-    ).select("visit.start", "visit.end", "*").drop("visit")
+    ).drop("visit")
 
 
 def prediction_windows(
