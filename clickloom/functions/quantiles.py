@@ -13,7 +13,8 @@ from clickloom.session import stage
 # A group with at most this many distinct values fits the built-in aggregate,
 # which keeps one counter per distinct value in memory.
 IN_MEMORY_VALUES = 100_000
-# Accuracy of the approximate quantiles that bracket an exact one.
+# Accuracy of the approximate quantiles that bracket an exact one: at most this,
+# less where a group holds fewer values.
 ACCURACY = 100_000
 
 _KEY = "_all"
@@ -48,7 +49,7 @@ def exact_quantiles(
         return known.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.percentile("v", wanted).alias("quantiles")
         )
-    return bracketed_quantiles(known, keys, shares)
+    return bracketed_quantiles(known, keys, shares, min(ACCURACY, max(1000, distinct // 100)))
 
 
 def bracketed_quantiles(

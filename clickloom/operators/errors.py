@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions.quantiles import exact_quantiles, top_values, value_counts
@@ -104,11 +105,20 @@ def residual_box(
 
 
 def worst_cases(errors: DataFrame, key: Sequence[str], per_kind: int = 5) -> DataFrame:
-    """The most confident false positives and false negatives; equal scores in key order."""
-    wrong = errors.filter("is_error = 1")
-    fp = wrong.filter("actual = 0").orderBy(F.desc("probability"), *key).limit(per_kind)
-    fn = wrong.filter("actual = 1").orderBy(F.asc("probability"), *key).limit(per_kind)
-    return fp.withColumn("prediction_type", F.lit("FP")).unionByName(fn.withColumn("prediction_type", F.lit("FN")))
+    """The most confident false positives and false negatives; equal scores in key order.
+
+    One pass: every task keeps its ``per_kind`` worst rows of either kind before the shuffle.
+    """
+    wrong = errors.filter("is_error = 1 AND actual IN (0, 1)")
+    confident = F.when(F.col("actual") == 0, F.col("probability")).otherwise(-F.col("probability"))
+    worst = W.partitionBy("actual").orderBy(F.desc("_confident"), *key)
+    ranked = wrong.withColumn("_confident", confident).withColumn("_place", F.row_number().over(worst))
+    kind = F.when(F.col("actual") == 0, "FP").otherwise("FN")
+    return (
+        ranked.filter(F.col("_place") <= per_kind)
+        .drop("_confident", "_place")
+        .withColumn("prediction_type", kind)
+    )
 
 
 def first_errors(errors: DataFrame, key: Sequence[str], limit: int = 10) -> DataFrame:
