@@ -147,8 +147,10 @@ def hash_order(*keys: str | Column, seed: int = C.SEED) -> Column:
 
 
 def hash_share(*keys: str | Column, seed: int = C.SEED) -> Column:
-    """A repeatable pseudo-random number in [0, 1) per key."""
-    return F.pmod(hash_order(*keys, seed=seed), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A repeatable pseudo-random number in [0, 1) per key: 52 bits of a digest any engine can compute."""
+    parts = [F.col(k) if isinstance(k, str) else k for k in keys]
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts], F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 # --- column selection by type -------------------------------------------------

@@ -111,6 +111,14 @@ def bracketed_quantiles(
     )
 
 
+def column_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles of several columns at once: ``column_name, n, quantiles``."""
+    lines = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
+    return exact_quantiles(df.select(F.inline(lines)), ["column_name"], "value", shares)
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column_name, value, n`` for every value, unknown included, in one scan."""
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])

@@ -15,6 +15,7 @@ from clickloom import constants as C
 from clickloom.functions import columns as X
 from clickloom.functions.quantiles import (
     IN_MEMORY_VALUES,
+    column_quantiles,
     exact_quantiles,
     top_values,
     value_counts,
@@ -113,7 +114,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
 
         kept_texts = [c for c in texts if c not in dropped]
         kept_numbers = [c for c in numbers if c not in dropped]
-        quantiles = {c: self._quartiles(df, c, details) for c in kept_numbers}
+        quantiles = self._quartiles(df, kept_numbers, details)
         skip = set(self.value("skipImputation"))
         fills: dict[str, float | str] = {}
         for c in kept_numbers:
@@ -197,12 +198,13 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         found = {r["column_name"]: r["n"] / total for r in best}
         return {**shares, **{c: found.get(c, 0.0) for c in numbers}}
 
-    def _quartiles(self, df: DataFrame, column: str, details: dict) -> list:
-        if not self._needs_quartiles():
-            return [None] * 3
-        if f"quartiles:{column}" in details:
-            return details[f"quartiles:{column}"] or [None] * 3
-        return exact_quantiles(df, [], column, QUARTILES).first()["quantiles"]
+    def _quartiles(self, df: DataFrame, numbers: list[str], details: dict) -> dict[str, list]:
+        """Quartiles per number; the columns the second pass left out are done together."""
+        found = {c: details.get(f"quartiles:{c}") for c in numbers}
+        wide = [c for c in numbers if f"quartiles:{c}" not in details]
+        if wide and self._needs_quartiles():
+            found |= {r["column_name"]: r["quantiles"] for r in column_quantiles(df, wide, QUARTILES).collect()}
+        return {c: found[c] or [None] * 3 for c in numbers}
 
     def _bounds(self, numbers, quantiles, basics) -> dict[str, list[float]]:
         method, width = self.value("outlierMethod"), self.value("outlierThreshold")

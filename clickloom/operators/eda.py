@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import columns as X
-from clickloom.functions.quantiles import exact_quantiles, top_values, value_counts
+from clickloom.functions.quantiles import column_quantiles, exact_quantiles, top_values, value_counts
 
 
 def _missing(df: DataFrame, column: str) -> Column:
@@ -118,9 +118,9 @@ def target_rate_by_value(df: DataFrame, columns: Sequence[str], target: str, lim
 def binned(df: DataFrame, numbers: Sequence[str], bins: int = 10) -> DataFrame:
     """Numbers replaced by the index of their bin, cut at exact quantiles."""
     shares = [i / bins for i in range(1, bins)]
+    cuts = {r["column_name"]: r["quantiles"] for r in column_quantiles(df, numbers, shares).collect()}
     for c in numbers:
-        row = exact_quantiles(df, [], c, shares).first()
-        ends = sorted(set(row["quantiles"])) if row else []
+        ends = sorted(set(cuts.get(c, [])))
         made = Bucketizer(
             splits=[float("-inf"), *ends, float("inf")], inputCol="_number", outputCol="_bin", handleInvalid="keep"
         )

@@ -131,34 +131,34 @@ def parsed_urls(hits: DataFrame) -> DataFrame:
     return hits.withColumns({**tags, "car_id": X.car_id(path)})
 
 
-# Hit numbers are compared as numbers; hits without one come last.
-_LAST = 2**31 - 1
+# Hit numbers of one session are handled in blocks of this many.
+NUMBER_BLOCK = 10_000
 
 
 def hits_before_target(
-    hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS), salts: int = 32
+    hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS), block_size: int = NUMBER_BLOCK
 ) -> DataFrame:
-    """Per converted session: hits numbered below its first target hit.
+    """Per session with a numbered target hit: hits numbered below the first one.
 
-    Only sessions with a target take part; their first target is found in a
-    scan filtered to target hits. Hits with equal numbers are merged before
-    the shuffle and a session's hits are spread over ``salts`` tasks, so no
-    task receives a whole large session.
+    The first targets come from a scan filtered to target hits. Hits with equal
+    numbers are merged, and both sides meet per session and block of numbers,
+    so no task receives more than a block of a session at once. A first target
+    stands in every block up to its own: a single one in all but huge sessions.
     """
-    number = F.coalesce("hit_number", F.lit(_LAST)).alias("number")
+    known = F.col("hit_number").isNotNull()
+    number = F.col("hit_number").alias("number")
+    block = F.floor(F.greatest(F.col("number"), F.lit(0)) / block_size).cast("int")
     target = X.target_filter(F.col("event_action"), targets)
-    firsts = (
-        hits.filter(target).select("session_id", number).groupBy("session_id").agg(F.min("number").alias("first"))
-    )
-    spread_firsts = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    merged = hits.select("session_id", number).groupBy("session_id", "number").agg(F.count(F.lit(1)).alias("n"))
-    spread_hits = merged.withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(salts)).cast("int"))
-    earlier = spread_hits.join(spread_firsts, ["session_id", "salt"]).withColumn(
-        "n", F.when(F.col("number") < F.col("first"), F.col("n")).otherwise(0)
-    )
-    # the salted join keeps one row per salt that holds hits, so a session whose
-    # very first hit is the target still comes out, with 0
-    return earlier.groupBy("session_id").agg(F.sum("n").alias("hits_before_target"))
+    firsts = hits.filter(target & known).select("session_id", number).groupBy("session_id")
+    firsts = firsts.agg(F.min("number").alias("first"))
+    last_block = F.floor(F.greatest(F.col("first"), F.lit(0)) / block_size).cast("int")
+    spread_firsts = firsts.withColumn("block", F.explode(F.sequence(F.lit(0), last_block)))
+    merged = hits.filter(known).select("session_id", number).groupBy("session_id", "number")
+    spread_hits = merged.agg(F.count(F.lit(1)).alias("n")).withColumn("block", block)
+    earlier = F.when(F.col("number") < F.col("first"), F.col("n")).otherwise(0)
+    # the target hit itself always finds its block, so every session comes out, if only with 0
+    met = spread_hits.join(spread_firsts, ["session_id", "block"])
+    return met.groupBy("session_id").agg(F.sum(earlier).alias("hits_before_target"))
 
 
 def session_speed(hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS)) -> DataFrame:
@@ -186,6 +186,7 @@ def session_speed(hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIO
             "avg_time_between_hits": F.when(steps > 0, duration / steps).otherwise(0.0),
         }
     )
+    # without a numbered target every numbered hit counts
     before = hits_before_target(hits, targets)
     joined = timed.join(before, "session_id", "left")
     return joined.withColumn(

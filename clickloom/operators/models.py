@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.encoding import feature_stages, hot_stages
 from clickloom.operators.metrics import metrics
+from clickloom.session import allow_checkpoints
 
 TREES = ("boosted_trees", "random_forest")
 ESTIMATORS: dict[tuple[str, str], Callable[..., Estimator]] = {
@@ -71,6 +72,7 @@ def fit_model(
     Encoders learn from ``train`` only. Boosting reads its input once per
     iteration, so the assembled vectors are cached; lost blocks are recomputed.
     """
+    allow_checkpoints(train.sparkSession)
     encoder = Pipeline(stages=input_stages(name, numbers, categories)).fit(train)
     if name == "network":
         width = encoder.transform(train.limit(1)).first()["features"].size

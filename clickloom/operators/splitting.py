@@ -68,7 +68,7 @@ def group_split(
         log.warning("a class has fewer than 2 clients: splitting without strata")
         clients = clients.withColumn("label", F.lit(""))
     # the validation clients follow the test clients in the same order
-    val_end = test_size + val_size if val_size > 0 else 0.0
+    val_end = round(test_size + val_size, 12) if val_size > 0 else 0.0
     test_cut, val_cut = _cuts(clients, [test_size, val_end], sizes[1] or 0)
     split = (
         F.when(F.col("place") <= test_cut, "test").when(F.col("place") <= val_cut, "val").otherwise("train")

@@ -119,6 +119,22 @@ def sql(blocks: list[str], body: str, *ctes: str) -> str:
     return "WITH " + ",".join([*blocks, *ctes]) + "\n" + body
 
 
+def share_of(key: str) -> str:
+    """The pseudo-random share of a key, as the samples and splits compute it."""
+    return f"CAST('0x' || substring(md5({key} || '|{C.SEED}'), 1, 13) AS BIGINT) / 4503599627370496"
+
+
+SPLIT = f"""
+client_labels AS (
+  SELECT client_id, event_value AS label, {share_of("client_id")} AS place FROM mart
+  QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY visit_date DESC, visit_time DESC NULLS LAST, session_id DESC) = 1),
+cuts AS (
+  SELECT label, quantile_cont(place, {C.TEST_SIZE}) AS test_cut, quantile_cont(place, {round(C.TEST_SIZE + C.VAL_SIZE, 12)}) AS val_cut
+  FROM client_labels GROUP BY label),
+client_splits AS (
+  SELECT client_id, CASE WHEN place <= test_cut THEN 'test' WHEN place <= val_cut THEN 'val' ELSE 'train' END AS split
+  FROM client_labels JOIN cuts USING (label))"""
+
 # --- features and cleaning ----------------------------------------------------
 
 TEXTS = [

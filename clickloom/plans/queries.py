@@ -66,6 +66,21 @@ def session_mart(spark, sf_dir):
     return text_dates(mart_of(spark, sf_dir))
 
 
+@query(
+    "session_mart_strict",
+    O.sql(
+        [*O.BLOCKS["latest"], O.HITS, O.MARKED.replace("AS car\n", "AS any_car\n").replace(
+            "marked AS (", "all_marked AS ("
+        ), "marked AS (SELECT *, CASE WHEN NOT is_target THEN any_car END AS car FROM all_marked)", O.MART],
+        "SELECT session_id, unique_cars_viewed, total_car_views, car_view_ratio, event_value FROM mart",
+    ),
+)
+def session_mart_strict(spark, sf_dir):
+    """The mart with car views counted on non-target hits only."""
+    mart = M.build_mart(*E.raw_tables(spark, sf_dir), TARGETS, exclude_target_cars=True)
+    return mart.select("session_id", "unique_cars_viewed", "total_car_views", "car_view_ratio", "event_value")
+
+
 @query(
     "dirty_mart",
     O.sql(
@@ -91,6 +106,19 @@ def hits_with_client(spark, sf_dir):
     return text_dates(M.hits_with_client(*E.raw_tables(spark, sf_dir)))
 
 
+@query(
+    "hits_with_one_client",
+    O.sql(
+        [*O.BLOCKS["latest"], O.HITS],
+        "SELECT h.session_id, h.hit_number, h.event_action, l.client_id FROM ga_hits h JOIN latest l USING (session_id)",
+    ),
+)
+def hits_with_one_client(spark, sf_dir):
+    """Hits with the client of the deduplicated session."""
+    joined = M.hits_with_client(*E.raw_tables(spark, sf_dir), deduplicate=True)
+    return joined.select("session_id", "hit_number", "event_action", "client_id")
+
+
 @query(
     "utm_from_url",
     O.sql(
@@ -202,12 +230,44 @@ def row_null_filter_share(spark, sf_dir):
     return drop_sparse_rows(sparse_frame(spark, sf_dir))
 
 
-@query("client_sample")
+@query(
+    "client_sample",
+    O.sql(
+        O.BLOCKS["mart"],
+        f"SELECT * REPLACE (CAST(visit_date AS VARCHAR) AS visit_date) FROM mart WHERE {O.share_of('client_id')} < {C.SAMPLE_SHARE}",
+    ),
+)
 def client_sample(spark, sf_dir):
     return text_dates(S.client_sample(mart_of(spark, sf_dir)))
 
 
-@query("group_split_counts")
+@query("row_sample")
+def row_sample(spark, sf_dir):
+    """Bernoulli sample of hits; which rows it holds depends on the layout of the files."""
+    return text_dates(S.row_sample(E.raw_tables(spark, sf_dir)[0], 0.2))
+
+
+@query(
+    "group_split",
+    O.sql(
+        O.BLOCKS["mart"],
+        "SELECT session_id, client_id, event_value, split FROM mart JOIN client_splits USING (client_id)",
+        O.SPLIT,
+    ),
+)
+def group_split_query(spark, sf_dir):
+    return group_split(mart_of(spark, sf_dir)).select("session_id", "client_id", "event_value", "split")
+
+
+@query(
+    "group_split_counts",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT split, count(*) AS n_rows, count(DISTINCT client_id) AS n_clients, avg(event_value) AS target_share
+           FROM mart JOIN client_splits USING (client_id) GROUP BY split""",
+        O.SPLIT,
+    ),
+)
 def group_split_counts(spark, sf_dir):
     return split_sizes(group_split(drop_sparse_rows(mart_of(spark, sf_dir))))
 
@@ -239,6 +299,20 @@ def marked_events(spark, sf_dir):
     return events.select("event_id", "user_id", X.is_target(F.col("event_type"), TARGETS).alias("target"))
 
 
+@query(
+    "balanced_set",
+    f"""WITH marked AS (SELECT event_id, user_id, CAST(event_type = 'purchase' AS INT) AS target,
+                              {O.share_of('event_id')} AS place FROM events)
+        SELECT event_id, user_id, target FROM marked WHERE target = 1
+        UNION ALL
+        SELECT event_id, user_id, target FROM (
+          SELECT *, row_number() OVER (ORDER BY place) AS nth FROM marked WHERE target = 0)
+        WHERE nth <= 3 * (SELECT count(*) FROM marked WHERE target = 1)""",
+)
+def balanced_set(spark, sf_dir):
+    return S.balanced_set(marked_events(spark, sf_dir), "target", ["event_id"])
+
+
 @query(
     "balanced_counts",
     """SELECT target, CASE WHEN target = 1 THEN n ELSE least(n, 3 * ones) END AS n
@@ -546,6 +620,22 @@ def engineered_features(spark, sf_dir):
     return text_dates(made.withColumn("user_vs_city_car_interest", F.round("user_vs_city_car_interest", 6)))
 
 
+@query(
+    "speed_features",
+    O.sql(
+        O.BLOCKS["speed"],
+        """SELECT session_id, CAST(session_duration_ms AS DOUBLE) AS session_duration_ms,
+                  CASE WHEN total_hits_count > 0 THEN session_duration_ms / total_hits_count ELSE 0 END AS ms_per_hit
+           FROM speed""",
+    ),
+)
+def speed_features(spark, sf_dir):
+    """Durations come from the hit times where the frame has them."""
+    hits, _ = E.raw_tables(spark, sf_dir)
+    made = SessionFeatures().transform(M.session_speed(hits, TARGETS))
+    return made.select("session_id", "session_duration_ms", "ms_per_hit")
+
+
 def learned(spark, sf_dir, **settings):
     return SessionCleaner(passThrough=["session_id", "event_value"], **settings).fit(staged_features(spark, sf_dir))
 
@@ -959,6 +1049,20 @@ def prediction_monitor(spark, sf_dir):
     return monitor.withColumn("confidence_sum", F.round("confidence_sum", 4))
 
 
+LATENCY_BUCKETS = [0.01, 0.05, 0.1, 0.5, 1.0, 5.0]
+
+
+@query(
+    "latency_buckets",
+    "SELECT "
+    + ", ".join(f"count(*) FILTER (value <= {b}) AS le_{str(b).replace('.', '_')}" for b in LATENCY_BUCKETS)
+    + ", count(value) AS le_inf FROM events",
+)
+def latency_buckets(spark, sf_dir):
+    """The measured value of an event stands in for the seconds of a request."""
+    return K.latency_histogram(E.read_events(spark, sf_dir), "value", LATENCY_BUCKETS)
+
+
 _CONTRACT = {"session_id": "string", "client_id": "bigint", "visit_time": "int", "utm_source": "int", "geo_city": "string"}
 
 
@@ -1154,7 +1258,45 @@ def stream_sessions(spark, sf_dir):
     return text_dates(sinks.run_available(jobs.session_counters(hits, TARGETS), "sessions"))
 
 
-@query("stream_monitor")
+@query(
+    "stream_session_counts",
+    O.sql(
+        [*O.BLOCKS["hits"]],
+        """, timed AS (
+             SELECT user_id, ts, event_type, coalesce(ts > lag(ts) OVER w + INTERVAL 30 MINUTE
+                      OR ts = lag(ts) OVER w + INTERVAL 30 MINUTE, true) AS opens FROM events
+             WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+           numbered AS (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS visit FROM timed),
+           visits AS (
+             SELECT CAST(user_id AS VARCHAR) AS client_id, epoch_us(min(ts)) AS start_us,
+                    epoch_us(max(ts) + INTERVAL 30 MINUTE) AS end_us,
+                    count(*) FILTER (event_type <> 'purchase') AS total_hits_count,
+                    count(*) FILTER (event_type NOT IN ('purchase', 'view')) AS total_events_count,
+                    count(*) FILTER (event_type IN ('view', 'click', 'purchase')) AS total_car_views,
+                    max(CAST(event_type = 'purchase' AS INT)) AS event_value
+             FROM numbered GROUP BY user_id, visit)
+           SELECT * FROM visits WHERE end_us <= (SELECT epoch_us(max(ts) - INTERVAL 2 HOUR) FROM events)""",
+    ),
+)
+def stream_session_counts(spark, sf_dir):
+    """The exact counters of the streamed sessions."""
+    hits = timed_hits(event_stream(spark, sf_dir))
+    done = sinks.run_available(jobs.session_counters(hits, TARGETS), "sessions")
+    times = [F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us")]
+    return done.select(
+        "client_id", *times, "total_hits_count", "total_events_count", "total_car_views", "event_value"
+    )
+
+
+@query(
+    "stream_monitor",
+    f"""WITH scored AS (
+          SELECT ts, ((user_id * 37 + CAST(json_extract_string(props, '$.k') AS INT) * 13) % 100) / 100 AS p FROM events),
+        judged AS (SELECT date_trunc('minute', ts) AS minute, CAST(p >= 0.5 AS INT) AS predicted, greatest(p, 1 - p) AS confidence FROM scored)
+        SELECT strftime(minute, '%Y-%m-%d %H:%M:%S') AS window_start, predicted, count(*) AS n, {_BUCKETS}, count(confidence) AS le_inf
+        FROM judged WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+        GROUP BY minute, predicted""",
+)
 def stream_monitor(spark, sf_dir):
     """Scores by class and confidence per minute, for all closed minutes."""
     events = event_stream(spark, sf_dir)

@@ -44,6 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; no run ever reads what another run wrote."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")

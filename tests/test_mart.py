@@ -157,9 +157,9 @@ def test_hits_before_target_against_brute_force(spark):
         rows.append((session, rng.choice([None, *range(1, 40)]), "buy" if rng.random() < 0.02 else "view"))
     want = {}
     for s in {r[0] for r in rows}:
-        numbers = [(r[1] if r[1] is not None else 2**31 - 1, r[2]) for r in rows if r[0] == s]
+        numbers = [(r[1], r[2]) for r in rows if r[0] == s and r[1] is not None]
         targets = [n for n, a in numbers if a == "buy"]
         if targets:
             want[s] = sum(n < min(targets) for n, _ in numbers)
     hits = hits_frame(spark, [hit(s, n, a) for s, n, a in rows])
-    assert {r[0]: r[1] for r in M.hits_before_target(hits, ["buy"], salts=4).collect()} == want
+    assert {r[0]: r[1] for r in M.hits_before_target(hits, ["buy"], block_size=8).collect()} == want

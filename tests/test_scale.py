@@ -136,7 +136,7 @@ def test_hot_session_is_spread_in_the_speed_join(spark, large_joins):
     before = M.hits_before_target(hits, ["buy"])
     text = plan(before)
     joins = [line for line in text.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
-    assert joins and all("salt" in line for line in joins)
+    assert joins and all("block" in line for line in joins)
     hot = {r[0]: r[1] for r in before.collect()}["hot"]
     assert hot == hits.filter("session_id = 'hot' AND hit_number < 19999").count()
 
