@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import math
 import random
@@ -57,7 +58,5 @@ def random_search(
 
 def trials_table(spark: SparkSession, history: list) -> DataFrame:
     """The log of a search: one row per trial."""
-    import json
-
     rows = [(n, s, json.dumps(p, sort_keys=True), e) for n, s, p, e in history]
     return spark.createDataFrame(rows, SCHEMA)

@@ -162,8 +162,8 @@ cities(city_key, c_metro, c_population, c_salary, c_cars) AS (VALUES {_CITIES}),
 enriched AS (
   SELECT m.*,
          coalesce(c_metro, {C.CITY_DEFAULT[0]}) AS has_metro,
-         coalesce(c_population, {C.CITY_DEFAULT[1]}) AS city_population,
-         coalesce(c_salary, {C.CITY_DEFAULT[2]}) AS city_avg_salary,
+         CAST(coalesce(c_population, {C.CITY_DEFAULT[1]}) AS BIGINT) AS city_population,
+         CAST(coalesce(c_salary, {C.CITY_DEFAULT[2]}) AS BIGINT) AS city_avg_salary,
          coalesce(c_cars, CAST({C.CITY_DEFAULT[3]} AS DOUBLE)) AS city_cars_per_family
   FROM clean_mart m LEFT JOIN cities ON lower(trim(geo_city)) = city_key),
 features AS (
@@ -173,7 +173,7 @@ features AS (
          CASE WHEN geo_country = '{C.HOME_COUNTRY}' THEN 'russia' WHEN geo_country IN ({quoted(C.CIS_COUNTRIES)}) THEN 'cis'
               ELSE 'other_countries' END AS geo_zone,
          CAST(device_category IN ({quoted(C.MOBILE_CATEGORIES)}) AS INT) AS is_mobile_device,
-         isodow(visit_date) - 1 AS day_of_week,
+         CAST(isodow(visit_date) - 1 AS INT) AS day_of_week,
          CAST(isodow(visit_date) >= 6 AS INT) AS is_weekend,
          CAST(coalesce(CAST(split_part(visit_time, ':', 1) AS INT), 12) IN (23, 0, 1, 2, 3, 4, 5) AS INT) AS is_night,
          CAST(NULL AS DOUBLE) AS session_duration_ms,

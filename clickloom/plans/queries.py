@@ -152,7 +152,7 @@ def session_speed(spark, sf_dir):
                   coalesce(total_hits_count, 0) AS total_hits_count,
                   coalesce(unique_cars_viewed, 0) AS unique_cars_viewed,
                   coalesce(total_car_views, 0) AS total_car_views,
-                  coalesce(target, 0) AS target,
+                  CAST(coalesce(target, 0) AS BIGINT) AS target,
                   coalesce(session_duration_ms, 0) AS session_duration_ms,
                   CAST(trunc(coalesce(avg_time_between_hits, 0)) AS BIGINT) AS avg_time_between_hits,
                   coalesce(hits_before_target, 0) AS hits_before_target
@@ -170,7 +170,7 @@ def sessions_with_speed(spark, sf_dir):
     O.sql(
         O.BLOCKS["sessions"],
         f"""SELECT session_id, utm_campaign, CAST(visit_date AS VARCHAR) AS visit_date_dt,
-                  isodow(visit_date) - 1 AS day_of_week,
+                  CAST(isodow(visit_date) - 1 AS INT) AS day_of_week,
                   CAST(isodow(visit_date) IN (6, 7) AS INT) AS is_weekend,
                   CAST(substring(visit_time, 1, 2) AS INT) AS visit_hour,
                   CAST(utm_medium IN ({O.quoted(C.ORGANIC_MEDIUMS)}) AS INT) AS is_organic_medium,
@@ -287,7 +287,7 @@ def group_split_labels(spark, sf_dir):
 
 @query(
     "split_leakage",
-    O.sql(O.BLOCKS["latest"], "SELECT client_id, 1 AS n_splits FROM latest GROUP BY client_id"),
+    O.sql(O.BLOCKS["latest"], "SELECT client_id, CAST(1 AS BIGINT) AS n_splits FROM latest GROUP BY client_id"),
 )
 def split_leakage(spark, sf_dir):
     split = group_split(mart_of(spark, sf_dir))
@@ -343,7 +343,7 @@ PROFILED = ["utm_source", "utm_medium", "utm_campaign", "device_os", "device_bra
 _DIMENSION_COLUMNS = f"""
 dims AS (
   SELECT event_value, geo_city, geo_country, device_browser, device_category, device_brand,
-         CAST(substring(visit_time, 1, 2) AS INT) AS visit_hour, isodow(visit_date) - 1 AS day_of_week,
+         CAST(substring(visit_time, 1, 2) AS INT) AS visit_hour, CAST(isodow(visit_date) - 1 AS INT) AS day_of_week,
          CAST(isodow(visit_date) >= 6 AS INT) AS is_weekend,
          CAST(utm_medium IN ({O.quoted(C.ORGANIC_MEDIUMS)}) AS INT) AS is_organic_medium,
          CAST(coalesce(utm_source IN ({O.quoted(C.SOCIAL_SOURCES)}), false) AS INT) AS is_social_media
@@ -377,7 +377,7 @@ _PROFILE_COUNTS = (
     "top_values",
     O.sql(
         O.BLOCKS["sessions"],
-        """SELECT column_name, value, n, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS place
+        """SELECT column_name, value, n, CAST(row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS INT) AS place
            FROM value_counts WHERE value IS NOT NULL QUALIFY place <= 5""",
         *_PROFILE_COUNTS,
     ),
@@ -415,7 +415,7 @@ def class_balance(spark, sf_dir):
     "conversion_by_dim",
     O.sql(
         O.BLOCKS["mart"],
-        """SELECT column_name AS dimension, value, count(*) AS n, sum(event_value) AS n_converted,
+        """SELECT column_name AS dimension, value, count(*) AS n, CAST(sum(event_value) AS BIGINT) AS n_converted,
                   avg(event_value) AS conversion_rate
            FROM long GROUP BY column_name, value""",
         _DIMENSION_COLUMNS,
@@ -429,8 +429,8 @@ def conversion_by_dim(spark, sf_dir):
     "target_rate_by_value",
     O.sql(
         O.BLOCKS["mart"],
-        """SELECT column_name, value, count(*) AS n, sum(event_value) AS n_converted, avg(event_value) AS conversion_rate,
-                  row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS place
+        """SELECT column_name, value, count(*) AS n, CAST(sum(event_value) AS BIGINT) AS n_converted, avg(event_value) AS conversion_rate,
+                  CAST(row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS INT) AS place
            FROM long WHERE value IS NOT NULL GROUP BY column_name, value QUALIFY place <= 5""",
         _DIMENSION_COLUMNS,
     ),
@@ -491,7 +491,7 @@ _COUNTERS = ["visit_number", *M.COUNTERS]
         O.BLOCKS["mart"],
         """SELECT p.*, t.value AS top_value, t.n AS top_n, round(mean_value, 6) AS mean_value, round(std_value, 6) AS std_value,
                   min_value, max_value
-           FROM (SELECT column_name, sum(n) AS n_rows, coalesce(sum(n) FILTER (value IS NULL), 0) AS n_null, count(value) AS n_distinct
+           FROM (SELECT column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, count(value) AS n_distinct
                  FROM value_counts GROUP BY column_name) p
            LEFT JOIN (SELECT * FROM value_counts WHERE value IS NOT NULL
                       QUALIFY row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) = 1) t USING (column_name)
@@ -781,7 +781,7 @@ def confusion_query(spark, sf_dir):
     "class_report",
     O.sql(
         [O.SCORED, _CELLS, O.report("cells")],
-        """SELECT class, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM (
+        """SELECT class, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM (
              SELECT * FROM per_class
              UNION ALL SELECT 'macro avg', avg("precision"), avg(recall), avg(f1), sum(support) FROM per_class
              UNION ALL SELECT 'weighted avg', sum("precision" * support) / sum(support), sum(recall * support) / sum(support),
@@ -840,7 +840,7 @@ def _class_score(i: int, k: str) -> str:
             + ")"
         ],
         """SELECT class, round((sum(place) FILTER (hit = 1) - max(ones) * (max(ones) + 1) / 2) / (max(ones) * (max(total) - max(ones))), 6) AS auc,
-                  sum(hit) AS support
+                  CAST(sum(hit) AS BIGINT) AS support
            FROM (SELECT class, hit, rank() OVER (PARTITION BY class ORDER BY score) + (count(*) OVER (PARTITION BY class, score) - 1) / 2 AS place,
                         sum(hit) OVER (PARTITION BY class) AS ones, count(*) OVER (PARTITION BY class) AS total FROM scored)
            GROUP BY class""",
@@ -905,7 +905,7 @@ _TOPS = (
     "error_trends",
     O.sql(
         [*O.BLOCKS["mart"], O.MART_SCORED],
-        """SELECT l.column_name, coalesce(t.value, '... OTHER ...') AS category, count(*) AS n, sum(is_error) AS n_errors,
+        """SELECT l.column_name, coalesce(t.value, '... OTHER ...') AS category, count(*) AS n, CAST(sum(is_error) AS BIGINT) AS n_errors,
                   avg(is_error) AS error_share
            FROM long l LEFT JOIN tops t USING (column_name, value) GROUP BY ALL""",
         *_TOPS,
@@ -985,7 +985,7 @@ def worst_residuals(spark, sf_dir):
     "worst_flagged",
     O.sql(
         [O.LINES],
-        """SELECT l_returnflag, count(*) AS n, sum(is_worst) AS n_worst FROM (
+        """SELECT l_returnflag, count(*) AS n, CAST(sum(is_worst) AS BIGINT) AS n_worst FROM (
              SELECT *, CAST(row_number() OVER (ORDER BY abs_error DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) <= 10 AS INT) AS is_worst
              FROM residuals) GROUP BY l_returnflag""",
     ),

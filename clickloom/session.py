@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -13,6 +12,11 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # hits of one streamed session meet before the shuffle; large state stays off the heap
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # no call-site capture for every column expression: plans are built twice as fast
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -51,8 +55,13 @@ def allow_checkpoints(spark: SparkSession) -> None:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder; no run ever reads what another run wrote."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path in the application's part of the shared folder.
+
+    No run ever reads what another run wrote; the folder ``clickloom-<application id>``
+    can go when the application has ended.
+    """
+    application = f"clickloom-{spark.sparkContext.applicationId}"
+    return "/".join([shared_dir(spark).rstrip("/"), application, f"{name}-{uuid.uuid4().hex}"])
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -64,7 +64,9 @@ def save_bucketed(df: DataFrame, table: str, buckets: int) -> None:
     """Save a raw table bucketed by session, so that mart joins need no shuffle.
 
     Rows are spread by session before the write: each task then writes few
-    buckets, instead of every task writing one small file per bucket.
+    buckets, instead of every task writing one small file per bucket. A session
+    with a large share of all rows makes its bucket just as large: leave such a
+    table unbucketed, so that the operators can spread it.
     """
     (
         df.repartition(buckets, "session_id")
