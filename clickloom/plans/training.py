@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +18,7 @@ from clickloom.operators.filters import drop_sparse_rows, require_rows
 from clickloom.operators.metrics import metrics, prefixed
 from clickloom.operators.splitting import group_split, three_frames
 from clickloom.operators.tracking import log_metrics, log_params, log_run
-from clickloom.operators.tuning import random_search
+from clickloom.operators.tuning import random_search, trials_table
 from clickloom.session import stage
 from clickloom.sources.files import write_predictions
 from clickloom.sources.schemas import read_contract, require_columns, write_contract
@@ -94,20 +94,50 @@ def evaluate(model: PipelineModel, df: DataFrame, spec: Spec, prefix: str = "")
     return prefixed(found, prefix), errors
 
 
-def train_job(mart: DataFrame, root: str, version: str, spec: Spec, run_name: str = "train", **sizes: float) -> dict[str, float]:
-    """Train, measure on validation and test, log the run and save model and feature contract."""
-    spark = mart.sparkSession
-    train, val, test = prepare(mart, spec, **sizes)
-    model = fit_pipeline(train, val, spec)
-    found, _ = evaluate(model, val, spec, "final_val_")
-    tested, _ = evaluate(model, test, spec, "test_")
+def _save(
+    model: PipelineModel, train: DataFrame, root: str, version: str, spec: Spec, run_name: str, found: dict[str, float]
+) -> None:
+    """Log the run and its metrics, save the pipeline and the contract of its input."""
+    spark = train.sparkSession
     run_id = uuid.uuid4().hex
     log_run(spark, root, run_id, run_name, version=version, model=spec.model, task=spec.task)
     log_params(spark, root, run_id, spec.model_params)
-    log_metrics(spark, root, run_id, {**found, **tested})
+    log_metrics(spark, root, run_id, found)
     models.save_model(model, root, version)
     write_contract(train.drop(spec.label), f"{root.rstrip('/')}/feature_schema_v{version}")
-    return {**found, **tested}
+
+
+def train_job(mart: DataFrame, root: str, version: str, spec: Spec, run_name: str = "train", **sizes: float) -> dict[str, float]:
+    """Train, measure on the validation and test sets, log and save."""
+    train, val, test = prepare(mart, spec, **sizes)
+    model = fit_pipeline(train, val, spec)
+    found = {**evaluate(model, val, spec, "final_val_")[0], **evaluate(model, test, spec, "test_")[0]}
+    _save(model, train, root, version, spec, run_name, found)
+    return found
+
+
+def tune_and_train_job(
+    mart: DataFrame, root: str, version: str, spec: Spec, space: dict, trials: int, seed: int = C.SEED, **sizes: float
+) -> dict[str, float]:
+    """Search for the best parameters, log all trials, then train once more with the best ones and save."""
+    train, val, test = prepare(mart, spec, **sizes)
+    best, history = tune_job(train, val, spec, space, trials, seed)
+    trials_table(mart.sparkSession, history).write.mode("overwrite").parquet(f"{root.rstrip('/')}/trials_v{version}")
+    if best is None:
+        raise ValueError("every trial failed: see the trials table")
+    drawn = dict(best)
+    weight = drawn.pop("positive_weight", spec.positive_weight)
+    tuned = replace(spec, model_params={**spec.model_params, **drawn}, positive_weight=weight)
+    model = fit_pipeline(train, val, tuned)
+    found = {**evaluate(model, val, tuned, "best_val_")[0], **evaluate(model, test, tuned, "test_")[0]}
+    _save(model, train, root, version, tuned, "tune", found)
+    return found
+
+
+def evaluate_job(mart: DataFrame, root: str, version: str, spec: Spec, **sizes: float) -> tuple[dict[str, float], DataFrame]:
+    """Metrics and error table of a saved model on the test set; the split repeats, so it is the same set."""
+    _, _, test = prepare(mart, spec, **sizes)
+    return evaluate(models.load_model(root, version), test, spec, "test_")
 
 
 def tune_job(

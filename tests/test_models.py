@@ -114,6 +114,19 @@ def test_train_and_score_jobs(spark, mart, tmp_path):
         T.score_job(spark, new.drop("total_hits_count"), root, "1.0", f"{root}/out2")
 
 
+def test_tune_train_and_evaluate_jobs(spark, mart, tmp_path):
+    root = str(tmp_path)
+    spec = T.Spec(model="random_forest", model_params={"numTrees": 3, "seed": 1})
+    space = {"maxDepth": {"type": "int", "bounds": [2, 4]}, "positive_weight": {"type": "float", "bounds": [1.0, 3.0]}}
+    found = T.tune_and_train_job(mart, root, "2", spec, space, trials=2)
+    assert spark.read.parquet(f"{root}/trials_v2").count() == 2
+    again, errors = T.evaluate_job(mart, root, "2", spec)
+    assert again == pytest.approx({k: v for k, v in found.items() if k.startswith("test_")})
+    assert {"actual", "predicted", "is_error", "probability"} <= set(errors.columns)
+    with pytest.raises(ValueError):
+        T.tune_and_train_job(mart, root, "3", T.Spec(model="no such model"), space, trials=1)
+
+
 def test_streamed_scores_equal_batch_scores(spark, frames, trees, tmp_path):
     model, _ = trees
     incoming = str(tmp_path / "in")
