@@ -847,7 +847,8 @@ def _class_score(i: int, k: str) -> str:
     ),
 )
 def auc_ovr_query(spark, sf_dir):
-    events = E.read_events(spark, sf_dir).withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    events = E.read_events(spark, sf_dir)
+    events = events.withColumn("k", E.payload_key(events))
     scored = events.select("event_type", *[F.expr(_class_score(i, "k")).alias(f"s{i}") for i in range(5)])
     found = Q.auc_ovr(scored, "event_type", {c: f"s{i}" for i, c in enumerate(_CLASSES)})
     return found.withColumn("auc", F.round("auc", 6))
