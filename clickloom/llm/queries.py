@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import simhash
+from clickloom.llm import bpe, line_frequency, simhash
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,47 @@ def query(function):
     return function
 
 
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded with the byte-level vocabulary for many languages and decoded again."""
+    return bpe.digests(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document and the verdict of the line frequency rules."""
+    return line_frequency.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_line_frequency"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM words WHERE len(w) > 2),
+grams AS (SELECT r, i, w[i:i+2] AS g FROM windows),
+marked AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams),
+repeats AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM marked WHERE n > 1) GROUP BY r),
+raw_lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
+lines AS (
+  SELECT r, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+    trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
+  FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY r),
+held AS (SELECT host, norm, count(DISTINCT text) AS docs FROM lines JOIN docs USING (r) GROUP BY host, norm),
+sizes AS (SELECT host, count(DISTINCT text) AS host_docs FROM docs WHERE r IN (SELECT r FROM lines) GROUP BY host),
+above AS (SELECT held.host, norm FROM held JOIN sizes ON held.host IS NOT DISTINCT FROM sizes.host WHERE docs > 20 AND docs > 0.001 * host_docs),
+removed AS (SELECT r, sum(words) AS n FROM lines JOIN docs USING (r) JOIN above ON above.host IS NOT DISTINCT FROM docs.host AND above.norm = lines.norm GROUP BY r),
+counts AS (
+  SELECT doc_id, len(w) AS n_words, len(array_to_string(w, '')) AS word_chars,
+    len(text) - len(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed.n, 0)::BIGINT AS n_removed_words
+  FROM docs JOIN words USING (r) LEFT JOIN dups USING (r) LEFT JOIN repeats USING (r) LEFT JOIN removed USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - n_removed_words >= 0.5 * n_words AS kept, n_removed_words
+FROM judged
+"""
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 4-word shingles differ in 4 bits or fewer."""
