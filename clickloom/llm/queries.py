@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, line_frequency, simhash
+from clickloom.llm import bpe, hilbert, line_frequency, simhash
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,75 @@ def query(function):
     return function
 
 
+@query
+def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in eight runs of equal counts along a Hilbert curve over language, source and size."""
+    return hilbert.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def _hilbert_sql(source: str, axes: list[str], bits: int) -> str:
+    """Common table expressions that end in ``curve``: ``source`` with the number of each cell along the curve."""
+    n = len(axes)
+    parts = [f"t0 AS (SELECT *, {', '.join(f'{a}::BIGINT AS x{k}' for k, a in enumerate(axes))} FROM {source})"]
+
+    def add(changes: dict[int, str]) -> None:
+        new = ", ".join(f"{text} AS x{k}" for k, text in changes.items())
+        parts.append(f"t{len(parts)} AS (SELECT * REPLACE ({new}) FROM t{len(parts) - 1})")
+
+    for level in range(bits - 1, 0, -1):
+        low = (1 << level) - 1
+        for k in range(n):
+            hit = f"(x{k} >> {level}) & 1 = 1"
+            swap = f"(xor(x0, x{k}) & {low})"
+            changes = {0: f"CASE WHEN {hit} THEN xor(x0, {low}) ELSE xor(x0, {swap}) END"}
+            if k:
+                changes[k] = f"CASE WHEN {hit} THEN x{k} ELSE xor(x{k}, {swap}) END"
+            add(changes)
+    for k in range(1, n):
+        add({k: f"xor(x{k}, x{k - 1})"})
+    turn = "0"
+    for level in range(bits - 1, 0, -1):
+        turn = f"xor({turn}, CASE WHEN (x{n - 1} >> {level}) & 1 = 1 THEN {(1 << level) - 1} ELSE 0 END)"
+    add({k: f"xor(x{k}, {turn})" for k in range(n)})
+    index = "0"
+    for level in range(bits - 1, -1, -1):
+        for k in range(n):
+            index = f"({index} * 2 + ((x{k} >> {level}) & 1))"
+    last = len(parts) - 1
+    return ",\n".join([*parts, f"curve AS (SELECT *, {index} AS hilbert FROM t{last})"])
+
+
+ORACLE["op1_hilbert_sharding"] = f"""
+WITH polynomial AS (
+  SELECT list(c ORDER BY i) AS remainders FROM (
+    SELECT i, list_reduce([i] || range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+base AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(coalesce(text, '')) AS h, hex(coalesce(lang, '')) AS l,
+    hex(coalesce(source, '')) AS s, md5(coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+summed AS (
+  SELECT * EXCLUDE (h), xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(0, length(h) // 2), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT),
+    lambda a, b: xor(a >> 8, remainders[1 + (xor(a, b) & 255)]))) AS text_crc32
+  FROM base, polynomial),
+ends AS (SELECT count(*) AS rows, min(l) FILTER (l <> '') AS l0, max(l) AS l1, min(s) FILTER (s <> '') AS s0, max(s) AS s1 FROM base),
+skips AS (
+  SELECT rows, list_max([k FOR k IN range(0, length(l0) + 1) IF left(l0, k) = left(l1, k)]) AS lk,
+    list_max([k FOR k IN range(0, length(s0) + 1) IF left(s0, k) = left(s1, k)]) AS sk FROM ends),
+coded AS (
+  SELECT summed.*, rows, rpad(substr(l, lk + 1, 4), 4, '0') AS c0, rpad(substr(s, sk + 1, 4), 4, '0') AS c1, length(bin(size)) - 1 AS e
+  FROM summed, skips),
+classed AS (SELECT *, e * 8 + (CASE WHEN e >= 3 THEN size >> (e - 3) ELSE size << (3 - e) END) % 8 AS c2 FROM coded),
+binned AS (
+  SELECT *, (rank() OVER (ORDER BY c0) - 1) * 16 // rows AS b0, (rank() OVER (ORDER BY c1) - 1) * 16 // rows AS b1,
+    (rank() OVER (ORDER BY c2) - 1) * 16 // rows AS b2 FROM classed),
+{_hilbert_sql("binned", ["b0", "b1", "b2"], hilbert.BITS)},
+placed AS (SELECT *, row_number() OVER (ORDER BY hilbert, digest, doc_id, text_crc32, size) - 1 AS position FROM curve),
+cut AS (SELECT *, (position * 8 // rows)::INTEGER AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, position - (shard * rows + 7) // 8 AS slot, NULL::INTEGER AS grown_shard, hilbert FROM cut
+"""
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded with the byte-level vocabulary for many languages and decoded again."""
