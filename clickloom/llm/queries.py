@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, hilbert, line_frequency, simhash
+from clickloom.llm import bpe, hilbert, line_frequency, simhash, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,12 @@ FROM judged
 """
 
 
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as token ids in flat files, read back from them."""
+    return token_files.corpus_files(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 4-word shingles differ in 4 bits or fewer."""
