@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, hilbert, line_frequency, simhash, token_files
+from clickloom.llm import bpe, hilbert, line_frequency, simhash, tiling, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,12 @@ FROM judged
 """
 
 
+@query
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which tiles cover at least 0.6 of the tokens of a benchmark item, in any order."""
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as token ids in flat files, read back from them."""
