@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, hilbert, line_frequency, simhash, tiling, token_files
+from clickloom.llm import bpe, hilbert, line_frequency, pii, simhash, tiling, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,12 @@ def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of each document: spans of the base rules and those that boosted trees add."""
+    return pii.report(spark, table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as token ids in flat files, read back from them."""
