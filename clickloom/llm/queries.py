@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import boilerplate, bpe, hilbert, line_frequency, pii, simhash, tiling, token_files
+from clickloom.llm import boilerplate, bpe, hilbert, langid, line_frequency, pii, simhash, tiling, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,6 +140,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document and page from its text, declaration, address and host."""
+    return langid.corpus_languages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
