@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import boilerplate, bpe, hilbert, langid, line_frequency, pii, simhash, tiling, token_files
+from clickloom.llm import boilerplate, bpe, hilbert, langid, line_frequency, pii, revisits, simhash, tiling, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,45 @@ def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page fetched twice; the second, not-modified fetch resolved to the latest full response of its address."""
+    return revisits.crawl_report(spark, table(spark, sf_dir, "pages"))
+
+
+ORACLE["op5_revisit_resolution"] = r"""
+WITH base AS (SELECT page_id AS id, url, md5(coalesce(html, '')) AS digest, 'day ' || (page_id // 1000) AS day FROM pages),
+records AS (
+  SELECT id * 2 AS record_id, url, id AS fetched_at, 'response' AS kind, '"' || digest || '"' AS tag, day, digest FROM base
+  UNION ALL
+  SELECT id * 2 + 1, url, id + 333333, 'revisit',
+    CASE left(digest, 1) WHEN '0' THEN 'W/"changed"' WHEN '1' THEN NULL ELSE 'W/"' || digest || '"' END, day, NULL FROM base),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(trim(coalesce(url, '')), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM records),
+split AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '') AS host,
+    regexp_extract(bare, '^[^/?]*(/[^?]*)', 1) AS path,
+    list_sort([p FOR p IN string_split(regexp_extract(bare, '\?(.*)$', 1), '&') IF p <> '' AND lower(split_part(p, '=', 1)) NOT IN
+      ('fbclid', 'gclid', 'ref', 'utm_campaign', 'utm_content', 'utm_medium', 'utm_source', 'utm_term')]) AS params FROM parts),
+addressed AS (
+  SELECT *, host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(params) = 0 THEN '' ELSE '?' || array_to_string(params, '&') END AS address FROM split),
+near AS (
+  SELECT *, last_value(CASE WHEN kind = 'response' THEN {'id': record_id, 'tag': tag, 'day': day, 'digest': digest} END IGNORE NULLS) OVER (
+    PARTITION BY address ORDER BY fetched_at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s FROM addressed),
+found AS (SELECT *, s.id AS sid, s.tag AS stag, s.day AS sday, s.digest AS sdigest FROM near),
+judged AS (
+  SELECT *, CASE WHEN kind = 'response' THEN 'full' WHEN sid IS NULL THEN 'orphan'
+    WHEN coalesce(replace(tag, 'W/', '') = stag, day = sday) THEN 'resolved' ELSE 'mismatch' END AS outcome FROM found)
+SELECT record_id, address, fetched_at, kind, outcome,
+  CASE outcome WHEN 'full' THEN record_id WHEN 'resolved' THEN sid END AS source_id,
+  CASE WHEN outcome = 'full' THEN 'cache-control: max-age=60; content-type: text/html; etag: ' || tag || '; last-modified: ' || day
+    WHEN outcome = 'resolved' THEN 'cache-control: max-age=600; content-type: text/html; etag: ' || coalesce(tag, stag) || '; last-modified: ' || day
+    ELSE 'cache-control: max-age=600; content-type: text/plain; ' || CASE WHEN tag IS NULL THEN '' ELSE 'etag: ' || tag || '; ' END || 'last-modified: ' || day END AS headers,
+  CASE outcome WHEN 'resolved' THEN sdigest ELSE digest END AS digest
+FROM judged
+"""
+
+
 @query
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of each document: spans of the base rules and those that boosted trees add."""
