@@ -29,7 +29,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from clickloom.llm.common import blocks, texts
@@ -218,13 +218,18 @@ def multi_language_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Number and SHA-256 of the ids of each document, and SHA-256 of the bytes decoded from them."""
-    path, pattern = multi_language_vocabulary()
-    coded = decode(encode(docs.select("doc_id", "text"), path, pattern), path)
+def with_digests(coded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """Decoded rows with the number and SHA-256 of their ids and the SHA-256 of the decoded bytes, in place of the bytes."""
+    rest = [c for c in coded.columns if c != "decoded" and (keep_ids or c != "token_ids")]
     return coded.selectExpr(
-        "doc_id",
+        *(f"`{c}`" for c in rest),
         "cast(octet_length(token_ids) div 4 as bigint) as n_tokens",
         "sha2(token_ids, 256) as ids_sha256",
         "sha2(decoded, 256) as decoded_sha256",
     )
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """Number and SHA-256 of the ids of each document, and SHA-256 of the bytes decoded from them."""
+    path, pattern = multi_language_vocabulary()
+    return with_digests(decode(encode(docs.select("doc_id", "text"), path, pattern), path))

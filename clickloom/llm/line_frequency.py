@@ -126,7 +126,8 @@ def verdicts(found: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, m
     return whole.withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted)
 
 
-def _without(batches, text_at: int, removed_at: int, columns: list[str]):
+def _without(batches, text_at: int, chars_at: int | None, removed_at: int, columns: list[str]):
+    """The columns without the removed lines in the text, with the number of code points brought up to date."""
     for batch in batches:
         found = []
         for value, removed in zip(batch.column(text_at).to_pylist(), batch.column(removed_at).to_pylist()):
@@ -139,18 +140,22 @@ def _without(batches, text_at: int, removed_at: int, columns: list[str]):
                         keep.append(line)
                 value = "\n".join(keep)
             found.append(value)
-        arrays = [pa.array(found, pa.string()) if k == text_at else batch.column(k) for k in range(len(columns))]
+        arrays = list(batch.columns[: len(columns)])
+        arrays[text_at] = pa.array(found, pa.string())
+        if chars_at is not None:
+            changed = zip(found, batch.column(removed_at).to_pylist(), arrays[chars_at].to_pylist())
+            arrays[chars_at] = pa.array([len(t) if gone and t is not None else n for t, gone, n in changed], arrays[chars_at].type)
         yield pa.RecordBatch.from_arrays(arrays, columns)
 
 
-def clean(docs: DataFrame, text: str = "text", host: str = "source", **limits) -> DataFrame:
+def clean(docs: DataFrame, text: str = "text", host: str = "source", chars: str = "n_chars", **limits) -> DataFrame:
     """The documents that the rules keep, without the lines above the limit; columns as given."""
     columns = docs.columns
     found = measured(docs, text)
     kept = verdicts(found, host, **limits).where("kept").select(F.col("row").alias(ROW), F.col("removed").alias("__removed"))
     joined = found.select(*columns, ROW).join(kept, ROW).select(*columns, "__removed")
-    at = columns.index(text)
-    return joined.mapInArrow(lambda batches: _without(batches, at, len(columns), columns), docs.schema)
+    at, chars_at = columns.index(text), columns.index(chars) if chars in columns else None
+    return joined.mapInArrow(lambda batches: _without(batches, at, chars_at, len(columns), columns), docs.schema)
 
 
 def report(docs: DataFrame, **limits) -> DataFrame:

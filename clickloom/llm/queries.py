@@ -90,7 +90,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, shard, position - (shard * rows
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded with the byte-level vocabulary for many languages and decoded again."""
-    return bpe.digests(spark, table(spark, sf_dir, "documents"))
+    return bpe.digests(table(spark, sf_dir, "documents"))
 
 
 @query

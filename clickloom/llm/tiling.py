@@ -28,6 +28,7 @@ came. Very long texts cost time in proportion to their length.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -35,7 +36,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from clickloom.llm.common import ROW, texts, with_row_number
 from clickloom.session import stage
@@ -190,33 +190,29 @@ def tile_pair(stretches: list[list[str]], item: list[str]) -> list[tuple[int, in
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """A row per document row and item that tiles cover to ``min_coverage``: row, doc_id, item_id, tokens, covered and tiles.
-
-    ``docs`` has a row number if it is a written table made by ``with_row_number``.
-    """
+    """A row per document row and item that tiles cover to ``min_coverage``: doc_id, text_md5, item_id, n_tokens, covered and tiles."""
     spark = docs.sparkSession
     items = benchmark_items(benchmark)
     shared = spark.sparkContext.broadcast(seed_filter(items).tobytes())
-    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
-    at_word = ArrayType(ArrayType(StringType()))
 
     def find(batches):
         blocks = np.frombuffer(shared.value, np.uint32)
         for batch in batches:
-            rows, keys, found, hashes = [], [], [], []
-            for k, value in enumerate(texts(batch.column(2))):
+            rows, sums, found, hashes = [], [], [], []
+            for k, value in enumerate(texts(batch.column(1))):
                 stretches = _stretches(tokens(value), blocks)
                 if stretches:
                     rows.append(k)
+                    sums.append(hashlib.md5(value.encode()).hexdigest())
                     found.append(stretches)
                     hashes.append([_signed(xxhash.xxh64_intdigest(s)) for s in {s for words in stretches for s in seeds(words)}])
-            part = batch.take(pa.array(rows, pa.int64()))
-            kinds = [pa.list_(pa.list_(pa.string())), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, kinds[0]), pa.array(hashes, kinds[1])], ["row", "doc_id", "stretches", "seeds"])
+            keys = batch.column(0).take(pa.array(rows, pa.int64()))
+            kinds = [pa.string(), pa.list_(pa.list_(pa.string())), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([keys, *map(pa.array, (sums, found, hashes), kinds)], ["doc_id", "text_md5", "stretches", "seeds"])
 
-    narrow = docs.select(row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = StructType([StructField("row", LongType()), StructField("doc_id", LongType()), StructField("stretches", at_word), StructField("seeds", ArrayType(LongType()))])
-    found = stage(narrow.mapInArrow(find, schema), "stretches")
+    schema = "doc_id bigint, text_md5 string, stretches array<array<string>>, seeds array<bigint>"
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    found = stage(with_row_number(narrow.mapInArrow(find, schema)), "stretches")
 
     def item_seeds(batches):
         for batch in batches:
@@ -224,21 +220,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([pa.array([p[c] for p in pairs], pa.int64()) for c in (0, 1)], ["item", "seed"])
 
     seeded = items.select("item", "words").mapInArrow(item_seeds, "item bigint, seed bigint")
-    candidates = found.select("row", F.explode("seeds").alias("seed")).join(seeded, "seed").select("row", "item").distinct()
-    pairs = candidates.join(found.drop("seeds"), "row").join(items, "item")
+    candidates = found.select(ROW, F.explode("seeds").alias("seed")).join(seeded, "seed").select(ROW, "item").distinct()
+    pairs = candidates.join(found.drop("seeds"), ROW).join(items, "item").repartition(ROW, "item")
+    pairs = pairs.select("doc_id", "text_md5", "item_id", "stretches", "words")
 
     def tile(batches):
         kind = pa.list_(pa.struct([("item_start", pa.int32()), ("length", pa.int32())]))
         for batch in batches:
-            tiles = [tile_pair(s, w) for s, w in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
-            sizes = [len(w) for w in batch.column(4).to_pylist()]
+            words = batch.column(4).to_pylist()
+            tiles = [tile_pair(s, w) for s, w in zip(batch.column(3).to_pylist(), words)]
+            sizes = pa.array([len(w) for w in words], pa.int64())
             covered = pa.array([sum(n for _, _, n in t) for t in tiles], pa.int64())
             listed = pa.array([[{"item_start": i, "length": n} for i, _, n in t] for t in tiles], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), covered, listed], ["row", "doc_id", "item_id", "n_tokens", "covered", "tiles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], sizes, covered, listed], ["doc_id", "text_md5", "item_id", "n_tokens", "covered", "tiles"])
 
-    columns = pairs.select("row", "doc_id", "item_id", "stretches", "words").repartition("row", "item_id")
-    out = "row bigint, doc_id bigint, item_id bigint, n_tokens bigint, covered bigint, tiles array<struct<item_start: int, length: int>>"
-    return columns.mapInArrow(tile, out).where(F.col("covered") >= min_coverage * F.col("n_tokens"))
+    out = "doc_id bigint, text_md5 string, item_id bigint, n_tokens bigint, covered bigint, tiles array<struct<item_start: int, length: int>>"
+    return pairs.mapInArrow(tile, out).where(F.col("covered") >= min_coverage * F.col("n_tokens"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
@@ -247,9 +244,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     return found.select("doc_id", "item_id", "n_tokens", "covered", (F.col("covered") / F.col("n_tokens")).alias("coverage"), F.size("tiles").alias("n_tiles"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that hold no test item; columns as given."""
-    columns = docs.columns
-    numbered = stage(with_row_number(docs), "numbered")
-    hit = stage(matches(numbered, benchmark, **options).select(F.col("row").alias(ROW)).distinct(), "contaminated")
-    return numbered.join(hit, ROW, "left_anti").select(columns)
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that hold no test item; columns as given. Rows go by their text, which alone decides."""
+    hit = stage(matches(docs, benchmark, text=text, **options).select("text_md5").distinct(), "contaminated")
+    return docs.join(hit, F.md5(F.col(text).cast("binary")) == F.col("text_md5"), "left_anti")
