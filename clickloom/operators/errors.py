@@ -8,24 +8,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickloom import constants as C
 from clickloom.functions.quantiles import exact_quantiles, top_values, value_counts
 from clickloom.operators.filters import report_columns
 
 OTHER = "... OTHER ..."
-SERVICE = [
-    "actual",
-    "predicted",
-    "is_error",
-    "probability",
-    "prediction_type",
-    "error",
-    "abs_error",
-    "confidence_of_mistake",
-    "session_id",
-    "client_id",
-    "is_worst",
-    "rn",
-]
+# Columns that the operators of this module add to a frame, by task: reports by feature leave them out.
+_NAMED = ("actual", "predicted")
+_ADDED = {
+    "regression": ("error", "abs_error"),
+    "binary": ("is_error", "probability", "confidence_of_mistake"),
+    "multiclass": ("is_error", "probability"),
+}
+_RANKED = ("prediction_type", "is_worst")
+
+
+def _not_features() -> list[str]:
+    """Added columns and the technical keys of a frame."""
+    return [*_NAMED, *dict.fromkeys(c for added in _ADDED.values() for c in added), *_RANKED, *C.SERVICE_COLUMNS]
 
 
 def error_table(df: DataFrame, label: str, prediction: str, task: str = "binary") -> DataFrame:
@@ -72,7 +72,7 @@ def error_by_category(
     errors: DataFrame, columns: Sequence[str] | None = None, top_features: int = 6, top_k: int = 15
 ) -> DataFrame:
     """Error share and row count per category of the first text columns."""
-    columns = list(columns or report_columns(errors, SERVICE, top_features))
+    columns = list(columns or report_columns(errors, _not_features(), top_features))
     rows = _by_category(errors, columns, top_k, "is_error")
     return rows.groupBy("column_name", "category").agg(
         F.count(F.lit(1)).alias("n"),
@@ -85,7 +85,7 @@ def residual_box(
     errors: DataFrame, columns: Sequence[str] | None = None, top_features: int = 6, top_k: int = 15
 ) -> DataFrame:
     """Quartiles, ends and whiskers of the residuals per category of the first text columns."""
-    columns = list(columns or report_columns(errors, SERVICE, top_features))
+    columns = list(columns or report_columns(errors, _not_features(), top_features))
     rows = _by_category(errors, columns, top_k, "error")
     keys = ["column_name", "category"]
     boxes = exact_quantiles(rows, keys, "error", [0.0, 0.25, 0.5, 0.75, 1.0])
@@ -159,11 +159,10 @@ def probability_histogram(errors: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def write_worst_report(worst: DataFrame, path: str, score: str, features: Sequence[str], title: str) -> None:
-    """Save a text report of a few worst rows (the top-k report): one block per row."""
-    lines = [F.concat(F.lit("score: "), F.format_number(F.col(score), 3))]
-    lines += [F.concat(F.lit(f"  - {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("unknown"))) for c in features]
-    kind = [F.concat(F.col("prediction_type"), F.lit(" "))] if "prediction_type" in worst.columns else []
-    block = F.concat_ws("\n", F.concat(*kind, lines[0]), *lines[1:], F.lit("-" * 45))
-    heading = worst.sparkSession.range(1).select(F.lit(title + "\n" + "=" * 70).alias("value"), F.lit(0).alias("o"))
-    body = worst.select(block.alias("value"), F.lit(1).alias("o"))
+    """Save a text report of a few worst rows (the top-k report): a title, then one paragraph per row."""
+    kind = [F.upper("prediction_type")] if "prediction_type" in worst.columns else []
+    head = F.concat_ws(" ", *kind, F.concat(F.lit(f"{score}="), F.format_number(F.col(score), 3)))
+    parts = [F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("unknown"))) for c in features]
+    body = worst.select(F.concat(F.lit("\n"), F.concat_ws("\n", head, *parts)).alias("value"), F.lit(1).alias("o"))
+    heading = worst.sparkSession.range(1).select(F.lit(f"# {title}").alias("value"), F.lit(0).alias("o"))
     heading.unionByName(body).coalesce(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(path)

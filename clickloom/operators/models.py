@@ -72,6 +72,8 @@ def fit_model(
     Encoders learn from ``train`` only. Boosting reads its input once per
     iteration, so the assembled vectors are cached; lost blocks are recomputed.
     """
+    if positive_weight is not None and name == "network":
+        raise ValueError("the network takes no class weight: leave positive_weight out")
     allow_checkpoints(train.sparkSession)
     encoder = Pipeline(stages=input_stages(name, numbers, categories)).fit(train)
     if name == "network":
@@ -83,7 +85,7 @@ def fit_model(
         marked = train.withColumn("is_val", F.lit(False))
         frame = marked.unionByName(val.withColumn("is_val", F.lit(True)))
         params["validationIndicatorCol"] = "is_val"
-    if positive_weight is not None and name != "network":
+    if positive_weight is not None:
         frame = with_class_weight(frame, label, positive_weight)
         params["weightCol"] = "weight"
     estimator = make_estimator(name, task, label, **params)

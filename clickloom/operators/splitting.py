@@ -5,16 +5,17 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
-from clickloom.functions.quantiles import exact_quantiles
 from clickloom.session import stage
 
 log = logging.getLogger(__name__)
 
 SPLITS = ["train", "val", "test"]
+SLICE_CLIENTS = 50_000
 _LAST_SEEN = ["visit_date", "visit_time", "session_id"]
 
 
@@ -27,17 +28,30 @@ def client_labels(df: DataFrame, client: str, target: str | None) -> DataFrame:
     return df.groupBy(client).agg(F.coalesce(last, F.lit("")).alias("label"))
 
 
-def _cuts(clients: DataFrame, shares: list[float], largest: int) -> list[Column]:
-    """Per wanted share one expression: the place of a class's clients below which the share lies."""
-    found = exact_quantiles(clients, ["label"], "place", shares, distinct=largest).collect()  # one row per class
-    cuts = []
-    for i, share in enumerate(shares):
-        cut = F.lit(None).cast("double")
-        for row in found:
-            place = row["quantiles"][i] if share > 0 else -1.0
-            cut = F.when(F.col("label") == row["label"], F.lit(place)).otherwise(cut)
-        cuts.append(cut)
-    return cuts
+def _positions(clients: DataFrame, total: int) -> DataFrame:
+    """``clients`` with ``position``: 0, 1, ... in the order of label, place and key column.
+
+    Places are spread evenly, so slices of them hold about ``SLICE_CLIENTS`` clients whatever the labels are; each
+    slice is ranked by a task of its own. Starts are sums over one row per label and slice.
+    """
+    slices = max(1, total // SLICE_CLIENTS)
+    key = clients.columns[0]
+    cut = clients.withColumn("slice", F.floor(F.col("place") * slices))
+    counts = stage(cut.groupBy("label", "slice").agg(F.count(F.lit(1)).alias("n")), "slices")
+    labels = counts.groupBy("label").agg(F.sum("n").alias("n"))
+    before = W.orderBy("label").rowsBetween(W.unboundedPreceding, -1)  # one row per label
+    labels = labels.select("label", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("label_start"))
+    inside = W.partitionBy("label").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("label", "slice", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("slice_start"))
+    starts = starts.join(labels, "label").select("label", "slice", (F.col("label_start") + F.col("slice_start")).alias("start"))
+    number = F.row_number().over(W.partitionBy("label", "slice").orderBy("place", key)) - 1
+    ranked = cut.withColumn("number", number).join(starts, ["label", "slice"])
+    return ranked.select(*clients.columns, (F.col("start") + F.col("number")).alias("position"))
+
+
+def _picked(position: Column, share: float) -> Column:
+    """Whether a position is one of those that spread a share evenly over all positions."""
+    return F.floor((position + 1) * share) > F.floor(position * share)
 
 
 def group_split(
@@ -50,9 +64,13 @@ def group_split(
 ) -> DataFrame:
     """The frame with a ``split`` column; all rows of a client share one split.
 
-    Clients are ordered by a seeded hash within their class and cut at the
-    wanted shares, so the class shares carry over and the result does not
-    depend on the layout of the data. Rows without a client are left out.
+    Clients are ordered by class and, within it, by a seeded hash; test clients
+    are spread evenly over that order, and validation clients over the rest. Every
+    class gives its share up to one client, however many classes there are, and
+    the sizes of the sets are exact. The result does not depend on the layout of
+    the data. Where a set would have fewer clients than there are classes, or a
+    class has one client only, classes are not looked at. Rows without a client
+    are left out.
     """
     if test_size + val_size >= 1.0:
         raise ValueError("test_size and val_size together must stay below 1")
@@ -64,16 +82,16 @@ def group_split(
     # one row per client, written once: the cuts and the final join both read it
     clients = stage(clients, "clients")
     sizes = clients.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.min("n"), F.sum("n"), F.count("n")).first()
-    if sizes[2] > 1 and sizes[0] < 2:
-        log.warning("a class has fewer than 2 clients: splitting without strata")
+    total, classes = sizes[1] or 0, sizes[2]
+    too_small = any(share > 0 and total * share < classes for share in (test_size, val_size))
+    if classes > 1 and (sizes[0] < 2 or too_small):
+        log.warning("too few clients for %s classes: splitting without strata", classes)
         clients = clients.withColumn("label", F.lit(""))
-    # the validation clients follow the test clients in the same order
-    val_end = round(test_size + val_size, 12) if val_size > 0 else 0.0
-    test_cut, val_cut = _cuts(clients, [test_size, val_end], sizes[1] or 0)
-    split = (
-        F.when(F.col("place") <= test_cut, "test").when(F.col("place") <= val_cut, "val").otherwise("train")
-    )
-    return known.join(clients.select(client, split.alias("split")), client)
+    placed = _positions(clients.select(client, "label", "place"), total)
+    rest = F.col("position") - F.floor(F.col("position") * test_size)
+    split = F.when(_picked(F.col("position"), test_size), "test").when(_picked(rest, val_size / (1 - test_size)), "val").otherwise("train")
+    clients = stage(placed.select(client, split.alias("split")), "client-splits")
+    return known.join(clients, client)
 
 
 def three_frames(split: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

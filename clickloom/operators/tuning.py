@@ -49,7 +49,7 @@ def random_search(
             history.append((number, float(objective(params)), params, None))
         except Exception as error:  # noqa: BLE001 - one bad draw must not end the search
             log.warning("trial %s failed: %s", number, error)
-            history.append((number, None, params, str(error)[:500]))
+            history.append((number, None, params, str(error)))
     done = [h for h in history if h[1] is not None and not math.isnan(h[1])]
     sign = 1 if direction == "maximize" else -1
     best = max(done, key=lambda h: (sign * h[1], -h[0]))[2] if done else None

@@ -128,12 +128,14 @@ SPLIT = f"""
 client_labels AS (
   SELECT client_id, event_value AS label, {share_of("client_id")} AS place FROM mart
   QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY visit_date DESC, visit_time DESC NULLS LAST, session_id DESC) = 1),
-cuts AS (
-  SELECT label, quantile_cont(place, {C.TEST_SIZE}) AS test_cut, quantile_cont(place, {round(C.TEST_SIZE + C.VAL_SIZE, 12)}) AS val_cut
-  FROM client_labels GROUP BY label),
+ordered AS (SELECT client_id, row_number() OVER (ORDER BY CAST(label AS VARCHAR), place, client_id) - 1 AS p FROM client_labels),
+remaining AS (SELECT *, p - floor(p * CAST({C.TEST_SIZE} AS DOUBLE)) AS r FROM ordered),
 client_splits AS (
-  SELECT client_id, CASE WHEN place <= test_cut THEN 'test' WHEN place <= val_cut THEN 'val' ELSE 'train' END AS split
-  FROM client_labels JOIN cuts USING (label))"""
+  SELECT client_id, CASE
+    WHEN floor((p + 1) * CAST({C.TEST_SIZE} AS DOUBLE)) > floor(p * CAST({C.TEST_SIZE} AS DOUBLE)) THEN 'test'
+    WHEN floor((r + 1) * CAST({C.VAL_SIZE / (1 - C.TEST_SIZE)!r} AS DOUBLE)) > floor(r * CAST({C.VAL_SIZE / (1 - C.TEST_SIZE)!r} AS DOUBLE)) THEN 'val'
+    ELSE 'train' END AS split
+  FROM remaining)"""
 
 # --- features and cleaning ----------------------------------------------------
 

@@ -25,6 +25,7 @@ from clickloom.plans import oracle as O
 from clickloom.plans import training as T
 from clickloom.session import new_path, stage
 from clickloom.sources import events as E
+from clickloom.sources.files import read_flat, write_csv
 from clickloom.sources.schemas import SESSIONS_SCHEMA, check_schema
 from clickloom.streaming import jobs, sinks
 
@@ -256,7 +257,7 @@ def row_sample(spark, sf_dir):
     ),
 )
 def group_split_query(spark, sf_dir):
-    return group_split(mart_of(spark, sf_dir)).select("session_id", "client_id", "event_value", "split")
+    return group_split(stage(mart_of(spark, sf_dir), "mart")).select("session_id", "client_id", "event_value", "split")
 
 
 @query(
@@ -269,7 +270,7 @@ def group_split_query(spark, sf_dir):
     ),
 )
 def group_split_counts(spark, sf_dir):
-    return split_sizes(group_split(drop_sparse_rows(mart_of(spark, sf_dir))))
+    return split_sizes(group_split(stage(drop_sparse_rows(mart_of(spark, sf_dir)), "mart")))
 
 
 @query(
@@ -285,12 +286,42 @@ def group_split_labels(spark, sf_dir):
     return client_labels(mart_of(spark, sf_dir), "client_id", "event_value")
 
 
+@query(
+    "split_many_labels",
+    """WITH labelled AS (
+         SELECT o_orderkey, CAST(o_custkey % 500 AS VARCHAR) AS label, CAST(o_orderkey AS VARCHAR) || '|SEED' AS k FROM orders),
+       placed AS (SELECT *, CAST('0x' || substring(md5(k), 1, 13) AS BIGINT) / 4503599627370496 AS place FROM labelled),
+       ordered AS (SELECT *, row_number() OVER (ORDER BY label, place, o_orderkey) - 1 AS p FROM placed),
+       remaining AS (SELECT *, p - floor(p * CAST(0.2 AS DOUBLE)) AS r FROM ordered),
+       split AS (SELECT label, CASE WHEN floor((p + 1) * CAST(0.2 AS DOUBLE)) > floor(p * CAST(0.2 AS DOUBLE)) THEN 'test'
+         WHEN floor((r + 1) * CAST(0.25 AS DOUBLE)) > floor(r * CAST(0.25 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split FROM remaining)
+       SELECT label, split, count(*) AS n_clients FROM split GROUP BY label, split""".replace("SEED", str(C.SEED)),
+)
+def split_many_labels(spark, sf_dir):
+    """A split of orders with 500 labels: every label gives its share up to one order."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", (F.col("o_custkey") % 500).cast("string").alias("label"))
+    split = group_split(orders, "o_orderkey", "label", test_size=0.2, val_size=0.2)
+    return split.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n_clients"))
+
+
+@query(
+    "csv_round_trip",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def csv_round_trip(spark, sf_dir):
+    """Documents, with their quotes and line breaks, written as CSV and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = new_path(spark, "documents") + ".csv"
+    write_csv(docs, path)
+    return read_flat(spark, path, docs.schema)
+
+
 @query(
     "split_leakage",
     O.sql(O.BLOCKS["latest"], "SELECT client_id, CAST(1 AS BIGINT) AS n_splits FROM latest GROUP BY client_id"),
 )
 def split_leakage(spark, sf_dir):
-    split = group_split(mart_of(spark, sf_dir))
+    split = group_split(stage(mart_of(spark, sf_dir), "mart"))
     return split.groupBy("client_id").agg(F.count_distinct("split").alias("n_splits"))
 
 

@@ -24,6 +24,8 @@ from clickloom.sources.files import write_predictions
 from clickloom.sources.schemas import read_contract, require_columns, write_contract
 
 KEYS = ["session_id", "client_id"]
+# metrics that are better when smaller; all others are better when larger
+ERRORS = ("rmse", "mae")
 
 
 @dataclass
@@ -40,6 +42,11 @@ class Spec:
     metric: str = "roc_auc"
 
 
+def direction_of(metric: str) -> str:
+    """Which way a metric improves."""
+    return "minimize" if metric in ERRORS else "maximize"
+
+
 def prepare(mart: DataFrame, spec: Spec, seed: int = C.SEED, **sizes: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drop sparse rows, split by client and write the result once: fitting reads it many times."""
     stratum = None if spec.task == "regression" else spec.label
@@ -117,11 +124,19 @@ def train_job(mart: DataFrame, root: str, version: str, spec: Spec, run_name: st
 
 
 def tune_and_train_job(
-    mart: DataFrame, root: str, version: str, spec: Spec, space: dict, trials: int, seed: int = C.SEED, **sizes: float
+    mart: DataFrame,
+    root: str,
+    version: str,
+    spec: Spec,
+    space: dict,
+    trials: int,
+    seed: int = C.SEED,
+    direction: str | None = None,
+    **sizes: float,
 ) -> dict[str, float]:
     """Search for the best parameters, log all trials, then train once more with the best ones and save."""
     train, val, test = prepare(mart, spec, **sizes)
-    best, history = tune_job(train, val, spec, space, trials, seed)
+    best, history = tune_job(train, val, spec, space, trials, seed, direction)
     trials_table(mart.sparkSession, history).write.mode("overwrite").parquet(f"{root.rstrip('/')}/trials_v{version}")
     if best is None:
         raise ValueError("every trial failed: see the trials table")
@@ -141,9 +156,12 @@ def evaluate_job(mart: DataFrame, root: str, version: str, spec: Spec, **sizes:
 
 
 def tune_job(
-    train: DataFrame, val: DataFrame, spec: Spec, space: dict, trials: int, seed: int = C.SEED, direction: str = "maximize"
+    train: DataFrame, val: DataFrame, spec: Spec, space: dict, trials: int, seed: int = C.SEED, direction: str | None = None
 ) -> tuple[dict | None, list]:
-    """Random search. Preparation does not depend on the drawn parameters, so it is fitted once."""
+    """Random search. Preparation does not depend on the drawn parameters, so it is fitted once.
+
+    Without a direction the metric decides.
+    """
     prepared = fit_preparation(train, spec)
     stages = prepared[0]
     staged = stage(prepared[1], "tuning")
@@ -159,7 +177,7 @@ def tune_job(
         )
         return models.best_val_score(fitted, clean_val, spec.label, spec.task, spec.metric)
 
-    return random_search(objective, space, trials, direction, seed)
+    return random_search(objective, space, trials, direction or direction_of(spec.metric), seed)
 
 
 def score_job(
@@ -179,4 +197,5 @@ def score_job(
     rows = drop_sparse_rows(df) if drop_sparse else df
     scored = models.score(model, rows, keys or KEYS)
     write_predictions(scored, out, file_format)
-    return scored
+    reader = spark.read.schema(scored.schema)
+    return (reader.option("header", True) if file_format == "csv" else reader).format(file_format).load(out)

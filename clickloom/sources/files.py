@@ -6,12 +6,16 @@ import os
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.constants import SEED
 from clickloom.sources.schemas import DAY_COLUMN, RAW_SCHEMAS
 
+# quotes inside quoted fields are doubled, and such fields may hold line breaks
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
 _READERS = {".csv": "csv", ".parquet": "parquet", ".pqt": "parquet", ".pq": "parquet"}
 
 
@@ -30,12 +34,11 @@ def read_flat(
     if suffix not in _READERS:
         raise ValueError(f"unsupported file format: {suffix or path}")
     reader = spark.read.schema(schema) if schema else spark.read
-    if suffix == ".csv":
-        reader = reader.option("header", True)
-        if schema is None:
-            reader = reader.option("inferSchema", True)
     try:
-        df = reader.format(_READERS[suffix]).load(path)
+        if suffix == ".csv":
+            df = _typed_csv(spark, path, schema) if schema else reader.options(**CSV_OPTIONS).option("inferSchema", True).csv(path)
+        else:
+            df = reader.format(_READERS[suffix]).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise ValueError(f"no data file at {path}") from error
@@ -43,22 +46,80 @@ def read_flat(
     return df.sample(withReplacement=False, fraction=sample, seed=seed) if sample < 1.0 else df
 
 
-def load_raw_csv(spark: SparkSession, csv_path: str, kind: str, out_path: str) -> DataFrame:
+def csv_texts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV file or folder with all columns as text, named by the header. Empty fields are null.
+
+    One task reads a whole file, as a line break may stand inside quotes. Where none does,
+    ``multi_line=False`` lets Spark split large files.
+    """
+    return spark.read.options(**{**CSV_OPTIONS, "multiLine": multi_line}).csv(path)
+
+
+def _converted(field: T.StructField) -> Column:
+    """A text column as the type of a field; null where it does not parse. Whole numbers may be written as 12.0."""
+    name, kind = f"`{field.name}`", field.dataType
+    if isinstance(kind, T.IntegralType):
+        # straight first: a double would lose digits of long numbers
+        whole = F.expr(f"try_cast({name} as double)")
+        through = F.when(whole == F.floor(whole), whole).try_cast(kind)
+        return F.coalesce(F.expr(f"CASE WHEN {name} RLIKE '^[+-]?[0-9]+$' THEN try_cast({name} as {kind.simpleString()}) END"), through)
+    return F.expr(f"try_cast({name} as {kind.simpleString()})")
+
+
+def _typed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """The columns of a schema by name, in its order, converted. A missing column is an error."""
+    texts = csv_texts(spark, path, multi_line)
+    missing = [f.name for f in schema if f.name not in texts.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return texts.select(*(_converted(f).alias(f.name) for f in schema))
+
+
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """(column_name, n_rejected, example) of the columns with values that do not parse."""
+    texts = csv_texts(spark, path, multi_line)
+    bad = {f.name: F.col(f"`{f.name}`").isNotNull() & _converted(f).isNull() for f in schema if f.name in texts.columns}
+    counts = texts.agg(
+        *(F.count(F.when(b, 1)).alias(f"n:{c}") for c, b in bad.items()),
+        *(F.min(F.when(b, F.col(f"`{c}`"))).alias(f"e:{c}") for c, b in bad.items()),
+    )
+    lines = F.array(
+        *(F.struct(F.lit(c).alias("column_name"), F.col(f"`n:{c}`").alias("n_rejected"), F.col(f"`e:{c}`").alias("example")) for c in bad)
+    )
+    return counts.select(F.inline(lines)).where("n_rejected > 0")
+
+
+def load_raw_csv(spark: SparkSession, csv_path: str, kind: str, out_path: str, max_rejects: int = 0, multi_line: bool = True) -> DataFrame:
     """Load a raw CSV (``hits`` or ``sessions``) into parquet partitioned by day.
 
-    Spark splits the file, so no chunk loop is needed. Rows of one day are
-    spread over several writers by the rebalance, however large the day is.
+    Columns are taken by the names in the header. Values that do not parse are
+    counted first: more than ``max_rejects`` of them are an error that names
+    them, fewer become null. Files are read whole by one task each, because
+    quoted line breaks forbid to split them: give large data as many files, or
+    set ``multi_line`` to false where no field holds a line break.
+    Rows of one day are spread over several writers by the rebalance, however
+    large the day is.
     """
     if kind not in RAW_SCHEMAS:
         raise ValueError(f"unknown raw table: {kind}")
     schema, day = RAW_SCHEMAS[kind], DAY_COLUMN[kind]
-    raw = spark.read.schema(schema).option("header", True).csv(csv_path)
+    raw = _typed_csv(spark, csv_path, schema, multi_line)
+    rejects = csv_rejects(spark, csv_path, schema, multi_line).collect()  # one row per column at most
+    if sum(r["n_rejected"] for r in rejects) > max_rejects:
+        told = "; ".join(f"{r['column_name']}: {r['n_rejected']}, such as {r['example']!r}" for r in rejects)
+        raise ValueError(f"{csv_path} has values that do not parse: {told}")
     balanced = raw.hint("rebalance", day)
     balanced.write.mode("overwrite").partitionBy(day).parquet(out_path)
     # partition columns come last on disk
     return spark.read.schema(schema).parquet(out_path).select(*schema.fieldNames())
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write a frame as CSV that ``read_flat`` and ``csv_texts`` read back unchanged: empty texts quoted, nulls bare."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', **keep).csv(path)
+
+
 def read_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A table of an external database over JDBC.
 

@@ -88,7 +88,7 @@ def test_worst_cases_and_report(spark, tmp_path):
     assert sorted(got) == sorted([("FP", r[0]) for r in fp] + [("FN", r[0]) for r in fn])
     R.write_worst_report(worst, str(tmp_path / "report"), "probability", ["cat", "id"], "Worst")
     text = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "report"), wholetext=True).collect())
-    assert text.startswith("Worst") and text.count("score:") == 10
+    assert text.startswith("# Worst") and text.count("probability=") == 10 and text.count("FP probability") == 5
     assert R.false_positives(errors).count() + R.false_negatives(errors).count() == errors.filter("is_error = 1").count()
 
 

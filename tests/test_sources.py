@@ -38,6 +38,37 @@ def test_csv_load_round_trip(spark, raw, tmp_path):
         S.load_raw_csv(spark, csv, "orders", out)
 
 
+def hits_csv(tmp_path, header, *lines):
+    path = tmp_path / "hits.csv"
+    path.write_text("\n".join([",".join(header), *lines]) + "\n")
+    return str(path)
+
+
+def test_csv_columns_go_by_name_and_quotes_hold(spark, tmp_path):
+    names = H.HITS_SCHEMA.fieldNames()[::-1]
+    values = {"session_id": "s1", "hit_date": "2024-01-02", "hit_time": "597864.0", "hit_number": "3", "event_label": '"say ""hi"", ok\nnext line"', "event_value": "0.5"}
+    path = hits_csv(tmp_path, names, ",".join(values.get(n, "") for n in names))
+    rows = S.load_raw_csv(spark, path, "hits", str(tmp_path / "out")).collect()
+    assert len(rows) == 1
+    row = rows[0]
+    assert (row["session_id"], row["hit_time"], row["hit_number"], row["event_value"], row["hit_type"]) == ("s1", 597864, 3, 0.5, None)
+    assert row["event_label"] == 'say "hi", ok\nnext line'
+    assert S.read_flat(spark, path, H.HITS_SCHEMA).collect() == rows
+
+
+def test_csv_bad_values_and_missing_columns_are_errors(spark, tmp_path):
+    names = H.HITS_SCHEMA.fieldNames()
+    path = hits_csv(tmp_path, names, *(",".join(["s", "2024-01-02", t, "1", *[""] * 7]) for t in ("1", "notanumber", "1.5", "9007199254740993")))
+    with pytest.raises(ValueError, match="hit_time: 2"):
+        S.load_raw_csv(spark, path, "hits", str(tmp_path / "out"))
+    assert [(r["column_name"], r["n_rejected"]) for r in S.csv_rejects(spark, path, H.HITS_SCHEMA).collect()] == [("hit_time", 2)]
+    loaded = S.load_raw_csv(spark, path, "hits", str(tmp_path / "out"), max_rejects=2)
+    assert sorted(r["hit_time"] or 0 for r in loaded.collect()) == [0, 0, 1, 9007199254740993]
+    short = hits_csv(tmp_path, names[1:], ",".join(["2024-01-02", "1", "1", *[""] * 7]))
+    with pytest.raises(ValueError, match="no column session_id"):
+        S.load_raw_csv(spark, short, "hits", str(tmp_path / "out2"))
+
+
 def test_flat_files(spark, tmp_path):
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     df.write.parquet(str(tmp_path / "a.parquet"))

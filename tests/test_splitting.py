@@ -79,6 +79,17 @@ def test_tiny_class_falls_back_to_no_strata(spark, caplog):
     assert sizes["test"] == 10 and sizes["val"] == 10
 
 
+@pytest.mark.parametrize("labels, per_label", [(200, 2), (1500, 2), (300, 10)])
+def test_many_labels_give_their_shares(spark, labels, per_label):
+    rows = [(f"c{k}", f"l{k % labels}") for k in range(labels * per_label)]
+    split = group_split(spark.createDataFrame(rows, "client_id string, kind string"), target="kind", test_size=0.2, val_size=0.2)
+    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert counts["test"] == labels * per_label // 5 and abs(counts["val"] - labels * per_label // 5) <= 1
+    if per_label >= 10:  # enough clients for strata
+        each = split.filter("split = 'test'").groupBy("kind").count().agg(F.min("count"), F.max("count"), F.count("*")).first()
+        assert tuple(each) == (per_label // 5, per_label // 5, labels)
+
+
 def test_label_is_the_last_one(spark):
     labels = {r["client_id"]: r["label"] for r in client_labels(frame(spark, 10), "client_id", "event_value").collect()}
     assert labels["c0"] == "1" and labels["c1"] == "0"
