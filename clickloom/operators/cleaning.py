@@ -7,7 +7,7 @@ import json
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +20,9 @@ from clickloom.functions.quantiles import (
     top_values,
     value_counts,
 )
-from clickloom.session import new_path
+from clickloom.session import stage
 
-# Brand medians up to this many brands live inside the model; more go to a table.
-INLINE_BRANDS = 10_000
+BRANDS_SCHEMA = "device_brand string, brand_median double"
 
 OTHER = "other_collapsed"
 QUARTILES = [0.25, 0.5, 0.75]
@@ -70,7 +69,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
     """Learns from the training frame; a handful of aggregations, no rows reach the driver.
 
     What does reach it: per column a few numbers and at most ``topCategories``
-    values, and the medians of at most ``INLINE_BRANDS`` brands.
+    values. Medians per brand stay in a table, which is saved with the model.
     """
 
     @keyword_only
@@ -107,7 +106,7 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         details = self._details(df, numbers, basics)
         total = basics["rows"]
         null_share = {c: (total - basics[f"known:{c}"]) / total if total else 0.0 for c in studied}
-        shares = self._top_shares(df, numbers, texts, basics, counts, details)
+        shares = self._top_shares(df, numbers, texts, basics, counts)
         sparse = [c for c in studied if null_share[c] > self.value("maxNullShare")]
         constant = [c for c in studied if max(shares[c], null_share[c]) > self.value("maxConstantShare")]
         dropped = sorted(technical | set(sparse) | set(constant))
@@ -131,18 +130,19 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
             "inputs": df.columns,
             "dropped": dropped,
             "null_share": null_share,
-            "top_share": {c: max(shares[c], null_share[c]) for c in studied if max(shares[c], null_share[c]) > 0.5},
+            "top_share": {c: max(shares[c], null_share[c]) for c in studied},
             "top_categories": {c: [v for v, _ in counts.get(c, [])[:limit]] for c in kept_texts},
             "fills": fills,
             "bounds": self._bounds(kept_numbers, quantiles, basics),
-            **self._screen_medians(df, basics, details),
+            "screen_median": self._screen_median(df, details),
         }
         model = SessionCleanerModel()
+        model.brands = self._brand_medians(df, details)
         self._copyValues(model)
         return model._set(state=json.dumps(state))
 
     def _basics(self, df: DataFrame, studied: list[str], numbers: list[str]) -> dict:
-        """One pass: known values per column, and moments and a middle value per number."""
+        """One pass: known values per column, and moments and the number of distinct values per number."""
         wanted = {"rows": F.count(F.lit(1))}
         for c in studied:
             wanted[f"known:{c}"] = F.count(F.col(c))
@@ -154,7 +154,6 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
                 wanted[f"mean:{c}"] = F.avg(number)
             if spread:
                 wanted[f"std:{c}"] = F.stddev_samp(number)
-            wanted[f"middle:{c}"] = F.percentile_approx(c, 0.5)
             wanted[f"distinct:{c}"] = F.approx_count_distinct(c)
         return _lines(df, wanted)
 
@@ -172,31 +171,21 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
         return self.value("numStrategy") == "median" or self.value("outlierMethod") == "iqr"
 
     def _details(self, df: DataFrame, numbers: list[str], basics: dict) -> dict:
-        """Second pass: rows equal to the middle value, and quartiles where few distinct values allow it."""
+        """Second pass: quartiles where few distinct values allow it."""
         wanted = {}
         ends = F.array(*[F.lit(s) for s in QUARTILES])
         for c in numbers:
-            if basics[f"middle:{c}"] is not None:
-                wanted[f"equal:{c}"] = F.count(F.when(F.col(c) == F.lit(basics[f"middle:{c}"]), 1))
             small = basics[f"distinct:{c}"] <= IN_MEMORY_VALUES
             if small and (self._needs_quartiles() or c == "screen_area"):
                 wanted[f"quartiles:{c}"] = F.percentile(F.col(c).cast("double"), ends)
         return _lines(df, wanted)
 
-    def _top_shares(self, df, numbers, texts, basics, counts, details) -> dict[str, float]:
-        """Share of the most frequent known value per column.
-
-        A number that fills more than half of the known rows is their middle
-        value, so it is enough to count the rows equal to the middle value.
-        Lower limits need the full value counts.
-        """
+    def _top_shares(self, df, numbers, texts, basics, counts) -> dict[str, float]:
+        """Share of the most frequent known value per column."""
         total = basics["rows"] or 1
-        shares = {c: (counts[c][0][1] / total if counts.get(c) else 0.0) for c in texts}
-        if self.value("maxConstantShare") >= 0.51:
-            return {**shares, **{c: details.get(f"equal:{c}", 0) / total for c in numbers}}
-        best = top_values(value_counts(df, numbers), 1).collect() if numbers else []
+        best = top_values(value_counts(df, numbers), 1).collect() if numbers else []  # one row per column
         found = {r["column_name"]: r["n"] / total for r in best}
-        return {**shares, **{c: found.get(c, 0.0) for c in numbers}}
+        return {c: counts[c][0][1] / total if counts.get(c) else 0.0 for c in texts} | {c: found.get(c, 0.0) for c in numbers}
 
     def _quartiles(self, df: DataFrame, numbers: list[str], details: dict) -> dict[str, list]:
         """Quartiles per number; the columns the second pass left out are done together."""
@@ -220,44 +209,64 @@ class SessionCleaner(Estimator, _CleanerParams, DefaultParamsReadable, DefaultPa
                     bounds[c] = [low - width * (high - low), high + width * (high - low)]
         return bounds
 
-    def _screen_medians(self, df: DataFrame, basics: dict, details: dict) -> dict:
-        """Median screen area overall and per brand."""
+    def _screen_median(self, df: DataFrame, details: dict) -> float | None:
+        """Median screen area overall."""
         if "screen_area" not in df.columns:
-            return {"screen_median": 0.0, "brand_medians": {}, "brand_table": None}
-        small = "quartiles:screen_area" in details
-        if small:
-            overall = (details["quartiles:screen_area"] or [None] * 3)[1]
-        else:
-            row = exact_quantiles(df, [], "screen_area", [0.5]).first()
-            overall = row["quantiles"][0] if row else None
-        if "device_brand" not in df.columns:
-            return {"screen_median": overall, "brand_medians": {}, "brand_table": None}
+            return 0.0
+        if "quartiles:screen_area" in details:
+            return (details["quartiles:screen_area"] or [None] * 3)[1]
+        row = exact_quantiles(df, [], "screen_area", [0.5]).first()
+        return row["quantiles"][0] if row else None
+
+    def _brand_medians(self, df: DataFrame, details: dict) -> DataFrame:
+        """Median screen area per brand in a written table; empty without these columns."""
+        if not {"screen_area", "device_brand"} <= set(df.columns):
+            return df.sparkSession.createDataFrame([], BRANDS_SCHEMA)
         branded = df.filter("device_brand IS NOT NULL AND screen_area IS NOT NULL")
-        if small:  # a brand holds no more distinct areas than all rows do
+        if "quartiles:screen_area" in details:  # a brand holds no more distinct areas than all rows do
             medians = branded.groupBy("device_brand").agg(F.percentile("screen_area", 0.5).alias("brand_median"))
         else:
             medians = exact_quantiles(branded, ["device_brand"], "screen_area", [0.5]).select(
                 "device_brand", F.col("quantiles")[0].alias("brand_median")
             )
-        rows = medians.limit(INLINE_BRANDS + 1).collect()
-        if len(rows) <= INLINE_BRANDS:
-            inline = {r["device_brand"]: r["brand_median"] for r in rows}
-            return {"screen_median": overall, "brand_medians": inline, "brand_table": None}
-        table = new_path(df.sparkSession, "brand-medians")
-        medians.write.parquet(table)
-        return {"screen_median": overall, "brand_medians": {}, "brand_table": table}
+        return stage(medians, "brand-medians")
+
+
+class _CleanerWriter(DefaultParamsWriter):
+    """Saves the parameters and, next to them, the table of brand medians."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.brands.write.mode("overwrite").parquet(f"{path}/brands")
+
+
+class _CleanerReader(DefaultParamsReader):
+    """Loads what ``_CleanerWriter`` saved, from the model folder alone."""
+
+    def load(self, path: str) -> SessionCleanerModel:
+        model = super().load(path)
+        model.brands = self.sparkSession.read.schema(BRANDS_SCHEMA).parquet(f"{path}/brands")
+        return model
 
 
 class SessionCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Applies what was learned: one projection, plus one join on the brand for screen areas."""
 
     state = Param(Params._dummy(), "state", "learned values as JSON", TypeConverters.toString)
+    brands: DataFrame | None = None
 
     def __init__(self):
         super().__init__()
         self._defaults()
         self._setDefault(state="{}")
 
+    def write(self) -> _CleanerWriter:
+        return _CleanerWriter(self)
+
+    @classmethod
+    def read(cls) -> _CleanerReader:
+        return _CleanerReader(cls)
+
     @property
     def learned(self) -> dict:
         return json.loads(self.getOrDefault(self.state))
@@ -265,8 +274,7 @@ class SessionCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultP
     def report(self, spark: SparkSession) -> DataFrame:
         """What was learned, one row per column of the training frame.
 
-        ``top_share`` is the share of the most frequent value, unknown included,
-        where it is more than a half.
+        ``top_share`` is the share of the most frequent value, unknown included.
         """
         learned = self.learned
         rows = []
@@ -292,14 +300,9 @@ class SessionCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultP
             "fill_text string, low double, high double, top_values array<string>",
         )
 
-    def brand_report(self, spark: SparkSession) -> DataFrame:
+    def brand_report(self) -> DataFrame:
         """Learned screen medians per brand."""
-        learned = self.learned
-        if learned["brand_table"]:
-            return spark.read.parquet(learned["brand_table"])
-        return spark.createDataFrame(
-            sorted(learned["brand_medians"].items()), "device_brand string, brand_median double"
-        )
+        return self.brands
 
     def output_columns(self, inputs: list[str] | None = None) -> list[str]:
         learned = self.learned
@@ -336,18 +339,9 @@ class SessionCleanerModel(Model, _CleanerParams, DefaultParamsReadable, DefaultP
             finished.append(value.alias(c))
         return df.select(*finished)
 
-    @staticmethod
-    def _fill_screen_area(df: DataFrame, learned: dict) -> DataFrame:
+    def _fill_screen_area(self, df: DataFrame, learned: dict) -> DataFrame:
         overall = F.lit(learned["screen_median"]).cast("double")
-        medians = None
-        if learned["brand_table"]:
-            medians = df.sparkSession.read.parquet(learned["brand_table"])
-        elif learned["brand_medians"]:
-            rows = sorted(learned["brand_medians"].items())
-            medians = F.broadcast(
-                df.sparkSession.createDataFrame(rows, "device_brand string, brand_median double")
-            )
-        if medians is None or "device_brand" not in df.columns:
+        if self.brands is None or "device_brand" not in df.columns:
             return df.withColumn("screen_area", F.coalesce("screen_area", overall))
-        joined = df.join(medians, "device_brand", "left")
+        joined = df.join(self.brands, "device_brand", "left")
         return joined.withColumn("screen_area", F.coalesce("screen_area", "brand_median", overall)).drop("brand_median")

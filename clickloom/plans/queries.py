@@ -675,7 +675,7 @@ def learned(spark, sf_dir, **settings):
     "preprocess_drop_cols",
     O.sql(
         O.BLOCKS["studied"],
-        f"""SELECT column_name, null_share, CASE WHEN top_share > 0.5 THEN top_share END AS top_share,
+        f"""SELECT column_name, null_share, top_share,
                    CAST(null_share > {C.MAX_NULL_SHARE} OR top_share > {C.MAX_CONSTANT_SHARE} AS INT) AS dropped
             FROM column_shares""",
     ),
@@ -700,7 +700,25 @@ def preprocess_fill_values(spark, sf_dir):
 
 @query("preprocess_brand_medians", O.sql(O.BLOCKS["studied"], "SELECT * FROM brand_medians"))
 def preprocess_brand_medians(spark, sf_dir):
-    return learned(spark, sf_dir).brand_report(spark)
+    return learned(spark, sf_dir).brand_report()
+
+
+@query(
+    "many_brands",
+    """WITH lines AS (
+         SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS session_id, 'b' || l_orderkey AS brand,
+                CASE WHEN l_linenumber % 3 <> 1 THEN CAST(l_partkey AS DOUBLE) END AS area FROM lineitem),
+       medians AS (SELECT brand, median(area) AS m FROM lines GROUP BY brand)
+       SELECT session_id, coalesce(area, m, (SELECT median(area) FROM lines)) AS screen_area FROM lines JOIN medians USING (brand)""",
+)
+def many_brands(spark, sf_dir):
+    """Unknown areas filled by the medians of as many brands as there are orders."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    area = F.when(F.col("l_linenumber") % 3 != 1, F.col("l_partkey").cast("double"))
+    rows = stage(lines.select(key.alias("session_id"), F.concat(F.lit("b"), "l_orderkey").alias("device_brand"), area.alias("screen_area")), "areas")
+    cleaner = SessionCleaner(passThrough=["session_id"], dropCols=[], maxNullShare=1.0, maxConstantShare=1.0)
+    return cleaner.fit(rows).transform(rows).select("session_id", "screen_area")
 
 
 @query(

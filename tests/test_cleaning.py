@@ -2,43 +2,57 @@
 
 from __future__ import annotations
 
+import shutil
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning
 from clickloom.operators.cleaning import SessionCleaner, SessionCleanerModel
 from clickloom.operators.features import ENGINEERED_COLUMNS, SessionFeatures
 
-SCHEMA = (
-    "session_id string, client_id string, visit_date string, visit_time string, device_brand string, device_category string, "
-    "device_os string, screen_area double, total_hits double, explicit_drop string, constant_col double, sparse string, kind string"
-)
-
-
-def sample(n=200, seed=42):
-    rng = np.random.default_rng(seed)
-    pdf = pd.DataFrame(
-        {
-            "session_id": [f"sess_{i}" for i in range(n)],
-            "client_id": [f"client_{i}" for i in range(n)],
-            "visit_date": "2026-06-01",
-            "visit_time": "12:00:00",
-            "device_brand": rng.choice(["apple", "samsung", "huawei"], n).astype(object),
-            "device_category": rng.choice(["mobile", "desktop", "tablet"], n).astype(object),
-            "device_os": rng.choice(["iOS", "Android", "Windows", "Linux"], n, p=[0.3, 0.4, 0.25, 0.05]).astype(object),
-            "screen_area": rng.integers(300_000, 2_000_000, n).astype(float),
-            "total_hits": rng.integers(1, 50, n).astype(float),
-            "explicit_drop": "trash",
-            "constant_col": 42.0,
-            "sparse": [("x" if i % 40 == 0 else None) for i in range(n)],
-            "kind": rng.choice(list("abcdefgh"), n, p=[0.3, 0.2, 0.2, 0.1, 0.1, 0.05, 0.03, 0.02]).astype(object),
-        }
-    )
-    for column, share in {"device_brand": 0.05, "device_os": 0.5, "screen_area": 0.1, "kind": 0.1}.items():
-        pdf.loc[rng.random(n) < share, column] = None
-    return pdf
+COLUMNS = {
+    "session_id": "string",
+    "visit_date": "string",
+    "visit_time": "string",
+    "device_brand": "string",
+    "device_category": "string",
+    "device_os": "string",
+    "kind": "string",
+    "campaign": "string",
+    "rare_note": "string",
+    "always_seven": "double",
+    "screen_area": "double",
+    "total_hits": "double",
+}
+SCHEMA = ", ".join(f"{c} {kind}" for c, kind in COLUMNS.items())
+BRANDS, SYSTEMS = ["Apple", "Nokia", "Sony", "Fairphone"], ["iOS", "Android", "Windows", "KaiOS"]
+
+
+def sample(n=180, shift=0):
+    """Rows by arithmetic: every column has its own period, and some values are unknown."""
+    rows = []
+    for i in range(shift, shift + n):
+        rows.append(
+            (
+                f"row-{i}",
+                f"2025-03-{i % 28 + 1:02d}",
+                f"{i % 24:02d}:15:00",
+                None if i % 17 == 3 else BRANDS[i * 11 % 13 % 4],
+                ("desktop", "mobile", "mobile", "tablet")[i // 2 % 4],
+                None if i % 3 == 1 else SYSTEMS[i * 5 % 11 % 4],
+                None if i % 13 == 5 else "aaaabbbccd"[i * 3 % 10] + ("" if i % 19 else "z"),
+                "spring",
+                "seen" if i % 60 == 7 else None,
+                7.0,
+                None if i % 9 == 2 else 1000.0 * (i * 37 % 101) + i % 4,
+                float(i * i % 31 + 1),
+            )
+        )
+    return pd.DataFrame(rows, columns=list(COLUMNS))
 
 
 def frame(spark, pdf):
@@ -46,7 +60,7 @@ def frame(spark, pdf):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-SETTINGS = dict(dropCols=["session_id", "client_id", "explicit_drop"], topCategories=3, catStrategy="mode")
+SETTINGS = dict(dropCols=["session_id", "campaign"], topCategories=3, catStrategy="mode")
 
 
 def by_hand(pdf, top=3):
@@ -82,7 +96,10 @@ def test_same_as_by_hand(spark):
 def test_learned_values(spark):
     pdf = sample()
     learned = SessionCleaner(**SETTINGS).fit(frame(spark, pdf)).learned
-    assert {"explicit_drop", "constant_col", "sparse", "visit_date", "visit_time"} <= set(learned["dropped"])
+    assert {"campaign", "always_seven", "rare_note", "visit_date", "visit_time"} <= set(learned["dropped"])
+    hits = pdf.total_hits.value_counts(normalize=True)
+    assert learned["top_share"]["total_hits"] == pytest.approx(hits.max()) and hits.max() < 0.5
+    assert learned["top_share"]["rare_note"] == pytest.approx(pdf.rare_note.isna().mean())
     assert learned["fills"]["total_hits"] == pdf.total_hits.median()
     assert learned["fills"]["kind"] == "a"
     assert learned["screen_median"] == pytest.approx(pdf.screen_area.median())
@@ -94,37 +111,36 @@ def test_rows_kept_and_nothing_unknown_left(spark):
     assert out.count() == df.count()
     nulls = out.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in out.columns]).first()
     assert set(nulls) == {0}
-    assert "explicit_drop" not in out.columns and "constant_col" not in out.columns
+    assert "campaign" not in out.columns and "always_seven" not in out.columns
 
 
 def test_statistics_come_from_train_only(spark):
-    pdf = sample()
-    pdf["total_hits"] = 5.0
-    pdf.loc[0, "total_hits"] = None
-    model = SessionCleaner(maxConstantShare=1.0, maxNullShare=1.0, **SETTINGS).fit(frame(spark, pdf))
-    other = sample(seed=1)
-    other["total_hits"] = 999.0
-    other.loc[3, "total_hits"] = None
-    assert model.learned["fills"]["total_hits"] == 5.0
-    out = model.transform(frame(spark, other))
-    assert {r[0] for r in out.select("total_hits").distinct().collect()} == {5.0, 999.0}
+    """Applied to other rows, the model fills with the medians and keeps the values of its own rows."""
+    pdf, other = sample(), sample(60, shift=1000)
+    other["screen_area"] = other.screen_area * 50
+    other["kind"] = "new"
+    model = SessionCleaner(passThrough=["session_id"], **SETTINGS).fit(frame(spark, pdf))
+    out = model.transform(frame(spark, other)).toPandas().set_index("session_id")
+    medians = pdf.groupby("device_brand").screen_area.median()
+    for row in other.itertuples():
+        if pd.isna(row.screen_area):
+            assert out.screen_area[row.session_id] == medians.get(row.device_brand, pdf.screen_area.median())
+    assert set(out.kind) == {"other_collapsed"}
 
 
 @pytest.mark.parametrize("method, width", [("zscore", 2.0), ("iqr", 1.5)])
 def test_outliers_are_clipped(spark, method, width):
+    """Both ends of a column with one very small and one very large value, and nothing in between changes."""
     pdf = sample()
-    pdf.loc[0, "total_hits"] = 999_999.0
-    df = frame(spark, pdf)
-    model = SessionCleaner(outlierMethod=method, outlierThreshold=width, **SETTINGS).fit(df)
-    low, high = model.learned["bounds"]["total_hits"]
-    if method == "zscore":
-        want = pdf.total_hits.mean() + width * pdf.total_hits.std()
-    else:
-        q1, q3 = pdf.total_hits.quantile([0.25, 0.75])
-        want = q3 + width * (q3 - q1)
-    assert high == pytest.approx(want)
-    ends = model.transform(df).agg(F.min("total_hits"), F.max("total_hits")).first()
-    assert ends[0] >= low and ends[1] == pytest.approx(high)
+    pdf.loc[[4, 11], "total_hits"] = [-5e6, 7e5]
+    model = SessionCleaner(passThrough=["session_id"], outlierMethod=method, outlierThreshold=width, **SETTINGS).fit(frame(spark, pdf))
+    values = pdf.total_hits
+    middle, spread = (values.mean(), values.std()) if method == "zscore" else (None, values.quantile(0.75) - values.quantile(0.25))
+    low = middle - width * spread if method == "zscore" else values.quantile(0.25) - width * spread
+    high = middle + width * spread if method == "zscore" else values.quantile(0.75) + width * spread
+    assert model.learned["bounds"]["total_hits"] == pytest.approx([low, high])
+    out = model.transform(frame(spark, pdf)).toPandas().set_index("session_id").total_hits
+    assert out.loc[pdf.session_id].tolist() == pytest.approx(values.clip(low, high).tolist())
 
 
 def test_no_clipping_by_default(spark):
@@ -150,28 +166,41 @@ def test_both_quantile_ways_learn_the_same(spark, monkeypatch):
     usual = SessionCleaner(outlierMethod="iqr", **SETTINGS).fit(df).learned
     monkeypatch.setattr(cleaning, "IN_MEMORY_VALUES", 3)
     narrow = SessionCleaner(outlierMethod="iqr", **SETTINGS).fit(df).learned
-    for part in ("fills", "brand_medians"):
-        assert narrow[part] == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in usual[part].items()}
+    assert narrow["fills"] == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in usual["fills"].items()}
+    assert narrow["screen_median"] == pytest.approx(usual["screen_median"])
     assert narrow["bounds"] == {k: pytest.approx(v) for k, v in usual["bounds"].items()}
 
 
-def test_many_brands_go_to_a_table(spark, monkeypatch):
+def test_medians_of_brands_in_both_ways(spark, monkeypatch):
     df = frame(spark, sample())
-    inline = SessionCleaner(passThrough=["session_id"], **SETTINGS).fit(df)
-    monkeypatch.setattr(cleaning, "INLINE_BRANDS", 2)
-    tabled = SessionCleaner(passThrough=["session_id"], **SETTINGS).fit(df)
-    assert tabled.learned["brand_table"] and not tabled.learned["brand_medians"]
-    a, b = (sorted(map(tuple, m.transform(df).collect())) for m in (inline, tabled))
-    assert a == b
+    usual = SessionCleaner(**SETTINGS).fit(df).brand_report()
+    monkeypatch.setattr(cleaning, "IN_MEMORY_VALUES", 3)
+    narrow = SessionCleaner(**SETTINGS).fit(df).brand_report()
+    assert sorted(map(tuple, usual.collect())) == sorted(map(tuple, narrow.collect())) and usual.count() == len(BRANDS)
 
 
-def test_save_and_load(spark, tmp_path):
+def test_a_copied_model_needs_nothing_else(spark, tmp_path, monkeypatch):
+    """Saved, copied elsewhere and loaded, with the tables of the fit out of reach."""
     df = frame(spark, sample())
-    model = SessionCleaner(**SETTINGS).fit(df)
+    staged = []
+
+    def remembered(table, name):
+        path = str(tmp_path / "scratch" / f"{name}-{len(staged)}")
+        table.write.parquet(path)
+        staged.append(path)
+        return spark.read.parquet(path)
+
+    monkeypatch.setattr(cleaning, "stage", remembered)
+    model = SessionCleaner(passThrough=["session_id"], **SETTINGS).fit(df)
+    want = sorted(map(tuple, model.transform(df).collect()))
     model.write().overwrite().save(str(tmp_path / "m"))
-    again = SessionCleanerModel.load(str(tmp_path / "m"))
-    assert sorted(map(tuple, again.transform(df).collect())) == sorted(map(tuple, model.transform(df).collect()))
-    assert again.output_columns() == model.transform(df).columns
+    shutil.copytree(tmp_path / "m", tmp_path / "elsewhere")
+    assert staged and shutil.move(tmp_path / "scratch", tmp_path / "gone")
+    again = SessionCleanerModel.load(str(tmp_path / "elsewhere"))
+    assert sorted(map(tuple, again.transform(df).collect())) == want
+    piped = PipelineModel(stages=[again])
+    piped.write().overwrite().save(str(tmp_path / "pipeline"))
+    assert sorted(map(tuple, PipelineModel.load(str(tmp_path / "pipeline")).transform(df).collect())) == want
 
 
 def test_unfitted_model_is_an_error(spark):
@@ -184,7 +213,7 @@ def test_unfitted_model_is_an_error(spark):
 def test_all_null_row_and_extremes(spark):
     df = frame(spark, sample())
     model = SessionCleaner(**SETTINGS).fit(df)
-    odd = spark.createDataFrame([(None,) * 13, ("s", "c", "d", "t", "x", "fridge", None, 1e300, -1e9, None, None, None, "zz")], SCHEMA)
+    odd = spark.createDataFrame([(None,) * 12, ("s", "d", "t", "x", "fridge", None, "zz", None, None, None, 1e300, -1e9)], SCHEMA)
     rows = model.transform(odd).collect()
     assert len(rows) == 2 and all(v is not None for r in rows for v in r)
 
