@@ -11,12 +11,30 @@ from pyspark.sql import functions as F
 
 from clickloom.session import stage
 
+# Rows that one task numbers.
+SLICE_ROWS = 50_000
 # Slices of the ordered scores; each slice is summed by its own task.
 SLICES = 512
 # With no more distinct scores than this, one task sums them quickly.
 ONE_TASK_SCORES = 100_000
 
 
+def numbered(df: DataFrame, place: str, order: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``position``: 0, 1, ... in the order of a place spread evenly over [0, 1), then of the given columns.
+
+    The places are cut into slices of about ``slice_rows`` rows; a task numbers a
+    slice, and the slice starts are sums over one row per slice. ``df`` is read twice.
+    """
+    slices = max(1, df.count() // slice_rows)
+    cut = df.withColumn("_slice", F.floor(F.col(place) * slices))
+    counts = cut.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)  # one row per slice
+    starts = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    number = F.row_number().over(W.partitionBy("_slice").orderBy(place, *order)) - 1
+    ranked = cut.withColumn("_number", number).join(starts, "_slice")
+    return ranked.select(*df.columns, (F.col("_start") + F.col("_number")).alias("position"))
+
+
 def running_totals(
     scores: DataFrame,
     score: str,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import columns as X
 from clickloom.functions.quantiles import column_quantiles, exact_quantiles, top_values, value_counts
+from clickloom.session import stage
 
 
 def _missing(df: DataFrame, column: str) -> Column:
@@ -78,7 +79,7 @@ def column_profile(df: DataFrame, target: str) -> DataFrame:
     """
     studied = [c for c in df.columns if c != target]
     numbers = [c for c in X.numeric_columns(df) if c in studied]
-    counts = value_counts(df, studied)
+    counts = stage(value_counts(df, studied), "value-counts")
     per_column = counts.groupBy("column_name").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),

@@ -1,4 +1,4 @@
-"""Category encoders on top of Spark ML."""
+"""Category encoders: tables for wide domains, Spark ML indexers for collapsed columns."""
 
 from __future__ import annotations
 
@@ -10,11 +10,16 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.functions import columns as X
 from clickloom.functions.quantiles import top_values, value_counts
+from clickloom.session import stage
+
+# Leading bytes of a value that name the slice in which it is ranked.
+SLICE_BYTES = 4
 
 
 def collapse_rare_categories(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> DataFrame:
@@ -27,7 +32,10 @@ def collapse_rare_categories(df: DataFrame, columns: Sequence[str], top_n: int =
 
 
 def indexers(columns: Sequence[str]) -> StringIndexer:
-    """Indexes in alphabetical order with a frozen domain; unseen values get the index after the last."""
+    """Indexes in alphabetical order with a frozen domain; unseen values get the index after the last.
+
+    The domain is held by the driver: for collapsed columns only.
+    """
     return StringIndexer(
         inputCols=list(columns),
         outputCols=[f"{c}_index" for c in columns],
@@ -36,23 +44,41 @@ def indexers(columns: Sequence[str]) -> StringIndexer:
     )
 
 
-def ordinal_encode(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace categories by their alphabetical position in ``train``; unseen values become -1.
+def ordinal_domain(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, place): the distinct values of each column in alphabetical order from 0, in a written table.
 
-    Unknown values are a category of their own, written ``nan``. The domain is
-    held by the driver, so collapse wide columns first.
+    Values are ranked within slices of equal leading bytes, and slice starts are
+    sums over one row per slice, so a column may have as many values as the
+    frame has rows.
     """
+    lines = F.array(*[F.struct(F.lit(c).alias("column_name"), _textual(c).alias("value")) for c in columns])
+    values = train.select(F.inline(lines)).distinct()
+    values = stage(values.withColumn("slice", F.substring(F.hex(F.encode("value", "UTF-8")), 1, 2 * SLICE_BYTES)), "domain")
+    counts = values.groupBy("column_name", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("column_name").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("column_name", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(W.partitionBy("column_name", "slice").orderBy("value")) - 1
+    placed = values.withColumn("inside", inside).join(starts, ["column_name", "slice"])
+    return stage(placed.select("column_name", "value", (F.col("start") + F.col("inside")).alias("place")), "domain")
+
 
-    def textual(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in columns})
+def _textual(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
-    model = indexers(columns).fit(textual(train))
-    sizes = {c: len(labels) for c, labels in zip(columns, model.labelsArray)}
-    encoded = model.transform(textual(df))
-    numbers = {
-        c: F.when(F.col(f"{c}_index") < sizes[c], F.col(f"{c}_index")).otherwise(-1.0) for c in columns
-    }
-    return encoded.withColumns(numbers).drop(*[f"{c}_index" for c in columns])
+
+def ordinal_encode(train: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace categories by their alphabetical position in ``train``; unseen values become -1.
+
+    Unknown values are a category of their own, written ``nan``. The domain is a
+    table, joined once per column; Spark broadcasts it where it is small.
+    """
+    domain = ordinal_domain(train, columns)
+    encoded = df
+    for c in columns:
+        places = domain.filter(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("place").alias("_place"))
+        joined = encoded.join(places, _textual(c) == F.col("_value"), "left")
+        encoded = joined.withColumn(c, F.coalesce(F.col("_place").cast("double"), F.lit(-1.0))).drop("_value", "_place")
+    return encoded
 
 
 def hot_encoder(columns: Sequence[str]) -> OneHotEncoder:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickloom import constants as C
 from clickloom.functions.quantiles import exact_quantiles, top_values, value_counts
 from clickloom.operators.filters import report_columns
+from clickloom.session import stage
 
 OTHER = "... OTHER ..."
 # Columns that the operators of this module add to a frame, by task: reports by feature leave them out.
@@ -86,7 +87,8 @@ def residual_box(
 ) -> DataFrame:
     """Quartiles, ends and whiskers of the residuals per category of the first text columns."""
     columns = list(columns or report_columns(errors, _not_features(), top_features))
-    rows = _by_category(errors, columns, top_k, "error")
+    # the quantiles read these narrow rows several times
+    rows = stage(_by_category(errors, columns, top_k, "error"), "residuals")
     keys = ["column_name", "category"]
     boxes = exact_quantiles(rows, keys, "error", [0.0, 0.25, 0.5, 0.75, 1.0])
     q = [F.col("quantiles")[i] for i in range(5)]
@@ -141,7 +143,8 @@ def flag_worst(errors: DataFrame, key: Sequence[str], limit: int = 10) -> DataFr
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Row counts in equally wide bins from the smallest to the largest value; the last bin is closed."""
-    known = df.filter(F.col(value).isNotNull())
+    # read twice, so the rows behind it are computed once
+    known = stage(df.filter(F.col(value).isNotNull()).select(value, *by), "values")
     ends = known.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high")).first()
     if ends["low"] is None:
         low, width = 0.0, 1.0

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
+from clickloom.functions.curves import numbered
 from clickloom.operators.errors import false_positives
 from clickloom.operators.metrics import auc_table
 from clickloom.operators.models import feature_names, score
-
-# Values a column is redrawn from; a fixed bound, whatever the size of the data.
-DRAW_VALUES = 1000
+from clickloom.session import stage
 
 
 def contributions(model: PipelineModel, df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -81,34 +82,47 @@ def dependence(parts: DataFrame, names: Sequence[str], feature: str, bins: int =
     )
 
 
-def _draws(df: DataFrame, columns: Sequence[str], keys: Sequence[str], seed: int) -> list:
-    """A bounded sample of rows, the same on every run: those with the smallest key hashes."""
-    return df.select(*columns, X.hash_order(*keys, seed=seed).alias("_order")).orderBy("_order").limit(DRAW_VALUES).collect()
+def _shift(column: str, rows: int, seed: int) -> int:
+    """How far the donors of a column stand away: a seeded number from 1 to the number of rows less one."""
+    if rows < 2:
+        return 0
+    return 1 + int(hashlib.md5(f"{column}|{seed}".encode()).hexdigest()[:12], 16) % (rows - 1)
+
+
+def shuffled_copies(df: DataFrame, columns: Sequence[str], keys: Sequence[str], seed: int = C.SEED) -> DataFrame:
+    """The rows as they are (``redrawn`` is empty) and once per column with that column's values dealt out anew.
+
+    Rows stand in the order of a seeded digest of their keys. A column's values
+    move on by a seeded number of places, so every value of the column is used
+    once, on another row. Donors come by one join on the place; nothing but the number of rows reaches the driver.
+    """
+    rows = stage(numbered(df.withColumn("_place", X.hash_share(*keys, seed=seed)), "_place", keys).drop("_place"), "numbered")
+    total = rows.count()
+    shift = F.lit(0)
+    for c in columns:
+        shift = F.when(F.col("redrawn") == c, _shift(c, total, seed)).otherwise(shift)
+    copies = rows.withColumn("redrawn", F.explode(F.array(F.lit(""), *[F.lit(c) for c in columns])))
+    copies = copies.withColumn("_donor", F.pmod(F.col("position") + shift, F.lit(max(total, 1))))
+    donors = rows.select(F.col("position").alias("_donor"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    joined = copies.join(donors, "_donor")
+    dealt = {c: F.when(F.col("redrawn") == c, F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
+    return joined.withColumns(dealt).select(*df.columns, "redrawn")
+
+
+def area_losses(scored: DataFrame, label: str) -> DataFrame:
+    """Loss of area per redrawn column against the rows as they are; ``scored`` has redrawn, label and probability."""
+    areas = auc_table(scored, "redrawn", F.col(label) == 1, "probability")
+    # one row per column
+    full = F.max(F.when(F.col("redrawn") == "", F.col("auc"))).over(W.partitionBy(F.lit(1)))
+    losses = areas.withColumn("importance", full - F.col("auc")).filter("redrawn <> ''")
+    return losses.select(F.col("redrawn").alias("feature"), "importance").orderBy(F.desc("importance"), "feature")
 
 
 def permutation_importance(
     model: Model, df: DataFrame, columns: Sequence[str], label: str, keys: Sequence[str], seed: int = C.SEED
 ) -> DataFrame:
-    """Loss of area under the curve when a column's values are redrawn at random.
+    """Loss of area under the curve when a column's values are dealt out anew over all rows.
 
-    All redrawn copies are scored and measured together, in one job: each row
-    is repeated once per column with that column replaced by a seeded draw from
-    a bounded sample of its own values.
+    All copies are scored and measured together, in one job.
     """
-    kinds = dict(df.dtypes)
-    drawn = _draws(df, columns, keys, seed)
-    shuffled = F.array(F.lit(""), *[F.lit(c) for c in columns])
-    copies = df.withColumn("redrawn", F.explode(shuffled))
-    for c in columns:
-        if not drawn:
-            break
-        literal = F.array(*[F.lit(row[c]).cast(kinds[c]) for row in drawn])
-        place = F.pmod(X.hash_order(*keys, F.lit(c), seed=seed), F.lit(len(drawn))).cast("int")
-        copies = copies.withColumn(c, F.when(F.col("redrawn") == c, F.get(literal, place)).otherwise(F.col(c)))
-    scored = score(model, copies, [*keys, "redrawn", label])
-    areas = auc_table(scored, "redrawn", F.col(label) == 1, "probability")
-    baseline = areas.filter("redrawn = ''").select(F.col("auc").alias("full_auc"), F.lit(1).alias("one"))
-    losses = areas.filter("redrawn <> ''").withColumn("one", F.lit(1)).join(F.broadcast(baseline), "one")
-    return losses.select(
-        F.col("redrawn").alias("feature"), (F.col("full_auc") - F.col("auc")).alias("importance")
-    ).orderBy(F.desc("importance"), "feature")
+    return area_losses(score(model, shuffled_copies(df, columns, keys, seed), [*keys, "redrawn", label]), label)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.encoding import feature_stages, hot_stages
-from clickloom.operators.metrics import metrics
+from clickloom.operators.metrics import auc_ovr_macro, metrics
 from clickloom.session import allow_checkpoints
 
 TREES = ("boosted_trees", "random_forest")
@@ -98,14 +98,27 @@ def fit_model(
     return PipelineModel(stages=[*encoder.stages, model])
 
 
+def n_classes(model: Model) -> int | None:
+    """Number of classes of a classifier or of the one that ends a pipeline."""
+    return getattr(model.stages[-1] if isinstance(model, PipelineModel) else model, "numClasses", None)
+
+
+def class_area(model: Model, df: DataFrame, label: str) -> float | None:
+    """Mean of the one-against-rest areas of all classes; None where a class has no rows."""
+    classes = n_classes(model)
+    scored = class_probabilities(model, df, classes).withColumn("_class", F.col(label).cast("int"))
+    return auc_ovr_macro(scored, "_class", {i: f"p{i}" for i in range(classes)}).first()["roc_auc_ovr"]
+
+
 def score(model: Model, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Predictions with their keys: ``prediction``, ``probability`` of class 1 and ``confidence``."""
+    """Predictions with their keys: ``prediction``, ``confidence`` and, for two classes, ``probability`` of class 1."""
     if not isinstance(model, Model):
         raise ValueError("the model is not fitted")
     scored = model.transform(df)
     if "probability" in scored.columns:
         shares = vector_to_array(F.col("probability"))
-        scored = scored.withColumns({"confidence": F.array_max(shares), "probability": shares[1]})
+        scored = scored.withColumn("confidence", F.array_max(shares))
+        scored = scored.withColumn("probability", shares[1]) if n_classes(model) == 2 else scored.drop("probability")
     drop = [c for c in scored.columns if c.endswith(("_index", "_hot")) or c in ("features", "rawPrediction")]
     scored = scored.drop(*drop)
     if keep is None:
@@ -125,6 +138,8 @@ def best_val_score(model: Model, val: DataFrame, label: str, task: str = "binary
     scored = score(model, val)
     probability = "probability" if task == "binary" else None
     found = metrics(scored, label, "prediction", probability, task)
+    if task == "multiclass" and (area := class_area(model, val, label)) is not None:
+        found["roc_auc_ovr"] = area
     order = [metric, "roc_auc", "roc_auc_ovr", "f1_weighted", "accuracy", "r2"]
     return next(found[m] for m in order if m in found)
 

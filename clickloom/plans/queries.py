@@ -20,7 +20,7 @@ from clickloom.operators.cleaning import SessionCleaner
 from clickloom.operators.encoding import collapse_rare_categories, one_hot, ordinal_encode
 from clickloom.operators.features import SessionFeatures
 from clickloom.operators.filters import drop_sparse_by_count, drop_sparse_rows
-from clickloom.operators.splitting import client_labels, group_split, split_sizes
+from clickloom.operators.splitting import client_labels, group_split, split_sizes, three_frames
 from clickloom.plans import oracle as O
 from clickloom.plans import training as T
 from clickloom.session import new_path, stage
@@ -534,7 +534,7 @@ _COUNTERS = ["visit_number", *M.COUNTERS]
     ),
 )
 def column_profile(spark, sf_dir):
-    mart = mart_of(spark, sf_dir).select(*PROFILED[:5], "geo_city", *_COUNTERS, "event_value")
+    mart = stage(mart_of(spark, sf_dir).select(*PROFILED[:5], "geo_city", *_COUNTERS, "event_value"), "mart")
     profile = eda.column_profile(mart, "event_value")
     return profile.withColumns({c: F.round(c, 6) for c in ("mean_value", "std_value")})
 
@@ -1208,26 +1208,28 @@ def model_metrics(spark, sf_dir):
 
 @query("price_regression")
 def price_regression(spark, sf_dir):
-    """Regression task: order line prices by boosted trees."""
+    """Regression task: order line prices by boosted trees, measured on the orders held out."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     numbers = ["l_quantity", "l_discount", "l_tax"]
-    train = lines.select(*LINE_KEY, *numbers, "l_returnflag", "l_extendedprice")
+    rows = lines.select(*LINE_KEY, *numbers, "l_returnflag", "l_extendedprice")
+    train, _, test = three_frames(group_split(rows, "l_orderkey", None))
     params = {"maxIter": 5, "maxDepth": 4, "seed": C.SEED}
     model = models.fit_model(
         train, numbers, ["l_returnflag"], "boosted_trees", "regression", "l_extendedprice", **params
     )
-    return Q.regression_metrics(models.score(model, train), "l_extendedprice", "prediction")
+    return Q.regression_metrics(models.score(model, test), "l_extendedprice", "prediction")
 
 
 @query("event_class_auc")
 def event_class_auc(spark, sf_dir):
-    """Multiclass task: the kind of an event by a forest, one area per class."""
+    """Multiclass task: the kind of an event by a forest, one area per class, measured on the users held out."""
     events = E.read_events(spark, sf_dir).withColumn("k", E.payload_key(E.read_events(spark, sf_dir)))
     place = F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), F.col("event_type")) - 1
-    rows = events.select("event_id", F.hour("ts").alias("hour"), "value", "k", place.cast("int").alias("kind"))
+    rows = events.select("event_id", "user_id", F.hour("ts").alias("hour"), "value", "k", place.cast("int").alias("kind"))
+    train, _, test = three_frames(group_split(rows, "user_id", None))
     params = {"numTrees": 5, "maxDepth": 4, "seed": C.SEED}
-    model = models.fit_model(rows, ["hour", "value", "k"], [], "random_forest", "multiclass", "kind", **params)
-    scored = models.class_probabilities(model, rows, 5)
+    model = models.fit_model(train, ["hour", "value", "k"], [], "random_forest", "multiclass", "kind", **params)
+    scored = models.class_probabilities(model, test, 5)
     return Q.auc_ovr(scored, "kind", {i: f"p{i}" for i in range(5)}).withColumn("auc", F.round("auc", 6))
 
 
@@ -1265,6 +1267,56 @@ def permutation_importance(spark, sf_dir):
     return explain.permutation_importance(model, val, columns, spec.label, _KEYS)
 
 
+_DEALT = {"a": "user_id % 100", "b": "CAST(json_extract_string(props, '$.k') AS INT)"}
+
+
+def _shift_sql(c: str) -> str:
+    digest = f"CAST('0x' || substring(md5('{c}|{C.SEED}'), 1, 12) AS BIGINT)"
+    return f"1 + {digest} % (total - 1)"
+
+
+@query(
+    "permutation_loss",
+    O.sql(
+        [
+            f"""places AS (
+                 SELECT CAST(event_type = 'purchase' AS INT) AS actual, {_DEALT["a"]} AS a, {_DEALT["b"]} AS b, count(*) OVER () AS total,
+                        row_number() OVER (ORDER BY {O.share_of("event_id")}, event_id) - 1 AS p FROM events)""",
+            f"""copies AS (
+                 SELECT '' AS redrawn, actual, a, b FROM places
+                 UNION ALL SELECT 'a', r.actual, d.a, r.b FROM places r JOIN places d ON d.p = (r.p + {_shift_sql("a").replace("total", "r.total")}) % r.total
+                 UNION ALL SELECT 'b', r.actual, r.a, d.b FROM places r JOIN places d ON d.p = (r.p + {_shift_sql("b").replace("total", "r.total")}) % r.total)""",
+            "scored AS (SELECT *, ((a * 37 + b * 13) % 100) / 100 AS probability FROM copies)",
+            """areas AS (
+                 SELECT redrawn, (sum(place) FILTER (actual = 1) - max(ones) * (max(ones) + 1) / 2) / (max(ones) * (max(total) - max(ones))) AS auc
+                 FROM (SELECT *, rank() OVER (PARTITION BY redrawn ORDER BY probability) + (count(*) OVER (PARTITION BY redrawn, probability) - 1) / 2 AS place,
+                         sum(actual) OVER (PARTITION BY redrawn) AS ones, count(*) OVER (PARTITION BY redrawn) AS total FROM scored)
+                 GROUP BY redrawn)""",
+        ],
+        """SELECT redrawn AS feature, round((SELECT auc FROM areas WHERE redrawn = '') - auc, 6) AS importance FROM areas WHERE redrawn <> ''""",
+    ),
+)
+def permutation_loss(spark, sf_dir):
+    """Permutation importance of two columns under a fixed score."""
+    events = E.read_events(spark, sf_dir)
+    rows = events.select("event_id", (F.col("event_type") == "purchase").cast("int").alias("actual"), (F.col("user_id") % 100).alias("a"), E.payload_key(events).alias("b"))
+    copies = explain.shuffled_copies(stage(rows, "events"), ["a", "b"], ["event_id"])
+    losses = explain.area_losses(copies.withColumn("probability", ((F.col("a") * 37 + F.col("b") * 13) % 100) / 100), "actual")
+    return losses.withColumn("importance", F.round("importance", 6))
+
+
+@query(
+    "ordinal_encode_wide",
+    """SELECT CAST(l_orderkey AS VARCHAR) || '/' || l_linenumber || '/' || l_partkey AS line,
+              CAST(dense_rank() OVER (ORDER BY CAST(l_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS code FROM lineitem""",
+)
+def ordinal_encode_wide(spark, sf_dir):
+    """A key-like column: as many categories as there are orders."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rows = lines.select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey").alias("line"), F.col("l_orderkey").cast("string").alias("code"))
+    return ordinal_encode(rows, rows, ["code"])
+
+
 @query("tune_random")
 def tune_random(spark, sf_dir):
     """Random search over tree depth and step size."""

@@ -98,6 +98,8 @@ def evaluate(model: PipelineModel, df: DataFrame, spec: Spec, prefix: str = "")
     errors = error_table(scored, spec.label, "prediction", spec.task)
     probability = "probability" if spec.task == "binary" else None
     found = metrics(errors, "actual", "predicted", probability, spec.task)
+    if spec.task == "multiclass" and (area := models.class_area(model, df, spec.label)) is not None:
+        found["roc_auc_ovr"] = area
     return prefixed(found, prefix), errors
 
 

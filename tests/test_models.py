@@ -107,7 +107,8 @@ def test_train_and_score_jobs(spark, mart, tmp_path):
     contract = read_contract(spark, f"{root}/feature_schema_v1.0")
     assert contract["total_hits_count"] == "bigint" and "event_value" not in contract
     new = mart.drop("event_value")
-    T.score_job(spark, new.withColumn("split", F.lit("x")), root, "1.0", f"{root}/out", "csv")
+    returned = T.score_job(spark, new.withColumn("split", F.lit("x")), root, "1.0", f"{root}/out", "csv")
+    assert returned.count() == 900 and all(f.endswith(".csv") for f in returned.inputFiles())
     saved = spark.read.option("header", True).csv(f"{root}/out")
     assert saved.count() == 900 and {"session_id", "client_id", "prediction", "probability"} <= set(saved.columns)
     with pytest.raises(ValueError):
@@ -127,6 +128,27 @@ def test_tune_train_and_evaluate_jobs(spark, mart, tmp_path):
         T.tune_and_train_job(mart, root, "3", T.Spec(model="no such model"), space, trials=1)
 
 
+def test_error_metrics_pick_the_lowest_trial(frames):
+    spec = T.Spec(model="linear", task="regression", label="total_hits_count", metric="rmse")
+    best, history = T.tune_job(frames[0], frames[1], spec, {"regParam": {"type": "float", "bounds": [0.0, 80.0]}}, trials=3)
+    assert T.direction_of("rmse") == "minimize" and T.direction_of("roc_auc") == "maximize"
+    assert best == min(history, key=lambda h: h[1])[2]
+
+
+def test_multiclass_job_logs_an_area(spark, mart, tmp_path):
+    rows = mart.withColumn("kind", F.pmod("total_hits_count", F.lit(3)).cast("int"))
+    spec = T.Spec(model="random_forest", task="multiclass", label="kind", model_params={"numTrees": 3, "seed": 1})
+    found = T.train_job(rows, str(tmp_path), "m", spec)
+    assert 0.5 < found["test_roc_auc_ovr"] <= 1 and 0.5 < found["final_val_roc_auc_ovr"] <= 1
+    scored = models.score(models.load_model(str(tmp_path), "m"), rows)
+    assert "probability" not in scored.columns and scored.agg(F.min("confidence")).first()[0] >= 1 / 3
+
+
+def test_the_network_takes_no_class_weight(frames):
+    with pytest.raises(ValueError, match="class weight"):
+        T.fit_pipeline(frames[0], None, T.Spec(model="network", model_params={"maxIter": 1}, positive_weight=2.0))
+
+
 def test_streamed_scores_equal_batch_scores(spark, frames, trees, tmp_path):
     model, _ = trees
     incoming = str(tmp_path / "in")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from clickloom.plans import queries as Q
 from tests.oracle_check import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-SQLS = entry.oracle_sql()
+SQLS = Q.ORACLE
 # fitted on every run: checked by the model tests instead
 SLOW = {
     "gbt_scores",
@@ -31,13 +32,13 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQLS))
 def test_same_rows_as_sql(spark, con, name):
-    ok, text = compare(entry.queries()[name](spark, SF_DIR), con, SQLS[name])
+    ok, text = compare(Q.QUERIES[name](spark, SF_DIR), con, SQLS[name])
     assert ok, text
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(SQLS) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(SQLS) - SLOW))
 def test_runs_without_sql(spark, name):
-    assert entry.queries()[name](spark, SF_DIR).count() > 0
+    assert Q.QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry_is_the_session_mart(spark):
@@ -47,4 +48,4 @@ def test_entry_is_the_session_mart(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQLS) <= set(entry.queries())
+    assert set(SQLS) <= set(Q.QUERIES) <= set(entry.queries())

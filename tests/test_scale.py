@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from clickloom.plans import queries as Q
 from clickloom.operators import mart as M
 from clickloom.operators.features import SessionFeatures
 from clickloom.operators.splitting import group_split
@@ -43,9 +43,9 @@ def final_plan(df):
     return plan(df)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - BUILT_WITH_JOBS))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - BUILT_WITH_JOBS))
 def test_no_cross_joins_and_no_python_rows(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(Q.QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
