@@ -43,12 +43,18 @@ def blocks(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Pieces of Arrow batches, so that the Python objects made of one at a time stay few."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply ``work`` to each Arrow batch inside the tasks."""
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+        for batch in small(batches):
+            yield work(batch)
 
     return df.mapInArrow(run, schema)

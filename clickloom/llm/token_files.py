@@ -10,8 +10,9 @@ through its interface elsewhere.
 
 Ids are stored as 16-bit integers when the vocabulary allows it, else as 32-bit.
 The tokenizer drops white space, so a text is the sum of the chunks between
-blanks; distinct chunks of a block go to the library once. Special tokens that
-stand in a text are found by the library as usual, and hold no blanks.
+blanks; distinct chunks of a block go to the library once, many in one call.
+Special tokens that stand in a text are found by the library as usual, and hold
+no blanks.
 
 Scale: one shuffle, of the documents by id; the driver sees nothing but the
 tokenizer file, whose size is checked. The manifest's running sum is one row per
@@ -28,8 +29,10 @@ table has an empty manifest and gives an empty result. Extra columns are ignored
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +40,15 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import blocks, texts
+from clickloom.llm.common import blocks, raw_texts, small
 from clickloom.session import new_path, stage
 
 END_ID = 1
-BLOCK_CHARS = 2_000_000
+BLOCK_BYTES = 2_000_000
 KNOWN_CHUNKS = 300_000
+LEARN_CHUNKS = 100
+MARK = b"\x01"
+ENDINGS = (b".", b",", b";", b":", b"!", b"?")
 PART_ROWS = 20_000
 #: largest tokenizer file that is sent to every executor
 MOST_TOKENIZER_BYTES = 64 << 20
@@ -60,36 +66,96 @@ def open_folder(path: str) -> tuple[fs.FileSystem, str]:
 class Chunks:
     """Ids of the chunks met so far, as flat arrays. Only speeds up: any chunk can be encoded again."""
 
-    def __init__(self, tokenizer, most: int = KNOWN_CHUNKS):
-        self.tokenizer, self.most = tokenizer, most
+    def __init__(self, tokenizer, lower: bool, most: int = KNOWN_CHUNKS):
+        self.tokenizer, self.lower, self.most = tokenizer, lower, most
+        self.mark = tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.ids = np.empty(0, np.uint32)
-        self.counts = np.empty(0, np.int64)
-
-    def encode(self, rows: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        self.starts = np.zeros(1, np.int64)
+        self.seen = np.empty(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the chunks that were seen most often, half of the store at most."""
+        least = 2
+        while (self.seen > least).sum() > self.most // 2:
+            least *= 2
+        kept = np.flatnonzero(self.seen > least)
+        names = list(self.place)
+        counts = np.diff(self.starts)[kept]
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        self.ids = self.ids[np.repeat(self.starts[kept] - starts[:-1], counts) + np.arange(starts[-1])]
+        self.place = {names[k]: n for n, k in enumerate(kept.tolist())}
+        self.starts, self.seen = starts, self.seen[kept]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Encode chunks, many in one text: a mark of one id that stands in none of them tells them apart."""
+        odd = {c for c in new if MARK in c}
+        new = [*(c for c in new if c not in odd), *odd]
+        ids, counts = [self.ids], []
+        plain = len(new) - len(odd) if len(self.mark) == 1 else 0
+        runs = [(b" " + MARK + b" ").join([*new[at : min(at + LEARN_CHUNKS, plain)], b""]).decode() for at in range(0, plain, LEARN_CHUNKS)]
+        if runs:
+            coded = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+            coded = np.concatenate(coded)
+            marks = np.flatnonzero(coded == self.mark[0])
+            ids.append(np.delete(coded, marks))
+            counts.append(np.diff(marks, prepend=-1) - 1)
+        for chunk in new[plain:]:
+            coded = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+            ids.append(np.array(coded, np.uint32))
+            counts.append(np.array([len(coded)]))
+        self._add(new, np.concatenate(ids), np.concatenate(counts))
+
+    def _add(self, new: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.ids = ids
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+        self.seen = np.append(self.seen, np.zeros(len(new), np.int64))
+
+    def _add_ended(self, new: list[bytes]) -> None:
+        """Store chunks that end in a mark of punctuation: the ids of the word before it, then those of the mark."""
+        words = np.fromiter((self.place[c[:-1]] for c in new), np.int64, len(new))
+        marks = np.fromiter((self.place[c[-1:]] for c in new), np.int64, len(new))
+        which = np.stack([words, marks], axis=1).ravel()
+        ids, counts = self._ids_of(which)
+        self._add(new, np.concatenate([self.ids, ids]), counts.reshape(-1, 2).sum(axis=1))
+
+    def _ids_of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = self.starts[which]
+        counts = self.starts[which + 1] - starts
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)], counts
+
+    def encode(self, rows: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows with the end token after each, and the number of ids of each row."""
         if len(self.place) > self.most:
-            self.clear()
-        chunks: list[str] = []
+            self._forget()
+        chunks: list[bytes] = []
         ends = [0]
         for row in rows:
-            chunks += row.replace("\n", " ").split(" ")
+            if self.lower and b"<|" not in row:  # special tokens are told apart by case
+                row = row.lower()
+            chunks += row.replace(b"\n", b" ").split(b" ")
             ends.append(len(chunks))
-        new = [c for c in dict.fromkeys(chunks) if c not in self.place]
-        if new:
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.counts = np.concatenate([self.counts, np.fromiter(map(len, coded), np.int64, len(coded))])
-            self.ids = np.concatenate([self.ids, np.array([i for ids in coded for i in ids], np.uint32)])
-        which = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        counts = self.counts[which]
-        starts = (np.cumsum(self.counts) - self.counts)[which]
-        before = np.concatenate([[0], np.cumsum(counts)])
-        flat = self.ids[np.repeat(starts - before[:-1], counts) + np.arange(before[-1])]
-        cuts = before[ends]
+        which = np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(which < 0).tolist()
+        if missing:
+            new = {chunks[k] for k in missing}
+            # letters and digits never join with the punctuation after them, so only the word before it is new
+            ended = [c for c in new if c[-1:] in ENDINGS and c[-2:-1].isalnum()]
+            wanted = new.difference(ended)
+            wanted.update(c[:-1] for c in ended)
+            wanted.update(c[-1:] for c in ended)
+            self._learn([c for c in wanted if c not in self.place])
+            if ended:
+                self._add_ended(ended)
+            which[missing] = np.fromiter((self.place[chunks[k]] for k in missing), np.int64, len(missing))
+        self.seen += np.bincount(which, minlength=len(self.place))
+        flat, counts = self._ids_of(which)
+        cuts = np.concatenate([[0], np.cumsum(counts)])[ends]
         return np.insert(flat, cuts[1:], end_id), np.diff(cuts) + 1
 
 
@@ -102,7 +168,10 @@ def write_token_files(
         data = file.read(MOST_TOKENIZER_BYTES + 1)
     if len(data) > MOST_TOKENIZER_BYTES:
         raise ValueError(f"{tokenizer_path} is larger than a tokenizer file may be ({MOST_TOKENIZER_BYTES} bytes)")
-    top = max([end_id, *json.loads(data)["model"]["vocab"].values(), *(t["id"] for t in json.loads(data)["added_tokens"])])
+    settings = json.loads(data)
+    top = max([end_id, *settings["model"]["vocab"].values(), *(t["id"] for t in settings["added_tokens"])])
+    # A-Z in lower case before the tokenizer puts everything in lower case: fewer distinct chunks, the same ids
+    lower = any(n["type"] == "Lowercase" for n in (settings.get("normalizer") or {}).get("normalizers", []))
     kind = "<u2" if top < 1 << 16 else "<u4"
     shared = spark.sparkContext.broadcast(data)
 
@@ -110,18 +179,19 @@ def write_token_files(
         from pyspark import TaskContext
         from tokenizers import Tokenizer
 
-        chunks = Chunks(Tokenizer.from_buffer(shared.value))
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        chunks = Chunks(Tokenizer.from_buffer(shared.value), lower)
         system, root = open_folder(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         tokens, offsets, ids, missing = 0, [np.zeros(1, np.int64)], [], []
         out = None
-        for batch in batches:
+        for batch in small(batches):
             if out is None:
                 system.create_dir(root, recursive=True)
                 out = system.open_output_stream(f"{root}/{name}.ids.tmp", compression=None)
-            rows = texts(batch.column(1))
-            for start, end in blocks([len(x) for x in rows], BLOCK_CHARS):
+            rows = raw_texts(batch.column(1))
+            for start, end in blocks([len(x) for x in rows], BLOCK_BYTES):
                 flat, counts = chunks.encode(rows[start:end], end_id)
                 out.write(flat.astype(kind).tobytes())
                 offsets.append(tokens + np.cumsum(counts))
@@ -163,7 +233,7 @@ def read_token_files(manifest: DataFrame, folder: str, with_ids: bool = False) -
     """Per document from the files: doc_id, start (tokens of all documents before it), n_tokens, ids_crc32 and on demand its ids."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             system, root = open_folder(folder)
             for name, width, base in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 ids = _map(system, f"{root}/{name}.ids", f"<u{width}")
