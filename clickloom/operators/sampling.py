@@ -28,8 +28,14 @@ def rows_of_clients(df: DataFrame, clients: DataFrame, client: str = C.CLIENT_CO
     return df.join(clients.select(client), client, "left_semi")
 
 
-def row_sample(df: DataFrame, share: float, seed: int = C.SEED) -> DataFrame:
-    """Bernoulli sample of rows."""
+def row_sample(df: DataFrame, share: float, seed: int = C.SEED, keys: Sequence[str] = ()) -> DataFrame:
+    """Bernoulli sample of rows.
+
+    With keys a row is in the sample by the digest of its keys, so the sample is the same for any layout of the
+    files; without them Spark draws by the place of the row.
+    """
+    if keys:
+        return df.filter(X.hash_share(*keys, seed=seed) < share)
     return df.sample(withReplacement=False, fraction=share, seed=seed)
 
 

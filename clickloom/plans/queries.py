@@ -242,10 +242,13 @@ def client_sample(spark, sf_dir):
     return text_dates(S.client_sample(mart_of(spark, sf_dir)))
 
 
-@query("row_sample")
+@query(
+    "row_sample",
+    f"SELECT event_id, user_id, event_type FROM events WHERE {O.share_of('event_id')} < 0.2",
+)
 def row_sample(spark, sf_dir):
-    """Bernoulli sample of hits; which rows it holds depends on the layout of the files."""
-    return text_dates(S.row_sample(E.raw_tables(spark, sf_dir)[0], 0.2))
+    """Bernoulli sample of events by the digest of their key."""
+    return S.row_sample(E.read_events(spark, sf_dir).select("event_id", "user_id", "event_type"), 0.2, keys=["event_id"])
 
 
 @query(
@@ -1331,6 +1334,86 @@ def tune_random(spark, sf_dir):
     return tuning.trials_table(spark, history)
 
 
+def _checked(model: str, scored: DataFrame, again: DataFrame) -> DataFrame:
+    """Rows, keys, probabilities out of range and scores that a second scoring does not repeat."""
+    both = scored.alias("a").join(again.alias("b"), _KEYS, "full")
+    changed = ~(F.col("a.probability").eqNullSafe(F.col("b.probability")) & F.col("a.prediction").eqNullSafe(F.col("b.prediction")))
+    return both.agg(
+        F.count("a.prediction").alias("n_rows"),
+        F.count_distinct(F.when(F.col("a.prediction").isNotNull(), F.col("session_id"))).alias("n_sessions"),
+        F.count(F.when(~F.coalesce(F.col("a.probability").between(0, 1), F.lit(False)), 1)).alias("n_out_of_range"),
+        F.count(F.when(changed, 1)).alias("n_changed"),
+    ).select(F.lit(model).alias("model"), "*")
+
+
+_TEST_ROWS = "test AS (SELECT session_id FROM mart JOIN client_splits USING (client_id) WHERE split = 'test')"
+_MODEL_SETTINGS = {
+    "boosted_trees": {"model_params": _SMALL_TREES, "positive_weight": 2.0},
+    "random_forest": {"model_params": {"numTrees": 5, "maxDepth": 4, "seed": C.SEED}},
+    "linear": {"model_params": {"maxIter": 10}},
+    "network": {"model_params": {"maxIter": 10, "seed": C.SEED}},
+}
+
+
+@query(
+    "score_checks",
+    O.sql(
+        O.BLOCKS["mart"],
+        f"""SELECT model, (SELECT count(*) FROM test) AS n_rows, (SELECT count(DISTINCT session_id) FROM test) AS n_sessions,
+                   0 AS n_out_of_range, 0 AS n_changed
+            FROM (SELECT unnest({sorted(_MODEL_SETTINGS)}) AS model)""",
+        O.SPLIT,
+        _TEST_ROWS,
+    ),
+)
+def score_checks(spark, sf_dir):
+    """Every family: the test split scored by the fitted model and by the model saved and loaded again."""
+    train, val, test = training_frames(spark, sf_dir)
+    found = []
+    for name, settings in _MODEL_SETTINGS.items():
+        model = T.fit_pipeline(train, val, T.Spec(model=name, **settings))
+        root = new_path(spark, f"checked-{name}")
+        models.save_model(model, root, "1")
+        found.append(_checked(name, models.score(model, test, _KEYS), models.score(models.load_model(root, "1"), test, _KEYS)))
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
+@query(
+    "contribution_checks",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT count(*) AS n_rows, 0.0 AS spread FROM mart JOIN client_splits USING (client_id) WHERE split = 'val'""",
+        O.SPLIT,
+    ),
+)
+def contribution_checks(spark, sf_dir):
+    """Contributions of every validation row add up to its margin, up to one constant."""
+    model, val, parts, _, _ = linear_parts(spark, sf_dir)
+    margins = model.transform(val).select(*_KEYS, vector_to_array("rawPrediction")[1].alias("margin"))
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, b: a + b)
+    rests = parts.join(margins, _KEYS).select((F.col("margin") - total).alias("rest"))
+    return rests.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.max("rest") - F.min("rest"), 6).alias("spread"))
+
+
+@query(
+    "stream_score_checks",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT 'streamed' AS model, (SELECT count(*) FROM test) AS n_rows, (SELECT count(DISTINCT session_id) FROM test) AS n_sessions,
+                  0 AS n_out_of_range, 0 AS n_changed""",
+        O.SPLIT,
+        _TEST_ROWS,
+    ),
+)
+def stream_score_checks(spark, sf_dir):
+    """Sessions arriving as files get the scores that the batch job gives them."""
+    model, (_, _, test), _ = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 10})
+    root = new_path(spark, "stream-checks")
+    test.write.parquet(f"{root}/incoming")
+    streamed = jobs.score_new_files(sinks.read_files(spark, f"{root}/incoming", test.schema), model, _KEYS, f"{root}/scores")
+    return _checked("streamed", streamed, models.score(model, test, _KEYS))
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -1353,11 +1436,26 @@ def stream_dedup(spark, sf_dir):
     return kept.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_distinct"))
 
 
-@query("stream_sessions")
+@query(
+    "stream_sessions",
+    """WITH timed AS (
+         SELECT user_id, ts, event_type, CAST(json_extract_string(props, '$.k') AS INT) AS k,
+                coalesce(ts >= lag(ts) OVER w + INTERVAL 30 MINUTE, true) AS opens FROM events
+         WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+       numbered AS (SELECT *, sum(CAST(opens AS INT)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS visit FROM timed),
+       visits AS (
+         SELECT CAST(user_id AS VARCHAR) AS client_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts) + INTERVAL 30 MINUTE) AS end_us,
+                count(DISTINCT event_type) FILTER (event_type <> 'purchase') AS unique_event_actions,
+                count(DISTINCT k) FILTER (event_type IN ('view', 'click', 'purchase')) AS unique_cars_viewed
+         FROM numbered GROUP BY user_id, visit)
+       SELECT * FROM visits WHERE end_us <= (SELECT epoch_us(max(ts) - INTERVAL 2 HOUR) FROM events)""",
+)
 def stream_sessions(spark, sf_dir):
-    """Counters of all activity sessions that closed before the watermark."""
+    """Distinct counters of all activity sessions that closed before the watermark."""
     hits = timed_hits(event_stream(spark, sf_dir))
-    return text_dates(sinks.run_available(jobs.session_counters(hits, TARGETS), "sessions"))
+    done = sinks.run_available(jobs.session_counters(hits, TARGETS), "sessions")
+    times = [F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us")]
+    return done.select("client_id", *times, "unique_event_actions", "unique_cars_viewed")
 
 
 @query(

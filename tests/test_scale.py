@@ -27,6 +27,9 @@ BUILT_WITH_JOBS = {
     "contribution_dependence",
     "permutation_importance",
     "tune_random",
+    "score_checks",
+    "contribution_checks",
+    "stream_score_checks",
     "stream_dedup",
     "stream_sessions",
     "stream_monitor",
