@@ -140,10 +140,13 @@ def hits_before_target(
 ) -> DataFrame:
     """Per session with a numbered target hit: hits numbered below the first one.
 
-    The first targets come from a scan filtered to target hits. Hits with equal
-    numbers are merged, and both sides meet per session and block of numbers,
-    so no task receives more than a block of a session at once. A first target
-    stands in every block up to its own: a single one in all but huge sessions.
+    That is the place of the first target among the hits sorted by number, with
+    targets first among equal numbers and unknown numbers last. The first
+    targets come from a scan filtered to target hits. Hits meet them per session
+    and block of numbers, so a hit of a session without a target goes no further
+    than the join, and no task receives more than a block of a session at once.
+    A first target stands in every block up to its own: a single one in all but
+    huge sessions. Adaptive execution splits a block with very many hits.
     """
     known = F.col("hit_number").isNotNull()
     number = F.col("hit_number").alias("number")
@@ -153,12 +156,10 @@ def hits_before_target(
     firsts = firsts.agg(F.min("number").alias("first"))
     last_block = F.floor(F.greatest(F.col("first"), F.lit(0)) / block_size).cast("int")
     spread_firsts = firsts.withColumn("block", F.explode(F.sequence(F.lit(0), last_block)))
-    merged = hits.filter(known).select("session_id", number).groupBy("session_id", "number")
-    spread_hits = merged.agg(F.count(F.lit(1)).alias("n")).withColumn("block", block)
-    earlier = F.when(F.col("number") < F.col("first"), F.col("n")).otherwise(0)
+    placed = hits.filter(known).select("session_id", number).withColumn("block", block)
     # the target hit itself always finds its block, so every session comes out, if only with 0
-    met = spread_hits.join(spread_firsts, ["session_id", "block"])
-    return met.groupBy("session_id").agg(F.sum(earlier).alias("hits_before_target"))
+    met = placed.join(spread_firsts, ["session_id", "block"])
+    return met.groupBy("session_id").agg(F.count(F.when(F.col("number") < F.col("first"), 1)).alias("hits_before_target"))
 
 
 def session_speed(hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS)) -> DataFrame:

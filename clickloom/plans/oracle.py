@@ -14,16 +14,15 @@ TARGETS = quoted(ADAPTED_TARGETS)
 
 EV = """
 ev AS (
-  SELECT user_id AS u, event_type AS action, value, ts, CAST(ts AS DATE) AS day,
-         CAST(json_extract_string(props, '$.k') AS INT) AS k,
-         (epoch_us(ts) // 1000) % 86400000 AS in_day
+  SELECT event_id, user_id AS u, event_type AS action, value, ts, CAST(ts AS DATE) AS day,
+         CAST(json_extract_string(props, '$.k') AS INT) AS k, epoch_us(ts) // 1000 AS ms
   FROM events)"""
 
 HITS = """
 ga_hits AS (
   SELECT u || '_' || CAST(day AS VARCHAR) AS session_id, day AS hit_date,
-         CASE WHEN k % 11 <> 0 THEN in_day END AS hit_time,
-         CAST(in_day // 1000 AS INT) AS hit_number,
+         CASE WHEN k % 11 <> 0 THEN ms - min(ms) OVER (PARTITION BY u, day) END AS hit_time,
+         CAST(row_number() OVER (PARTITION BY u, day ORDER BY ts, event_id) AS INT) AS hit_number,
          CASE WHEN action = 'view' THEN 'pageview' ELSE 'event' END AS hit_type,
          CAST(NULL AS VARCHAR) AS hit_referer,
          CASE WHEN action IN ('view', 'click', 'purchase')
@@ -42,7 +41,7 @@ rows_of_days AS (
   SELECT u, day, CASE WHEN u % 20 <> 0 THEN '00:00:00' END, 1 FROM days WHERE u % 10 = 0),
 ga_sessions AS (
   SELECT u || '_' || CAST(day AS VARCHAR) AS session_id, CAST(u AS VARCHAR) AS client_id, day AS visit_date, visit_time,
-         CAST(date_diff('day', DATE '2024-01-01', day) + 1 AS INT) AS visit_number,
+         CAST(dense_rank() OVER (PARTITION BY u ORDER BY day) AS INT) AS visit_number,
          CASE WHEN u % 9 <> 0 THEN 'src' || (u % 9) END AS utm_source,
          CASE u % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'referral' WHEN 2 THEN '(none)' WHEN 3 THEN 'cpc' WHEN 4 THEN 'cpm' ELSE '(not set)' END AS utm_medium,
          CASE WHEN dup = 1 THEN 'dup' ELSE 'camp' || (u % 30) END AS utm_campaign,

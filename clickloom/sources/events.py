@@ -1,14 +1,16 @@
 """Shape the ``events`` table as raw hits and sessions.
 
-A session is one user's day. Hits are a plain projection of events, so the
-scan feeds the operators directly; sessions are one small aggregation. Some
-sessions get a second, conflicting row, and text columns hold unknown values
-and placeholders, so that every cleaning rule has something to do.
+A session is one user's day. Hits count their time from the first one of their
+session and are numbered in it; streamed hits, which cannot see their session,
+count both from midnight. Some sessions get a second, conflicting row, and text
+columns hold unknown values and placeholders, so that every cleaning rule has
+something to do.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ADAPTED_TARGETS = ["purchase"]
@@ -23,7 +25,7 @@ def payload_key(events: DataFrame) -> Column:
     return F.regexp_extract("props", r'"k"\s*:\s*(-?[0-9]+)', 1).try_cast("int")
 
 
-# Hits: times count from midnight, the start of the session.
+# Streamed hits: times count from midnight.
 _SECOND_OF_DAY = "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
 # zone offsets are whole seconds, so the fraction is the same in every session time zone
 _MS_OF_DAY = f"({_SECOND_OF_DAY}) * 1000L + pmod(unix_micros(CAST(ts AS TIMESTAMP)), 1000000L) div 1000L"
@@ -53,6 +55,18 @@ def as_hits(events: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def as_numbered_hits(events: DataFrame) -> DataFrame:
+    """Hits with the time since the first one of the session and their number in it."""
+    hits = as_hits(events, "event_id", "ts", "k", "unix_micros(CAST(ts AS TIMESTAMP)) div 1000 AS ms")
+    session = W.partitionBy("session_id")
+    return hits.withColumns(
+        {
+            "hit_time": F.when(F.col("k") % 11 != 0, F.col("ms") - F.min("ms").over(session)),
+            "hit_number": F.row_number().over(session.orderBy("ts", "event_id")),
+        }
+    ).drop("event_id", "ts", "k", "ms")
+
+
 def as_sessions(events: DataFrame) -> DataFrame:
     """One row per user and day, plus a conflicting copy for every tenth user."""
     days = events.groupBy(F.col("user_id").alias("u"), F.to_date("ts").alias("visit_date")).agg(F.min("ts").alias("t0"))
@@ -62,7 +76,7 @@ def as_sessions(events: DataFrame) -> DataFrame:
         "CAST(u AS STRING) AS client_id",
         "visit_date",
         """CASE WHEN dup = 0 THEN substring(CAST(t0 AS STRING), 12, 8) WHEN u % 20 <> 0 THEN '00:00:00' END AS visit_time""",
-        "datediff(visit_date, DATE'2024-01-01') + 1 AS visit_number",
+        "dense_rank() OVER (PARTITION BY u ORDER BY visit_date) AS visit_number",
         "CASE WHEN u % 9 <> 0 THEN concat('src', u % 9) END AS utm_source",
         """CASE u % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'referral' WHEN 2 THEN '(none)' WHEN 3 THEN 'cpc'
            WHEN 4 THEN 'cpm' ELSE '(not set)' END AS utm_medium""",
@@ -88,4 +102,4 @@ def as_sessions(events: DataFrame) -> DataFrame:
 def raw_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(hits, sessions) of one scale factor."""
     events = read_events(spark, sf_dir)
-    return as_hits(events), as_sessions(events)
+    return as_numbered_hits(events), as_sessions(events)
