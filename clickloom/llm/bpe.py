@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from clickloom.llm.common import blocks, texts
+from clickloom.llm.common import blocks, small, texts
 
 BLOCK_CHARS = 2_000_000
 BLOCK_WORDS = 500_000
@@ -91,7 +91,8 @@ def replay(words: list[bytes], ranks: dict[bytes, int], pairs: dict[int, dict[in
     while queue:
         rank = heapq.heappop(queue)
         places = index.pop(rank)
-        places.sort()  # the leftmost of overlapping pairs goes first
+        if len(places) > 1:
+            places.sort()  # the leftmost of overlapping pairs goes first
         onward = pairs[rank]
         for at in places:
             other = after[at]
@@ -173,27 +174,37 @@ def _binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "token_ids", keep_text: bool = False) -> DataFrame:
+def _bytes_of(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "token_ids", keep_text: bool = False, decoded: str | None = None
+) -> DataFrame:
     """``docs`` with the token ids of the text as little-endian unsigned 32-bit integers in a binary column.
 
     ``path`` names a file of token ranks and ``pattern`` cuts texts into words; no special tokens are known.
+    ``decoded`` names a column for the bytes that the ids stand for, made from the ids in the same pass.
     """
     ranks = read_ranks(path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_ranks(ranks)))
+    made = [name, decoded] if decoded else [name]
     rest = [c for c in docs.columns if keep_text or c != text]
     spots, at = [docs.columns.index(c) for c in rest], docs.columns.index(text)
 
     def run(batches):
         corpus, cut = Corpus(*shared.value), regex.compile(pattern)
-        for batch in batches:
+        tokens = {rank: token for token, rank in corpus.ranks.items()} if decoded else {}
+        for batch in small(batches):
             rows = texts(batch.column(at))
             for start, end in blocks([len(x) for x in rows], BLOCK_CHARS):
                 part = batch.slice(start, end - start)
-                ids = _binary(_encode_block(corpus, cut, rows[start:end]))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in spots), ids], [*rest, name])
+                ids = _encode_block(corpus, cut, rows[start:end])
+                new = [ids, [_bytes_of(x, tokens) for x in ids]] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in spots), *map(_binary, new)], [*rest, *made])
 
     fields = [f for f in docs.schema.fields if f.name in rest]
-    return docs.mapInArrow(run, StructType([*fields, StructField(name, BinaryType())]))
+    return docs.mapInArrow(run, StructType([*fields, *(StructField(m, BinaryType()) for m in made)]))
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:
@@ -203,10 +214,10 @@ def decode(tokens: DataFrame, path: str, ids: str = "token_ids", name: str = "de
     columns, at = tokens.columns, tokens.columns.index(ids)
 
     def run(batches):
-        token = shared.value
-        for batch in batches:
-            found = [None if x is None else b"".join(map(token.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _binary(found)], [*columns, name])
+        tokens_of = shared.value
+        for batch in small(batches):
+            found = _binary([None if x is None else _bytes_of(x, tokens_of) for x in batch.column(at).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*columns, name])
 
     return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField(name, BinaryType())]))
 
@@ -232,4 +243,4 @@ def with_digests(coded: DataFrame, keep_ids: bool = False) -> DataFrame:
 def digests(docs: DataFrame) -> DataFrame:
     """Number and SHA-256 of the ids of each document, and SHA-256 of the bytes decoded from them."""
     path, pattern = multi_language_vocabulary()
-    return with_digests(decode(encode(docs.select("doc_id", "text"), path, pattern), path))
+    return with_digests(encode(docs.select("doc_id", "text"), path, pattern, decoded="decoded"))

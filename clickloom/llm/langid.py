@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.boilerplate import blocks_of
-from clickloom.llm.common import texts
+from clickloom.llm.common import small, texts
 from clickloom.session import stage
 
 TRAIN_DOCS = 4000
@@ -87,7 +87,7 @@ def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang",
     sample = stage(rows.where(F.col("h") <= last).groupBy("h", "label").agg(F.first("text").alias("text")), "language-sample")
 
     def count(batches):
-        for batch in batches:
+        for batch in small(batches):
             sums: dict[tuple[str, bool], np.ndarray] = {}
             for h, name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
                 if h % 5:
@@ -106,7 +106,7 @@ def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang",
     table = np.log(table / table.sum(axis=0))
 
     def score(batches):
-        for batch in batches:
+        for batch in small(batches):
             found = [_likelihood(v, table).tolist() for v in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["label", "ll"])
 
@@ -130,7 +130,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     """Pages as rows to identify: page_id, text (what a reader sees), declared language, host."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             rows = texts(batch.column(2))
             seen = ["\n".join(t for t, _, furniture in blocks_of(p) if not furniture) for p in rows]
             declared = [declared_language(p) for p in rows]
@@ -152,7 +152,7 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray, float], keys:
     kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def score(batches):
-        for batch in batches:
+        for batch in small(batches):
             ll = np.array([_likelihood(v, shared.value) for v in texts(batch.column(len(keys)))]).reshape(-1, size) / temperature
             ll -= ll.max(axis=1, keepdims=True)
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), size).cast(pa.list_(pa.float64())) for x in (ll, _softmax(ll))]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from clickloom.llm.common import ROW, map_batches, raw_texts, with_row_number
+from clickloom.llm.common import ROW, map_batches, raw_texts, small, with_row_number
 from clickloom.llm.components import connected_components
 from clickloom.session import stage
 

@@ -40,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as token ids, with digests of the ids and of the bytes that they decode to."""
     path, pattern = bpe.multi_language_vocabulary()
-    return bpe.with_digests(bpe.decode(bpe.encode(docs, path, pattern), path), keep_ids=True)
+    return bpe.with_digests(bpe.encode(docs, path, pattern, decoded="decoded"), keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
