@@ -10,8 +10,8 @@ so files written from it are skipped by filters on any of them.
 
 Law ``rows``: the runs' counts differ by one at most. A row's position is the
 start of its cell plus the start of its slice of the cell plus its number in
-the slice. A slice is a digest prefix, as long as it takes for slices to stay
-near ``SLICE_ROWS``, so a cell that holds a third of all rows is ranked by many
+the slice. A slice is a digest prefix, as long as its cell needs for slices to
+stay near ``SLICE_ROWS``, so a cell that holds a third of all rows is ranked by many
 tasks. Starts are sums over counts: at most 2^(bits * dimensions) cells.
 
 Scale: the texts are read once for sizes and checksums; a narrow table is
@@ -35,7 +35,7 @@ from clickloom.session import stage
 
 SHARDS = 8
 BITS = 4
-SLICE_ROWS = 100_000
+SLICE_ROWS = 1_000
 
 
 def common_prefix(a: str | None, b: str | None) -> str:
@@ -114,11 +114,11 @@ def with_hilbert_index(cells: DataFrame, axes: list[str], bits: int, name: str)
     return df.select(*keep, index.alias(name))
 
 
-def slice_digits(rows: int, slice_rows: int = SLICE_ROWS) -> int:
-    """Hexadecimal digits of the digest that name a slice, so that even one full cell has slices of about ``slice_rows``."""
-    digits = 0
-    while rows > slice_rows * 16**digits:
-        digits += 1
+def _slice_digits(rows: Column, slice_rows: int) -> Column:
+    """Hexadecimal digits of the digest that name a slice, so that slices of a cell with so many rows have ``slice_rows`` or so."""
+    digits = F.lit(0)
+    for n in range(12):
+        digits = digits + F.when(rows > slice_rows * 16**n, 1).otherwise(0)
     return digits
 
 
@@ -130,18 +130,18 @@ def hilbert_positions(df: DataFrame, dims: list[str], order: list[str], bits: in
     columns = df.columns
     axes = [f"__bin{k}" for k in range(len(dims))]
     binned = stage(quantise(df, dims, bits), "bins")
-    rows = binned.count()
-    cut = F.substring(F.col(order[0]), 1, slice_digits(rows, slice_rows))
-    sliced = binned.withColumn("__slice", cut)
-    counts = stage(sliced.groupBy(*axes, "__slice").agg(F.count("*").alias("n")), "slices")
-    cells = with_hilbert_index(counts.groupBy(*axes).agg(F.sum("n").alias("cell_rows")), axes, bits, "hilbert")
+    cells = with_hilbert_index(binned.groupBy(*axes).agg(F.count("*").alias("cell_rows")), axes, bits, "hilbert")
     before = Window.orderBy("hilbert").rowsBetween(Window.unboundedPreceding, -1)  # one row per cell
-    cells = cells.select(*axes, "hilbert", F.coalesce(F.sum("cell_rows").over(before), F.lit(0)).alias("cell_start"))
-    inside = Window.partitionBy(*axes).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*axes, "__slice", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("slice_start"))
-    starts = starts.join(F.broadcast(cells), axes).select(*axes, "__slice", "hilbert", (F.col("cell_start") + F.col("slice_start")).alias("start"))
-    number = F.row_number().over(Window.partitionBy(*axes, "__slice").orderBy(*order)) - 1
-    ranked = sliced.withColumn("__number", number).join(starts, [*axes, "__slice"])
+    start = F.coalesce(F.sum("cell_rows").over(before), F.lit(0)).alias("cell_start")
+    digits = _slice_digits(F.col("cell_rows"), slice_rows).alias("digits")
+    cells = stage(cells.select(*axes, "hilbert", start, digits), "cells")
+    placed = binned.join(F.broadcast(cells), axes)  # at most 2^(bits * dimensions) rows
+    sliced = placed.withColumn("__slice", F.expr(f"substring({order[0]}, 1, digits)")).drop(*axes, "digits")
+    counts = sliced.groupBy("hilbert", "__slice", "cell_start").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy("hilbert").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("hilbert", "__slice", (F.col("cell_start") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("start"))
+    number = F.row_number().over(Window.partitionBy("hilbert", "__slice").orderBy(*order)) - 1
+    ranked = sliced.drop("cell_start").withColumn("__number", number).join(starts, ["hilbert", "__slice"])
     return ranked.select(*columns, "hilbert", (F.col("start") + F.col("__number")).alias("position"))
 
 
