@@ -133,10 +133,6 @@ def verdict(probability: Column) -> Column:
     return F.when(probability > 0.5, "hot").otherwise("low")
 
 
-def metric_key(key: Column) -> Column:
-    return F.translate(key, ":=,", "___")
-
-
 def xlogx(x: Column) -> Column:
     return F.when(x > 0, x * F.ln(x)).otherwise(0.0)
 

@@ -72,7 +72,7 @@ def frequent_visitors(df: DataFrame, client: str, number: str, share: float = 0.
 
 
 def column_profile(df: DataFrame, target: str) -> DataFrame:
-    """Per column: type, rows, unknown values, distinct values, most frequent value, moments, ends.
+    """Per column: kind, rows, unknown values, distinct values, most frequent value, moments, ends.
 
     One pass for the numbers and one grouping for value counts; counts of
     distinct values come from that grouping and are exact.
@@ -86,7 +86,8 @@ def column_profile(df: DataFrame, target: str) -> DataFrame:
         F.count("value").alias("n_distinct"),
     )
     top = top_values(counts, 1).select("column_name", F.col("value").alias("top_value"), F.col("n").alias("top_n"))
-    profile = per_column.join(top, "column_name", "left")
+    kind = F.when(F.col("column_name").isin(numbers), "number").otherwise("text").alias("kind")
+    profile = per_column.join(top, "column_name", "left").select("*", kind)
     if not numbers:
         return profile
     aggregates = []
@@ -142,7 +143,7 @@ def _value_classes(df: DataFrame, features: Sequence[str], target: str) -> DataF
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Mutual information (in nats) of every feature with a two-class target.
+    """Mutual information (in nats) of every feature with a two-class target, and its place in the ranking.
 
     With x log x summed over cells, values, classes and the whole, only sums
     per feature remain: one grouping by value and one by feature, no joins.
@@ -157,7 +158,9 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str) -> D
     )
     total = F.col("n1") + F.col("n0")
     joint = F.col("cell") - F.col("value") - X.xlogx(F.col("n1")) - X.xlogx(F.col("n0")) + X.xlogx(total)
-    return sums.select("feature", F.greatest(joint / total, F.lit(0.0)).alias("mutual_info"))
+    found = sums.select("feature", F.greatest(joint / total, F.lit(0.0)).alias("mutual_info"))
+    best_first = W.orderBy(F.desc(F.round("mutual_info", 9)), "feature")  # one row per feature
+    return found.withColumn("place", F.row_number().over(best_first))
 
 
 def cramers_v(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -95,7 +95,8 @@ def build_mart(
     if exclude_target_cars:
         path = F.when(X.is_target(F.col("event_action"), targets) == 0, F.col("hit_page_path"))
         counted = hits.withColumn("hit_page_path", path)
-    context = latest_sessions(sessions.select(*SESSION_COLUMNS))
+    # all columns take part in the order, so that every mart keeps the same copy
+    context = latest_sessions(sessions).select(*SESSION_COLUMNS)
     joined = context.join(hit_counters(counted, targets), "session_id", "left")
     joined = joined.na.fill(0, [*COUNTERS, "event_value"])
     ratio = X.safe_ratio(F.col("total_car_views"), F.col("total_hits_count"), 4)

@@ -523,8 +523,8 @@ _COUNTERS = ["visit_number", *M.COUNTERS]
     "column_profile",
     O.sql(
         O.BLOCKS["mart"],
-        """SELECT p.*, t.value AS top_value, t.n AS top_n, round(mean_value, 6) AS mean_value, round(std_value, 6) AS std_value,
-                  min_value, max_value
+        f"""SELECT p.*, t.value AS top_value, t.n AS top_n, round(mean_value, 6) AS mean_value, round(std_value, 6) AS std_value,
+                  min_value, max_value, CASE WHEN column_name IN ({", ".join(f"'{c}'" for c in _COUNTERS)}) THEN 'number' ELSE 'text' END AS kind
            FROM (SELECT column_name, CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null, count(value) AS n_distinct
                  FROM value_counts GROUP BY column_name) p
            LEFT JOIN (SELECT * FROM value_counts WHERE value IS NOT NULL
@@ -567,10 +567,11 @@ def associated(spark, sf_dir):
     "mutual_info",
     O.sql(
         O.BLOCKS["mart"],
-        """SELECT feature, round(greatest(sum(
+        """SELECT *, row_number() OVER (ORDER BY mutual_info DESC, feature) AS place FROM (
+           SELECT feature, round(greatest(sum(
                     CASE WHEN ones > 0 THEN ones / total * ln(ones * total / (n * n1)) ELSE 0 END
                   + CASE WHEN zeros > 0 THEN zeros / total * ln(zeros * total / (n * n0)) ELSE 0 END), 0), 6) AS mutual_info
-           FROM cells, sides GROUP BY feature""",
+           FROM cells, sides GROUP BY feature)""",
         _ASSOCIATION_BLOCK,
     ),
 )
@@ -1223,6 +1224,23 @@ def price_regression(spark, sf_dir):
     return Q.regression_metrics(models.score(model, test), "l_extendedprice", "prediction")
 
 
+@query(
+    "linear_fit",
+    """SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+              round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, count(*) AS n_rows FROM lineitem""",
+)
+def linear_fit(spark, sf_dir):
+    """The line that a linear model learns, read off its predictions, next to the closed form."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_quantity", "l_extendedprice")
+    model = models.fit_model(lines, ["l_quantity"], [], "linear", "regression", "l_extendedprice")
+    scored = models.score(model, lines)
+    return scored.agg(
+        F.round(F.regr_slope("prediction", "l_quantity"), 4).alias("slope"),
+        F.round(F.regr_intercept("prediction", "l_quantity"), 2).alias("intercept"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+
+
 @query("event_class_auc")
 def event_class_auc(spark, sf_dir):
     """Multiclass task: the kind of an event by a forest, one area per class, measured on the users held out."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +22,21 @@ def score_new_files(
     """Score every session of a file stream and append the scores, one folder per batch.
 
     A batch overwrites its own folder, so a batch repeated after a failure
-    leaves no duplicates.
+    leaves no duplicates. Without any batch the result is empty.
     """
+    spark = sessions.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
         score(model, batch, list(keys)).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     run_batches(sessions, "scores", write, checkpoint)
-    return sessions.sparkSession.read.parquet(out).drop("batch")
+    nothing = score(model, spark.createDataFrame([], sessions.schema), list(keys))
+    try:
+        return spark.read.schema(nothing.schema).parquet(out)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return nothing
+        raise
 
 
 def deduplicated(events: DataFrame, keys: Sequence[str], time: str = "ts", delay: str = "2 hours") -> DataFrame:

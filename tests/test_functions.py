@@ -77,7 +77,6 @@ def test_operating_systems(spark, os, category, brand, want):
 def test_small_expressions(spark):
     assert one(spark, " KAZAN\t", "string", X.normal_city) == "kazan"
     assert one(spark, None, "string", lambda c: X.joined_text(c, F.lit("x"))) == "nan_x"
-    assert one(spark, "a:b=c,d", "string", X.metric_key) == "a_b_c_d"
     assert one(spark, "12", "string", X.form_int) == 12
     assert one(spark, "twelve", "string", X.form_int) == 0
     assert one(spark, 0.5, "double", X.verdict) == "low"

@@ -21,6 +21,7 @@ BUILT_WITH_JOBS = {
     "network_scores",
     "model_metrics",
     "price_regression",
+    "linear_fit",
     "event_class_auc",
     "logreg_contributions",
     "worst_fp_contributions",
