@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
     return context.getCheckpointDir()
@@ -72,3 +73,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove all stage tables of this application. Call it when no frame is read any more: frames read them lazily."""
+    application = f"{shared_dir(spark).rstrip('/')}/clickloom-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(application)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

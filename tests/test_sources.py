@@ -131,6 +131,16 @@ def test_contract(spark, tmp_path):
         H.check_schema(df, {"absent": "int"})
 
 
+def test_stages_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    staged = session.stage(spark.range(5), "numbers")
+    other = tmp_path / "another-application"
+    other.mkdir()
+    assert staged.count() == 5 and len(list(tmp_path.glob("clickloom-*"))) == 1
+    session.clear_stages(spark)
+    assert not list(tmp_path.glob("clickloom-*")) and other.exists()
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("b", 0.1), ("a", 0.9)], "feature string, importance double")
     S.write_ranking(df, str(tmp_path / "rank"))
