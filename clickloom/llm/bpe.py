@@ -10,8 +10,8 @@ one is taken up at once, as the lowest rank in a word always goes first.
 
 Merges in one word never depend on another, so the corpus can be cut anywhere
 without changing an id. Here it is cut at ``BLOCK_CHARS`` of text, and words
-known from earlier blocks of the task are not replayed again; the store of known
-words starts anew when it holds ``KNOWN_WORDS``. There is no shuffle. Memory per
+known from earlier blocks, or earlier tasks of the same worker, are not replayed
+again; beyond ``KNOWN_WORDS`` the store keeps the frequent ones. There is no shuffle. Memory per
 task is bounded by these two numbers and by the ids of one text.
 
 Null and empty texts have no tokens. Repeated rows and ties play no part, since
@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from clickloom.llm.common import blocks, small, texts
 
 BLOCK_CHARS = 2_000_000
 BLOCK_WORDS = 500_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 600_000
 #: largest rank file that is sent to every executor
 MOST_VOCABULARY_BYTES = 64 << 20
 
@@ -123,34 +123,49 @@ def replay(words: list[bytes], ranks: dict[bytes, int], pairs: dict[int, dict[in
 
 
 class Corpus:
-    """The distinct words met so far with their ids, as flat arrays."""
+    """The distinct words met so far with their ids, as flat arrays. Only speeds up: any word can be replayed again."""
 
     def __init__(self, ranks: dict[bytes, int], pairs: dict[int, dict[int, int]], most: int = KNOWN_WORDS):
         self.ranks, self.pairs, self.most = ranks, pairs, most
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.empty(0, np.uint32)
-        self.counts = np.empty(0, np.int64)
-        self.starts = np.empty(0, np.int64)
+        self.starts = np.zeros(1, np.int64)
+        self.seen = np.empty(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the words that were seen most often, half of the store at most."""
+        least = 1
+        while (self.seen > least).sum() > self.most // 2:
+            least *= 2
+        kept = np.flatnonzero(self.seen > least)
+        names = list(self.place)
+        self.ids, counts = self._ids_of(kept)
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
+        self.place = {names[k]: n for n, k in enumerate(kept.tolist())}
+        self.seen = self.seen[kept]
+
+    def _ids_of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = self.starts[which]
+        counts = self.starts[which + 1] - starts
+        ends = np.cumsum(counts)
+        return self.ids[np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)], counts
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of words, and the number of ids of each."""
         if len(self.place) > self.most:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
-        if new:
+            self._forget()
+        which = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(which < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(words[k] for k in missing))
             ids, counts = replay([w.encode() for w in new], self.ranks, self.pairs)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
-            self.counts = np.concatenate([self.counts, np.array(counts, np.int64)])
-            self.starts = np.concatenate([[0], np.cumsum(self.counts)[:-1]])
-        which = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        counts = self.counts[which]
-        total = int(counts.sum())
-        shift = self.starts[which] - (np.cumsum(counts) - counts)
-        return self.ids[np.repeat(shift, counts) + np.arange(total)], counts
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+            self.seen = np.append(self.seen, np.zeros(len(new), np.int64))
+            which[missing] = np.fromiter((self.place[words[k]] for k in missing), np.int64, len(missing))
+        self.seen += np.bincount(which, minlength=len(self.place))
+        return self._ids_of(which)
 
 
 def _encode_block(corpus: Corpus, pattern, rows: list[str]) -> list[bytes]:
@@ -187,13 +202,17 @@ def encode(
     ``decoded`` names a column for the bytes that the ids stand for, made from the ids in the same pass.
     """
     ranks = read_ranks(path)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_ranks(ranks)))
+    # a worker keeps its copy from task to task, and with it the words that it knows
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pairs": pair_ranks(ranks)})
     made = [name, decoded] if decoded else [name]
     rest = [c for c in docs.columns if keep_text or c != text]
     spots, at = [docs.columns.index(c) for c in rest], docs.columns.index(text)
 
     def run(batches):
-        corpus, cut = Corpus(*shared.value), regex.compile(pattern)
+        own = shared.value
+        corpus = own.get("corpus") or Corpus(own["ranks"], own["pairs"])
+        own["corpus"] = corpus
+        cut = regex.compile(pattern)
         tokens = {rank: token for token, rank in corpus.ranks.items()} if decoded else {}
         for batch in small(batches):
             rows = texts(batch.column(at))
