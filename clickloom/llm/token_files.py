@@ -10,7 +10,7 @@ through its interface elsewhere.
 
 Ids are stored as 16-bit integers when the vocabulary allows it, else as 32-bit.
 The tokenizer drops white space, so a text is the sum of the chunks between
-blanks; distinct chunks of a block go to the library once, many in one call.
+white space; distinct chunks of a block go to the library once, many in one call.
 Special tokens that stand in a text are found by the library as usual, and hold
 no blanks.
 
@@ -48,6 +48,8 @@ BLOCK_BYTES = 2_000_000
 KNOWN_CHUNKS = 300_000
 LEARN_CHUNKS = 100
 MARK = b"\x01"
+#: what the last token of a word ends in, in vocabularies that tell it apart
+WORD_END = "</w>"
 ENDINGS = (b".", b",", b";", b":", b"!", b"?")
 PART_ROWS = 20_000
 #: largest tokenizer file that is sent to every executor
@@ -69,6 +71,9 @@ class Chunks:
     def __init__(self, tokenizer, lower: bool, most: int = KNOWN_CHUNKS):
         self.tokenizer, self.lower, self.most = tokenizer, lower, most
         self.mark = tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -91,23 +96,37 @@ class Chunks:
         self.starts, self.seen = starts, self.seen[kept]
 
     def _learn(self, new: list[bytes]) -> None:
-        """Encode chunks, many in one text: a mark of one id that stands in none of them tells them apart."""
-        odd = {c for c in new if MARK in c}
-        new = [*(c for c in new if c not in odd), *odd]
+        """Encode chunks, many in one text. The last token of a word tells words apart, a mark of one id other chunks."""
+        words = [c for c in new if c.decode().isalpha()] if self.ends.any() else []
+        rest = set(new).difference(words)
+        marked = [c for c in rest if MARK not in c] if len(self.mark) == 1 else []
         ids, counts = [self.ids], []
-        plain = len(new) - len(odd) if len(self.mark) == 1 else 0
-        runs = [(b" " + MARK + b" ").join([*new[at : min(at + LEARN_CHUNKS, plain)], b""]).decode() for at in range(0, plain, LEARN_CHUNKS)]
-        if runs:
-            coded = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-            coded = np.concatenate(coded)
-            marks = np.flatnonzero(coded == self.mark[0])
-            ids.append(np.delete(coded, marks))
+        if words:
+            found = self._run(words, b" ")
+            ends = np.flatnonzero(self.ends[found])
+            if len(ends) == len(words) and ends[-1] == len(found) - 1:
+                ids.append(found)
+                counts.append(np.diff(ends, prepend=-1))
+            else:  # a character without a token
+                marked, words = [*words, *marked] if len(self.mark) == 1 else marked, []
+        if marked:
+            found = self._run(marked, b" " + MARK + b" ")
+            marks = np.flatnonzero(found == self.mark[0])
+            ids.append(np.delete(found, marks))
             counts.append(np.diff(marks, prepend=-1) - 1)
-        for chunk in new[plain:]:
+        known = {*words, *marked}
+        odd = [c for c in new if c not in known]
+        for chunk in odd:
             coded = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
             ids.append(np.array(coded, np.uint32))
             counts.append(np.array([len(coded)]))
-        self._add(new, np.concatenate(ids), np.concatenate(counts))
+        self._add([*words, *marked, *odd], np.concatenate(ids), np.concatenate(counts))
+
+    def _run(self, chunks: list[bytes], between: bytes) -> np.ndarray:
+        """Ids of chunks with something between them, and after the last one."""
+        texts = [between.join([*chunks[at : at + LEARN_CHUNKS], b""]).decode() for at in range(0, len(chunks), LEARN_CHUNKS)]
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.concatenate([np.array(e.ids, np.uint32) for e in coded])
 
     def _add(self, new: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
@@ -138,7 +157,7 @@ class Chunks:
         for row in rows:
             if self.lower and b"<|" not in row:  # special tokens are told apart by case
                 row = row.lower()
-            chunks += row.replace(b"\n", b" ").split(b" ")
+            chunks += row.split()
             ends.append(len(chunks))
         which = np.fromiter(map(self.place.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(which < 0).tolist()
@@ -149,7 +168,8 @@ class Chunks:
             wanted = new.difference(ended)
             wanted.update(c[:-1] for c in ended)
             wanted.update(c[-1:] for c in ended)
-            self._learn([c for c in wanted if c not in self.place])
+            if wanted := [c for c in wanted if c not in self.place]:
+                self._learn(wanted)
             if ended:
                 self._add_ended(ended)
             which[missing] = np.fromiter((self.place[chunks[k]] for k in missing), np.int64, len(missing))
