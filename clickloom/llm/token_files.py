@@ -45,7 +45,7 @@ from clickloom.session import new_path, stage
 
 END_ID = 1
 BLOCK_BYTES = 2_000_000
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 600_000
 LEARN_CHUNKS = 100
 MARK = b"\x01"
 #: what the last token of a word ends in, in vocabularies that tell it apart
@@ -193,14 +193,17 @@ def write_token_files(
     # A-Z in lower case before the tokenizer puts everything in lower case: fewer distinct chunks, the same ids
     lower = any(n["type"] == "Lowercase" for n in (settings.get("normalizer") or {}).get("normalizers", []))
     kind = "<u2" if top < 1 << 16 else "<u4"
-    shared = spark.sparkContext.broadcast(data)
+    # a worker keeps its copy from task to task, and with it the chunks that it knows
+    shared = spark.sparkContext.broadcast({"tokenizer": data})
 
     def run(batches):
         from pyspark import TaskContext
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        chunks = Chunks(Tokenizer.from_buffer(shared.value), lower)
+        own = shared.value
+        chunks = own.get("chunks") or Chunks(Tokenizer.from_buffer(own["tokenizer"]), lower)
+        own["chunks"] = chunks
         system, root = open_folder(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
