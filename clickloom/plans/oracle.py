@@ -127,7 +127,12 @@ SPLIT = f"""
 client_labels AS (
   SELECT client_id, event_value AS label, {share_of("client_id")} AS place FROM mart
   QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY visit_date DESC, visit_time DESC NULLS LAST, session_id DESC) = 1),
-ordered AS (SELECT client_id, row_number() OVER (ORDER BY CAST(label AS VARCHAR), place, client_id) - 1 AS p FROM client_labels),
+sizes AS (SELECT min(n) AS least, sum(n) AS total, count(*) AS classes FROM (SELECT label, count(*) AS n FROM client_labels GROUP BY label)),
+ordered AS (
+  SELECT client_id, row_number() OVER (ORDER BY CASE
+    WHEN classes > 1 AND (least < 2 OR total * CAST({C.TEST_SIZE} AS DOUBLE) < classes OR total * CAST({C.VAL_SIZE} AS DOUBLE) < classes) THEN ''
+    ELSE CAST(label AS VARCHAR) END, place, client_id) - 1 AS p
+  FROM client_labels, sizes),
 remaining AS (SELECT *, p - floor(p * CAST({C.TEST_SIZE} AS DOUBLE)) AS r FROM ordered),
 client_splits AS (
   SELECT client_id, CASE

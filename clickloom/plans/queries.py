@@ -294,7 +294,10 @@ def group_split_labels(spark, sf_dir):
     """WITH labelled AS (
          SELECT o_orderkey, CAST(o_custkey % 500 AS VARCHAR) AS label, CAST(o_orderkey AS VARCHAR) || '|SEED' AS k FROM orders),
        placed AS (SELECT *, CAST('0x' || substring(md5(k), 1, 13) AS BIGINT) / 4503599627370496 AS place FROM labelled),
-       ordered AS (SELECT *, row_number() OVER (ORDER BY label, place, o_orderkey) - 1 AS p FROM placed),
+       sizes AS (SELECT min(n) AS least, sum(n) AS total, count(*) AS classes FROM (SELECT label, count(*) AS n FROM labelled GROUP BY label)),
+       ordered AS (
+         SELECT placed.*, row_number() OVER (ORDER BY CASE WHEN least < 2 OR total * 0.2 < classes THEN '' ELSE label END, place, o_orderkey) - 1 AS p
+         FROM placed, sizes),
        remaining AS (SELECT *, p - floor(p * CAST(0.2 AS DOUBLE)) AS r FROM ordered),
        split AS (SELECT label, CASE WHEN floor((p + 1) * CAST(0.2 AS DOUBLE)) > floor(p * CAST(0.2 AS DOUBLE)) THEN 'test'
          WHEN floor((r + 1) * CAST(0.25 AS DOUBLE)) > floor(r * CAST(0.25 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split FROM remaining)

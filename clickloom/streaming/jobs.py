@@ -32,7 +32,7 @@ def score_new_files(
     run_batches(sessions, "scores", write, checkpoint)
     nothing = score(model, spark.createDataFrame([], sessions.schema), list(keys))
     try:
-        return spark.read.schema(nothing.schema).parquet(out)
+        return spark.read.schema(nothing.schema).parquet(out).select(*nothing.columns)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return nothing
