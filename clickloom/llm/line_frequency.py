@@ -9,12 +9,19 @@ the limit are removed. A document is depleted when less than ``MIN_LEFT`` of its
 words are left; depleted documents are rejected, as are those that fail the base
 rule (fewer than 50 words, or over half of the words in repeated 3-word windows).
 
+``report`` counts distinct texts, as its SQL does. ``clean`` counts classes of near
+copies, for lines and for hosts: else a group of near copies would lift its own
+lines above the limit and leave no member for the dedup that follows. Texts with
+equal minima of ``BAND_ROWS`` hash orders of their 4-word windows (A-Z lower-cased,
+digits to 0) in one of ``BANDS`` bands are linked, and linked texts are a class.
+
 Scale: texts are read once by tasks that give counts, hashes and word numbers;
 only these are written and shuffled. The distinct count has two partial steps,
 so a line that a third of all documents share is added up before its shuffle.
 The table of lines above the limit is joined by adaptive execution, which
 splits the partition of a very common line; nothing is broadcast beyond Spark's
-own size check.
+own size check. Near copies are linked to the smallest text hash of their band,
+never all pairs.
 
 Null texts have no words and fail the base rule. Documents without a host are a
 host of their own. Null ids and repeated rows are kept, one result per row. An
@@ -26,6 +33,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from clickloom.llm.common import ROW, small, texts, with_row_number
+from clickloom.llm.components import connected_components
 from clickloom.session import stage
 
 MIN_WORDS = 50
@@ -43,11 +52,16 @@ MIN_DOCS = 20
 MAX_SHARE = 0.001
 #: share of words that must be left
 MIN_LEFT = 0.5
+#: bands of a text, and hash orders whose minima must all be equal in one of them
+BANDS, BAND_ROWS = 8, 12
 #: fixed values of the contract: symbols, and the white space between words
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 
 _NORMAL = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"} | {ord(c): "0" for c in "123456789"}
+_NORMAL_BYTES = bytes(ord(_NORMAL.get(c, chr(c))) if c < 128 else c for c in range(256))
+_ORDERS = np.random.default_rng(0).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_PIECE = 4096
 _MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _LINES = ArrayType(StructType([StructField("line", LongType()), StructField("words", LongType())]))
 
@@ -81,25 +95,47 @@ def measure(text: str) -> tuple[int, int, int, int, int, list[tuple[int, int]]]:
     return len(words), chars, symbols, repeated, covered, lines
 
 
-def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def near_copy_bands(text: str) -> list[int]:
+    """A hash per band of the minima of a text's 4-word windows; near copies share some of them. No words give none."""
+    words = text.encode().translate(_NORMAL_BYTES).split()
+    if not words:
+        return []
+    windows = map(b" ".join, zip(*(words[k:] for k in range(4)))) if len(words) > 4 else (b" ".join(words),)
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, windows)), np.uint64)
+    least = np.min([(hashes[at : at + _PIECE, None] * _ORDERS).min(axis=0) for at in range(0, len(hashes), _PIECE)], axis=0)
+    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(BANDS, BAND_ROWS))]
+
+
+def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None, bands: bool = False) -> DataFrame:
     """The counts of each row, its text hash and its lines in a written table, next to the columns to keep and a row number."""
     keep = docs.columns if keep is None else keep
     spots, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
-    names = [*keep, *(f"__{m}" for m in _MEASURES), "__text_hash", "__lines"]
+    names = [*keep, *(f"__{m}" for m in _MEASURES), "__text_hash", "__lines", *(["__bands"] if bands else [])]
     kind = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
 
     def run(batches):
         for batch in small(batches):
-            found = [(*measure(x), _signed(xxhash.xxh64_intdigest(x))) for x in texts(batch.column(at))]
+            values = texts(batch.column(at))
+            found = [(*measure(x), _signed(xxhash.xxh64_intdigest(x))) for x in values]
             counts = [pa.array([r[k] for r in found], pa.int64()) for k in (0, 1, 2, 3, 4, 6)]
             lines = pa.array([[{"line": a, "words": b} for a, b in r[5]] for r in found], kind)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in spots), *counts, lines], names)
+            near = [pa.array(map(near_copy_bands, values), pa.list_(pa.int64()))] if bands else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in spots), *counts, lines, *near], names)
 
-    longs = [StructField(n, LongType()) for n in names[len(keep) : -1]]
-    schema = StructType([*(docs.schema.fields[k] for k in spots), *longs, StructField("__lines", _LINES)])
+    longs = [StructField(f"__{n}", LongType()) for n in (*_MEASURES, "text_hash")]
+    near = [StructField("__bands", ArrayType(LongType()))] if bands else []
+    schema = StructType([*(docs.schema.fields[k] for k in spots), *longs, StructField("__lines", _LINES), *near])
     return stage(with_row_number(docs.mapInArrow(run, schema)), "measured")
 
 
+def near_copy_classes(found: DataFrame) -> DataFrame:
+    """(node, component): the text hash of each text that has near copies, and the smallest one of its class."""
+    each = found.select(F.col("__text_hash").alias("text_hash"), F.explode("__bands").alias("band"))
+    ends = each.groupBy("band").agg(F.min("text_hash").alias("head"), F.max("text_hash").alias("last"))
+    heads = stage(ends.where("head < last").select("band", "head"), "bands")
+    return connected_components(each.join(heads, "band").select("text_hash", "head"), "text_hash", "head")
+
+
 def lines_above_limit(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(host, line) of the lines that too many distinct texts of a host hold; ``lines`` has host, text_hash and line."""
     counts = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > min_docs)
@@ -108,15 +144,21 @@ def lines_above_limit(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: flo
     return over.select("c.host", "line")
 
 
-def verdicts(found: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
-    """Counts and verdict per row of a table made by ``measured``.
+def verdicts(
+    found: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, classes: DataFrame | None = None
+) -> DataFrame:
+    """Counts and verdict per row of a table made by ``measured``; texts of one class (node, component) count as one.
 
     Columns: the row number, the counts, ``base_failed``, ``n_removed_words``, ``removed`` (hashes of removed lines)
     and ``kept``.
     """
-    each = found.select(F.col(ROW).alias("row"), F.col(host).cast("string").alias("host"), F.col("__text_hash").alias("text_hash"), F.explode("__lines").alias("l"))
-    each = each.select("row", "host", "text_hash", "l.line", "l.words")
-    above = stage(lines_above_limit(each.select("host", "line", "text_hash"), min_docs, max_share), "above-limit")
+    rows = found.select(F.col(ROW).alias("row"), F.col(host).cast("string").alias("host"), F.col("__text_hash").alias("text_hash"), F.col("__lines").alias("lines"))
+    each = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
+    counted = rows
+    if classes is not None:
+        counted = rows.join(classes, rows["text_hash"] == classes["node"], "left").withColumn("text_hash", F.coalesce("component", "text_hash"))
+    lines = counted.select("host", "text_hash", F.explode("lines.line").alias("line"))
+    above = stage(lines_above_limit(lines.select("host", "line", "text_hash"), min_docs, max_share), "above-limit")
     hits = each.alias("e").join(above.alias("a"), F.expr("e.line = a.line and e.host <=> a.host"))
     removed = hits.groupBy("row").agg(F.sum("e.words").alias("n_removed_words"), F.collect_set("e.line").alias("removed"))
     counts = found.select(F.col(ROW).alias("row"), *(F.col(f"__{m}").alias(m) for m in _MEASURES))
@@ -149,10 +191,10 @@ def _without(batches, text_at: int, chars_at: int | None, removed_at: int, colum
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source", chars: str = "n_chars", **limits) -> DataFrame:
-    """The documents that the rules keep, without the lines above the limit; columns as given."""
+    """The documents that the rules keep, without the lines above the limit in classes of near copies; columns as given."""
     columns = docs.columns
-    found = measured(docs, text)
-    kept = verdicts(found, host, **limits).where("kept").select(F.col("row").alias(ROW), F.col("removed").alias("__removed"))
+    found = measured(docs, text, bands=True)
+    kept = verdicts(found, host, classes=near_copy_classes(found), **limits).where("kept").select(F.col("row").alias(ROW), F.col("removed").alias("__removed"))
     joined = found.select(*columns, ROW).join(kept, ROW).select(*columns, "__removed")
     at, chars_at = columns.index(text), columns.index(chars) if chars in columns else None
     return joined.mapInArrow(lambda batches: _without(batches, at, chars_at, len(columns), columns), docs.schema)

@@ -92,3 +92,23 @@ def test_odd_rows_empty_table_and_extra_columns(spark, documents):
     docs = documents([(1, words(60, 1))]).selectExpr("*", "'x' as line", "1 as kept", "2 as row")
     assert [(r["line"], r["kept"], r["row"]) for r in L.clean(docs).collect()] == [("x", 1, 2)]
     assert L.report(documents([])).count() == L.clean(documents([])).count() == 0
+
+
+def test_near_copies_count_once_and_one_survives(spark, documents):
+    import corpus_pipeline as C
+
+    lines = [words(10, 500 + k) for k in range(14)]
+    rows = [(0, "\n".join(lines), "en", "h")]
+    for k in range(1, 61):  # a word added at another place, then a digit changed
+        copy = list(lines)
+        copy[k % 14] += f" {words(1, 600 + k)}" if k <= 30 else f" no {k}"
+        rows.append((k, "\n".join(copy), "en", "h"))
+    rows += [(100 + k, f"{words(60, 700 + k)}\nread more of this", "en", "h") for k in range(25)]  # 25 texts of their own
+    docs = documents(rows)
+    got = {r["doc_id"]: r["text"] for r in L.clean(docs).collect()}
+    assert got == {k: t.removesuffix("\nread more of this") for k, t, *_ in rows}
+    for _, function in C.STAGES[:2]:
+        docs = function(spark, docs, "")
+    left = [r["doc_id"] for r in docs.collect()]
+    assert min(left) == 0 and sum(k >= 100 for k in left) == 25
+    assert L.near_copy_bands(" \n") == [] and len(L.near_copy_bands("x")) == L.BANDS
