@@ -12,9 +12,11 @@ Four sources of evidence meet in one posterior per row:
   those of a host towards its suffix. Counts are sums of text posteriors, and a row's own share
   is taken out of its priors, so that no row testifies for itself.
 
-The text model is fitted on a bounded sample of ``TRAIN_DOCS`` labelled texts (the
-distinct ones with the smallest hashes); its tables have a fixed size. Everything
-else counts all rows.
+The languages are those of all labelled texts that are not empty. The text model is
+fitted on a bounded sample: the ``TRAIN_DOCS`` distinct texts with the smallest
+hashes, and of each language its ``LANGUAGE_DOCS`` with the smallest hashes outside
+the held-out fold, or inside it where there are no others. Its tables have a fixed
+size. Everything else counts all rows.
 
 Scale: texts are read once by tasks that write likelihoods; the priors are grouped
 sums with a map-side step over that narrow table. Suffix and declaration tables
@@ -35,7 +37,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.boilerplate import blocks_of
@@ -43,6 +45,8 @@ from clickloom.llm.common import small, texts
 from clickloom.session import stage
 
 TRAIN_DOCS = 4000
+#: texts of each language that the sample has at least, as far as there are so many
+LANGUAGE_DOCS = 20
 BUCKETS = 1 << 15
 PIECE = 1 << 20
 #: pseudo-counts: of a trigram, of a declaration, and of each level of the prior
@@ -81,24 +85,33 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang", train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray, float]:
     """Languages, log-probabilities (trigram bucket by language) and temperature, from a bounded sample of labelled texts."""
     rows = labelled.select(F.col(text).alias("text"), F.col(label).alias("label"), F.xxhash64(text).alias("h")).where("label is not null and length(text) > 0")
-    last = rows.select("h").distinct().orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
+    each = stage(rows.select("label", "h").distinct(), "language-texts")
+    last = each.select("h").distinct().orderBy("h").limit(train_docs).agg(F.max("h")).first()[0]
     if last is None:
         raise ValueError("no labelled text to learn languages from")
-    sample = stage(rows.where(F.col("h") <= last).groupBy("h", "label").agg(F.first("text").alias("text")), "language-sample")
+    names = sorted(r["label"] for r in each.select("label").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages in the labels")
+    # fold 0 is held out, but for a language that has no text outside it
+    order = Window.partitionBy("label").orderBy(F.expr("h % 5 = 0"), "h")
+    first = each.withColumn("place", F.row_number().over(order)).where(F.col("place") <= LANGUAGE_DOCS)
+    lone = F.expr("place = 1 and h % 5 = 0")
+    own = F.broadcast(first.select(F.col("label").alias("__label"), F.col("h").alias("__h"), lone.alias("lone")))  # MOST_LANGUAGES * LANGUAGE_DOCS rows at most
+    wanted = rows.join(own, F.expr("label = __label and h = __h"), "left").where((F.col("h") <= last) | F.col("__h").isNotNull())
+    learned = (F.col("h") % 5 != 0) | F.coalesce(F.col("lone"), F.lit(False))
+    sample = wanted.groupBy("h", "label").agg(F.first("text").alias("text"), F.max(learned).alias("learned"))
+    sample = stage(sample, "language-sample")
 
     def count(batches):
         for batch in small(batches):
             sums: dict[tuple[str, bool], np.ndarray] = {}
-            for h, name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
-                if h % 5:
+            for name, value, learned in zip(batch.column(1).to_pylist(), texts(batch.column(2)), batch.column(3).to_pylist()):
+                if learned:
                     sums[name] = sums.get(name, 0) + np.bincount(gram_buckets(value), minlength=BUCKETS)
             found = [(name, int(b), int(n[b])) for name, n in sums.items() for b in np.flatnonzero(n)]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["label", "bucket", "n"])
 
     counts = sample.mapInArrow(count, "label string, bucket bigint, n bigint").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    names = sorted(r["label"] for r in sample.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect())
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages in the labels")
     table = np.full((BUCKETS, len(names)), GRAM_WEIGHT)
     place = {name: k for k, name in enumerate(names)}
     for r in counts.collect():  # BUCKETS * languages rows at most
@@ -110,7 +123,7 @@ def fit_text_model(labelled: DataFrame, text: str = "text", label: str = "lang",
             found = [_likelihood(v, table).tolist() for v in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["label", "ll"])
 
-    held = sample.where("h % 5 = 0").select("label", "text").mapInArrow(score, "label string, ll array<double>").collect()
+    held = sample.where("not learned").select("label", "text").mapInArrow(score, "label string, ll array<double>").collect()
     best = 1.0
     if held:
         ll = np.array([r["ll"] for r in held])

@@ -29,6 +29,22 @@ def test_text_decides_against_a_wrong_declaration(spark, model):
     assert got[100]["language"] == got[101]["language"] == "de" and got[0]["language"] == "en"
 
 
+def test_rare_languages_can_be_answered(spark):
+    """A language outside the sample of the smallest hashes, and one whose only text is in the held-out fold."""
+    hashed = spark.createDataFrame([(f"{k} {EN}", "en") for k in range(300)] + [(f"{k} {DE}", "de") for k in range(40)], "text string, lang string").selectExpr("*", "xxhash64(text) as h").collect()
+    en = [r for r in hashed if r["lang"] == "en"]
+    german = [r for r in hashed if r["lang"] == "de"]
+    largest = max((r for r in german if r["h"] % 5), key=lambda r: r["h"])
+    fold = max((r for r in german if r["h"] % 5 == 0), key=lambda r: r["h"])
+    least = sorted(r["h"] for r in en)[:10]
+    for rare in (largest, fold):
+        assert rare["h"] > max(least)
+        rows = [(r["text"], r["lang"]) for r in (*en, rare)]
+        found = langid.fit_text_model(spark.createDataFrame(rows, "text string, lang string").repartition(3), train_docs=10)
+        assert found[0] == ["de", "en"] and found[1][:, 0].max() > found[1][:, 0].min()
+        assert identified(spark, found, [(1, DE, None, None), (2, EN, None, None)])[1]["language"] == "de"
+
+
 def test_host_suffix_and_declaration_decide_without_text(spark, model):
     rows = [(k, DE, "x1", "haus.de") for k in range(20)] + [(50 + k, EN, "x2", "home.com") for k in range(20)]
     rows += [(200, "", None, "haus.de"), (201, None, None, "home.com"), (202, "", None, "neu.de"), (203, "", "x1", "new.com"), (204, "", "x2", None)]
