@@ -12,8 +12,11 @@ Scale: equal fingerprints are merged before any join, so a text copied a
 billion times is one row. Buckets are counted with map-side sums first. Those
 of up to ``bucket_rows`` fingerprints are compared inside tasks and give a
 spanning forest of their links, never all pairs. Larger ones are split by the
-same construction over the bits that their mask has not fixed yet; each
-split halves the free bits, so the fourth level at the latest is small.
+same construction over the bits that their mask has not fixed yet; that halves
+the free bits as long as there are ``2 ** radius`` of them. With fewer the masks
+fix one of ``radius + 1`` parts of the free bits each, and ``radius`` differing bits
+leave a part alone. Buckets of ``LAST_BITS`` free bits or fewer are compared
+whatever their number, as they cannot hold more than ``2 ** LAST_BITS`` fingerprints.
 
 Null texts count as empty, and all empty texts have fingerprint zero and are
 linked like any other. Null ids take part in links; a group whose ids are all
@@ -43,6 +46,8 @@ RADIUS = 4
 SEED = 42
 #: distinct fingerprints that one task compares with each other
 BUCKET_ROWS = 2048
+#: free bits of a bucket that is not split any more
+LAST_BITS = 15
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -81,6 +86,13 @@ def covering_masks(positions: list[int], radius: int) -> list[int]:
     return [sum(1 << bit for bit in positions if (phi[bit] & v).bit_count() % 2) for v in range(1, vectors + 1)]
 
 
+def splitting_masks(positions: list[int], radius: int) -> list[int]:
+    """Masks like ``covering_masks``, each of which fixes some of the positions; there must be more than ``radius``."""
+    if len(positions) >= 2**radius:
+        return covering_masks(positions, radius)
+    return [sum(1 << bit for bit in positions[k :: radius + 1]) for k in range(radius + 1)]
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << BITS) if mask >> (BITS - 1) else mask
 
@@ -144,15 +156,16 @@ def covering_links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = B
     spark, fan = prints.sparkSession, 2 ** (radius + 1)
     masks = {v: mask for v, mask in enumerate(covering_masks(list(range(BITS)), radius), 1)}
     tables = F.array(*(F.struct(F.lit(v).cast("long").alias("place"), F.lit(_signed(m)).cast("long").alias("mask")) for v, m in masks.items()))
-    dealt = prints.select("fingerprint", F.explode(tables).alias("t")).select("fingerprint", "t.place", "t.mask")
+    dealt = prints.select("fingerprint", F.explode(tables).alias("t")).select("fingerprint", "t.place", "t.mask", F.lit(False).alias("final"))
     found: list[DataFrame] = []
     while True:
-        keyed = dealt.select("fingerprint", "place", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("fixed"))
-        sizes = stage(keyed.groupBy("place", "fixed").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-        small = keyed.join(sizes.where(F.col("n") <= bucket_rows).select("place", "fixed"), ["place", "fixed"])
+        keyed = dealt.select("fingerprint", "place", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("fixed"), "final")
+        sizes = stage(keyed.groupBy("place", "fixed").agg(F.count("*").alias("n"), F.max("final").alias("final")).where("n > 1"), "buckets")
+        fits = (F.col("n") <= bucket_rows) | F.col("final")
+        small = keyed.select("fingerprint", "place", "fixed").join(sizes.where(fits).select("place", "fixed"), ["place", "fixed"])
         small = small.select("place", "fixed", "fingerprint").repartition("place", "fixed").sortWithinPartitions("place", "fixed")
         found.append(stage(small.mapInArrow(_forests(radius), "a bigint, b bigint").distinct(), "links"))
-        large = sizes.where(F.col("n") > bucket_rows).select("place", "fixed")
+        large = sizes.where(~fits).select("place", "fixed")
         places = [r["place"] for r in large.select("place").distinct().collect()]  # one per chain of tables at most
         if not places:
             break
@@ -160,9 +173,9 @@ def covering_links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = B
         deeper = {}
         for place in places:
             free = [bit for bit in range(BITS) if not masks[place] >> bit & 1]
-            deeper |= {(place, place * fan + v): masks[place] | mask for v, mask in enumerate(covering_masks(free, radius), 1)}
-        rows = [(above, place, _signed(mask)) for (above, place), mask in deeper.items()]
-        dealt = crowded.join(F.broadcast(spark.createDataFrame(rows, "above long, place long, mask long")), "above")
+            deeper |= {(place, place * fan + v): masks[place] | mask for v, mask in enumerate(splitting_masks(free, radius), 1)}
+        rows = [(above, place, _signed(mask), BITS - mask.bit_count() <= LAST_BITS) for (above, place), mask in deeper.items()]
+        dealt = crowded.join(F.broadcast(spark.createDataFrame(rows, "above long, place long, mask long, final boolean")), "above")
         masks = {place: mask for (_, place), mask in deeper.items()}
     links = found[0]
     for more in found[1:]:

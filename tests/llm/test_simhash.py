@@ -72,6 +72,31 @@ def test_components_of_dense_fingerprints(spark, bucket_rows):
     assert got == {signed(p): g for p, g in zip(prints, want)}
 
 
+@pytest.mark.parametrize("radius", [1, 2, 4, 6])
+def test_splits_come_to_an_end(radius):
+    rng = random.Random(5)
+    for bits in range(radius + 1, 65):
+        free = sorted(rng.sample(range(64), bits))
+        masks = simhash.splitting_masks(free, radius)
+        assert all(masks)
+        for _ in range(50):
+            flipped = sum(1 << b for b in rng.sample(free, radius))
+            assert any(not mask & flipped for mask in masks)
+
+
+def test_components_of_a_dense_cube(spark):
+    """All fingerprints over the 15 bits that are free after two masks: a bucket that further masks never made smaller."""
+    cube = list(range(64))
+    for _ in range(2):
+        mask = simhash.covering_masks(cube, 4)[0]
+        cube = [b for b in cube if not mask >> b & 1]
+    assert len(cube) == 15 and not all(simhash.covering_masks(cube, 4))
+    prints = [sum(1 << b for k, b in enumerate(cube) if x >> k & 1) for x in range(1 << 15)]
+    table = spark.createDataFrame([(k, signed(p)) for k, p in enumerate(prints)], "doc_id long, fingerprint long").repartition(4)
+    found = simhash.near_duplicates(table, "doc_id", 4)
+    assert found.count() == 1 << 15 and [r["component_id"] for r in found.select("component_id").distinct().collect()] == [0]
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 200), (301, 300), (300, 301), (None, 7)]
     found = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(4))
