@@ -6,8 +6,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickloom.session import stage
+
 #: name of the column that numbers the rows of a staged table
 ROW = "__row"
 
@@ -58,3 +61,21 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
             yield work(batch)
 
     return df.mapInArrow(run, schema)
+
+
+def positions(df: DataFrame, order: list, groups: list[str], name: str) -> DataFrame:
+    """Rows of a written table numbered 0, 1, ... by ``order`` inside each group, next to all columns.
+
+    ``order`` is a list of columns and starts with those of ``groups``, whose values
+    are not null. One range exchange sorts the rows and the sorted rows are written
+    once; a row's number is its place in its partition and the sum of the counts of
+    the partitions before. No window runs over more than one row per partition.
+    """
+    part = F.shiftright("__place", 33)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(ordered.withColumn("__place", F.monotonically_increasing_id()), "sorted").withColumn("__part", part)
+    counts = placed.groupBy(*groups, "__part").agg(F.count("*").alias("__n"), F.min("__place").alias("__first"))
+    before = W.partitionBy(*groups).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    number = F.col("__place") - F.col("__first") + F.col("__start")
+    return placed.join(starts, [*groups, "__part"]).select(*df.columns, number.alias(name))

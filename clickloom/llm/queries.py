@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import boilerplate, bpe, hilbert, langid, line_frequency, pii, revisits, simhash, tiling, token_files
+from clickloom.llm import boilerplate, bpe, hilbert, langid, line_frequency, merkle, minhash, pii, resampling, revisits, simhash, tiling, token_files
 from clickloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,104 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints of 4-word shingles differ in 4 bits or fewer."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark texts."""
+    return resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _crc_sql(column: str) -> str:
+    """CRC-32 of the UTF-8 bytes whose hexadecimal digits are in a column; needs the table ``polynomial``."""
+    return f"""xor(4294967295, list_reduce(
+    [4294967295] || list_transform(range(0, length({column}) // 2), lambda k: ('0x' || substr({column}, 2 * k + 1, 2))::BIGINT),
+    lambda a, b: xor(a >> 8, remainders[1 + (xor(a, b) & 255)])))"""
+
+
+_POLYNOMIAL = """polynomial AS (
+  SELECT list(c ORDER BY i) AS remainders FROM (
+    SELECT i, list_reduce([i] || range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op11_importance_resampling"] = rf"""
+WITH {_POLYNOMIAL},
+raw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+target AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+each AS (SELECT r, unnest(words) AS word FROM raw),
+vocabulary AS (SELECT word, hex(word) AS h FROM (SELECT word FROM each UNION SELECT word FROM target)),
+hashed AS (SELECT word, {_crc_sql("h")} % 10000 AS bucket FROM vocabulary, polynomial),
+s AS (SELECT bucket, count(*) AS n FROM each JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM target JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE AS all_s, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE AS all_t),
+gains AS (
+  SELECT b.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (all_s + 10000) / ((coalesce(s.n, 0) + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+  FROM (SELECT unnest(range(10000)) AS bucket) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT r, sum(gain)::BIGINT AS weight FROM each JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+    ('0x' || left(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT AS h FROM raw LEFT JOIN weights USING (r)),
+final AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS n FROM final)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM placed
+"""
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that a changed copy of it gives."""
+    return merkle.document_manifest(table(spark, sf_dir, "documents"))
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE {_POLYNOMIAL},
+docs AS (
+  SELECT *, row_number() OVER () AS r, coalesce('=' || lang, '') AS grp,
+    {" || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))} AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, hex(coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+leaves AS (
+  SELECT r, doc_id, grp, sha256(head || {_field_sql("text")}) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_crc_sql("h")} % 3 = 0 THEN sha256(head || {_field_sql("low")}) ELSE sha256(head || {_field_sql("text")}) END AS changed
+  FROM docs, polynomial),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx, count(*) OVER (PARTITION BY grp) AS size FROM leaves),
+nodes AS (
+  SELECT 0 AS level, grp, idx, size, leaf AS digest FROM placed
+  UNION ALL
+  SELECT level + 1, grp, idx // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE size > 1 GROUP BY level, grp, idx // 8, size),
+subroots AS (SELECT grp, digest, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS size FROM nodes WHERE size = 1),
+tops AS (
+  SELECT 0 AS level, idx, size, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, (size + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE size > 1 GROUP BY level, idx // 8, size),
+runs AS (SELECT level, grp, idx // 8 AS run, list(digest ORDER BY idx) AS digests FROM nodes WHERE size > 1 GROUP BY ALL),
+top_runs AS (SELECT level, idx // 8 AS run, list(digest ORDER BY idx) AS digests FROM tops WHERE size > 1 GROUP BY ALL),
+walk AS (
+  SELECT r, 0 AS level, grp, idx, size, changed AS digest, '' AS siblings FROM placed
+  UNION ALL
+  SELECT r, walk.level + 1, walk.grp, idx // 8, (size + 7) // 8, sha256(array_to_string(digests[:idx % 8] || [digest] || digests[idx % 8 + 2:], '')),
+    siblings || array_to_string(digests[:idx % 8] || digests[idx % 8 + 2:], '')
+  FROM walk JOIN runs ON walk.level = runs.level AND walk.grp = runs.grp AND walk.idx // 8 = runs.run WHERE size > 1),
+climb AS (
+  SELECT r, 0 AS level, subroots.idx, subroots.size, walk.digest, siblings FROM walk JOIN subroots USING (grp) WHERE walk.size = 1
+  UNION ALL
+  SELECT r, climb.level + 1, idx // 8, (size + 7) // 8, sha256(array_to_string(digests[:idx % 8] || [digest] || digests[idx % 8 + 2:], '')),
+    siblings || array_to_string(digests[:idx % 8] || digests[idx % 8 + 2:], '')
+  FROM climb JOIN top_runs ON climb.level = top_runs.level AND climb.idx // 8 = top_runs.run WHERE size > 1)
+SELECT doc_id, leaf, subroots.digest AS subroot, tops.digest AS root, sha256(siblings) AS proof_sha256, climb.digest AS folded_root, climb.digest = tops.digest AS verified
+FROM climb JOIN placed USING (r) JOIN subroots USING (grp) JOIN tops ON tops.size = 1 WHERE climb.size = 1
+"""
+
+
+@query
+def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles have a Jaccard similarity of 0.85 or more."""
+    return minhash.minhash_components(table(spark, sf_dir, "documents"))

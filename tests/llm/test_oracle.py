@@ -24,5 +24,5 @@ def test_same_rows_as_sql(spark, con, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = sorted(int(name[2:].split("_")[0]) for name in Q.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries()
