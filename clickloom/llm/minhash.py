@@ -58,6 +58,9 @@ BAND_ROWS, BANDS = 5, 30
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+#: parities kept of a set, in words of 64
+BITMAP = 1024
+_WORDS = [f"w{k}" for k in range(BITMAP // 64)]
 #: shingles whose windows are in memory at once
 _PIECE = 4096
 
@@ -128,6 +131,11 @@ def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of shingles in ``BITMAP`` classes, as 64-bit words."""
+    return np.packbits(np.bincount((shingles & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) % 2 == 1).view(np.int64)
+
+
 def _text_key() -> list:
     return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("text"), "text").alias("t2")]
 
@@ -157,7 +165,7 @@ def marked(rows: DataFrame, shingle: int, bands: int, band_rows: int, seed: int)
 
 
 def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(class, n, shingles) of the classes wanted (class, t1, t2), from the texts of the rows; a written table."""
+    """(class, n, shingles, words of the bitmap) of the classes wanted (class, t1, t2), from the texts of the rows; a written table."""
     once = rows.select(*_text_key(), "text").groupBy("t1", "t2").agg(F.first("text").alias("text"))
 
     def run(batches):
@@ -166,14 +174,19 @@ def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             sets = [shingle_set(x, hashes, shingle) for x in raw_texts(batch.column(1))]
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
             values = pa.array(np.concatenate(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(offsets, values)], ["class", "n", "shingles"])
+            sizes, bits = pa.array([len(s) for s in sets], pa.int64()), np.array([bitmap(s) for s in sets])
+            columns = [batch.column(0), sizes, pa.ListArray.from_arrays(offsets, values), *map(pa.array, bits.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["class", "n", "shingles", *_WORDS])
 
-    return stage(once.join(wanted, ["t1", "t2"]).select("class", "text").mapInArrow(run, "class long, n long, shingles array<long>"), "shingle-sets")
+    schema = ", ".join(["class long, n long, shingles array<long>", *(f"{w} long" for w in _WORDS)])
+    return stage(once.join(wanted, ["t1", "t2"]).select("class", "text").mapInArrow(run, schema), "shingle-sets")
 
 
 def _can_link(a: str, b: str, percent: int) -> str:
-    """SQL: two classes with sizes and shingles of their own may reach the threshold."""
-    return f"100 * least({a}.n - {a}.own, {b}.n - {b}.own) >= {percent} * greatest({a}.n + {b}.own, {b}.n + {a}.own)"
+    """SQL: two classes with sizes, shingles of their own and bitmaps may reach the threshold."""
+    alone = f"100 * least({a}.n - {a}.own, {b}.n - {b}.own) >= {percent} * greatest({a}.n + {b}.own, {b}.n + {a}.own)"
+    differ = " + ".join(f"bit_count({a}.{w} ^ {b}.{w})" for w in _WORDS)
+    return f"({alone}) AND {100 + percent} * ({a}.n + {b}.n - ({differ})) >= {2 * percent} * ({a}.n + {b}.n)"
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,9 +208,9 @@ def class_links(rows: DataFrame, classes: DataFrame, percent: int = PERCENT, shi
     sets = shingle_sets(rows, members.select("class").distinct().join(classes.select("class", "t1", "t2"), "class"), shingle)
     alone = sets.select("class", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("class").alias("class"), F.count("*").alias("held")).where("held = 1")
     own = alone.groupBy("class").agg(F.count("*").alias("own"))
-    sizes = sets.select("class", "n").join(own, "class", "left").select("class", "n", F.coalesce("own", F.lit(0)).alias("own"))
+    sizes = sets.drop("shingles").join(own, "class", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     able = stage(sizes.where(f"100 * (n - own) >= {percent} * n"), "able")
-    members = stage(members.join(able, "class").select("band", F.struct("class", "n", "own").alias("m")), "able-members")
+    members = stage(members.join(able, "class").select("band", F.struct("class", "n", "own", *_WORDS).alias("m")), "able-members")
 
     heads = members.groupBy("band").agg(F.min("m").alias("head"))
     star = members.join(heads, "band").where("m.class <> head.class").where(_can_link("m", "head", percent))

@@ -89,6 +89,15 @@ def test_bands_do_not_mix():
     assert len(set(keys[0].tolist())) == 30 and (keys[0] == keys[1]).all()
 
 
+def test_bitmaps_never_differ_in_more_places_than_sets():
+    rng = np.random.default_rng(2)
+    for n in (1, 30, 700, 9000):
+        values = np.unique(rng.integers(0, 1 << 63, n + 60, np.uint64))
+        a, b = values[:n], values[40:]
+        differ = int(np.bitwise_count((minhash.bitmap(a) ^ minhash.bitmap(b)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def near_copies(rng, words, n, edits):
     centre = [rng.choice(words) for _ in range(120)]
     for _ in range(n):
