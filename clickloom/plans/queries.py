@@ -25,6 +25,7 @@ from clickloom.plans import oracle as O
 from clickloom.plans import training as T
 from clickloom.session import new_path, stage
 from clickloom.sources import events as E
+from clickloom.sources import quoted_csv
 from clickloom.sources.files import read_flat, write_csv
 from clickloom.sources.schemas import SESSIONS_SCHEMA, check_schema
 from clickloom.streaming import jobs, sinks
@@ -322,6 +323,19 @@ def csv_round_trip(spark, sf_dir):
     return read_flat(spark, path, docs.schema)
 
 
+@query(
+    "csv_in_pieces",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def csv_in_pieces(spark, sf_dir):
+    """The same, read in chunks of about 700 characters: most documents are put together from fragments."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = new_path(spark, "documents") + ".csv"
+    write_csv(docs, path)
+    texts = quoted_csv.parsed(quoted_csv.csv_records(quoted_csv.csv_chunks(spark, path, 700)), docs.columns)
+    return texts.select(*(F.col(f.name).cast(f.dataType) for f in docs.schema))
+
+
 @query(
     "split_leakage",
     O.sql(O.BLOCKS["latest"], "SELECT client_id, CAST(1 AS BIGINT) AS n_splits FROM latest GROUP BY client_id"),

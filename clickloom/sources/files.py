@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.constants import SEED
+from clickloom.sources import quoted_csv
 from clickloom.sources.schemas import DAY_COLUMN, RAW_SCHEMAS
 
 # quotes inside quoted fields are doubled, and such fields may hold line breaks
@@ -36,7 +37,7 @@ def read_flat(
     reader = spark.read.schema(schema) if schema else spark.read
     try:
         if suffix == ".csv":
-            df = _typed_csv(spark, path, schema) if schema else reader.options(**CSV_OPTIONS).option("inferSchema", True).csv(path)
+            df = _typed(csv_texts(spark, path), path, schema) if schema else reader.options(**CSV_OPTIONS).option("inferSchema", True).csv(path)
         else:
             df = reader.format(_READERS[suffix]).load(path)
     except AnalysisException as error:
@@ -49,10 +50,14 @@ def read_flat(
 def csv_texts(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A CSV file or folder with all columns as text, named by the header. Empty fields are null.
 
-    One task reads a whole file, as a line break may stand inside quotes. Where none does,
-    ``multi_line=False`` lets Spark split large files.
+    Line breaks may stand inside quotes; byte ranges of a file are read side by side all the same
+    (``quoted_csv``), and what they hold is written once to the shared folder. Where no field holds a line
+    break, ``multi_line=False`` reads the files lazily and without that copy.
     """
-    return spark.read.options(**{**CSV_OPTIONS, "multiLine": multi_line}).csv(path)
+    whole = spark.read.options(**{**CSV_OPTIONS, "multiLine": multi_line}).csv(path)  # looks at the header only
+    if not multi_line:
+        return whole
+    return quoted_csv.parsed(quoted_csv.csv_records(quoted_csv.csv_chunks(spark, path)), whole.columns)
 
 
 def _converted(field: T.StructField) -> Column:
@@ -66,9 +71,8 @@ def _converted(field: T.StructField) -> Column:
     return F.expr(f"try_cast({name} as {kind.simpleString()})")
 
 
-def _typed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def _typed(texts: DataFrame, path: str, schema: T.StructType) -> DataFrame:
     """The columns of a schema by name, in its order, converted. A missing column is an error."""
-    texts = csv_texts(spark, path, multi_line)
     missing = [f.name for f in schema if f.name not in texts.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -77,7 +81,10 @@ def _typed_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line:
 
 def csv_rejects(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """(column_name, n_rejected, example) of the columns with values that do not parse."""
-    texts = csv_texts(spark, path, multi_line)
+    return _rejects(csv_texts(spark, path, multi_line), schema)
+
+
+def _rejects(texts: DataFrame, schema: T.StructType) -> DataFrame:
     bad = {f.name: F.col(f"`{f.name}`").isNotNull() & _converted(f).isNull() for f in schema if f.name in texts.columns}
     counts = texts.agg(
         *(F.count(F.when(b, 1)).alias(f"n:{c}") for c, b in bad.items()),
@@ -94,17 +101,17 @@ def load_raw_csv(spark: SparkSession, csv_path: str, kind: str, out_path: str, m
 
     Columns are taken by the names in the header. Values that do not parse are
     counted first: more than ``max_rejects`` of them are an error that names
-    them, fewer become null. Files are read whole by one task each, because
-    quoted line breaks forbid to split them: give large data as many files, or
-    set ``multi_line`` to false where no field holds a line break.
+    them, fewer become null. Files of any size are read once, by as many tasks
+    as they have byte ranges, line breaks inside quotes or not (see ``csv_texts``).
     Rows of one day are spread over several writers by the rebalance, however
     large the day is.
     """
     if kind not in RAW_SCHEMAS:
         raise ValueError(f"unknown raw table: {kind}")
     schema, day = RAW_SCHEMAS[kind], DAY_COLUMN[kind]
-    raw = _typed_csv(spark, csv_path, schema, multi_line)
-    rejects = csv_rejects(spark, csv_path, schema, multi_line).collect()  # one row per column at most
+    texts = csv_texts(spark, csv_path, multi_line)
+    raw = _typed(texts, csv_path, schema)
+    rejects = _rejects(texts, schema).collect()  # one row per column at most
     if sum(r["n_rejected"] for r in rejects) > max_rejects:
         told = "; ".join(f"{r['column_name']}: {r['n_rejected']}, such as {r['example']!r}" for r in rejects)
         raise ValueError(f"{csv_path} has values that do not parse: {told}")
