@@ -138,7 +138,7 @@ def csv_records(chunks: DataFrame) -> DataFrame:
 
 
 def parsed(records: DataFrame, columns: list[str]) -> DataFrame:
-    """Records that are neither headers nor empty as text columns. Empty fields are null, quoted empty ones empty texts."""
+    """Records that are neither headers nor empty as text columns. Empty fields are null."""
     safe = [f"c{k}" for k in range(len(columns))]
     schema = ", ".join(f"{c} string" for c in safe)
     texts = records.where("NOT is_header AND record <> ''")
