@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.encoding import feature_stages, hot_stages
 from clickloom.operators.metrics import auc_ovr_macro, metrics
+from clickloom.operators.target_statistics import fit_target_statistics, ordered_targets
 from clickloom.session import allow_checkpoints
 
 TREES = ("boosted_trees", "random_forest")
@@ -65,17 +66,28 @@ def fit_model(
     label: str = "event_value",
     val: DataFrame | None = None,
     positive_weight: float | None = None,
+    order_keys: list[str] | None = None,
     **params,
 ) -> PipelineModel:
     """Fit encoders and a model. Boosted trees stop early on ``val`` where it is given.
 
+    With ``order_keys`` trees take categories as target statistics: training rows, told apart
+    by these keys, by the targets of earlier rows, all others by those of the whole training frame.
     Encoders learn from ``train`` only. Boosting reads its input once per
     iteration, so the assembled vectors are cached; lost blocks are recomputed.
     """
     if positive_weight is not None and name == "network":
         raise ValueError("the network takes no class weight: leave positive_weight out")
     allow_checkpoints(train.sparkSession)
-    encoder = Pipeline(stages=input_stages(name, numbers, categories)).fit(train)
+    by_target = bool(order_keys and categories and name in TREES)
+    if by_target:
+        statistics = fit_target_statistics(train, categories, label)
+        targets = [f"{c}_target" for c in categories]
+        encoder = PipelineModel(stages=[statistics, *feature_stages([*numbers, *targets], [])])
+        train = ordered_targets(train, categories, label, order_keys)
+        val = statistics.transform(val) if val is not None else None
+    else:
+        encoder = Pipeline(stages=input_stages(name, numbers, categories)).fit(train)
     if name == "network":
         width = encoder.transform(train.limit(1)).first()["features"].size
         classes = train.agg(F.max(label)).first()[0]
@@ -90,7 +102,9 @@ def fit_model(
         params["weightCol"] = "weight"
     estimator = make_estimator(name, task, label, **params)
     wanted = ["features", label, *[c for c in ("weight", "is_val") if c in frame.columns]]
-    vectors = encoder.transform(frame).select(*wanted).persist()
+    # the targets are in the frame already, training rows by other values than the statistics would give
+    assembled = encoder.stages[-1].transform(frame) if by_target else encoder.transform(frame)
+    vectors = assembled.select(*wanted).persist()
     try:
         model = estimator.fit(vectors)
     finally:
@@ -119,7 +133,7 @@ def score(model: Model, df: DataFrame, keep: list[str] | None = None) -> DataFra
         shares = vector_to_array(F.col("probability"))
         scored = scored.withColumn("confidence", F.array_max(shares))
         scored = scored.withColumn("probability", shares[1]) if n_classes(model) == 2 else scored.drop("probability")
-    drop = [c for c in scored.columns if c.endswith(("_index", "_hot")) or c in ("features", "rawPrediction")]
+    drop = [c for c in scored.columns if c.endswith(("_index", "_hot", "_target")) or c in ("features", "rawPrediction")]
     scored = scored.drop(*drop)
     if keep is None:
         return scored

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
-from clickloom.operators import eda, explain, models, tuning
+from clickloom.operators import eda, explain, models, trees, tuning
 from clickloom.operators import errors as R
 from clickloom.operators import mart as M
 from clickloom.operators import metrics as Q
@@ -21,6 +21,7 @@ from clickloom.operators.encoding import collapse_rare_categories, one_hot, ordi
 from clickloom.operators.features import SessionFeatures
 from clickloom.operators.filters import drop_sparse_by_count, drop_sparse_rows
 from clickloom.operators.splitting import client_labels, group_split, split_sizes, three_frames
+from clickloom.operators.target_statistics import ordered_targets
 from clickloom.plans import oracle as O
 from clickloom.plans import training as T
 from clickloom.session import new_path, stage
@@ -1430,6 +1431,121 @@ def contribution_checks(spark, sf_dir):
     return rests.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.max("rest") - F.min("rest"), 6).alias("spread"))
 
 
+@query(
+    "tree_contribution_checks",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT model, (SELECT count(*) FROM mart JOIN client_splits USING (client_id) WHERE split = 'val') AS n_rows, 0.0 AS spread
+            FROM (SELECT unnest(['boosted_trees', 'random_forest']) AS model)""",
+        O.SPLIT,
+    ),
+)
+def tree_contribution_checks(spark, sf_dir):
+    """Contributions of the trees and their base value add up to the margin of every validation row."""
+    train, val, _ = training_frames(spark, sf_dir)
+    found = None
+    for name, margin in (("boosted_trees", F.get(vector_to_array("rawPrediction"), 1)), ("random_forest", F.get(vector_to_array("probability"), 1))):
+        model = T.fit_pipeline(train, None, T.Spec(model=name, **_MODEL_SETTINGS[name]))
+        parts, _, base = trees.tree_contributions(model, val, _KEYS)
+        total = F.aggregate("contributions", F.lit(base), lambda a, b: a + b)
+        rests = parts.join(model.transform(val).select(*_KEYS, margin.alias("margin")), _KEYS).select(F.abs(F.col("margin") - total).alias("rest"))
+        line = rests.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.round(F.max("rest"), 6).alias("spread"))
+        found = line if found is None else found.unionByName(line)
+    return found
+
+
+def _cells(spark, sf_dir):
+    """Two flags of each order line and whether its price is high."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return lines.select(
+        "l_extendedprice",
+        (F.col("l_quantity") > 25).cast("int").alias("a"),
+        (F.col("l_discount") >= 0.05).cast("int").alias("b"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 35000).cast("int").alias("y"),
+    )
+
+
+_CELLS = """cells AS (
+  SELECT l_extendedprice AS price, CAST(l_quantity > 25 AS INT) AS a, CAST(l_discount >= 0.05 AS INT) AS b,
+         CAST(l_extendedprice * (1 - l_discount) > 35000 AS INT) AS y FROM lineitem)"""
+
+
+@query(
+    "tree_shapley_cells",
+    f"""WITH {_CELLS},
+        means AS (
+          SELECT DISTINCT a, b, avg(price) OVER (PARTITION BY a, b) AS m_ab, avg(price) OVER (PARTITION BY a) AS m_a, avg(price) OVER (PARTITION BY b) AS m_b,
+                 avg(price) OVER () AS m, count(*) OVER (PARTITION BY a, b) AS n, count(*) OVER (PARTITION BY a) AS n_a,
+                 count(*) OVER (PARTITION BY b) AS n_b, count(*) OVER () AS n_all FROM cells),
+        root AS (SELECT sum(n * (m_a - m) ** 2) >= sum(n * (m_b - m) ** 2) AS a_first FROM means),
+        -- with a first, a row without a goes both ways by the sizes of a, and without b by those of b below its a
+        games AS (
+          SELECT x.a, x.b, x.n, x.m, x.m_ab,
+                 CASE WHEN a_first THEN x.m_a ELSE sum(y.m_ab * y.n_b / y.n_all) FILTER (y.a = x.a) END AS v_a,
+                 CASE WHEN a_first THEN sum(y.m_ab * y.n_a / y.n_all) FILTER (y.b = x.b) ELSE x.m_b END AS v_b
+          FROM means x, means y, root GROUP BY x.a, x.b, x.n, x.m, x.m_ab, x.m_a, x.m_b, a_first)
+        SELECT a, b, n AS n_rows, round(m, 4) AS base, round(((v_a - m) + (m_ab - v_b)) / 2, 4) AS contribution_a,
+               round(((v_b - m) + (m_ab - v_a)) / 2, 4) AS contribution_b FROM games""",
+)
+def tree_shapley_cells(spark, sf_dir):
+    """Contributions of two flags to the price that a tree gives, next to the definition over all coalitions."""
+    rows = _cells(spark, sf_dir)
+    settings = {"numTrees": 1, "maxDepth": 2, "bootstrap": False, "featureSubsetStrategy": "all", "seed": C.SEED}
+    model = models.fit_model(rows, ["a", "b"], [], "random_forest", "regression", "l_extendedprice", **settings)
+    parts, names, base = trees.tree_contributions(model, rows, ["a", "b"])
+    each = {f"contribution_{n}": F.round(F.avg(F.col("contributions")[names.index(n)]), 4) for n in ("a", "b")}
+    return parts.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(round(base, 4)).alias("base"), *(c.alias(k) for k, c in each.items()))
+
+
+@query(
+    "ordered_targets",
+    f"""WITH rows AS (
+          SELECT event_id, event_type, CASE WHEN user_id % 7 > 0 THEN CAST(user_id % 300 AS VARCHAR) END AS visitor, CAST(value > 50 AS INT) AS y,
+                 {O.share_of("event_id")} AS place, avg(CAST(value > 50 AS INT)) OVER () AS overall FROM events),
+        sums AS (
+          SELECT *, coalesce(sum(y) OVER t, 0) AS t_sum, count(*) OVER t AS t_n, coalesce(sum(y) OVER v, 0) AS v_sum, count(*) OVER v AS v_n FROM rows
+          WINDOW t AS (PARTITION BY event_type ORDER BY place, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                 v AS (PARTITION BY visitor ORDER BY place, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT event_id, round((t_sum + overall) / (t_n + 1), 9) AS event_type_target,
+               round(CASE WHEN visitor IS NULL THEN overall ELSE (v_sum + overall) / (v_n + 1) END, 9) AS visitor_target FROM sums""",
+)
+def ordered_targets_of_events(spark, sf_dir):
+    """Kind and visitor of each event as the share of high values on earlier events of the same kind or visitor."""
+    events = E.read_events(spark, sf_dir)
+    visitor = F.when(F.col("user_id") % 7 > 0, (F.col("user_id") % 300).cast("string"))
+    rows = events.select("event_id", "event_type", visitor.alias("visitor"), (F.col("value") > 50).cast("int").alias("y"))
+    found = ordered_targets(rows, ["event_type", "visitor"], "y", ["event_id"], slice_rows=500)
+    return found.select("event_id", *(F.round(c, 9).alias(c) for c in ("event_type_target", "visitor_target")))
+
+
+_ITERATIONS = 12
+
+
+@query(
+    "iteration_areas",
+    f"""WITH RECURSIVE {_CELLS},
+        kinds AS (SELECT a, b, y, count(*) AS n FROM cells GROUP BY a, b, y),
+        -- a stump on the flag with the larger gain, fitted to the labels first, then to the gradients of the log loss
+        boosted AS (
+          SELECT 0 AS k, a, b, y, n, 0.0::DOUBLE AS f FROM kinds
+          UNION ALL
+          SELECT k + 1, a, b, y, n, f + CASE WHEN k = 0 THEN 1.0 ELSE 0.1 END * CASE WHEN gain_a >= gain_b THEN r_a ELSE r_b END
+          FROM (
+            SELECT *, sum(n * r_a * r_a) OVER () AS gain_a, sum(n * r_b * r_b) OVER () AS gain_b
+            FROM (SELECT *, sum(n * r) OVER (PARTITION BY a) / sum(n) OVER (PARTITION BY a) AS r_a, sum(n * r) OVER (PARTITION BY b) / sum(n) OVER (PARTITION BY b) AS r_b
+                  FROM (SELECT *, CASE WHEN k = 0 THEN 2 * y - 1 ELSE 4 * (2 * y - 1) / (1 + exp(2 * (2 * y - 1) * f)) END AS r FROM boosted WHERE k < {_ITERATIONS})))),
+        scores AS (SELECT k, round(f, 12) AS f, sum(n) FILTER (y = 1) AS p, sum(n) FILTER (y = 0) AS q FROM boosted WHERE k > 0 GROUP BY k, round(f, 12)),
+        placed AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY k ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM scores)
+        SELECT k AS iteration, round(sum(coalesce(p, 0) * (below + coalesce(q, 0) / 2.0)) / (sum(p) * sum(q)), 6) AS auc FROM placed GROUP BY k""",
+)
+def iteration_areas(spark, sf_dir):
+    """The area after each boosting iteration of a model of stumps."""
+    rows = _cells(spark, sf_dir)
+    settings = {"maxIter": _ITERATIONS, "maxDepth": 1, "stepSize": 0.1, "seed": C.SEED}
+    model = models.fit_model(rows, ["a", "b"], [], "boosted_trees", "binary", "y", **settings)
+    return trees.iteration_areas(model, rows, "y").withColumn("auc", F.round("auc", 6))
+
+
 @query(
     "stream_score_checks",
     O.sql(

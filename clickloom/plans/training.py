@@ -18,6 +18,7 @@ from clickloom.operators.filters import drop_sparse_rows, require_rows
 from clickloom.operators.metrics import metrics, prefixed
 from clickloom.operators.splitting import group_split, three_frames
 from clickloom.operators.tracking import log_metrics, log_params, log_run
+from clickloom.operators.trees import fit_to_best
 from clickloom.operators.tuning import random_search, trials_table
 from clickloom.session import stage
 from clickloom.sources.files import write_predictions
@@ -40,6 +41,10 @@ class Spec:
     cleaner_params: dict = field(default_factory=dict)
     positive_weight: float | None = None
     metric: str = "roc_auc"
+    #: trees take categories as ordered target statistics instead of alphabetical numbers
+    target_statistics: bool = False
+    #: boosted trees of two classes run all iterations and keep those up to the best area on the validation rows
+    keep_best: bool = False
 
 
 def direction_of(metric: str) -> str:
@@ -78,6 +83,7 @@ def fit_pipeline(
     stages, cleaned = prepared or fit_preparation(train, spec)
     numbers, categories = split_columns(cleaned, spec)
     clean_val = PipelineModel(stages=stages).transform(val) if val is not None else None
+    cut_later = spec.keep_best and clean_val is not None
     fitted = models.fit_model(
         cleaned,
         numbers,
@@ -85,10 +91,13 @@ def fit_pipeline(
         spec.model,
         spec.task,
         spec.label,
-        clean_val,
+        None if cut_later else clean_val,
         spec.positive_weight,
+        spec.keys if spec.target_statistics else None,
         **spec.model_params,
     )
+    if cut_later:
+        fitted, _ = fit_to_best(fitted, clean_val, spec.label)
     return PipelineModel(stages=[*stages, *fitted.stages])
 
 
