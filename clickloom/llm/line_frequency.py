@@ -9,11 +9,14 @@ the limit are removed. A document is depleted when less than ``MIN_LEFT`` of its
 words are left; depleted documents are rejected, as are those that fail the base
 rule (fewer than 50 words, or over half of the words in repeated 3-word windows).
 
-``report`` counts distinct texts, as its SQL does. ``clean`` counts classes of near
-copies, for lines and for hosts: else a group of near copies would lift its own
-lines above the limit and leave no member for the dedup that follows. Texts with
-equal minima of ``BAND_ROWS`` hash orders of their 4-word windows (A-Z lower-cased,
-digits to 0) in one of ``BANDS`` bands are linked, and linked texts are a class.
+The query and the filter count alike, as the SQL does. A group of more than ``MIN_DOCS`` near copies lifts its own
+lines above the limit, so all its members are depleted, just as pages that are mostly boilerplate. ``clean``
+then gives back one member, whole, of each class of near copies of which no member is left: something
+remains for the dedup that follows, and no count changes. Texts with equal minima of ``BAND_ROWS`` hash orders of
+their 5-word windows (A-Z lower-cased, digits to 0) in one of ``BANDS`` bands are compared with the smallest of them; a
+share of ``MIN_EQUAL`` of all minima links them, and linked texts are a class. By the formula 0.95 of pairs with a
+similarity of 0.8 meet in a band, and nearly all of 0.9. Only documents that lost
+lines are looked at, as a near copy of a depleted document has lost the same lines.
 
 Scale: texts are read once by tasks that give counts, hashes and word numbers;
 only these are written and shuffled. The distinct count has two partial steps,
@@ -25,7 +28,7 @@ never all pairs.
 
 Null texts have no words and fail the base rule. Documents without a host are a
 host of their own. Null ids and repeated rows are kept, one result per row. An
-empty table gives an empty table. Extra columns stay as they are in ``clean`` and
+empty table gives an empty table. Extra columns stay as they are in ``clean``, whatever their names, and
 are ignored by the query.
 """
 
@@ -53,7 +56,11 @@ MAX_SHARE = 0.001
 #: share of words that must be left
 MIN_LEFT = 0.5
 #: bands of a text, and hash orders whose minima must all be equal in one of them
-BANDS, BAND_ROWS = 8, 12
+BANDS, BAND_ROWS = 16, 8
+#: share of equal minima that confirms a link: the similarity itself, less four standard errors
+MIN_EQUAL = 0.67
+#: words of a window
+WINDOW = 5
 #: fixed values of the contract: symbols, and the white space between words
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -95,22 +102,26 @@ def measure(text: str) -> tuple[int, int, int, int, int, list[tuple[int, int]]]:
     return len(words), chars, symbols, repeated, covered, lines
 
 
-def near_copy_bands(text: str) -> list[int]:
-    """A hash per band of the minima of a text's 4-word windows; near copies share some of them. No words give none."""
+def near_copy_minima(text: str) -> np.ndarray:
+    """The minima of a text's windows under each hash order: near copies share most of them. No words give none."""
     words = text.encode().translate(_NORMAL_BYTES).split()
     if not words:
-        return []
-    windows = map(b" ".join, zip(*(words[k:] for k in range(4)))) if len(words) > 4 else (b" ".join(words),)
+        return np.empty(0, np.uint64)
+    windows = map(b" ".join, zip(*(words[k:] for k in range(WINDOW)))) if len(words) > WINDOW else (b" ".join(words),)
     hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, windows)), np.uint64)
-    least = np.min([(hashes[at : at + _PIECE, None] * _ORDERS).min(axis=0) for at in range(0, len(hashes), _PIECE)], axis=0)
-    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return np.min([(hashes[at : at + _PIECE, None] * _ORDERS).min(axis=0) for at in range(0, len(hashes), _PIECE)], axis=0)
 
 
-def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None, bands: bool = False) -> DataFrame:
+def near_copy_bands(minima: np.ndarray) -> list[int]:
+    """A hash per band of minima."""
+    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(minima.reshape(-1, BAND_ROWS))]
+
+
+def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The counts of each row, its text hash and its lines in a written table, next to the columns to keep and a row number."""
     keep = docs.columns if keep is None else keep
     spots, at = [docs.columns.index(c) for c in keep], docs.columns.index(text)
-    names = [*keep, *(f"__{m}" for m in _MEASURES), "__text_hash", "__lines", *(["__bands"] if bands else [])]
+    names = [*keep, *(f"__{m}" for m in _MEASURES), "__text_hash", "__lines"]
     kind = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
 
     def run(batches):
@@ -119,21 +130,40 @@ def measured(docs: DataFrame, text: str = "text", keep: list[str] | None = None,
             found = [(*measure(x), _signed(xxhash.xxh64_intdigest(x))) for x in values]
             counts = [pa.array([r[k] for r in found], pa.int64()) for k in (0, 1, 2, 3, 4, 6)]
             lines = pa.array([[{"line": a, "words": b} for a, b in r[5]] for r in found], kind)
-            near = [pa.array(map(near_copy_bands, values), pa.list_(pa.int64()))] if bands else []
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in spots), *counts, lines, *near], names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in spots), *counts, lines], names)
 
     longs = [StructField(f"__{n}", LongType()) for n in (*_MEASURES, "text_hash")]
-    near = [StructField("__bands", ArrayType(LongType()))] if bands else []
-    schema = StructType([*(docs.schema.fields[k] for k in spots), *longs, StructField("__lines", _LINES), *near])
+    schema = StructType([*(docs.schema.fields[k] for k in spots), *longs, StructField("__lines", _LINES)])
     return stage(with_row_number(docs.mapInArrow(run, schema)), "measured")
 
 
-def near_copy_classes(found: DataFrame) -> DataFrame:
-    """(node, component): the text hash of each text that has near copies, and the smallest one of its class."""
-    each = found.select(F.col("__text_hash").alias("text_hash"), F.explode("__bands").alias("band"))
+def near_copy_classes(banded: DataFrame) -> DataFrame:
+    """(node, component): the text hash of each text that has near copies, and the smallest one of its class; ``banded`` has text_hash, minima and bands."""
+    once = banded.groupBy("text_hash").agg(F.first(F.struct("minima", "bands")).alias("s")).select("text_hash", "s.*")
+    each = once.select("text_hash", F.explode("bands").alias("band"))
     ends = each.groupBy("band").agg(F.min("text_hash").alias("head"), F.max("text_hash").alias("last"))
-    heads = stage(ends.where("head < last").select("band", "head"), "bands")
-    return connected_components(each.join(heads, "band").select("text_hash", "head"), "text_hash", "head")
+    pairs = each.join(ends.where("head < last"), "band").where("text_hash <> head").select("text_hash", "head").distinct()
+    both = pairs.join(once.select("text_hash", "minima"), "text_hash").join(once.select(F.col("text_hash").alias("head"), F.col("minima").alias("of_head")), "head")
+    equal = F.size(F.filter(F.zip_with("minima", "of_head", lambda a, b: a == b), lambda x: x))
+    return connected_components(stage(both.where(equal >= MIN_EQUAL * BANDS * BAND_ROWS).select("text_hash", "head"), "near-copies"), "text_hash", "head")
+
+
+def _with_bands(batches):
+    """(row, kept, text_hash, text) with minima and bands instead of the text."""
+    for batch in small(batches):
+        minima = [near_copy_minima(x) for x in texts(batch.column(3))]
+        lists = [pa.array([m.view(np.int64) for m in minima], pa.list_(pa.int64())), pa.array(map(near_copy_bands, minima), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], ["row", "kept", "text_hash", "minima", "bands"])
+
+
+def survivors(found: DataFrame, judged: DataFrame, text: str) -> DataFrame:
+    """(row) of one member, the one with the smallest text hash, of each class of near copies without a member that is kept."""
+    lost = judged.where("NOT base_failed AND n_removed_words > 0").select("row", "kept")
+    rows = found.join(lost, F.col(ROW) == F.col("row")).select("row", "kept", F.col("__text_hash").alias("text_hash"), text)
+    banded = stage(rows.mapInArrow(_with_bands, "row long, kept boolean, text_hash long, minima array<long>, bands array<long>"), "banded")
+    members = banded.join(near_copy_classes(banded), F.col("text_hash") == F.col("node"))
+    heads = members.groupBy("component").agg(F.max("kept").alias("any_kept"), F.min(F.struct("text_hash", "row")).alias("head"))
+    return heads.where("NOT any_kept").select("head.row")
 
 
 def lines_above_limit(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
@@ -145,19 +175,16 @@ def lines_above_limit(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: flo
 
 
 def verdicts(
-    found: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT, classes: DataFrame | None = None
+    found: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
 ) -> DataFrame:
-    """Counts and verdict per row of a table made by ``measured``; texts of one class (node, component) count as one.
+    """Counts and verdict per row of a table made by ``measured``.
 
     Columns: the row number, the counts, ``base_failed``, ``n_removed_words``, ``removed`` (hashes of removed lines)
     and ``kept``.
     """
     rows = found.select(F.col(ROW).alias("row"), F.col(host).cast("string").alias("host"), F.col("__text_hash").alias("text_hash"), F.col("__lines").alias("lines"))
     each = rows.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
-    counted = rows
-    if classes is not None:
-        counted = rows.join(classes, rows["text_hash"] == classes["node"], "left").withColumn("text_hash", F.coalesce("component", "text_hash"))
-    lines = counted.select("host", "text_hash", F.explode("lines.line").alias("line"))
+    lines = rows.select("host", "text_hash", F.explode("lines.line").alias("line"))
     above = stage(lines_above_limit(lines.select("host", "line", "text_hash"), min_docs, max_share), "above-limit")
     hits = each.alias("e").join(above.alias("a"), F.expr("e.line = a.line and e.host <=> a.host"))
     removed = hits.groupBy("row").agg(F.sum("e.words").alias("n_removed_words"), F.collect_set("e.line").alias("removed"))
@@ -191,13 +218,17 @@ def _without(batches, text_at: int, chars_at: int | None, removed_at: int, colum
 
 
 def clean(docs: DataFrame, text: str = "text", host: str = "source", chars: str = "n_chars", **limits) -> DataFrame:
-    """The documents that the rules keep, without the lines above the limit in classes of near copies; columns as given."""
-    columns = docs.columns
-    found = measured(docs, text, bands=True)
-    kept = verdicts(found, host, classes=near_copy_classes(found), **limits).where("kept").select(F.col("row").alias(ROW), F.col("removed").alias("__removed"))
-    joined = found.select(*columns, ROW).join(kept, ROW).select(*columns, "__removed")
-    at, chars_at = columns.index(text), columns.index(chars) if chars in columns else None
-    return joined.mapInArrow(lambda batches: _without(batches, at, chars_at, len(columns), columns), docs.schema)
+    """The documents that the rules keep, without the lines above the limit, and the survivors of near copies, whole; columns as given."""
+    names = [f"c{k}" for k in range(len(docs.columns))]  # safe whatever the columns are called
+    safe = dict(zip(docs.columns, names))
+    named = docs.toDF(*names)
+    found = measured(named, safe[text])
+    judged = stage(verdicts(found, safe[host], **limits).select("row", "base_failed", "kept", "n_removed_words", "removed"), "judged")
+    left = judged.where("kept").select("row", "removed")
+    back = survivors(found, judged, safe[text]).select("row", F.lit(None).cast("array<long>").alias("removed"))
+    joined = found.join(left.unionByName(back), F.col(ROW) == F.col("row")).select(*names, "removed")
+    at, chars_at = names.index(safe[text]), names.index(safe[chars]) if chars in safe else None
+    return joined.mapInArrow(lambda batches: _without(batches, at, chars_at, len(names), names), named.schema).toDF(*docs.columns)
 
 
 def report(docs: DataFrame, **limits) -> DataFrame:
