@@ -140,7 +140,8 @@ def proposals(text: str) -> list[Span]:
 
 
 def _proposals(text: str) -> Iterator[Span]:
-    if "@" in text or " at " in text or "at)" in text or "at]" in text or "at}" in text or "AT" in text:
+    low = text.lower()
+    if "@" in text or " at " in low or "at)" in low or "at]" in low or "at}" in low:
         for m in _AT.finditer(text):
             before = _word_start(text, m.start())
             after = _NAME_AFTER.match(text, m.end()) if before < m.start() else None

@@ -142,3 +142,8 @@ def test_query_base_spans_against_brute_force(spark):
         assert row["base_sha256"] == pii.sha(spans)
         assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == n for s in spans) for n in range(4)]
         assert {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans} <= set(row["spans"].split(","))
+
+
+def test_proposals_of_addresses_in_any_case():
+    for text in ("bob At example.com", "bob (At) example.com", "bob aT example.com", "bob [AT] example.com", "bob@example.com", "bob {at} example dot com"):
+        assert (0, 0, len(text)) in pii.proposals(text)
