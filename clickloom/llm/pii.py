@@ -44,6 +44,11 @@ KINDS = ["email", "ip", "card", "phone"]
 #: distinct texts that the model is trained on, and proposals taken from them
 TRAIN_DOCS = 4000
 TRAIN_ROWS = 40_000
+#: of which one text gives so many at most, and ways in which a base span is rewritten
+TEXT_ROWS = 400
+REWRITES = 3
+#: parts of the texts, each scored by trees that the other parts grow
+FOLDS = 4
 #: least held-out precision of an added kind of span, and least number of held-out spans that show it
 PRECISION = 0.99
 LEAST_SHOWN = 30
@@ -220,7 +225,7 @@ def _variants(kind: int, body: str, pick: int) -> list[tuple[str, int]]:
     ]
 
 
-def training_rows(text: str, most: int = TRAIN_ROWS) -> list[tuple[list[float], int]]:
+def training_rows(text: str, most: int = TEXT_ROWS) -> list[tuple[list[float], int]]:
     """Features and labels that one text gives, the first ``most``: its proposals, and its base spans rewritten at their place."""
     base = base_spans(text)
     exact = set(base)
@@ -236,7 +241,8 @@ def training_rows(text: str, most: int = TRAIN_ROWS) -> list[tuple[list[float],
             rows.append((features(text, s), 0))  # a part or an extension of a span is not the span
     for kind, start, end in base:
         pick = zlib.crc32(text[start:end].encode())
-        for other, label in _variants(kind, text[start:end], pick):
+        rewritten = dict.fromkeys(v for k in range(REWRITES) for v in _variants(kind, text[start:end], pick + 5 * k))
+        for other, label in rewritten:
             around = text[max(0, start - 60) : start] + other + text[end : end + 60]
             first = min(start, 60)
             for s in proposals(around):
@@ -276,18 +282,22 @@ def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit_model(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> tuple:
-    """Model parts from rows of features; rows with fold 0 calibrate and choose the thresholds, the others grow the trees."""
-    held = fold == 0
-    if min(y[~held].sum(), (1 - y[~held]).sum(), y[held].sum(), (1 - y[held]).sum()) < LEAST_SHOWN:
+    """Model parts from rows of features. Every row is scored by trees that its fold has no part in; these scores
+    calibrate and choose the thresholds. The trees of the model are grown from all rows."""
+    parts = [fold == k for k in range(FOLDS)]
+    if min(y.sum(), (1 - y).sum()) < LEAST_SHOWN or any(len(set(y[~part])) < 2 for part in parts if part.any()):
         return NOTHING
-    trees = boosting.fit(x[~held], y[~held])
-    scale = _platt(boosting.margins(trees, x[held]), y[held])
-    p = Model(trees, scale, []).probability(x[held])
+    margin = np.zeros(len(y))
+    for part in parts:
+        if part.any():
+            margin[part] = boosting.margins(boosting.fit(x[~part], y[~part]), x[part])
+    scale, trees = _platt(margin, y), boosting.fit(x, y)
+    p = 1 / (1 + np.exp(-(scale[0] * margin + scale[1])))
     thresholds = []
     for kind in range(len(KINDS)):
-        mine = x[held][:, kind] == 1
+        mine = x[:, kind] == 1
         order = np.argsort(-p[mine], kind="stable")
-        right = np.cumsum(y[held][mine][order])
+        right = np.cumsum(y[mine][order])
         shown = np.arange(1, len(order) + 1)
         # equal probabilities are taken together
         last = np.append(np.diff(p[mine][order]) != 0, True) if len(order) else np.zeros(0, bool)
@@ -307,7 +317,7 @@ def train(docs: DataFrame, text: str = "text", train_docs: int = TRAIN_DOCS, tra
         for batch in small(batches):
             out: list[tuple[int, int, list[float], int]] = []
             for key, value in zip(batch.column(1).to_pylist(), texts(batch.column(0))):
-                out += [(key, n, x, y) for n, (x, y) in enumerate(training_rows(value, train_rows))]
+                out += [(key, n, x, y) for n, (x, y) in enumerate(training_rows(value))]
             types = [pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["h", "n", "x", "y"])
 
@@ -317,7 +327,7 @@ def train(docs: DataFrame, text: str = "text", train_docs: int = TRAIN_DOCS, tra
     if not table.num_rows:
         return NOTHING
     x = table.column("x").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).astype(np.float64)
-    return fit_model(x, table.column("y").to_numpy().astype(np.float64), table.column("h").to_numpy() % 4)
+    return fit_model(x, table.column("y").to_numpy().astype(np.float64), table.column("h").to_numpy() % FOLDS)
 
 
 # ---- detection ----------------------------------------------------------------------------------------------------
