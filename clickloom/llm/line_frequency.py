@@ -15,8 +15,8 @@ then gives back one member, whole, of each class of near copies of which no memb
 remains for the dedup that follows, and no count changes. Texts with equal minima of ``BAND_ROWS`` hash orders of
 their 5-word windows (A-Z lower-cased, digits to 0) in one of ``BANDS`` bands are compared with the smallest of them; a
 share of ``MIN_EQUAL`` of all minima links them, and linked texts are a class. By the formula 0.95 of pairs with a
-similarity of 0.8 meet in a band, and nearly all of 0.9. Only documents that lost
-lines are looked at, as a near copy of a depleted document has lost the same lines.
+similarity of 0.8 meet in a band, and nearly all of 0.9. Only documents that lost half as much as a depleted
+one are looked at: a near copy of a depleted document has lost nearly the same lines.
 
 Scale: texts are read once by tasks that give counts, hashes and word numbers;
 only these are written and shuffled. The distinct count has two partial steps,
@@ -156,9 +156,10 @@ def _with_bands(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], ["row", "kept", "text_hash", "minima", "bands"])
 
 
-def survivors(found: DataFrame, judged: DataFrame, text: str) -> DataFrame:
+def survivors(found: DataFrame, judged: DataFrame, text: str, min_left: float) -> DataFrame:
     """(row) of one member, the one with the smallest text hash, of each class of near copies without a member that is kept."""
-    lost = judged.where("NOT base_failed AND n_removed_words > 0").select("row", "kept")
+    much = F.col("n_removed_words") >= (1 - min_left) / 2 * F.col("n_words")
+    lost = stage(judged.where(~F.col("base_failed") & (F.col("n_removed_words") > 0) & much).select("row", "kept"), "lost")
     rows = found.join(lost, F.col(ROW) == F.col("row")).select("row", "kept", F.col("__text_hash").alias("text_hash"), text)
     banded = stage(rows.mapInArrow(_with_bands, "row long, kept boolean, text_hash long, minima array<long>, bands array<long>"), "banded")
     members = banded.join(near_copy_classes(banded), F.col("text_hash") == F.col("node"))
@@ -223,9 +224,9 @@ def clean(docs: DataFrame, text: str = "text", host: str = "source", chars: str
     safe = dict(zip(docs.columns, names))
     named = docs.toDF(*names)
     found = measured(named, safe[text])
-    judged = stage(verdicts(found, safe[host], **limits).select("row", "base_failed", "kept", "n_removed_words", "removed"), "judged")
+    judged = stage(verdicts(found, safe[host], **limits).select("row", "base_failed", "kept", "n_words", "n_removed_words", "removed"), "judged")
     left = judged.where("kept").select("row", "removed")
-    back = survivors(found, judged, safe[text]).select("row", F.lit(None).cast("array<long>").alias("removed"))
+    back = survivors(found, judged, safe[text], limits.get("min_left", MIN_LEFT)).select("row", F.lit(None).cast("array<long>").alias("removed"))
     joined = found.join(left.unionByName(back), F.col(ROW) == F.col("row")).select(*names, "removed")
     at, chars_at = names.index(safe[text]), names.index(safe[chars]) if chars in safe else None
     return joined.mapInArrow(lambda batches: _without(batches, at, chars_at, len(names), names), named.schema).toDF(*docs.columns)
