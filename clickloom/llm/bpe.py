@@ -11,7 +11,7 @@ one is taken up at once, as the lowest rank in a word always goes first.
 Merges in one word never depend on another, so the corpus can be cut anywhere
 without changing an id. Here it is cut at ``BLOCK_CHARS`` of text, and words
 known from earlier blocks, or earlier tasks of the same worker, are not replayed
-again; beyond ``KNOWN_WORDS`` the store keeps the frequent ones. There is no shuffle. Memory per
+again; beyond ``KNOWN_BYTES`` the store keeps the frequent ones. There is no shuffle. Memory per
 task is bounded by these two numbers and by the ids of one text.
 
 Null and empty texts have no tokens. Repeated rows and ties play no part, since
@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from itertools import islice, repeat
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,12 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from clickloom.llm.common import blocks, small, texts
 
-BLOCK_CHARS = 2_000_000
-BLOCK_WORDS = 500_000
-KNOWN_WORDS = 600_000
+BLOCK_CHARS = 500_000
+BLOCK_WORDS = 125_000
+#: bytes of the words that a worker keeps from block to block and task to task
+KNOWN_BYTES = 32 << 20
+#: of these, bytes of a word besides its string and its ids: a place in the dictionary and counters
+WORD_BYTES = 100
 #: largest rank file that is sent to every executor
 MOST_VOCABULARY_BYTES = 64 << 20
 
@@ -125,20 +130,23 @@ def replay(words: list[bytes], ranks: dict[bytes, int], pairs: dict[int, dict[in
 class Corpus:
     """The distinct words met so far with their ids, as flat arrays. Only speeds up: any word can be replayed again."""
 
-    def __init__(self, ranks: dict[bytes, int], pairs: dict[int, dict[int, int]], most: int = KNOWN_WORDS):
+    def __init__(self, ranks: dict[bytes, int], pairs: dict[int, dict[int, int]], most: int = KNOWN_BYTES):
         self.ranks, self.pairs, self.most = ranks, pairs, most
+        self.held = 0  # bytes
         self.place: dict[str, int] = {}
         self.ids = np.empty(0, np.uint32)
         self.starts = np.zeros(1, np.int64)
         self.seen = np.empty(0, np.int64)
 
     def _forget(self) -> None:
-        """Keep the words that were seen most often, half of the store at most."""
+        """Keep the words that were seen most often, half of the store's bytes at most."""
+        names = list(self.place)
+        sizes = np.fromiter(map(getsizeof, names), np.int64, len(names)) + 4 * np.diff(self.starts) + WORD_BYTES
         least = 1
-        while (self.seen > least).sum() > self.most // 2:
+        while sizes[self.seen > least].sum() > self.most // 2:
             least *= 2
         kept = np.flatnonzero(self.seen > least)
-        names = list(self.place)
+        self.held = int(sizes[kept].sum())
         self.ids, counts = self._ids_of(kept)
         self.starts = np.concatenate([[0], np.cumsum(counts)])
         self.place = {names[k]: n for n, k in enumerate(kept.tolist())}
@@ -152,8 +160,6 @@ class Corpus:
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of words, and the number of ids of each."""
-        if len(self.place) > self.most:
-            self._forget()
         which = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(which < 0).tolist()
         if missing:
@@ -164,8 +170,24 @@ class Corpus:
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
             self.seen = np.append(self.seen, np.zeros(len(new), np.int64))
             which[missing] = np.fromiter((self.place[words[k]] for k in missing), np.int64, len(missing))
+            self.held += sum(map(getsizeof, new)) + 4 * len(ids) + WORD_BYTES * len(new)
         self.seen += np.bincount(which, minlength=len(self.place))
-        return self._ids_of(which)
+        found = self._ids_of(which)
+        if self.held > self.most:
+            self._forget()
+        return found
+
+
+#: words that this worker knows, by the run that they belong to; one run at a time
+_KNOWN: dict[str, Corpus] = {}
+
+
+def _corpus(run: str, shared) -> Corpus:
+    """The worker's store for a run of ``encode``. Only its copy of the vocabulary comes from outside."""
+    if run not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[run] = Corpus(**shared.value)
+    return _KNOWN[run]
 
 
 def _encode_block(corpus: Corpus, pattern, rows: list[str]) -> list[bytes]:
@@ -202,16 +224,14 @@ def encode(
     ``decoded`` names a column for the bytes that the ids stand for, made from the ids in the same pass.
     """
     ranks = read_ranks(path)
-    # a worker keeps its copy from task to task, and with it the words that it knows
+    name_of_run = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "pairs": pair_ranks(ranks)})
     made = [name, decoded] if decoded else [name]
     rest = [c for c in docs.columns if keep_text or c != text]
     spots, at = [docs.columns.index(c) for c in rest], docs.columns.index(text)
 
     def run(batches):
-        own = shared.value
-        corpus = own.get("corpus") or Corpus(own["ranks"], own["pairs"])
-        own["corpus"] = corpus
+        corpus = _corpus(name_of_run, shared)
         cut = regex.compile(pattern)
         tokens = {rank: token for token, rank in corpus.ranks.items()} if decoded else {}
         for batch in small(batches):

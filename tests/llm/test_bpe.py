@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from sys import getsizeof
 
 import numpy as np
 import pytest
@@ -22,13 +23,13 @@ def vocabulary():
 TEXTS = ["", " ", "a", "Hello world, it's  me\n\n\t!", "日本語 🙂🙂 é", "x" * 3000, "ab" * 2000, " " * 400 + "end", "\x1c\x85  z", "<|endoftext|>", "aaaa aaaa aaaaa", "²½ ٣٤٥"]
 
 
-def encoded(vocabulary, texts, most=bpe.KNOWN_WORDS):
+def encoded(vocabulary, texts, most=bpe.KNOWN_BYTES):
     _, pattern, ranks, _ = vocabulary
     corpus = bpe.Corpus(ranks, bpe.pair_ranks(ranks), most)
     return [np.frombuffer(x, "<u4").tolist() for k in range(0, len(texts), 3) for x in bpe._encode_block(corpus, regex.compile(pattern), texts[k : k + 3])]
 
 
-@pytest.mark.parametrize("most", [bpe.KNOWN_WORDS, 2])
+@pytest.mark.parametrize("most", [bpe.KNOWN_BYTES, 300])
 def test_same_ids_as_the_library(vocabulary, most):
     rng = random.Random(5)
     texts = TEXTS + ["".join(rng.choice("aabbcé the ing\n") for _ in range(rng.randint(0, 80))) for _ in range(300)]
@@ -42,6 +43,19 @@ def test_a_long_text_goes_in_blocks_of_words(vocabulary, monkeypatch):
     assert encoded(vocabulary, [text])[0] == vocabulary[3].encode_ordinary(text)
 
 
+def test_the_store_of_known_words_is_bounded_by_bytes(vocabulary):
+    ranks = vocabulary[2]
+    corpus = bpe.Corpus(ranks, bpe.pair_ranks(ranks), 20_000)
+    rng = random.Random(7)
+    for k in range(50):
+        words = ["often", "x" * 3000 * (k % 9 == 0), *(f"{rng.random()}" for _ in range(60))]
+        ids, counts = corpus.encode(words)
+        assert counts.sum() == len(ids) and len(counts) == len(words)
+        sizes = sum(map(getsizeof, corpus.place)) + 4 * len(corpus.ids) + bpe.WORD_BYTES * len(corpus.place)
+        assert corpus.held == sizes <= 20_000
+    assert "often" in corpus.place
+
+
 def test_a_pair_that_opens_a_lower_rank_goes_first():
     """Ranks that no training would give: joining b and c opens a pair with a lower rank than the others."""
     ranks = {bytes((b,)): b for b in range(256)} | {b"bc": 300, b"abc": 290, b"bcd": 280, b"xa": 310}
