@@ -20,6 +20,7 @@ from clickloom.operators.cleaning import SessionCleaner
 from clickloom.operators.encoding import collapse_rare_categories, one_hot, ordinal_encode
 from clickloom.operators.features import SessionFeatures
 from clickloom.operators.filters import drop_sparse_by_count, drop_sparse_rows
+from clickloom.operators.neighbours import neighbour_information
 from clickloom.operators.splitting import client_labels, group_split, split_sizes, three_frames
 from clickloom.operators.target_statistics import ordered_targets
 from clickloom.plans import oracle as O
@@ -598,6 +599,108 @@ def mutual_info(spark, sf_dir):
     return found.withColumn("mutual_info", F.round("mutual_info", 6))
 
 
+_INFORMATION = """SELECT feature, count(*) AS rows, round(max(whole.psi) + avg(kth.psi - class.psi - inside.psi), 6) AS estimate,
+       round(greatest(max(whole.psi) + avg(kth.psi - class.psi - inside.psi), 0), 6) AS mutual_info
+FROM balls JOIN digamma AS kth ON kth.n = k JOIN digamma AS class ON class.n = class_rows
+JOIN digamma AS inside ON inside.n = m JOIN digamma AS whole ON whole.n = all_rows
+GROUP BY feature"""
+_DIGAMMA = """
+digamma AS (
+  SELECT n, coalesce(sum(1 / n) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - 0.5772156649015329 AS psi
+  FROM (SELECT unnest(range(1, (SELECT count(*) + 1 FROM known))) AS n))"""
+
+
+def _neighbour_sql(lines: str, blocks: list[str]) -> str:
+    """The estimate row by row, for numbers that are whole: the third nearest row of the class, and all rows that are nearer."""
+    steps = ", ".join(f"x - lag(x, {i}) OVER w, lead(x, {i}) OVER w - x" for i in (1, 2, 3))
+    return O.sql(
+        blocks,
+        _INFORMATION,
+        f"""
+lines AS ({lines}),
+known AS (SELECT *, count(*) OVER (PARTITION BY feature, y) AS class_rows FROM lines WHERE x IS NOT NULL AND y IS NOT NULL),
+near AS (
+  SELECT feature, x, class_rows, least(class_rows - 1, 3) AS k, list_sort([{steps}], 'ASC', 'NULLS LAST') AS ds
+  FROM known WHERE class_rows > 1 WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+radii AS (SELECT *, greatest(ds[k] - 1, 0) AS r FROM near),
+balls AS (
+  SELECT feature, k, class_rows, count(*) OVER (PARTITION BY feature) AS all_rows,
+         count(*) OVER (PARTITION BY feature ORDER BY x RANGE BETWEEN r PRECEDING AND r FOLLOWING) AS m
+  FROM radii)""",
+        _DIGAMMA,
+    )
+
+
+def _rounded_information(found: DataFrame) -> DataFrame:
+    return found.withColumns({c: F.round(c, 6) for c in ("estimate", "mutual_info")})
+
+
+@query(
+    "neighbour_info",
+    _neighbour_sql(
+        " UNION ALL ".join(f"SELECT '{c}' AS feature, event_value AS y, CAST({c} AS BIGINT) AS x FROM mart" for c in _COUNTERS),
+        O.BLOCKS["mart"],
+    ),
+)
+def neighbour_info(spark, sf_dir):
+    return _rounded_information(neighbour_information(mart_of(spark, sf_dir), _COUNTERS, "event_value"))
+
+
+@query(
+    "neighbour_info_of_counters",
+    O.sql(
+        O.BLOCKS["mart"],
+        _INFORMATION,
+        "lines AS ("
+        + " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, event_value AS y, CAST({c} AS DOUBLE) AS x, avg(abs({c})) OVER () AS size,
+                       {O.share_of(f"session_id || '|{c}'")} AS share FROM mart"""
+            for c in _COUNTERS
+        )
+        + ")",
+        """
+known AS (
+  SELECT feature, y, x + (2 * share - 1) * (1e-10::DOUBLE * greatest(1, size)) AS x, count(*) OVER (PARTITION BY feature, y) AS class_rows
+  FROM lines WHERE x IS NOT NULL AND y IS NOT NULL),
+near AS (
+  SELECT *, least(class_rows - 1, 3) AS k, count(*) OVER (PARTITION BY feature) AS all_rows,
+         lag(x, 1) OVER w AS b1, lag(x, 2) OVER w AS b2, lag(x, 3) OVER w AS b3, lead(x, 1) OVER w AS a1, lead(x, 2) OVER w AS a2, lead(x, 3) OVER w AS a3
+  FROM known WHERE class_rows > 1 WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+radii AS (SELECT *, list_sort([x - b1, x - b2, x - b3, a1 - x, a2 - x, a3 - x], 'ASC', 'NULLS LAST')[k] AS r FROM near),
+open_ends AS (
+  SELECT feature, x, k, class_rows, all_rows,
+         least(x + r, CASE WHEN a1 - x >= r THEN a1 WHEN a2 - x >= r THEN a2 WHEN a3 - x >= r THEN a3 END) AS high,
+         greatest(x - r, CASE WHEN x - b1 >= r THEN b1 WHEN x - b2 >= r THEN b2 WHEN x - b3 >= r THEN b3 END) AS low
+  FROM radii),
+marks AS (
+  SELECT feature, v, n, sum(n) OVER (PARTITION BY feature ORDER BY v RANGE UNBOUNDED PRECEDING) AS upto
+  FROM (SELECT feature, v, sum(n) AS n FROM (
+    SELECT feature, x AS v, 1 AS n FROM open_ends UNION ALL SELECT feature, low, 0 FROM open_ends UNION ALL SELECT feature, high, 0 FROM open_ends)
+    GROUP BY feature, v)),
+balls AS (
+  SELECT e.feature, e.k, e.class_rows, e.all_rows, h.upto - h.n - l.upto AS m
+  FROM open_ends e JOIN marks h ON h.feature = e.feature AND h.v = e.high JOIN marks l ON l.feature = e.feature AND l.v = e.low)""",
+        _DIGAMMA,
+    ),
+)
+def neighbour_info_of_counters(spark, sf_dir):
+    return _rounded_information(neighbour_information(mart_of(spark, sf_dir), _COUNTERS, "event_value", keys=["session_id"]))
+
+
+@query(
+    "neighbour_info_many_classes",
+    _neighbour_sql(
+        """SELECT 'cents' AS feature, l_quantity AS y, CAST(round(l_extendedprice * 100) AS BIGINT) AS x FROM lineitem
+           UNION ALL SELECT 'l_partkey', l_quantity, l_partkey FROM lineitem""",
+        [],
+    ),
+)
+def neighbour_info_many_classes(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    cents = lines.select("l_quantity", "l_partkey", F.round(F.col("l_extendedprice") * 100).alias("cents"))
+    return _rounded_information(neighbour_information(cents, ["cents", "l_partkey"], "l_quantity"))
+
+
 @query(
     "cramers_v",
     O.sql(
