@@ -18,8 +18,8 @@ from clickloom.functions import columns as X
 from clickloom.functions.quantiles import top_values, value_counts
 from clickloom.session import stage
 
-# Leading bytes of a value that name the slice in which it is ranked.
-SLICE_BYTES = 4
+# Slices of the sorted values that are ranked side by side, as a multiple of the shuffle partitions.
+SLICES_PER_PARTITION = 4
 
 
 def collapse_rare_categories(df: DataFrame, columns: Sequence[str], top_n: int = 10) -> DataFrame:
@@ -44,16 +44,22 @@ def indexers(columns: Sequence[str]) -> StringIndexer:
     )
 
 
+def ranged_domain(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, slice): the distinct values of each column, cut into ranges of about equal size, in a written table."""
+    ranges = SLICES_PER_PARTITION * int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lines = F.array(*[F.struct(F.lit(c).alias("column_name"), _textual(c).alias("value")) for c in columns])
+    values = train.select(F.inline(lines)).distinct()
+    return stage(values.repartitionByRange(ranges, "column_name", "value").withColumn("slice", F.spark_partition_id()), "domain")
+
+
 def ordinal_domain(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, value, place): the distinct values of each column in alphabetical order from 0, in a written table.
 
-    Values are ranked within slices of equal leading bytes, and slice starts are
-    sums over one row per slice, so a column may have as many values as the
-    frame has rows.
+    Values are ranked within their range, whatever bytes they share, and range
+    starts are sums over one row per range, so a column may have as many values
+    as the frame has rows.
     """
-    lines = F.array(*[F.struct(F.lit(c).alias("column_name"), _textual(c).alias("value")) for c in columns])
-    values = train.select(F.inline(lines)).distinct()
-    values = stage(values.withColumn("slice", F.substring(F.hex(F.encode("value", "UTF-8")), 1, 2 * SLICE_BYTES)), "domain")
+    values = ranged_domain(train, columns)
     counts = values.groupBy("column_name", "slice").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("column_name").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.select("column_name", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))

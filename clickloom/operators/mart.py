@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -146,21 +146,27 @@ def hits_before_target(
     targets come from a scan filtered to target hits. Hits meet them per session
     and block of numbers, so a hit of a session without a target goes no further
     than the join, and no task receives more than a block of a session at once.
-    A first target stands in every block up to its own: a single one in all but
-    huge sessions. Adaptive execution splits a block with very many hits.
+    Blocks before that of the first target count whole: their sizes are summed
+    per block before any shuffle, for the few sessions that have such blocks.
+    A first target is one row, whatever its number is.
     """
     known = F.col("hit_number").isNotNull()
     number = F.col("hit_number").alias("number")
-    block = F.floor(F.greatest(F.col("number"), F.lit(0)) / block_size).cast("int")
+
+    def block(c: str) -> Column:
+        return F.floor(F.greatest(F.col(c), F.lit(0)) / block_size).cast("int").alias("block")
+
     target = X.target_filter(F.col("event_action"), targets)
     firsts = hits.filter(target & known).select("session_id", number).groupBy("session_id")
-    firsts = firsts.agg(F.min("number").alias("first"))
-    last_block = F.floor(F.greatest(F.col("first"), F.lit(0)) / block_size).cast("int")
-    spread_firsts = firsts.withColumn("block", F.explode(F.sequence(F.lit(0), last_block)))
-    placed = hits.filter(known).select("session_id", number).withColumn("block", block)
+    firsts = firsts.agg(F.min("number").alias("first")).select("session_id", "first", block("first"))
+    placed = hits.filter(known).select("session_id", number).select("session_id", "number", block("number"))
     # the target hit itself always finds its block, so every session comes out, if only with 0
-    met = placed.join(spread_firsts, ["session_id", "block"])
-    return met.groupBy("session_id").agg(F.count(F.when(F.col("number") < F.col("first"), 1)).alias("hits_before_target"))
+    met = placed.join(firsts, ["session_id", "block"]).groupBy("session_id")
+    same = met.agg(F.count(F.when(F.col("number") < F.col("first"), 1)).alias("n"))
+    later = firsts.filter("block > 0").select("session_id", F.col("block").alias("last"))
+    whole = placed.groupBy("session_id", "block").agg(F.count(F.lit(1)).alias("n")).join(later, "session_id")
+    parts = same.unionByName(whole.filter("block < last").select("session_id", "n"))
+    return parts.groupBy("session_id").agg(F.sum("n").alias("hits_before_target"))
 
 
 def session_speed(hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS)) -> DataFrame:

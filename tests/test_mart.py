@@ -163,3 +163,11 @@ def test_hits_before_target_against_brute_force(spark):
             want[s] = sum(n < min(targets) for n, _ in numbers)
     hits = hits_frame(spark, [hit(s, n, a) for s, n, a in rows])
     assert {r[0]: r[1] for r in M.hits_before_target(hits, ["buy"], block_size=8).collect()} == want
+
+
+def test_first_target_with_the_largest_number(spark):
+    last = 2**31 - 1
+    rows = [("a", n, "view") for n in (-5, 0, 3, 9_999, 10_000, 25_000, last)] + [("a", last, "buy"), ("b", 2, "buy"), ("b", 1, "view"), ("c", last, "view")]
+    found = M.hits_before_target(hits_frame(spark, [hit(*r) for r in rows]), ["buy"])
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    assert {r[0]: r[1] for r in found.collect()} == {"a": 6, "b": 1}

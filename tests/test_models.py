@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import explain, models, tuning
 from clickloom.operators import tracking as K
-from clickloom.operators.encoding import one_hot, ordinal_encode
+from clickloom.operators.encoding import one_hot, ordinal_domain, ordinal_encode, ranged_domain
 from clickloom.plans import training as T
 from clickloom.sources.schemas import read_contract
 from clickloom.streaming import jobs, sinks
@@ -214,6 +214,15 @@ def test_encoders(spark):
     assert [list(r.x_hot.toArray()) for r in hot.collect()] == [[1, 0, 0], [0, 1, 0], [0, 0, 0], [0, 0, 1]]
 
 
+def test_ordinal_domain_of_keys_with_a_common_prefix(spark):
+    keys = [f"user_of_the_first_shop_{i:06d}" for i in range(5_000)]
+    train = spark.createDataFrame([(k,) for k in keys for _ in range(2)], "x string")
+    domain = ordinal_domain(train, ["x"])
+    assert [r.place for r in domain.orderBy("value").collect()] == list(range(5_000))
+    slices = ranged_domain(train, ["x"]).groupBy("slice").count().collect()
+    assert len(slices) > 4 and max(r["count"] for r in slices) < 1_500
+
+
 def test_other_families(frames):
     train = frames[0]
     for name, params in (("random_forest", {"numTrees": 3, "seed": 1}), ("network", {"maxIter": 10, "seed": 1})):

@@ -140,7 +140,10 @@ def test_hot_session_is_spread_in_the_speed_join(spark, large_joins):
     before = M.hits_before_target(hits, ["buy"])
     text = plan(before)
     joins = [line for line in text.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
-    assert joins and all("block" in line for line in joins)
+    # hits are joined by session and block; the join by session alone takes one row per block, summed before its shuffle
+    assert len(joins) == 2 and sum("block" in line.split("]")[0] for line in joins) == 1
+    sized = [line for line in text.splitlines() if "HashAggregate" in line and "keys=[session_id" in line and "block" in line]
+    assert any("partial_count(1)" in line for line in sized)
     hot = {r[0]: r[1] for r in before.collect()}["hot"]
     assert hot == hits.filter("session_id = 'hot' AND hit_number < 19999").count()
 
