@@ -1742,6 +1742,26 @@ def stream_session_counts(spark, sf_dir):
     )
 
 
+@query(
+    "stream_mart",
+    O.sql(
+        O.BLOCKS["mart"],
+        """SELECT m.* REPLACE (CAST(m.visit_date AS VARCHAR) AS visit_date) FROM mart m
+           JOIN (SELECT user_id, CAST(ts AS DATE) AS d, max(ts) AS last FROM events GROUP BY ALL) e
+             ON m.client_id = CAST(e.user_id AS VARCHAR) AND m.visit_date = e.d
+           WHERE e.last + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""",
+    ),
+)
+def stream_mart(spark, sf_dir):
+    """The mart from a stream of hits and a stream of session rows: all sessions that closed before the watermark."""
+    hits = E.as_hits(event_stream(spark, sf_dir), "CAST(ts AS TIMESTAMP) AS ts")
+    sessions = E.as_sessions(E.read_events(spark, sf_dir)).withColumn("ts", F.to_timestamp("visit_date"))
+    incoming = new_path(spark, "session-rows")
+    sessions.write.parquet(incoming)
+    rows = sinks.read_files(spark, incoming, sessions.schema)
+    return text_dates(sinks.run_available(jobs.session_mart(hits, rows, TARGETS), "stream-mart"))
+
+
 @query(
     "stream_monitor",
     f"""WITH scored AS (

@@ -26,6 +26,17 @@ def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoi
     The checkpoint lies in the shared folder: a restarted job goes on where it
     stopped and writes no row twice.
     """
+    return run_counting_late(stream, name, out, checkpoint)[0]
+
+
+def run_counting_late(
+    stream: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None
+) -> tuple[DataFrame, int]:
+    """Like :func:`run_available`, with the number of rows that came behind the watermark and were dropped.
+
+    Rows that a task merges before the shuffle count as one. The number is read from the progress of the
+    last batches, as many as ``spark.sql.streaming.numRecentProgressUpdates`` keeps.
+    """
     spark = stream.sparkSession
     out = out or new_path(spark, name)
     checkpoint = checkpoint or new_path(spark, f"{name}-progress")
@@ -38,7 +49,8 @@ def run_available(stream: DataFrame, name: str, out: str | None = None, checkpoi
         .start()
     )
     started.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    late = sum(o["numRowsDroppedByWatermark"] for batch in started.recentProgress for o in batch["stateOperators"])
+    return spark.read.schema(stream.schema).parquet(out), late
 
 
 def run_batches(
