@@ -1375,6 +1375,32 @@ def event_class_auc(spark, sf_dir):
     return Q.auc_ovr(scored, "kind", {i: f"p{i}" for i in range(5)}).withColumn("auc", F.round("auc", 6))
 
 
+@query(
+    "class_boosting_checks",
+    """SELECT event_type AS actual, count(*) AS n_rows, 0 AS n_unnamed, 0 AS n_out_of_range, 0 AS n_changed
+       FROM events GROUP BY event_type""",
+)
+def class_boosting_checks(spark, sf_dir):
+    """Text labels: the type of every event by boosted trees per class, scored by the fitted model and by the saved one."""
+    events = E.read_events(spark, sf_dir)
+    rows = events.select("event_id", "user_id", F.hour("ts").alias("hour"), "value", E.payload_key(events).alias("k"), "event_type")
+    train, val, _ = three_frames(group_split(rows, "user_id", None))
+    params = {"maxIter": 3, "maxDepth": 3, "seed": C.SEED}
+    model = models.fit_model(train, ["hour", "value", "k"], [], "boosted_trees", "multiclass", "event_type", val, **params)
+    root = new_path(spark, "class-boosting")
+    models.save_model(model, root, "1")
+    ours, again = (models.score(m, rows, ["event_id", "event_type"]) for m in (model, models.load_model(root, "1")))
+    both = ours.alias("a").join(again.alias("b"), "event_id")
+    same = F.col("a.confidence").eqNullSafe(F.col("b.confidence")) & F.col("a.predicted_label").eqNullSafe(F.col("b.predicted_label"))
+    least = 1 / len(models.label_names(model))
+    return both.groupBy(F.col("a.event_type").alias("actual")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(F.array_position(F.array(*[F.lit(c) for c in _CLASSES]), F.col("a.predicted_label")) == 0, 1)).alias("n_unnamed"),
+        F.count(F.when(~F.col("a.confidence").between(least - 1e-9, 1), 1)).alias("n_out_of_range"),
+        F.count(F.when(~same, 1)).alias("n_changed"),
+    )
+
+
 def linear_parts(spark, sf_dir):
     model, (_, val, _), spec = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 15})
     parts, names = explain.contributions(model, val, _KEYS)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from threading import get_ident
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +82,8 @@ def fit_pipeline(
     train: DataFrame, val: DataFrame | None, spec: Spec, prepared: tuple[list, DataFrame] | None = None
 ) -> PipelineModel:
     """Features, cleaning, encoding and the model as one pipeline that saves as a whole."""
+    if spec.keep_best and (spec.model, spec.task) != ("boosted_trees", "binary"):
+        raise ValueError("only boosted trees of two classes can be cut to their best iteration")
     stages, cleaned = prepared or fit_preparation(train, spec)
     numbers, categories = split_columns(cleaned, spec)
     clean_val = PipelineModel(stages=stages).transform(val) if val is not None else None
@@ -104,7 +108,7 @@ def fit_pipeline(
 def evaluate(model: PipelineModel, df: DataFrame, spec: Spec, prefix: str = "") -> tuple[dict[str, float], DataFrame]:
     """Metrics and the error table of a labelled frame."""
     scored = models.score(model, require_rows(df, "the evaluation set"))
-    errors = error_table(scored, spec.label, "prediction", spec.task)
+    errors = error_table(scored, spec.label, models.prediction_column(model), spec.task)
     probability = "probability" if spec.task == "binary" else None
     found = metrics(errors, "actual", "predicted", probability, spec.task)
     if spec.task == "multiclass" and (area := models.class_area(model, df, spec.label)) is not None:
@@ -143,11 +147,13 @@ def tune_and_train_job(
     trials: int,
     seed: int = C.SEED,
     direction: str | None = None,
+    threads: int = 1,
+    rungs: Sequence[dict] = ({},),
     **sizes: float,
 ) -> dict[str, float]:
     """Search for the best parameters, log all trials, then train once more with the best ones and save."""
     train, val, test = prepare(mart, spec, **sizes)
-    best, history = tune_job(train, val, spec, space, trials, seed, direction)
+    best, history = tune_job(train, val, spec, space, trials, seed, direction, threads, rungs)
     trials_table(mart.sparkSession, history).write.mode("overwrite").parquet(f"{root.rstrip('/')}/trials_v{version}")
     if best is None:
         raise ValueError("every trial failed: see the trials table")
@@ -167,28 +173,45 @@ def evaluate_job(mart: DataFrame, root: str, version: str, spec: Spec, **sizes:
 
 
 def tune_job(
-    train: DataFrame, val: DataFrame, spec: Spec, space: dict, trials: int, seed: int = C.SEED, direction: str | None = None
+    train: DataFrame,
+    val: DataFrame,
+    spec: Spec,
+    space: dict,
+    trials: int,
+    seed: int = C.SEED,
+    direction: str | None = None,
+    threads: int = 1,
+    rungs: Sequence[dict] = ({},),
 ) -> tuple[dict | None, list]:
-    """Random search. Preparation does not depend on the drawn parameters, so it is fitted once.
+    """Random search. Preparation and encoding do not depend on the drawn parameters: vectors are made and written once.
 
+    ``threads`` trials run side by side, each in a scheduler pool of its own (pools share the cluster where
+    ``spark.scheduler.mode`` is FAIR). ``rungs`` end weak trials early, see ``random_search``.
     Without a direction the metric decides.
     """
-    prepared = fit_preparation(train, spec)
-    stages = prepared[0]
-    staged = stage(prepared[1], "tuning")
+    spark = train.sparkSession
+    models.allow_checkpoints(spark)
+    stages, cleaned = fit_preparation(train, spec)
+    staged = stage(cleaned, "tuning")
+    numbers, categories = split_columns(staged, spec)
     clean_val = PipelineModel(stages=stages).transform(val)
+    order_keys = spec.keys if spec.target_statistics else None
+    encoded = models.encode(staged, numbers, categories, spec.model, spec.task, spec.label, clean_val, order_keys)
+    encoded = replace(encoded, vectors=stage(encoded.vectors, "vectors"))
+    val_vectors = encoded.vectors.filter("is_val")
 
     def objective(params: dict) -> float:
-        drawn = dict(params)
+        drawn = {**spec.model_params, **params}
         weight = drawn.pop("positive_weight", spec.positive_weight)
-        numbers, categories = split_columns(staged, spec)
-        settings = {**spec.model_params, **drawn}
-        fitted = models.fit_model(
-            staged, numbers, categories, spec.model, spec.task, spec.label, clean_val, weight, **settings
-        )
-        return models.best_val_score(fitted, clean_val, spec.label, spec.task, spec.metric)
-
-    return random_search(objective, space, trials, direction or direction_of(spec.metric), seed)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{get_ident()}" if threads > 1 else None)
+        fitted = models.fit_encoded(encoded, spec.model, spec.task, spec.label, weight, **drawn)
+        return models.best_val_score(fitted, val_vectors, spec.label, spec.task, spec.metric)
+
+    encoded.vectors.persist()
+    try:
+        return random_search(objective, space, trials, direction or direction_of(spec.metric), seed, threads, rungs)
+    finally:
+        encoded.vectors.unpersist()
 
 
 def score_job(

@@ -91,7 +91,7 @@ def test_unknown_models_and_tasks(frames):
     with pytest.raises(ValueError):
         models.make_estimator("linear", "ranking")
     with pytest.raises(ValueError):
-        models.make_estimator("boosted_trees", "multiclass")
+        models.make_estimator("network", "regression")
     with pytest.raises(ValueError):
         models.score(models.make_estimator("linear"), frames[0])
 
@@ -206,6 +206,37 @@ def test_tuning_reuses_the_preparation(frames):
     assert best["maxDepth"] in (1, 2, 3) and all(h[1] > 0.5 for h in history)
 
 
+def test_trials_side_by_side_find_the_same(frames, monkeypatch):
+    encoded = []
+    monkeypatch.setattr(models, "encode", lambda *a, made=models.encode: encoded.append(1) or made(*a))
+    spec = T.Spec(model_params={"seed": 1})
+    space = {"maxDepth": {"type": "int", "bounds": [1, 4]}, "positive_weight": {"bounds": [1.0, 3.0]}}
+    rungs = [{"maxIter": 1}, {"maxIter": 3}]
+    found = [T.tune_job(frames[0], frames[1], spec, space, 4, threads=t, rungs=rungs) for t in (1, 4)]
+    assert found[0] == found[1] and len(encoded) == 2
+    best, history = found[0]
+    assert [h[0] for h in history] == [0, 1, 2, 3] and best["maxIter"] == 3
+    assert sorted(h[2]["maxIter"] for h in history) == [1, 1, 3, 3]
+
+
+def test_rungs_keep_the_better_half():
+    space = {"x": {"type": "float", "bounds": [0.0, 1.0]}}
+    asked = []
+
+    def objective(p):
+        asked.append(p["n"])
+        if p["n"] == 1 and p["x"] > 0.9:
+            raise ValueError("too large")
+        return p["x"] * p["n"]
+
+    best, history = tuning.random_search(objective, space, 9, seed=3, rungs=[{"n": 1}, {"n": 2}, {"n": 4}])
+    scored = sorted((h[2]["x"] for h in history if h[3] is None), reverse=True)
+    half = (len(scored) + 1) // 2
+    assert asked == [1] * 9 + [2] * half + [4] * ((half + 1) // 2)
+    assert best == {"x": scored[0], "n": 4}
+    assert tuning.random_search(lambda p: float("nan"), space, 2)[0] is None
+
+
 def test_encoders(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,)], "x string")
     new = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
