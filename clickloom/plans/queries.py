@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom import constants as C
 from clickloom.functions import columns as X
+from clickloom.functions.quantiles import exact_quantiles
 from clickloom.operators import eda, explain, models, trees, tuning
 from clickloom.operators import errors as R
 from clickloom.operators import mart as M
@@ -245,6 +246,18 @@ def client_sample(spark, sf_dir):
     return text_dates(S.client_sample(mart_of(spark, sf_dir)))
 
 
+@query(
+    "rows_of_clients",
+    """SELECT event_id, user_id, event_type FROM events
+       WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 107)""",
+)
+def rows_of_clients(spark, sf_dir):
+    """All events of the users with a large purchase; the list repeats users, the events stay single."""
+    events = E.read_events(spark, sf_dir)
+    buyers = events.filter("event_type = 'purchase' AND value > 107")
+    return S.rows_of_clients(events.select("event_id", "user_id", "event_type"), buyers, "user_id")
+
+
 @query(
     "row_sample",
     f"SELECT event_id, user_id, event_type FROM events WHERE {O.share_of('event_id')} < 0.2",
@@ -883,6 +896,21 @@ def preprocessed(spark, sf_dir):
 _ENCODED = ["device_category", "utm_medium", "device_browser"]
 
 
+@query(
+    "clipped_rows",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(least(greatest(l_extendedprice, low), high), 4) AS price
+       FROM lineitem, (SELECT q1 - 0.25 * (q3 - q1) AS low, q3 + 0.25 * (q3 - q1) AS high
+                       FROM (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem))""",
+)
+def clipped_rows(spark, sf_dir):
+    """Prices of order lines drawn in to fences close around the quartiles."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    q1, q3 = exact_quantiles(lines, [], "l_extendedprice", [0.25, 0.75]).first()["quantiles"]
+    fence = 0.25 * (q3 - q1)
+    price = X.clipped(F.col("l_extendedprice").cast("double"), q1 - fence, q3 + fence)
+    return lines.select(*LINE_KEY, F.round(price, 4).alias("price"))
+
+
 @query(
     "ordinal_encode",
     O.sql(
@@ -1028,6 +1056,16 @@ def auc_ovr_query(spark, sf_dir):
     return found.withColumn("auc", F.round("auc", 6))
 
 
+@query("auc_ovr_macro", f"SELECT round(avg(auc), 5) AS roc_auc_ovr FROM ({ORACLE['auc_ovr']})")
+def auc_ovr_macro_query(spark, sf_dir):
+    """The plain mean of the areas of all classes."""
+    events = E.read_events(spark, sf_dir)
+    events = events.withColumn("k", E.payload_key(events))
+    scored = events.select("event_type", *[F.expr(_class_score(i, "k")).alias(f"s{i}") for i in range(5)])
+    found = Q.auc_ovr_macro(scored, "event_type", {c: f"s{i}" for i, c in enumerate(_CLASSES)})
+    return found.withColumn("roc_auc_ovr", F.round("roc_auc_ovr", 5))
+
+
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
