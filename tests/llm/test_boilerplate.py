@@ -134,3 +134,23 @@ def test_query_against_a_plain_cut(spark):
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split()) for b in re.split("</?(?:h1|p)>", inside)]
         want = "\n".join(b for b in blocks if b)
         assert got[r["page_id"]] == (want, len(want))
+
+
+def test_repeats_decide_every_page_with_an_article_too(spark):
+    """A menu without markup goes by its repeats; what stands beside the article once on the host stays, in page order."""
+    rows = [(k, f"https://h.com/{k}", f"<div>{MENU}</div><div>Only page {k} opens like this</div><article><p>Story {k}</p></article><div>{LEGAL}</div>") for k in range(6)]
+    for block_pages in (500, 2):
+        got = {r["page_id"]: r["text"] for r in B.main_text(spark.createDataFrame(rows, SCHEMA).repartition(3), block_pages=block_pages).collect()}
+        assert got == {k: f"Only page {k} opens like this\nStory {k}" for k in range(6)}
+
+
+def test_given_pages_without_article_tags_and_class_names(spark):
+    """The words of the article found again with the markup of articles and class names taken away."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()
+    want = {r["page_id"]: r["text"] for r in B.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    bare = [(r["page_id"], r["url"], re.sub(r"</?article[^>]*>", "", re.sub(r' (?:class|id|role)="[^"]*"', "", r["html"]))) for r in rows]
+    got = {r["page_id"]: r["text"] for r in B.main_text(spark.createDataFrame(bare, SCHEMA)).collect()}
+    kept = sum(len(set(got[k].split("\n")) & set(want[k].split("\n"))) for k in want)
+    found, right = sum(len(set(got[k].split("\n"))) for k in want), sum(len(set(want[k].split("\n"))) for k in want)
+    print("precision", kept / found, "recall", kept / right, "pages", len(want))
+    assert kept / right > 0.95 and kept / found > 0.5
