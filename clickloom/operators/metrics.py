@@ -100,10 +100,19 @@ def auc_table(
     Rows are merged per distinct score first; equal scores count half. A class
     without both kinds of rows has no area: NULL.
     """
-    keys = [classes] if classes else []
-    merged = df.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
-        F.sum(positive.cast("bigint")).alias("ones"), F.sum((~positive).cast("bigint")).alias("zeros")
+    counts = df.select(
+        *([classes] if classes else []),
+        F.col(score).cast("double").alias("score"),
+        positive.cast("bigint").alias("ones"),
+        (~positive).cast("bigint").alias("zeros"),
     )
+    return areas_of_counts(counts, classes, "score", one_task_scores)
+
+
+def areas_of_counts(counts: DataFrame, classes: str | None, score: str, one_task_scores: int = ONE_TASK_SCORES) -> DataFrame:
+    """The areas of ``auc_table`` from rows with the numbers of positives and negatives (``ones``, ``zeros``) at a score."""
+    keys = [classes] if classes else []
+    merged = counts.groupBy(*keys, F.col(score).alias("score")).agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     summed = running_totals(staged_scores(merged), "score", ["zeros"], keys, one_task_scores)
     pairs = F.sum(F.col("ones") * (F.col("zeros_below") + F.col("zeros") / 2))
     ones, zeros = F.sum("ones").cast("double"), F.sum("zeros").cast("double")

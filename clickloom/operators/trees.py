@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.operators.metrics import auc_table
+from clickloom.operators.metrics import areas_of_counts
 from clickloom.operators.models import feature_names
 from clickloom.session import new_path, stage
 
@@ -203,10 +203,33 @@ def iteration_areas(model: PipelineModel, df: DataFrame, label: str) -> DataFram
 
     Margins are rounded to 12 digits first: sums that differ in their last bits only are ties.
     """
-    margins = prefix_margins(model, df, [label])
-    each = margins.select(label, F.posexplode("margins").alias("k", "margin"))
-    each = each.select((F.col("k") + 1).alias("iteration"), F.col(label), F.round("margin", 12).alias("margin"))
-    return auc_table(stage(each, "margins"), "iteration", F.col(label) == 1, "margin").select("iteration", "auc")
+    last = model.stages[-1]
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
+    width, trees, leaves = len(feature_names(prepared)), len(last.treeWeights), leaves_of(last)
+
+    def run(batches):
+        for batch in batches:
+            margins = tree_values(leaves, _vectors(batch.column(0), width), trees).cumsum(axis=1)
+            yield _counted_margins(margins, batch.column(1).to_numpy(zero_copy_only=False))
+
+    rows = prepared.select(vector_to_array("features").alias("__x"), (F.col(label) == 1).cast("double").alias("__y"))
+    counted = rows.mapInArrow(run, "iteration int, margin double, ones bigint, zeros bigint")
+    return areas_of_counts(counted.withColumn("margin", F.round("margin", 12)), "iteration", "margin").select("iteration", "auc")
+
+
+def _counted_margins(margins: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    """(iteration, margin, ones, zeros) of margins (rows by iterations), equal ones of an iteration added up.
+
+    A row with an unknown label (NaN) keeps its margin and counts for neither side.
+    """
+    parts: list[list[np.ndarray]] = [[], [], [], []]
+    for k in range(margins.shape[1]):
+        values, place = np.unique(margins[:, k], return_inverse=True)
+        sides = (np.bincount(place, label == side, len(values)).astype(np.int64) for side in (1, 0))
+        for part, found in zip(parts, (np.full(len(values), k + 1, np.int32), values, *sides)):
+            part.append(found)
+    columns = [pa.array(np.concatenate(p)) for p in parts]
+    return pa.RecordBatch.from_arrays(columns, ["iteration", "margin", "ones", "zeros"])
 
 
 def cut_model(model: PipelineModel, iterations: int) -> PipelineModel:

@@ -129,3 +129,9 @@ def test_missing_numbers_go_right():
     step = trees.Step(0, low=1.0)
     assert step.followed(np.array([[np.nan], [1.0], [2.0]])).tolist() == [True, False, True]
     assert trees.Step(0, high=1.0).followed(np.array([[np.nan], [1.0], [2.0]])).tolist() == [False, True, False]
+
+
+def test_equal_margins_of_a_batch_leave_the_task_added_up():
+    margins = np.array([[0.5, 1.0], [0.5, 2.0], [0.25, 1.0], [0.5, 1.0]])
+    found = trees._counted_margins(margins, np.array([1.0, 0.0, 1.0, np.nan])).to_pylist()
+    assert [tuple(r.values()) for r in found] == [(1, 0.25, 1, 0), (1, 0.5, 1, 1), (2, 1.0, 2, 0), (2, 2.0, 0, 1)]
