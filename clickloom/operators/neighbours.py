@@ -84,21 +84,23 @@ def balls(cells: DataFrame, neighbours: int, block_cells: int = BLOCK_CELLS, one
         f"array_compact(array(home, IF(spot < {neighbours}, home - 1, NULL), IF(spot >= {block_cells - neighbours}, home + 1, NULL)))"
     )
     order = W.partitionBy(*keys, "block").orderBy("x")
-    near = F.collect_list(F.struct("x", "n"))
-    seen = placed.withColumn("block", F.explode(lent)).withColumns(
-        {"before": near.over(order.rowsBetween(-neighbours, -1)), "after": near.over(order.rowsBetween(1, neighbours))}
-    )
-    distances = (
-        "array_sort(concat(transform(before, b -> struct(x - b.x AS d, b.n AS n)), transform(after, a -> struct(a.x - x AS d, a.n AS n))))"
-    )
-    # other rows at the same value come first, then cell by cell until k rows are met
-    radius = f"""aggregate({distances}, struct(k - n + 1 AS wanted, double(0) AS d),
-                   (s, c) -> IF(s.wanted > 0, struct(s.wanted - c.n AS wanted, c.d AS d), s)).d"""
+    steps = range(1, neighbours + 1)
+    near = {f"{c}_{side}{s}": shift(c, s).over(order) for side, shift in (("b", F.lag), ("a", F.lead)) for s in steps for c in ("x", "n")}
+    seen = placed.withColumn("block", F.explode(lent)).withColumns(near)
     own = seen.where("block = home").withColumn("k", F.expr(f"least(class_rows - 1, {neighbours})"))
-    ball = own.withColumn("radius", F.expr(radius))
+    x, lines = F.col("x"), []
+    for s in steps:
+        lines.append(F.when(F.col(f"x_b{s}").isNotNull(), F.struct((x - F.col(f"x_b{s}")).alias("d"), F.col(f"n_b{s}").alias("n"))))
+        lines.append(F.when(F.col(f"x_a{s}").isNotNull(), F.struct((F.col(f"x_a{s}") - x).alias("d"), F.col(f"n_a{s}").alias("n"))))
+    # other rows at the same value come first, then cell by cell until k rows are met; the sort puts absent neighbours last
+    radius = """aggregate(distances, struct(k - n + 1 AS wanted, double(0) AS d),
+                   (s, c) -> IF(s.wanted > 0 AND c IS NOT NULL, struct(s.wanted - c.n AS wanted, c.d AS d), s)).d"""
+    ball = own.withColumn("distances", F.array_sort(F.array(*lines))).withColumn("radius", F.expr(radius))
     # the ball ends at the neighbour's own value where that is nearer than what adding the rounded distance gives
-    ball = ball.withColumn("high", F.expr("least(x + radius, array_min(transform(filter(after, a -> a.x - x >= radius), a -> a.x)))"))
-    ball = ball.withColumn("low", F.expr("greatest(x - radius, array_max(transform(filter(before, b -> x - b.x >= radius), b -> b.x)))"))
+    r = F.col("radius")
+    above = [F.when(F.col(f"x_a{s}") - x >= r, F.col(f"x_a{s}")) for s in steps]
+    below = [F.when(x - F.col(f"x_b{s}") >= r, F.col(f"x_b{s}")) for s in steps]
+    ball = ball.withColumns({"high": F.least(x + r, *above), "low": F.greatest(x - r, *below)})
     return ball.select(*cells.columns, "k", "radius", "low", "high")
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators.neighbours import digamma, neighbour_information
+from clickloom.operators.neighbours import balls, digamma, neighbour_information
 
 HARMONIC = np.concatenate([[np.nan], -np.euler_gamma + np.concatenate([[0.0], np.cumsum(1 / np.arange(1, 5000))])])
 
@@ -74,3 +74,10 @@ def test_no_rows_and_only_single_rows(spark):
     assert neighbour_information(empty, ["x"], "y").count() == 0
     alone = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (None, "b"), (3.0, None)], "x double, y string")
     assert neighbour_information(alone, ["x"], "y").count() == 0
+
+
+def test_neighbours_are_looked_up_by_offset_and_not_collected(spark):
+    cells = spark.createDataFrame([("f", "a", float(x), 1, 9, 9, 1) for x in range(9)], "feature string, y string, x double, n long, class_rows long, rows long, cell int")
+    found = balls(cells, 3)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert {r["x"]: (r["radius"], r["low"], r["high"]) for r in found.collect()}[4.0] == (2.0, 2.0, 6.0)
