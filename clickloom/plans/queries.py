@@ -1572,12 +1572,14 @@ _MODEL_SETTINGS = {
 def score_checks(spark, sf_dir):
     """Every family: the test split scored by the fitted model and by the model saved and loaded again."""
     train, val, test = training_frames(spark, sf_dir)
+    prepared = T.fit_preparation(train, T.Spec())  # the same for every family
     found = []
     for name, settings in _MODEL_SETTINGS.items():
-        model = T.fit_pipeline(train, val, T.Spec(model=name, **settings))
+        model = T.fit_pipeline(train, val, T.Spec(model=name, **settings), prepared)
         root = new_path(spark, f"checked-{name}")
         models.save_model(model, root, "1")
         found.append(_checked(name, models.score(model, test, _KEYS), models.score(models.load_model(root, "1"), test, _KEYS)))
+    prepared[1].unpersist()
     return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
 
 
@@ -1610,14 +1612,16 @@ def contribution_checks(spark, sf_dir):
 def tree_contribution_checks(spark, sf_dir):
     """Contributions of the trees and their base value add up to the margin of every validation row."""
     train, val, _ = training_frames(spark, sf_dir)
+    prepared = T.fit_preparation(train, T.Spec())  # the same for both families
     found = None
     for name, margin in (("boosted_trees", F.get(vector_to_array("rawPrediction"), 1)), ("random_forest", F.get(vector_to_array("probability"), 1))):
-        model = T.fit_pipeline(train, None, T.Spec(model=name, **_MODEL_SETTINGS[name]))
+        model = T.fit_pipeline(train, None, T.Spec(model=name, **_MODEL_SETTINGS[name]), prepared)
         parts, _, base = trees.tree_contributions(model, val, _KEYS)
         total = F.aggregate("contributions", F.lit(base), lambda a, b: a + b)
         rests = parts.join(model.transform(val).select(*_KEYS, margin.alias("margin")), _KEYS).select(F.abs(F.col("margin") - total).alias("rest"))
         line = rests.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.round(F.max("rest"), 6).alias("spread"))
         found = line if found is None else found.unionByName(line)
+    prepared[1].unpersist()
     return found
 
 

@@ -63,12 +63,21 @@ def prepare(mart: DataFrame, spec: Spec, seed: int = C.SEED, **sizes: float) ->
 
 
 def fit_preparation(train: DataFrame, spec: Spec) -> tuple[list, DataFrame]:
-    """Feature and cleaning stages learned from the training frame, and that frame cleaned."""
+    """Feature and cleaning stages learned from the training frame, and that frame cleaned.
+
+    Fitting reads the engineered and the cleaned frame several times, so both are worked out once and cached; lost
+    blocks are recomputed. The caller unpersists the cleaned frame.
+    """
     features = SessionFeatures()
-    engineered = features.transform(train)
-    cleaner = SessionCleaner(passThrough=[*spec.keys, spec.label], **spec.cleaner_params)
-    fitted = cleaner.fit(engineered)
-    return [features, fitted], fitted.transform(engineered)
+    engineered = features.transform(train).persist()
+    try:
+        cleaner = SessionCleaner(passThrough=[*spec.keys, spec.label], **spec.cleaner_params)
+        fitted = cleaner.fit(engineered)
+        cleaned = fitted.transform(engineered).persist()
+        cleaned.count()  # filled while the engineered frame is at hand
+    finally:
+        engineered.unpersist()
+    return [features, fitted], cleaned
 
 
 def split_columns(cleaned: DataFrame, spec: Spec) -> tuple[list[str], list[str]]:
@@ -81,25 +90,32 @@ def split_columns(cleaned: DataFrame, spec: Spec) -> tuple[list[str], list[str]]
 def fit_pipeline(
     train: DataFrame, val: DataFrame | None, spec: Spec, prepared: tuple[list, DataFrame] | None = None
 ) -> PipelineModel:
-    """Features, cleaning, encoding and the model as one pipeline that saves as a whole."""
+    """Features, cleaning, encoding and the model as one pipeline that saves as a whole.
+
+    Preparation does not depend on the model: ``prepared`` takes what ``fit_preparation`` gave, for several models.
+    """
     if spec.keep_best and (spec.model, spec.task) != ("boosted_trees", "binary"):
         raise ValueError("only boosted trees of two classes can be cut to their best iteration")
     stages, cleaned = prepared or fit_preparation(train, spec)
     numbers, categories = split_columns(cleaned, spec)
     clean_val = PipelineModel(stages=stages).transform(val) if val is not None else None
     cut_later = spec.keep_best and clean_val is not None
-    fitted = models.fit_model(
-        cleaned,
-        numbers,
-        categories,
-        spec.model,
-        spec.task,
-        spec.label,
-        None if cut_later else clean_val,
-        spec.positive_weight,
-        spec.keys if spec.target_statistics else None,
-        **spec.model_params,
-    )
+    try:
+        fitted = models.fit_model(
+            cleaned,
+            numbers,
+            categories,
+            spec.model,
+            spec.task,
+            spec.label,
+            None if cut_later else clean_val,
+            spec.positive_weight,
+            spec.keys if spec.target_statistics else None,
+            **spec.model_params,
+        )
+    finally:
+        if not prepared:
+            cleaned.unpersist()
     if cut_later:
         fitted, _ = fit_to_best(fitted, clean_val, spec.label)
     return PipelineModel(stages=[*stages, *fitted.stages])
@@ -193,6 +209,7 @@ def tune_job(
     models.allow_checkpoints(spark)
     stages, cleaned = fit_preparation(train, spec)
     staged = stage(cleaned, "tuning")
+    cleaned.unpersist()
     numbers, categories = split_columns(staged, spec)
     clean_val = PipelineModel(stages=stages).transform(val)
     order_keys = spec.keys if spec.target_statistics else None

@@ -264,3 +264,15 @@ def test_other_families(frames):
     spec = T.Spec(model="linear", task="regression", label="total_hits_count", model_params={"maxIter": 5})
     model = T.fit_pipeline(train, None, spec)
     assert models.best_val_score(model, frames[1], "total_hits_count", "regression") <= 1.0
+
+
+def test_preparation_is_worked_out_once_and_serves_several_models(spark, frames):
+    prepared = T.fit_preparation(frames[0], T.Spec())
+    assert prepared[1].storageLevel.useMemory and prepared[1].count() == frames[0].count()
+    kept = len(spark.sparkContext._jsc.getPersistentRDDs())
+    for settings in ({"model": "linear", "model_params": {"maxIter": 5}}, {"model_params": {"maxIter": 2, "maxDepth": 2, "seed": 1}}):
+        alone, shared = (T.fit_pipeline(frames[0], frames[1], T.Spec(**settings), p) for p in (None, prepared))
+        a, b = ({r.session_id: r.probability for r in models.score(m, frames[2], T.KEYS).collect()} for m in (alone, shared))
+        assert a == pytest.approx(b, abs=1e-9)
+    assert prepared[1].storageLevel.useMemory and len(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+    prepared[1].unpersist()
