@@ -58,24 +58,33 @@ def latest_sessions(sessions: DataFrame) -> DataFrame:
 def hit_counters(hits: DataFrame, targets: Sequence[str] = tuple(C.TARGET_ACTIONS)) -> DataFrame:
     """Counters and target flag per session.
 
-    Counts of hits leave target hits out; car views keep them. The distinct
-    counts are grouped by session and value first, which spreads a huge
-    session over many tasks; only partial sums are shuffled by session.
+    Counts of hits leave target hits out; car views keep them. Hits are
+    grouped by session and action and by session and car first, which spreads a huge
+    session over many tasks and merges its hits before any shuffle; all other counters
+    are sums over the groups of actions. Only partial sums are shuffled by session.
     """
     marked = hits.select(
         "session_id",
         "event_action",
-        "hit_type",
+        (F.col("hit_type") == "event").alias("event"),
         X.is_target(F.col("event_action"), targets).alias("target"),
         X.car_id(F.col("hit_page_path")).alias("car"),
     )
     other = F.col("target") == 0
-    return marked.groupBy("session_id").agg(
-        F.count(F.when(other, 1)).alias("total_hits_count"),
-        F.count(F.when(other & (F.col("hit_type") == "event"), 1)).alias("total_events_count"),
-        F.count_distinct(F.when(other, F.col("event_action"))).alias("unique_event_actions"),
-        F.count_distinct("car").alias("unique_cars_viewed"),
-        F.count("car").alias("total_car_views"),
+    values = marked.groupingSets([["session_id", "event_action"], ["session_id", "car"]], "session_id", "event_action", "car").agg(
+        (F.grouping("event_action") == 0).alias("by_action"),
+        F.count(F.when(other, 1)).alias("n_other"),
+        F.count(F.when(other & F.col("event"), 1)).alias("n_events"),
+        F.count("car").alias("n_views"),
+        F.max("target").alias("target"),
+    )
+    by_action = F.col("by_action")
+    return values.groupBy("session_id").agg(
+        F.sum(F.when(by_action, F.col("n_other"))).alias("total_hits_count"),
+        F.sum(F.when(by_action, F.col("n_events"))).alias("total_events_count"),
+        F.count(F.when(by_action & (F.col("n_other") > 0), F.col("event_action"))).alias("unique_event_actions"),
+        F.count(F.when(~by_action, F.col("car"))).alias("unique_cars_viewed"),
+        F.sum(F.when(by_action, F.col("n_views"))).alias("total_car_views"),
         F.max("target").alias("event_value"),
     )
 

@@ -68,15 +68,19 @@ def as_numbered_hits(events: DataFrame) -> DataFrame:
 
 
 def as_sessions(events: DataFrame) -> DataFrame:
-    """One row per user and day, plus a conflicting copy for every tenth user."""
+    """One row per user and day, plus a conflicting copy for every tenth user.
+
+    Days are numbered before their copies and texts are made, so narrow rows are shuffled and sorted.
+    """
     days = events.groupBy(F.col("user_id").alias("u"), F.to_date("ts").alias("visit_date")).agg(F.min("ts").alias("t0"))
+    days = days.withColumn("visit_number", F.row_number().over(W.partitionBy("u").orderBy("visit_date")))
     copied = days.selectExpr("*", "explode(CASE WHEN u % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS dup")
     return copied.selectExpr(
         "concat_ws('_', CAST(u AS STRING), CAST(visit_date AS STRING)) AS session_id",
         "CAST(u AS STRING) AS client_id",
         "visit_date",
         """CASE WHEN dup = 0 THEN substring(CAST(t0 AS STRING), 12, 8) WHEN u % 20 <> 0 THEN '00:00:00' END AS visit_time""",
-        "dense_rank() OVER (PARTITION BY u ORDER BY visit_date) AS visit_number",
+        "visit_number",
         "CASE WHEN u % 9 <> 0 THEN concat('src', u % 9) END AS utm_source",
         """CASE u % 6 WHEN 0 THEN 'organic' WHEN 1 THEN 'referral' WHEN 2 THEN '(none)' WHEN 3 THEN 'cpc'
            WHEN 4 THEN 'cpm' ELSE '(not set)' END AS utm_medium""",

@@ -171,3 +171,19 @@ def test_first_target_with_the_largest_number(spark):
     found = M.hits_before_target(hits_frame(spark, [hit(*r) for r in rows]), ["buy"])
     assert "Generate" not in found._jdf.queryExecution().toString()
     assert {r[0]: r[1] for r in found.collect()} == {"a": 6, "b": 1}
+
+
+def test_counters_of_unknown_actions_kinds_and_sessions(spark):
+    rows = [
+        hit("s1", 1, action=None, path="/cars/a/c1"),
+        hit("s1", 2, action="view", kind=None, path="/cars/a/c1"),
+        hit("s1", 3, action="view", kind="event", path="/cars/a/c2"),
+        hit("s1", 3, action="view", kind="event", path="/cars/a/c2"),
+        hit("s1", 4, action="buy", kind="event", path="/cars/a/c3"),
+        hit("s2", 1, action="buy", kind="event"),
+        hit("s3", 1, action=None, kind="event"),
+        hit(None, 1, action="view", path="/cars/a/c9"),
+    ]
+    found = {r["session_id"]: tuple(r)[1:] for r in M.hit_counters(hits_frame(spark, rows), ["buy"]).collect()}
+    assert found == {"s1": (4, 2, 1, 3, 5, 1), "s2": (0, 0, 0, 0, 0, 1), "s3": (1, 1, 0, 0, 0, 0), None: (1, 0, 1, 1, 1, 0)}
+    assert M.hit_counters(hits_frame(spark, []), ["buy"]).count() == 0

@@ -153,3 +153,17 @@ def test_distinct_counts_spread_a_hot_session(spark):
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     # the wide shuffle is keyed by session and value, only partial sums are keyed by session
     assert len(exchanges) == 2 and sum("car#" in e for e in exchanges) == 1
+
+
+def test_hits_are_merged_by_action_and_car_in_two_rows_each(spark):
+    text = plan(M.hit_counters(hot_hits(spark), ["buy"]))
+    expands = [line.split("Expand [[")[1].split("]], [")[0] for line in text.splitlines() if "Expand [[" in line]
+    # one row for the action and one for the car; a third one would carry the counters alone
+    assert len(expands) == 1 and expands[0].count("], [") == 1
+
+
+def test_days_are_numbered_before_texts_are_made(spark):
+    text = plan(E.as_sessions(E.read_events(spark, SF_DIR)))
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    below_window = text[text.index("Window [") :]
+    assert len(exchanges) == 2 and "Generate explode" not in below_window and "utm_source" not in below_window
