@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1440,9 +1441,13 @@ def class_boosting_checks(spark, sf_dir):
 
 
 def linear_parts(spark, sf_dir):
+    """The linear model alone, the vectors of the validation rows, written once, and their contributions."""
     model, (_, val, _), spec = fitted(spark, sf_dir, model="linear", model_params={"maxIter": 15})
-    parts, names = explain.contributions(model, val, _KEYS)
-    return model, val, parts, names, spec
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(val)
+    vectors = stage(prepared.select(*_KEYS, spec.label, "features"), "val-vectors")
+    linear = PipelineModel(stages=model.stages[-1:])
+    parts, names = explain.contributions(linear, vectors, _KEYS)
+    return linear, vectors, parts, names, spec
 
 
 @query("logreg_contributions")
@@ -1453,8 +1458,8 @@ def logreg_contributions(spark, sf_dir):
 
 @query("worst_fp_contributions")
 def worst_fp_contributions(spark, sf_dir):
-    model, val, parts, names, spec = linear_parts(spark, sf_dir)
-    errors = R.error_table(models.score(model, val), spec.label, "prediction")
+    linear, vectors, parts, names, spec = linear_parts(spark, sf_dir)
+    errors = R.error_table(models.score(linear, vectors), spec.label, "prediction")
     return explain.explain_worst_false_positives(errors, parts, names, _KEYS)
 
 

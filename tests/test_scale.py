@@ -167,3 +167,11 @@ def test_days_are_numbered_before_texts_are_made(spark):
     exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     below_window = text[text.index("Window [") :]
     assert len(exchanges) == 2 and "Generate explode" not in below_window and "utm_source" not in below_window
+
+
+def test_linear_parts_prepare_the_validation_rows_once(spark):
+    _, vectors, parts, _, _ = Q.linear_parts(spark, SF_DIR)
+    assert vectors.columns == ["session_id", "client_id", "event_value", "features"]
+    # both read the written vectors: no features, cleaning or encoding left in their plans
+    for text in (plan(vectors), plan(parts)):
+        assert "val-vectors" in text and "BroadcastHashJoin" not in text and "geo_city" not in text
